@@ -127,7 +127,7 @@ def repeated_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, shar
     """
     spark = docs.sparkSession
     keyed = F.filter(F.transform(_lines(ascii_lower(F.col(text_col))), lambda x: F.btrim(x, F.lit(SPACES))), lambda x: F.length(x) >= min_chars)
-    found = docs.select(F.coalesce(F.col(id_col), F.lit(_NO_ID)).cast("long").alias("doc"), F.explode(F.array_distinct(keyed)).alias("key"))
+    found = docs.select(F.coalesce(F.col(id_col), F.lit(_NO_ID)).cast("long").alias("doc"), F.explode_outer(F.array_distinct(keyed)).alias("key")).filter("key is not null")
     found = cut(found.select("doc", _h(F.col("key")).alias("h"), F.xxhash64(F.lit(7), F.col("key")).alias("g")).distinct())
     lines = cut(found.groupBy("h", "g").agg(F.count("*").alias("n"), F.max("doc").alias("last")))
     n_shards = lines.count() // shard_keys + 1

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from spliceframe.llm import line_dedup, mixing, pii, secrets
+from spliceframe.llm import decontam, line_dedup, mixing, pii, secrets
 
 QUERIES = {
+    "op3_decontaminate": decontam.op3,
     "op6_source_mix": mixing.op6,
     "op7_pii": pii.op7,
     "op9_secrets": secrets.op9,
     "op10_line_dedup": line_dedup.op10,
 }
 ORACLE_SQL = {
+    "op3_decontaminate": decontam.OP3_SQL,
     "op6_source_mix": mixing.OP6_SQL,
     "op7_pii": pii.OP7_SQL,
     "op9_secrets": secrets.OP9_SQL,
