@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from spliceframe.llm import decontam, line_dedup, mixing, pii, secrets
+from spliceframe.llm import decontam, line_dedup, mixing, pii, secrets, toxicity
 
 QUERIES = {
     "op3_decontaminate": decontam.op3,
+    "op5_toxicity": toxicity.op5,
     "op6_source_mix": mixing.op6,
     "op7_pii": pii.op7,
     "op9_secrets": secrets.op9,
