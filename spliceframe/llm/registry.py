@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from spliceframe.llm import decontam, line_dedup, mixing, pii, secrets, toxicity
+from spliceframe.llm import decontam, line_dedup, mixing, neighbours, pii, secrets, toxicity
 
 QUERIES = {
+    "op1_neighbours": neighbours.op1,
     "op3_decontaminate": decontam.op3,
     "op5_toxicity": toxicity.op5,
     "op6_source_mix": mixing.op6,
