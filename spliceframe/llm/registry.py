@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from spliceframe.llm import decontam, line_dedup, mixing, neighbours, pii, secrets, toxicity
+from spliceframe.llm import decontam, html_text, line_dedup, mixing, neighbours, pii, secrets, toxicity
 
 QUERIES = {
     "op1_neighbours": neighbours.op1,
+    "op2_html_text": html_text.op2,
     "op3_decontaminate": decontam.op3,
     "op5_toxicity": toxicity.op5,
     "op6_source_mix": mixing.op6,
