@@ -13,27 +13,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spliceframe.llm.common import ascii_lower, cut, table
-from spliceframe.llm.spans import found, placed
+from spliceframe.llm.spans import marked, placed
 
 WINDOW, _K, _KEEP = 13, 6, 8  # _K + _KEEP - 1 words: the least shared span
-_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: At most so many benchmark hashes (of 32 bytes or so a row) are broadcast; more are joined by shuffling.
 BROADCAST_ROWS = 1_000_000
 
 
 def words_of(text: Column) -> Column:
-    return found(ascii_lower(text), _WORD)
+    return F.filter(F.split(F.coalesce(ascii_lower(text), F.lit("")), _GAP, -1), lambda w: w != "")
 
 
-def _grams(hashes: Column, n: int, *seed: Column) -> Column:
+def _grams(hashes: Column, n: int, *seed: Column, low: int = 0) -> Column:
+    """The hashes of every n words, with the low bits clear."""
     starts = F.slice(hashes, 1, F.greatest(F.size(hashes) - (n - 1), F.lit(0)))
-    return F.transform(starts, lambda _, i: F.xxhash64(*seed, *(hashes[i + j] for j in range(n))))
+    return F.transform(starts, lambda _, i: F.xxhash64(*seed, *(hashes[i + j] for j in range(n))).bitwiseAND(F.lit(-(1 << low))))
 
 
 def fingerprints(df: DataFrame, words: str, short: list[int]) -> DataFrame:
     """df with fps: array of (pos, hash): the winnowed hashes and those of every short length, with positions from 0."""
     df = df.withColumn("_h", F.transform(words, lambda w: F.xxhash64(w)))
-    df = df.withColumn("_m", F.transform(_grams(F.col("_h"), _K), lambda g: g.bitwiseAND(F.lit(-8))))
+    df = df.withColumn("_m", _grams(F.col("_h"), _K, low=3))
     for step in (1, 2, 4):  # the low bits tell how far right the least of a window is
         least = F.col("_m")
         starts = F.slice(least, 1, F.greatest(F.size(least) - step, F.lit(0)))
@@ -64,8 +65,8 @@ def _compared(words: Column, m: Column) -> Column:
 
 
 def _runs(m: Column) -> Column:
-    """Where the item's windows lie on the document: array of (start, end). m: _compared() with ones, its long runs of 1."""
-    runs = F.transform(placed(m["told"], _LONG, m["ones"]), lambda s: F.struct((s["start"] + m["lo"]).cast("int").alias("start"), (s["end"] + m["lo"]).cast("int").alias("end")))
+    """Where the item's windows lie on the document: array of (start, end). m: _compared() with ones, its long runs of 1 marked."""
+    runs = F.transform(placed(m["ones"]), lambda s: F.struct((s["start"] + m["lo"]).cast("int").alias("start"), (s["end"] + m["lo"]).cast("int").alias("end")))
     whole = F.when(m["told"] == F.repeat(F.lit("1"), m["n"]), F.array(F.struct(m["lo"].alias("start"), (m["lo"] + m["n"]).alias("end"))))
     return F.when(m["n"] >= WINDOW, runs).otherwise(F.coalesce(whole, F.array().cast("array<struct<start:int,end:int>>")))
 
@@ -97,7 +98,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     out = docs.join(met, F.col(id_col).eqNullSafe(F.col("_dc_doc")), "left").withColumn("_dc_words", words_of(F.col(text_col)))
     words = F.col("_dc_words")
     out = out.withColumn("_dc_met", F.transform("_dc_met", lambda m: _compared(words, m)))
-    out = out.withColumn("_dc_met", F.transform("_dc_met", lambda m: F.struct(m["item"].alias("item"), m["lo"].alias("lo"), m["n"].alias("n"), m["told"].alias("told"), found(m["told"], _LONG).alias("ones"))))
+    out = out.withColumn("_dc_met", F.transform("_dc_met", lambda m: F.struct(m["item"].alias("item"), m["lo"].alias("lo"), m["n"].alias("n"), m["told"].alias("told"), marked(m["told"], _LONG).alias("ones"))))
     out = out.withColumn("_dc_runs", F.filter(F.transform("_dc_met", lambda m: F.struct(m["item"].alias("item"), _runs(m).alias("runs"))), lambda r: F.size(r["runs"]) > 0))
     none = F.array().cast("array<string>")
     out = out.withColumn("items", F.coalesce(F.array_sort(F.array_distinct(F.transform("_dc_runs", lambda r: r["item"]))), none))

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spliceframe.llm.spans import count, found, placed, told
+from spliceframe.llm.spans import count, marked, placed, told
 
 
 def digits(match: Column) -> Column:
@@ -76,15 +76,15 @@ KINDS = (
 _FOUND = "array<struct<kind:string,start:bigint,end:bigint,match:string,score:double>>"
 
 
-def _scored(text: Column, kind: Kind, matches: Column, context: int) -> Column:
+def _scored(text: Column, kind: Kind, parts: Column, context: int) -> Column:
     def score(s: Column) -> Column:
         first = F.greatest(F.lit(0), s["start"] - context)
         before = F.lower(F.substr(text, (first + 1).cast("int"), (s["start"] - first).cast("int")))
         score = F.lit(kind.score) + F.when(before.rlike(kind.near), 0.2).otherwise(0.0)
         return F.struct(F.lit(kind.name).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["match"].alias("match"), score.alias("score"))
 
-    spans = F.transform(F.filter(placed(text, kind.pattern, matches), lambda s: kind.holds(s["match"])), score)
-    return F.when(F.exists(matches, lambda m: kind.holds(m)), spans).otherwise(F.array().cast(_FOUND))
+    spans = F.transform(F.filter(placed(parts), lambda s: kind.holds(s["match"])), score)
+    return F.when(F.size(parts) > 1, spans).otherwise(F.array().cast(_FOUND))
 
 
 def find_pii(docs: DataFrame, text_col: str = "text", context: int = 40, kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
@@ -97,7 +97,7 @@ def find_pii(docs: DataFrame, text_col: str = "text", context: int = 40, kinds:
     docs = docs.drop("pii", *(f"_pii_{k.name}" for k in kinds))
     text = F.col(text_col)
     for k in kinds:
-        docs = docs.withColumn(f"_pii_{k.name}", found(text, k.pattern))
+        docs = docs.withColumn(f"_pii_{k.name}", marked(text, k.pattern))
     for k in kinds:
         docs = docs.withColumn(f"_pii_{k.name}", _scored(text, k, F.col(f"_pii_{k.name}"), context))
     return docs.withColumn("pii", F.concat(*(F.col(f"_pii_{k.name}") for k in kinds))).drop(*(f"_pii_{k.name}" for k in kinds))

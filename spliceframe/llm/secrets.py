@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from spliceframe.llm.common import cut
 from spliceframe.llm.pii import _sql_spans
-from spliceframe.llm.spans import count, found, placed, told
+from spliceframe.llm.spans import count, marked, placed, told
 
 _FOUND = "array<struct<kind:string,start:bigint,end:bigint>>"
 
@@ -64,14 +64,14 @@ def scan(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ..
         lacks = lacks.select("blob", F.array_except(names, F.coalesce("seen", F.array().cast("array<string>"))).alias("todo")).filter(F.size("todo") > 0)
         todo = blobs.join(lacks, "blob").dropDuplicates(["blob"])
     for i, r in enumerate(rules):
-        todo = todo.withColumn(f"m{i}", F.when(F.array_contains("todo", r.key), found(F.col("text"), r.pattern)))
+        todo = todo.withColumn(f"m{i}", F.when(F.array_contains("todo", r.key), marked(F.col("text"), r.pattern)))
 
     def spans(i: int, r: Rule) -> Column:
-        kept = F.filter(placed(F.col("text"), r.pattern, F.col(f"m{i}")), lambda s: r.holds(s["match"]))
+        kept = F.filter(placed(F.col(f"m{i}")), lambda s: r.holds(s["match"]))
         return F.transform(kept, lambda s: F.struct(F.lit(r.name).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
 
     none = F.array().cast(_FOUND)
-    results = F.array(*(F.struct(F.lit(r.key).alias("rule"), F.when(F.size(f"m{i}") > 0, spans(i, r)).otherwise(none).alias("spans")) for i, r in enumerate(rules)))
+    results = F.array(*(F.struct(F.lit(r.key).alias("rule"), F.when(F.size(f"m{i}") > 1, spans(i, r)).otherwise(none).alias("spans")) for i, r in enumerate(rules)))
     todo = todo.select("blob", "todo", F.explode(results).alias("r"))
     return todo.filter(F.array_contains("todo", F.col("r.rule"))).select("blob", "r.rule", "r.spans")
 

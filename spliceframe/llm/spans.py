@@ -1,4 +1,7 @@
-"""Positions of regular-expression matches in built-in functions."""
+"""Positions of regular-expression matches in built-in functions, in linear time.
+
+regexp_extract_all copies the text for every match; one regexp_replace that marks the matches, split at the marks, does not.
+"""
 
 from __future__ import annotations
 
@@ -6,28 +9,34 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _SPAN = "array<struct<start:bigint,end:bigint,match:string>>"
+_OPEN, _SHUT = "\x01", "\x02"
 
 
-def found(text: Column, pattern: str) -> Column:
-    """All matches of a Java pattern in text, in order; none for null."""
-    return F.coalesce(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.array().cast("array<string>"))
+def marked(text: Column, pattern: str) -> Column:
+    """The text split at the matches of a Java pattern: what is before the first, then each match with what follows it.
 
+    No pattern here may match U+0000 to U+0002; the two marks are replaced where the text holds them. Null: one null.
+    """
+    plain = F.when(text.contains(_OPEN) | text.contains(_SHUT), F.translate(text, _OPEN + _SHUT, "\x00\x00")).otherwise(text)
+    return F.split(F.regexp_replace(plain, pattern, f"{_OPEN}$0{_SHUT}"), _OPEN, -1)
 
-def placed(text: Column, pattern: str, matches: Column) -> Column:
-    """matches (found() of the same text and pattern) with code points, end exclusive.
 
-    The text between two matches is what split() leaves there, so the lengths of both add up to the positions.
-    """
-    rest = F.transform(F.split(text, pattern, -1), lambda x: F.length(x).cast("bigint"))
-    start = F.struct(F.lit(0).cast("bigint").alias("pos"), F.array().cast(_SPAN).alias("out"))
+def found(parts: Column) -> Column:
+    """The matches in marked()."""
+    return F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), lambda p: F.substring_index(p, _SHUT, 1))
+
+
+def placed(parts: Column) -> Column:
+    """The matches in marked() with their code points, end exclusive; none for null."""
+    start = F.struct(F.length(parts[0]).cast("bigint").alias("pos"), F.array().cast(_SPAN).alias("out"))
 
-    def step(acc: Column, x: Column) -> Column:
-        at = acc["pos"] + x["gap"]
-        end = at + F.length(x["match"])
-        return F.struct(end.alias("pos"), F.concat(acc["out"], F.array(F.struct(at.alias("start"), end.alias("end"), x["match"].alias("match")))).alias("out"))
+    def step(acc: Column, p: Column) -> Column:
+        match = F.substring_index(p, _SHUT, 1)
+        span = F.struct(acc["pos"].alias("start"), (acc["pos"] + F.length(match)).alias("end"), match.alias("match"))
+        return F.struct((acc["pos"] + F.length(p) - 1).alias("pos"), F.concat(acc["out"], F.array(span)).alias("out"))
 
-    pairs = F.zip_with(matches, F.slice(rest, 1, F.size(matches)), lambda m, g: F.struct(m.alias("match"), g.alias("gap")))
-    return F.when(F.size(matches) == 0, F.array().cast(_SPAN)).otherwise(F.aggregate(pairs, start, step, lambda acc: acc["out"]))
+    none = F.array().cast(_SPAN)
+    return F.when(F.size(parts) > 1, F.aggregate(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), start, step, lambda acc: acc["out"])).otherwise(none)
 
 
 def told(spans: Column) -> Column:
