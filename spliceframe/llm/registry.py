@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from spliceframe.llm import decontam, html_text, line_dedup, mixing, neighbours, pii, secrets, toxicity
+from spliceframe.llm import decontam, html_text, jaccard, line_dedup, mixing, neighbours, pii, secrets, toxicity
 
 QUERIES = {
     "op1_neighbours": neighbours.op1,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_toxicity": toxicity.op5,
     "op6_source_mix": mixing.op6,
     "op7_pii": pii.op7,
+    "op8_jaccard_join": jaccard.op8,
     "op9_secrets": secrets.op9,
     "op10_line_dedup": line_dedup.op10,
 }
