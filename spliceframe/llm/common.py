@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,11 +33,27 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df, written to the cluster's checkpoint folder and read from there, so that a lost executor loses nothing."""
-    sc = df.sparkSession.sparkContext
-    if df.sparkSession.conf.get("spark.checkpoint.dir", None) is None and sc.getCheckpointDir() is None:
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's checkpoint folder; a temporary one where none is named and all runs on one machine, as in tests."""
+    sc = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if named is None:
         if not sc.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        sc.setCheckpointDir(os.path.join(tempfile.gettempdir(), "checkpoints"))
+        named = os.path.join(tempfile.gettempdir(), "checkpoints")
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(named)
+    return named
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df, written to the cluster's checkpoint folder and read from there, so that a lost executor loses nothing."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df, written as Parquet to the shared folder and read again."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
