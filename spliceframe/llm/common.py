@@ -55,5 +55,5 @@ def cut(df: DataFrame) -> DataFrame:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df, written as Parquet to the shared folder and read again."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)

@@ -16,6 +16,8 @@ filter that loses nothing (counts of shingles by cell differ by at most the sets
 from __future__ import annotations
 
 import math
+import pickle
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -25,12 +27,27 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spliceframe.llm.common import cut, partitions, table
+from spliceframe.llm.common import cut, partitions, stored, table
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)  # splitmix64
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
 _SMALL, _CHUNK, _ROUNDS = 6, 2048, 3
-_word_hashes: dict[bytes, int] = {}
+BROADCAST_ROWS = 1_000_000
+_NO_ID = 2**63 - 1  # stands for null
+
+
+class _Hashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        h = self[word] = xxhash.xxh64_intdigest(word)
+        return h
+
+
+_word_hashes = _Hashes()
+
+
+@cache
+def _place(j: int) -> np.ndarray:
+    return _mix(_FACTORS[:1] + np.uint64(j)) | np.uint64(1)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -49,19 +66,12 @@ def shingles(text: bytes | None, n: int = 5) -> np.ndarray:
         return np.zeros(0, np.uint64)
     if len(_word_hashes) > 500_000:
         _word_hashes.clear()
-    get = _word_hashes.get
-    ids = []
-    for w in words:
-        h = get(w)
-        if h is None:
-            h = _word_hashes[w] = xxhash.xxh64_intdigest(w)
-        ids.append(h)
-    h = np.array(ids, np.uint64)
+    h = np.frombuffer(array("Q", map(_word_hashes.__getitem__, words)), np.uint64)
     width = min(n, len(h))
     total = np.full(len(h) - width + 1, width, np.uint64)
-    for j in range(width):  # Horner over mixed words: order tells
-        total = _mix(total * _FACTORS[j % 5] + h[j : len(h) - width + 1 + j])
-    return np.unique(total)
+    for j in range(width):  # other factors for other places: order tells
+        total += h[j : len(h) - width + 1 + j] * _place(j)
+    return np.unique(_mix(total))
 
 
 def node_of(s: np.ndarray) -> int:
@@ -123,7 +133,7 @@ def sketch(s: np.ndarray) -> np.ndarray:
     cells = 64
     while cells < 0.08 * len(s):
         cells *= 2
-    return np.minimum(np.bincount((_mix(s ^ _FACTORS[3]) & np.uint64(cells - 1)).astype(np.int64), minlength=cells), 65535).astype(np.uint16)
+    return np.minimum(np.bincount((_mix(s ^ _FACTORS[3]) & np.uint64(cells - 1)).astype(np.int64), minlength=cells), 255).astype(np.uint8)
 
 
 def folded(x: np.ndarray, cells: int) -> np.ndarray:
@@ -253,10 +263,11 @@ def _filtered(pairs: DataFrame, facts: DataFrame, similarity: float) -> DataFram
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             keep = np.zeros(len(pdf), bool)
+            sizes = pdf[["size_a", "size_b"]].to_numpy()
             for i, (x, y) in enumerate(zip(pdf["sketch_a"], pdf["sketch_b"], strict=True)):
-                x, y = np.frombuffer(x, np.uint16).astype(np.int64), np.frombuffer(y, np.uint16).astype(np.int64)
+                x, y = np.frombuffer(x, np.uint8).astype(np.int64), np.frombuffer(y, np.uint8).astype(np.int64)
                 cells = min(len(x), len(y))
-                keep[i] = _near(pdf["size_a"].iat[i], pdf["size_b"].iat[i], np.abs(folded(x, cells) - folded(y, cells)).sum(), similarity)
+                keep[i] = _near(*sizes[i], np.abs(folded(x, cells) - folded(y, cells)).sum(), similarity)
             yield pdf.loc[keep, ["a", "b"]]
 
     return joined.select("a", "b", "size_a", "size_b", "sketch_a", "sketch_b").mapInPandas(run, "a long, b long")
@@ -265,6 +276,7 @@ def _filtered(pairs: DataFrame, facts: DataFrame, similarity: float) -> DataFram
 def _verified(pairs: DataFrame, facts: DataFrame, n: int, similarity: float) -> DataFrame:
     """Pairs (a, b) whose texts have similar sets."""
     per_cent = round(similarity * 100)
+    facts = _only(facts, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node")
     joined = pairs.join(facts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(facts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -279,33 +291,59 @@ def _verified(pairs: DataFrame, facts: DataFrame, n: int, similarity: float) ->
     return joined.select("a", "b", "text_a", "text_b").mapInPandas(run, "a long, b long")
 
 
-def _left_over(rest: DataFrame, facts: DataFrame, similarity: float) -> DataFrame:
-    """All pairs (a, b) of unlike labels within groups that the sketches don't rule out. rest: (gid, chunk, node, label)."""
-    rows = rest.join(facts.select("node", "size", "sketch"), "node")
+def _pairs_between(x: dict, y: dict | None, similarity: float) -> Iterator[pd.DataFrame]:
+    """Pairs (a, b) of unlike labels that the sketches don't rule out, between two chunks or within one (y: None)."""
+    z = y or x
+    cells = min(x["counts"].shape[1], z["counts"].shape[1])
+    cx, cz = (np.asarray(v["counts"], np.int32).reshape(len(v["counts"]), -1, cells).sum(1).astype(np.int16) for v in (x, z))
+    for i in range(len(cx)):
+        at = slice(i + 1 if y is None else 0, None)
+        maybe = np.flatnonzero((x["label"][i] != z["label"][at]) & (np.minimum(x["size"][i], z["size"][at]) >= np.maximum(x["size"][i], z["size"][at]) * (similarity - 1e-9)))
+        if len(maybe):
+            far = np.abs(cz[at][maybe] - cx[i]).sum(1)
+            ok = maybe[_near(x["size"][i], z["size"][at][maybe], far, similarity)]
+            if len(ok):
+                other = z["node"][at][ok]
+                yield pd.DataFrame({"a": np.minimum(x["node"][i], other), "b": np.maximum(x["node"][i], other)})
 
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        xs = [np.frombuffer(x, np.uint16).astype(np.int64) for x in pdf["sketch"]]
+
+def _left_over(rest: DataFrame, sketches: DataFrame, similarity: float) -> DataFrame:
+    """All pairs (a, b) of unlike labels within groups that the sketches don't rule out. rest: (gid, chunk, node, label).
+
+    A chunk is compared with itself where it lies; of groups of several chunks, every two chunks meet in a task.
+    """
+    rows = rest.join(sketches, "node").select("gid", "chunk", "node", "label", "size", "sketch")
+
+    def side(pdf: pd.DataFrame) -> dict:
+        xs = [np.frombuffer(x, np.uint8) for x in pdf["sketch"]]
         cells = min(map(len, xs))
-        m = np.stack([folded(x, cells) for x in xs]).astype(np.int32)
-        return pd.DataFrame({"gid": pdf["gid"][:1].to_numpy(), "chunk": pdf["chunk"][:1].to_numpy(), "cells": [cells], "nodes": [pdf["node"].to_numpy(np.int64).tobytes()], "labels": [pdf["label"].to_numpy(np.int64).tobytes()], "sizes": [pdf["size"].to_numpy(np.int64).tobytes()], "counts": [m.tobytes()]})
+        return {c: pdf[c].to_numpy(np.int64) for c in ("node", "label", "size")} | {"counts": np.stack([folded(x.astype(np.int16), cells) for x in xs])}
 
-    packed = cut(rows.groupBy("gid", "chunk").applyInPandas(pack, "gid long, chunk long, cells long, nodes binary, labels binary, sizes binary, counts binary"))
-    other = packed.select(*(F.col(c).alias(c if c == "gid" else c + "_b") for c in packed.columns))
-    met = packed.join(other, "gid").filter(F.col("chunk") <= F.col("chunk_b"))
+    def within(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.concat([pd.DataFrame({"a": [], "b": []}, dtype="int64"), *_pairs_between(side(pdf), None, similarity)])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    out = rows.groupBy("gid", "chunk").applyInPandas(within, "a long, b long")
+    several = rest.groupBy("gid").agg((F.max("chunk") > F.min("chunk")).alias("several")).filter("several").select("gid")
+    if several.isEmpty():
+        return out
+
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"gid": pdf["gid"][:1].to_numpy(), "chunk": pdf["chunk"][:1].to_numpy(), "rows": [pickle.dumps(side(pdf))]})
+
+    packed = cut(rows.join(several, "gid").groupBy("gid", "chunk").applyInPandas(pack, "gid long, chunk long, rows binary"))
+    met = packed.join(packed.select("gid", F.col("chunk").alias("chunk_b"), F.col("rows").alias("rows_b")), "gid").filter("chunk < chunk_b").repartition("gid", "chunk", "chunk_b")
+
+    def between(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for r in pdf.itertuples():
-                cells = min(r.cells, r.cells_b)
-                x, y = (np.frombuffer(c, np.int32).reshape(-1, w // cells, cells).sum(1) for c, w in ((r.counts, r.cells), (r.counts_b, r.cells_b)))
-                (nx, lx, sx), (ny, ly, sy) = ([np.frombuffer(v, np.int64) for v in side] for side in ((r.nodes, r.labels, r.sizes), (r.nodes_b, r.labels_b, r.sizes_b)))
-                for i in range(len(nx)):
-                    far = np.abs(y - x[i]).sum(1)
-                    ok = (lx[i] != ly) & _near(sx[i], sy, far, similarity) & ((nx[i] < ny) if r.chunk == r.chunk_b else True)
-                    if ok.any():
-                        yield pd.DataFrame({"a": np.minimum(nx[i], ny[ok]), "b": np.maximum(nx[i], ny[ok])})
+            for x, y in zip(pdf["rows"], pdf["rows_b"], strict=True):
+                yield from _pairs_between(pickle.loads(x), pickle.loads(y), similarity)
+
+    return out.union(met.mapInPandas(between, "a long, b long"))
+
 
-    return met.mapInPandas(run, "a long, b long")
+def _only(df: DataFrame, ids: DataFrame, *on: str) -> DataFrame:
+    """df's rows whose key is among ids; ids are broadcast if there are at most BROADCAST_ROWS (16 bytes each)."""
+    return df.join(F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids, list(on), "left_semi")
 
 
 def similar(docs: DataFrame, n: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -317,7 +355,7 @@ def similar(docs: DataFrame, n: int = 5, similarity: float = 0.8, id_col: str =
     never a component's id unless all its ids are null.
     """
     spark = docs.sparkSession
-    given = docs.select(F.col(id_col).cast("long").alias("id"), F.encode(F.col(text_col), "UTF-8").alias("text"))
+    given = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("id"), F.encode(F.col(text_col), "UTF-8").alias("text"))
     members = cut(_members(given, n, similarity, False))
     nodes = cut(members.filter("node is not null").groupBy("node").agg(F.min("id").alias("label")))
     groups = cut(_grouped(_signed(given, n, similarity), partitions(spark) * 2))
@@ -325,9 +363,10 @@ def similar(docs: DataFrame, n: int = 5, similarity: float = 0.8, id_col: str =
     large = groups.filter("gid is not null").select("gid", "chunk", F.col("a").alias("node"))
 
     wanted = groups.select(F.explode(F.array("a", "b")).alias("node")).filter("node is not null").distinct()
-    chosen = members.join(wanted, "node").groupBy("node").agg(F.min("id").alias("id"))
-    rows = given.join(chosen.select("id"), "id", "left_semi")
-    facts = cut(_members(rows, n, similarity, True).join(wanted, "node", "left_semi").dropDuplicates(["node"]))
+    chosen = cut(members.join(wanted, "node").groupBy("node").agg(F.min("id").alias("id")))
+    facts = _members(_only(given, chosen.select("id"), "id"), n, similarity, True)
+    facts = stored(_only(facts, chosen, "node", "id"), "jaccard")
+    sketches = facts.select("node", "size", "sketch")
 
     links, tested = None, None
     for turn in range(_ROUNDS + 2):
@@ -347,11 +386,11 @@ def similar(docs: DataFrame, n: int = 5, similarity: float = 0.8, id_col: str =
             star = at.join(centre, "gid").filter("label <> c.label").select(F.least("node", F.col("c.node")).alias("a"), F.greatest("node", F.col("c.node")).alias("b"))
             todo = (star if turn else star.union(pairs)).distinct()
         else:
-            todo = _left_over(at, facts, similarity).distinct()
+            todo = _left_over(at, sketches, similarity).distinct()
         if tested is not None:
             todo = todo.join(tested, ["a", "b"], "left_anti")
         if turn <= _ROUNDS:
-            todo = _filtered(todo, facts, similarity)
+            todo = _filtered(todo, sketches, similarity)
         todo = cut(todo)
         new = cut(_verified(todo, facts, n, similarity))
         links = new if links is None else links.union(new)
@@ -359,7 +398,8 @@ def similar(docs: DataFrame, n: int = 5, similarity: float = 0.8, id_col: str =
     labels = components(nodes, links).withColumnRenamed("label", "component_id")
     base = nodes.join(labels, "node", "left").select(F.col("node").alias("_node"), F.coalesce("component_id", "label").alias("component_id"))
     out = members.join(base, F.col("node") == F.col("_node"), "left")
-    return out.select("id", "node", "size", F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
+    real = lambda c: F.when(c != _NO_ID, c)
+    return out.select(real(F.col("id")).alias("id"), "node", "size", real(F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id"))).alias("component_id"))
 
 
 def op8(spark, sf_dir: str) -> DataFrame:

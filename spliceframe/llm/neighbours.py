@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from spliceframe.llm.common import cut, table
+from spliceframe.llm.common import cut, partitions, table
 
 
 class SortedLines:
@@ -65,7 +65,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, lines: int = 128,
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"), F.coalesce(is_query, F.lit(False)).alias("q"))
     rows = cut(rows.filter(F.col("id").isNotNull() & usable(F.col("v"))).withColumn("dim", F.size("v")))
     n, n_q = rows.agg(F.count("*"), F.count_if("q")).first()
-    blocks, q_blocks = n // block + 1, n_q // query_block + 1
+    blocks, q_blocks = max(n // block + 1, min(partitions(vectors.sparkSession), n // 2000 + 1)), n_q // query_block + 1
     tiles = lambda c: F.explode(F.sequence(F.lit(0), F.lit(c - 1)))
     data = rows.select("id", "v", "dim", F.pmod(F.xxhash64("id", "v"), F.lit(blocks)).alias("b"), tiles(q_blocks).alias("qb"))
     queries = rows.filter("q").select("id", "v", "dim", F.pmod(F.xxhash64("id", "v", F.lit(1)), F.lit(q_blocks)).alias("qb"), tiles(blocks).alias("b"))
