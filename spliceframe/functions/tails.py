@@ -10,6 +10,7 @@ import math
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 _erfc = np.vectorize(math.erfc, otypes=[float])
 lgamma = np.vectorize(math.lgamma, otypes=[float])
@@ -113,21 +114,21 @@ def binom_two_sided(k: int, n: int, p: float = 0.5) -> float:
     return float(min(1.0, np.exp(logs[logs <= logs[k] + 1e-7]).sum()))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def norm_sf_udf(z: pd.Series) -> pd.Series:
     return pd.Series(norm_sf(z.astype(float)))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def t_sf_udf(t: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series(t_sf(t.astype(float), df.astype(float)))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def chi2_sf_udf(x: pd.Series, k: pd.Series) -> pd.Series:
     return pd.Series(chi2_sf(x.astype(float), k.astype(float)))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def binom_udf(k: pd.Series, n: pd.Series) -> pd.Series:
     return pd.Series([binom_two_sided(int(a), int(b)) for a, b in zip(k, n, strict=True)], dtype=float)
