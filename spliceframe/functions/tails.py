@@ -23,10 +23,10 @@ def norm_sf(z):
 
 
 def digamma(x):
-    """The derivative of lgamma for x > 0: recurrence up to 6, then the asymptotic series."""
+    """The derivative of lgamma for x > 0: recurrence up to 10, then the asymptotic series."""
     x = np.array(x, float)
     out = np.zeros_like(x)
-    while np.any(small := x < 6):
+    while np.any(small := x < 10):
         out[small] -= 1 / x[small]
         x[small] += 1
     r = 1 / (x * x)

@@ -1,0 +1,159 @@
+"""Hand-computed values and invariants."""
+
+import math
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from spliceframe.functions import tails
+from spliceframe.operators import effects, models, tables, usage
+from spliceframe.sources import files
+
+
+def counts(spark):
+    return spark.createDataFrame([(1, 10, 3), (1, 11, 1), (1, 20, 5), (2, 10, 2), (2, 21, 2), (2, 20, 2)], "cell_id long, feature_id long, count long")
+
+
+def genes(spark):
+    return spark.createDataFrame([(10, "a"), (11, "a"), (20, "b"), (21, "b")], "feature_id long, gene string")
+
+
+def test_fractions_sum_to_one(spark):
+    x = usage.isoform_fractions(counts(spark), genes(spark))
+    assert {(r.cell_id, r.feature_id): r.fraction for r in x.collect()} == {(1, 10): 0.75, (1, 11): 0.25, (1, 20): 1.0, (2, 10): 1.0, (2, 21): 0.5, (2, 20): 0.5}
+    assert all(abs(r.s - 1) < 1e-12 for r in x.groupBy("cell_id", "gene").agg(F.sum("fraction").alias("s")).collect())
+
+
+def test_entropies(spark):
+    p = spark.createDataFrame([("x", "g", i, 0.25, 4) for i in range(4)], "class string, gene string, feature_id long, usage double, n_expr long")
+    assert usage.shannon(p, ["class"]).first().h == 2
+    for alpha in (2.0, 1.0, 0.5, math.inf):
+        assert usage.renyi(p, ["class"], alpha).first().h == pytest.approx(2)
+    one = usage.tau(spark.createDataFrame([("g", 1.0), ("g", 0.0), ("g", 0.0)], "gene string, usage double"), ["gene"]).first()
+    assert one.tau == 1
+
+
+def test_identity_closes(spark):
+    x = usage.identity_parts(usage.cell_gene_entropy(usage.isoform_fractions(counts(spark), genes(spark))))
+    for r in x.filter("m is not null").collect():
+        assert abs(r.d * r.m - r.h_unc) < 1e-9
+
+
+def test_benjamini_hochberg(spark):
+    df = spark.createDataFrame([(0.01,), (0.04,), (0.03,), (None,)], "p double")
+    one = {r.p: r.padj for r in tables.adjusted(df, "p").collect()}
+    assert one[0.01] == pytest.approx(0.04) and one[0.04] == pytest.approx(0.04 * 4 / 3) and one[None] == 1
+    keep = {r.p: r.padj for r in tables.adjusted(df, "p", nulls="keep").collect()}
+    assert keep[0.01] == pytest.approx(0.03) and keep[0.03] == pytest.approx(0.04) and keep[None] is None
+
+
+def test_tails():
+    assert tails.chi2_sf(3.0, 2) == pytest.approx(math.exp(-1.5), rel=1e-12)
+    assert tails.t_sf(1.0, 1) == pytest.approx(0.25, rel=1e-12)
+    assert tails.norm_sf(1.959963984540054) == pytest.approx(0.025, rel=1e-9)
+    assert tails.digamma(np.array([1.0]))[0] == pytest.approx(-0.5772156649015329, abs=1e-12)
+    assert tails.binom_two_sided(0, 5) == pytest.approx(2 / 32)
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.floats(0.1, 30), st.integers(1, 60))
+def test_t_tail_is_symmetric(t, df):
+    assert float(tails.t_sf(t, df)) + float(tails.t_sf(-t, df)) == pytest.approx(1)
+
+
+def test_cliff_is_antisymmetric(spark):
+    df = spark.createDataFrame([(1.0, True), (2.0, True), (2.0, False), (3.0, False), (0.5, False)], "v double, arm boolean")
+    a = effects.mann_whitney(df, "v", "arm").first()
+    b = effects.mann_whitney(df.withColumn("arm", ~F.col("arm")), "v", "arm").first()
+    assert a.cliff == pytest.approx(-b.cliff) and a.u + b.u == a.n1 * a.n0
+
+
+def test_implicit_zeros_equal_explicit(spark):
+    rows = [("g", float(v), a) for v, a in ((1, True), (2, True), (3, False), (1, False))]
+    sizes = spark.createDataFrame([(4, 5)], "n1 long, n0 long")
+    full = rows + [("g", 0.0, True)] * 2 + [("g", 0.0, False)] * 3
+    schema = "gene string, v double, arm boolean"
+    a = effects.mann_whitney(spark.createDataFrame(rows, schema), "v", "arm", "gene", sizes=sizes).first()
+    b = effects.mann_whitney(spark.createDataFrame(full, schema), "v", "arm", "gene").first()
+    assert (a.u, a.cliff) == pytest.approx((b.u, b.cliff)) and a.z == pytest.approx(b.z)
+
+
+def test_dm_fit_is_a_maximum():
+    rng = np.random.default_rng(0)
+    x = np.array([rng.multinomial(30, rng.dirichlet([2, 5, 1])) for _ in range(400)])
+    alpha, value = models.dm_fit(x)
+    assert alpha == pytest.approx([2, 5, 1], rel=0.25)
+    for i in range(3):
+        for d in (-0.05, 0.05):
+            theta = np.log(alpha)
+            theta[i] += d
+            assert models.dm_loglik(theta, x)[0] <= value + 1e-6
+    _, slope = models.dm_loglik(np.log(alpha), x)
+    assert np.abs(slope).max() < 0.05 * len(x)
+    assert models.dm_test(x[:200], x[200:])[1] > 1e-4
+
+
+def test_skipping_equals_triple_join(spark):
+    rng = np.random.default_rng(1)
+    rows = {("g", "t", int(a), int(a + b)) for a, b in zip(rng.integers(0, 15, 60), rng.integers(1, 9, 60), strict=True)}
+    j = spark.createDataFrame(sorted(rows), "gene string, tissue string, start long, end long")
+    got = {(r.start, r.end) for r in tables.skipping(j).collect()}
+    want = {(s, e) for *_, s, e in rows if any(a[2] == s and a[3] < e and b[3] == e and b[2] > s and a[3] < b[2] for a in rows for b in rows)}
+    assert got == want
+    skips = tables.skipping(j)
+    left = {(r.start, r.end) for r in tables.cassettes(skips, j).collect()}
+    naive = {(r.start, r.end) for r in skips.collect() if not any(a >= r.near_end and b <= r.far_start for *_, a, b in rows)}
+    assert left == naive
+
+
+def test_lpt():
+    assert tables.lpt_shards([("a", 5), ("b", 4), ("c", 3), ("d", 3)], 2) == [("a", 0), ("b", 1), ("d", 1), ("c", 0)]
+    with pytest.raises(ValueError):
+        tables.lpt_shards([("a", 1)], 2)
+
+
+def test_mtx_and_bundle(spark, tmp_path):
+    (tmp_path / "matrix.mtx").write_text("%%MatrixMarket\n% c\n2 2 3\n1 1 4\n2 1 1\n2 2 7\n")
+    (tmp_path / "features.tsv").write_text("F1\tx\nF2\ty\n")
+    (tmp_path / "barcodes.tsv").write_text("AA\nCC\n")
+    x = files.read_mtx(spark, str(tmp_path))
+    assert {tuple(r) for r in x.collect()} == {("AA", "F1", 4), ("AA", "F2", 1), ("CC", "F2", 7)}
+    b = files.Bundle(x, spark.createDataFrame([("AA",)], "cell_id string"), spark.createDataFrame([("F1",)], "feature_id string"))
+    b.write(str(tmp_path / "b"))
+    assert files.Bundle.read(spark, str(tmp_path / "b")).counts.count() == 3
+    files.write_new(x.limit(1), str(tmp_path / "b" / "counts"))
+    assert spark.read.parquet(str(tmp_path / "b" / "counts")).count() == 3
+    assert files.kept(x, str(tmp_path / "k")).count() == 3 and files.kept(x.limit(0), str(tmp_path / "k")).count() == 3
+
+
+def test_tables_by_name(spark, tmp_path):
+    for s in ("liver", "lung"):
+        (tmp_path / f"{s}.tsv").write_text("id\tx\n1\tNA\n2\t3\n")
+    x = files.read_tagged(spark, str(tmp_path / "*.tsv"), ["id", "x"], r"([a-z]+)\.tsv")
+    assert {(r.sample, r.id, r.x) for r in x.collect()} == {(s, i, v) for s in ("liver", "lung") for i, v in (("1", None), ("2", "3"))}
+    with pytest.raises(ValueError, match="no columns"):
+        files.read_strings(spark, str(tmp_path / "lung.tsv"), ["nope"])
+    with pytest.raises(ValueError, match="repeats"):
+        files.sample_sheet(x, "id")
+
+
+def test_streams(spark, tmp_path):
+    from spliceframe.streaming.reads import molecules, running_counts
+
+    rows = [(f"2024-01-01 00:0{i}:00", "c1", u) for i, u in enumerate(["a", "a", "b", "-"])]
+    spark.createDataFrame(rows, "ts string, cb string, umi string").withColumn("ts", F.to_timestamp("ts")).coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("ts timestamp, cb string, umi string").parquet(str(tmp_path / "in"))
+    for f, mode, n in ((molecules, "append", 2), (running_counts, "complete", 1)):
+        q = f(stream).writeStream.outputMode(mode).format("memory").queryName(f.__name__).start()
+        q.processAllAvailable()
+        q.stop()
+        assert spark.table(f.__name__).count() == n
+
+
+def test_thinning_reaches_target(spark):
+    x = spark.range(200).select(F.lit(1).alias("cell_id"), F.col("id").alias("feature_id"), F.lit(100).cast("long").alias("count"))
+    total = models.thinned(x, 5000).agg(F.sum("count")).first()[0]
+    assert abs(total - 5000) < 400
