@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from spliceframe.llm import decontam, html_text, jaccard, line_dedup, mixing, neighbours, pii, secrets, toxicity
+from spliceframe.llm import decontam, html_text, jaccard, licenses, line_dedup, mixing, neighbours, pii, secrets, toxicity
 
 QUERIES = {
     "op1_neighbours": neighbours.op1,
     "op2_html_text": html_text.op2,
     "op3_decontaminate": decontam.op3,
+    "op4_licenses": licenses.op4,
     "op5_toxicity": toxicity.op5,
     "op6_source_mix": mixing.op6,
     "op7_pii": pii.op7,
@@ -17,6 +18,7 @@ QUERIES = {
 }
 ORACLE_SQL = {
     "op3_decontaminate": decontam.OP3_SQL,
+    "op4_licenses": licenses.OP4_SQL,
     "op6_source_mix": mixing.OP6_SQL,
     "op7_pii": pii.OP7_SQL,
     "op9_secrets": secrets.OP9_SQL,

@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from spliceframe.llm import common, decontam, html_text, jaccard, line_dedup, mixing, neighbours, pii, secrets, toxicity
+from spliceframe.llm import common, decontam, html_text, jaccard, licenses, line_dedup, mixing, neighbours, pii, secrets, toxicity
 from spliceframe.llm.registry import ORACLE_SQL, QUERIES
 
 DIR = "/root/testdata/sf0.001"
@@ -388,3 +388,14 @@ def test_perfect_hash_is_minimal(keys):
     k = np.array(sorted(keys), np.uint64)
     slots = line_dedup.PerfectHash.build(k).slots(k)
     assert sorted(slots) == list(range(len(k)))
+
+
+# ---- 4
+
+
+def test_licenses(spark, odd, none):
+    mit = dict((t[:11], t) for _, t in licenses.KNOWN)["MIT License"]
+    rows = [(1, "Copyright (c) 2020 A. B.\n" + mit.upper()), (2, "text\n  RELEASED under the MIT-Licence!\nmore"), (3, "Released under the MIT License, or so."), (4, None), (5, mit.replace("MIT License\n", "MIT License\n\n(c) 1999 X\n")), (6, "Released under the MIT License."), (6, "other")]
+    out = sorted((r.doc_id, ",".join(r.licenses), ",".join(r.whole)) for r in licenses.find_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert out == [(1, "MIT", "MIT"), (2, "MIT", ""), (3, "", ""), (4, "", ""), (5, "MIT", "MIT"), (6, "", ""), (6, "MIT", "MIT")]
+    assert licenses.find_licenses(odd.withColumn("whole", F.lit(1))).count() == len(ODD) and licenses.find_licenses(none).count() == 0
