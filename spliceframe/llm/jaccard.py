@@ -17,32 +17,34 @@ from __future__ import annotations
 
 import math
 import pickle
-from array import array
 from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from spliceframe.llm.common import cut, partitions, stored, table
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)  # splitmix64
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
-_SMALL, _CHUNK, _ROUNDS = 6, 2048, 3
+_SMALL, _CHUNK, _ROUNDS = 6, 2048, 2
 BROADCAST_ROWS = 1_000_000
 _NO_ID = 2**63 - 1  # stands for null
 
+_SPACE = np.zeros(256, bool)
+_SPACE[list(b" \t\n\x0b\x0c\r")] = True
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * _M1
+    x = (x ^ (x >> np.uint64(27))) * _M2
+    return x ^ (x >> np.uint64(31))
 
 
-_word_hashes = _Hashes()
+_BYTES = _mix(np.arange(1, 257, dtype=np.uint64) * _FACTORS[0])
 
 
 @cache
@@ -50,28 +52,32 @@ def _place(j: int) -> np.ndarray:
     return _mix(_FACTORS[:1] + np.uint64(j)) | np.uint64(1)
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * _M1
-    x = (x ^ (x >> np.uint64(27))) * _M2
-    return x ^ (x >> np.uint64(31))
+def _word_hashes(text: bytes) -> np.ndarray:
+    """A hash for each word: the sum of mixed (byte, place in the word), mixed again with the length."""
+    b = np.frombuffer(text, np.uint8)
+    word = ~_SPACE[b]
+    edges = np.flatnonzero(np.diff(word, prepend=False, append=False))
+    starts, ends = edges[::2], edges[1::2]
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    lengths = ends - starts
+    at = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    x = (_BYTES[b[word]] + at.astype(np.uint64) * _FACTORS[1]) * _M1
+    x = (x ^ (x >> np.uint64(32))) * _M2
+    x ^= x >> np.uint64(29)
+    return _mix(np.add.reduceat(x, np.cumsum(lengths) - lengths) + lengths.astype(np.uint64))
 
 
 def shingles(text: bytes | None, n: int = 5) -> np.ndarray:
-    """The sorted hashes of a text's distinct word n-grams; of all its words, if fewer; none without words.
-
-    bytes.lower and bytes.split know A-Z and U+0020, U+0009 to U+000D only.
-    """
-    words = (text or b"").lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    if len(_word_hashes) > 500_000:
-        _word_hashes.clear()
-    h = np.frombuffer(array("Q", map(_word_hashes.__getitem__, words)), np.uint64)
+    """The hashes of a text's distinct word n-grams; of all its words, if fewer; none without words. bytes.lower knows A-Z only."""
+    h = _word_hashes((text or b"").lower())
+    if not len(h):
+        return h
     width = min(n, len(h))
     total = np.full(len(h) - width + 1, width, np.uint64)
     for j in range(width):  # other factors for other places: order tells
         total += h[j : len(h) - width + 1 + j] * _place(j)
-    return np.unique(_mix(total))
+    return pd.unique(_mix(total))
 
 
 def node_of(s: np.ndarray) -> int:
@@ -115,10 +121,10 @@ class Bands:
             for again in range(times):
                 seed = np.uint64((band * 16 + again + 1) * int(_FACTORS[1]) % 2**64)
                 mixed = _mix(s ^ seed)
-                at = (mixed >> np.uint64(20)) % np.uint64(parts)
+                at = ((mixed >> np.uint64(20)) % np.uint64(parts)).astype(np.int64)
                 sums = np.zeros(parts, np.uint64)
-                np.add.at(sums, at.astype(np.int64), _mix(mixed))
-                held = np.flatnonzero(np.bincount(at.astype(np.int64), minlength=parts))
+                np.add.at(sums, at, mixed)
+                held = np.flatnonzero(np.bincount(at, minlength=parts))
                 out.append(_mix(sums[held] + (held.astype(np.uint64) + np.uint64(1)) * _FACTORS[2:3] + seed))
         return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
@@ -128,16 +134,28 @@ def bands(similarity: float) -> Bands:
     return Bands(similarity)
 
 
-def sketch(s: np.ndarray) -> np.ndarray:
-    """Counts of shingles by cell; more cells for larger sets, always a power of 2."""
+def sketch(s: np.ndarray) -> bytes:
+    """Counts of shingles by cell, up to 3, four to a byte; a cell or more for each shingle, always a power of 2."""
     cells = 64
-    while cells < 0.08 * len(s):
+    while cells < len(s):
         cells *= 2
-    return np.minimum(np.bincount((_mix(s ^ _FACTORS[3]) & np.uint64(cells - 1)).astype(np.int64), minlength=cells), 255).astype(np.uint8)
+    x = np.minimum(np.bincount((_mix(s ^ _FACTORS[3]) & np.uint64(cells - 1)).astype(np.int64), minlength=cells), 3).astype(np.uint8).reshape(4, -1)
+    return (x[0] | x[1] << 2 | x[2] << 4 | x[3] << 6).tobytes()
+
+
+def counts_of(sketches: list[bytes]) -> np.ndarray:
+    """Sketches as rows of counts, all folded to the cells of the smallest: folding, like the limit 3, only brings sets closer."""
+    sizes = set(map(len, sketches))
+    cells = 4 * min(sizes)
+    if len(sizes) == 1:
+        x = np.frombuffer(b"".join(sketches), np.uint8).reshape(-1, cells // 4)
+        return np.concatenate([x >> k & 3 for k in (0, 2, 4, 6)], axis=1)
+    return np.concatenate([folded(counts_of([x]), cells) for x in sketches])
 
 
 def folded(x: np.ndarray, cells: int) -> np.ndarray:
-    return x.reshape(-1, cells).sum(0)
+    """Rows of counts in fewer cells, up to 127."""
+    return x if x.shape[1] == cells else x.reshape(len(x), -1, cells).sum(1, dtype=np.int32).clip(0, 127).astype(np.uint8)
 
 
 def _near(sizes_a, sizes_b, distance, similarity: float):
@@ -145,32 +163,34 @@ def _near(sizes_a, sizes_b, distance, similarity: float):
     return distance * (1 + similarity) <= (1 - similarity) * (sizes_a + sizes_b) + 1e-6
 
 
-def _members(docs: DataFrame, n: int, similarity: float, texts: bool) -> DataFrame:
-    """(node, size, sketch, text) of documents (id, text); null node without words."""
+def _facts(docs: DataFrame, n: int) -> DataFrame:
+    """(id, node, size, sketch, text) of documents (id, text) with words."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             sets = [shingles(t, n) for t in pdf["text"]]
-            out = pd.DataFrame({"id": pdf["id"], "node": pd.array([node_of(s) if len(s) else None for s in sets], "Int64"), "size": [len(s) for s in sets]})
-            if texts:
-                out["sketch"] = [sketch(s).tobytes() for s in sets]
-                out["text"] = pdf["text"]
-            yield out
+            out = pd.DataFrame({"id": pdf["id"], "node": [node_of(s) for s in sets], "size": [len(s) for s in sets], "sketch": [sketch(s) for s in sets], "text": pdf["text"]})
+            yield out[out["size"] > 0]
 
-    return docs.mapInPandas(run, "id long, node long, size long" + (", sketch binary, text binary" if texts else ""))
+    return docs.mapInPandas(run, "id long, node long, size long, sketch binary, text binary")
 
 
 def _signed(docs: DataFrame, n: int, similarity: float) -> DataFrame:
-    """(sig, node) for every set; a task drops what it has just sent for an equal set."""
+    """(sig, node, size): a row for each signature of a set (size -1), and (id, node, size) for each document.
+
+    A task drops the signatures of a set equal to one it has just signed.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()
         for pdf in batches:
             for at in range(0, len(pdf), 500):
-                sigs, nodes = [], []
+                ids, sizes, own, sigs, nodes = pdf["id"].to_numpy()[at : at + 500], [], [], [], []
                 for t in pdf["text"].iloc[at : at + 500]:
                     s = shingles(t, n)
                     node = node_of(s) if len(s) else 0
+                    sizes.append(len(s))
+                    own.append(node)
                     if len(s) and node not in seen:
                         if len(seen) > 500_000:
                             seen.clear()
@@ -178,32 +198,39 @@ def _signed(docs: DataFrame, n: int, similarity: float) -> DataFrame:
                         x = bands(similarity).signatures(s)
                         sigs.append(x)
                         nodes.append(np.full(len(x), node, np.int64))
-                if sigs:
-                    yield pd.DataFrame({"sig": np.concatenate(sigs).view(np.int64), "node": np.concatenate(nodes)})
+                sig = np.concatenate([np.zeros(0, np.uint64), *sigs]).view(np.int64)
+                size = np.r_[np.full(len(sig), -1), np.array(sizes)].astype(np.int32)
+                yield pd.DataFrame({"sig": np.r_[sig, ids], "node": np.concatenate([np.zeros(0, np.int64), *nodes, np.array(own, np.int64)]), "size": size})
 
-    return docs.select("text").mapInPandas(run, "sig long, node long")
+    return docs.mapInPandas(run, "sig long, node long, size int")
 
 
 def _grouped(signed: DataFrame, parts: int) -> DataFrame:
-    """(gid, chunk, a, b): pairs of small groups (gid null), and the nodes of large ones (b null), in chunks."""
+    """(size, gid, chunk, a, b): documents as (size, id in a, node in b), and with size -1 pairs of small groups (gid null)
+    and the nodes of large ones (b null), in chunks."""
+    kinds = {"size": "int32", "chunk": "int64", "a": "int64"}
+
+    def rows(size, gid, chunk, a, b) -> pd.DataFrame:
+        n = len(a)
+        full = lambda v: pd.array(np.full(n, v) if v is not None and np.ndim(v) == 0 else ([pd.NA] * n if v is None else v), "Int64")
+        return pd.DataFrame({"size": size, "gid": full(gid), "chunk": chunk, "a": a, "b": full(b)}).astype(kinds)
 
     def groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sig, node, chunk, seen = np.zeros(0, np.int64), np.zeros(0, np.int64), 0, set()
 
-        def large(gid: int, nodes: np.ndarray, chunk: int) -> pd.DataFrame:
-            return pd.DataFrame({"gid": pd.array(np.full(len(nodes), gid), "Int64"), "chunk": chunk, "a": nodes, "b": pd.array([pd.NA] * len(nodes), "Int64")})
-
         def done(sig: np.ndarray, node: np.ndarray) -> Iterator[pd.DataFrame]:
             starts = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]]) if len(sig) else np.zeros(0, int)
             sizes = np.diff(np.r_[starts, len(sig)])
-            pairs = []
+            pairs = [np.zeros((0, 2), np.int64)]
             for g in range(2, _SMALL + 1):
                 at = starts[sizes == g]
-                rows = node[at[:, None] + np.arange(g)]
-                pairs += [rows[:, [i, j]] for i in range(g) for j in range(i + 1, g)]
-            pairs = np.unique(np.concatenate(pairs), axis=0) if pairs and sum(map(len, pairs)) else np.zeros((0, 2), np.int64)
+                of = node[at[:, None] + np.arange(g)]
+                pairs += [of[:, [i, j]] for i in range(g) for j in range(i + 1, g)]
+            pairs = np.concatenate(pairs)
             if len(pairs):
-                yield pd.DataFrame({"gid": pd.array([pd.NA] * len(pairs), "Int64"), "chunk": 0, "a": pairs[:, 0], "b": pd.array(pairs[:, 1], "Int64")})
+                pairs = pd.DataFrame(pairs).drop_duplicates().to_numpy()
+                yield rows(-1, None, 0, pairs[:, 0], pairs[:, 1])
+            big, ids = [], []
             for at, g in zip(starts[sizes > _SMALL], sizes[sizes > _SMALL], strict=True):
                 nodes = node[at : at + g]
                 key = hash(nodes.tobytes())
@@ -211,48 +238,58 @@ def _grouped(signed: DataFrame, parts: int) -> DataFrame:
                     if len(seen) > 200_000:
                         seen.clear()
                     seen.add(key)
-                    yield large(int(sig[at]), nodes, 0)
+                    big.append(nodes)
+                    ids.append(np.full(g, sig[at]))
+            if big:
+                yield rows(-1, np.concatenate(ids), 0, np.concatenate(big), None)
 
         for pdf in batches:
-            sig, node = np.r_[sig, pdf["sig"].to_numpy()], np.r_[node, pdf["node"].to_numpy()]
+            doc = pdf["size"].to_numpy() >= 0
+            if doc.any():
+                yield rows(pdf["size"].to_numpy()[doc], None, 0, pdf["sig"].to_numpy()[doc], pdf["node"].to_numpy()[doc])
+            sig, node = np.r_[sig, pdf["sig"].to_numpy()[~doc]], np.r_[node, pdf["node"].to_numpy()[~doc]]
+            if not len(sig):
+                continue
             new = np.r_[True, (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])]
             sig, node = sig[new], node[new]
-            last = int(np.searchsorted(sig, sig[-1])) if len(sig) else 0
-            if chunk and last:  # the run whose chunks have gone out has ended within this batch
+            last = int(np.searchsorted(sig, sig[-1]))
+            if chunk and last:  # the run whose chunks have gone out ends within this batch
                 first = int(np.searchsorted(sig, sig[0], "right"))
-                yield large(int(sig[0]), node[:first], chunk)
+                yield rows(-1, int(sig[0]), chunk, node[:first], None)
                 sig, node, last, chunk = sig[first:], node[first:], last - first, 0
             if last:
                 yield from done(sig[:last], node[:last])
                 sig, node = sig[last:], node[last:]
             while len(node) > 2 * _CHUNK:
-                yield large(int(sig[0]), node[:_CHUNK], chunk)
+                yield rows(-1, int(sig[0]), chunk, node[:_CHUNK], None)
                 sig, node, chunk = sig[_CHUNK:], node[_CHUNK:], chunk + 1
         if chunk:
-            yield large(int(sig[0]), node, chunk)
+            yield rows(-1, int(sig[0]), chunk, node, None)
         else:
             yield from done(sig, node)
 
     dealt = signed.repartition(parts, "sig").sortWithinPartitions("sig", "node")
-    return dealt.mapInPandas(groups, "gid long, chunk long, a long, b long")
+    return dealt.mapInPandas(groups, "size int, gid long, chunk long, a long, b long")
 
 
-def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(node, label): the least label of every connected component. nodes: (node, label); edges: (a, b).
+def components(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
+    """(node, label): labels (the components so far, or None) with edges (a, b) added; a label is a node of its component.
 
-    Rounds of taking the least label among neighbours and then that label's own label, until nothing changes.
+    Rounds: a node takes the least label among its own and its neighbours', and all nodes of one label the least that any
+    of them has taken, until nothing changes.
     """
-    both = cut(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = cut(nodes.join(both.select(F.col("a").alias("node")).distinct(), "node", "left_semi").select("node", "label"))
+    both = cut(edges.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e")).select("e.*").distinct())
+    ends = both.select(F.col("a").alias("node"), F.col("a").alias("label"))
+    now = ends if labels is None else labels.union(ends)
+    now = cut(now.groupBy("node").agg(F.min("label").alias("label"))) if labels is None else cut(labels.union(ends.join(labels, "node", "left_anti").distinct()))
     while True:
-        near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        stepped = labels.join(near, "node").select("node", "label", F.least("label", "near").alias("next"))
-        # nodes that held one label move together: to the least that any of them has seen
-        moved = stepped.groupBy("label").agg(F.min("next").alias("to"))
-        stepped = cut(stepped.join(moved, "label").select("node", F.col("label").alias("was"), F.least("next", "to").alias("label")))
-        if stepped.filter("was <> label").isEmpty():
-            return stepped.select("node", "label")
-        labels = stepped.select("node", "label")
+        near = both.join(now.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
+        stepped = now.join(near, "node", "left").select("node", "label", F.least("label", F.coalesce("near", "label")).alias("next"))
+        moved = stepped.groupBy("label").agg(F.min("next").alias("to")).filter("to < label")
+        moved = cut(moved)
+        if moved.isEmpty():
+            return now
+        now = cut(now.join(moved, "label", "left").select("node", F.coalesce("to", "label").alias("label")))
 
 
 def _filtered(pairs: DataFrame, facts: DataFrame, similarity: float) -> DataFrame:
@@ -265,9 +302,8 @@ def _filtered(pairs: DataFrame, facts: DataFrame, similarity: float) -> DataFram
             keep = np.zeros(len(pdf), bool)
             sizes = pdf[["size_a", "size_b"]].to_numpy()
             for i, (x, y) in enumerate(zip(pdf["sketch_a"], pdf["sketch_b"], strict=True)):
-                x, y = np.frombuffer(x, np.uint8).astype(np.int64), np.frombuffer(y, np.uint8).astype(np.int64)
-                cells = min(len(x), len(y))
-                keep[i] = _near(*sizes[i], np.abs(folded(x, cells) - folded(y, cells)).sum(), similarity)
+                x, y = counts_of([x, y]).view(np.int8)
+                keep[i] = _near(*sizes[i], np.abs(x - y).sum(dtype=np.int64), similarity)
             yield pdf.loc[keep, ["a", "b"]]
 
     return joined.select("a", "b", "size_a", "size_b", "sketch_a", "sketch_b").mapInPandas(run, "a long, b long")
@@ -280,10 +316,16 @@ def _verified(pairs: DataFrame, facts: DataFrame, n: int, similarity: float) ->
     joined = pairs.join(facts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(facts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sets: dict[int, np.ndarray] = {}
         for pdf in batches:
             keep = np.zeros(len(pdf), bool)
-            for i, (x, y) in enumerate(zip(pdf["text_a"], pdf["text_b"], strict=True)):
-                x, y = shingles(x, n), shingles(y, n)
+            for i, (a, b, x, y) in enumerate(zip(pdf["a"], pdf["b"], pdf["text_a"], pdf["text_b"], strict=True)):
+                for key, text in ((a, x), (b, y)):
+                    if key not in sets:
+                        if len(sets) >= 64:
+                            sets.clear()
+                        sets[key] = shingles(text, n)
+                x, y = sets.get(a) if a in sets else shingles(x, n), sets[b]
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep[i] = 100 * both >= per_cent * (len(x) + len(y) - both)
             yield pdf.loc[keep, ["a", "b"]]
@@ -295,12 +337,12 @@ def _pairs_between(x: dict, y: dict | None, similarity: float) -> Iterator[pd.Da
     """Pairs (a, b) of unlike labels that the sketches don't rule out, between two chunks or within one (y: None)."""
     z = y or x
     cells = min(x["counts"].shape[1], z["counts"].shape[1])
-    cx, cz = (np.asarray(v["counts"], np.int32).reshape(len(v["counts"]), -1, cells).sum(1).astype(np.int16) for v in (x, z))
+    cx, cz = (folded(v["counts"], cells).view(np.int8) for v in (x, z))
     for i in range(len(cx)):
         at = slice(i + 1 if y is None else 0, None)
         maybe = np.flatnonzero((x["label"][i] != z["label"][at]) & (np.minimum(x["size"][i], z["size"][at]) >= np.maximum(x["size"][i], z["size"][at]) * (similarity - 1e-9)))
         if len(maybe):
-            far = np.abs(cz[at][maybe] - cx[i]).sum(1)
+            far = np.abs(cz[at][maybe] - cx[i]).sum(1, dtype=np.int64)
             ok = maybe[_near(x["size"][i], z["size"][at][maybe], far, similarity)]
             if len(ok):
                 other = z["node"][at][ok]
@@ -314,23 +356,45 @@ def _left_over(rest: DataFrame, sketches: DataFrame, similarity: float) -> DataF
     """
     rows = rest.join(sketches, "node").select("gid", "chunk", "node", "label", "size", "sketch")
 
-    def side(pdf: pd.DataFrame) -> dict:
-        xs = [np.frombuffer(x, np.uint8) for x in pdf["sketch"]]
-        cells = min(map(len, xs))
-        return {c: pdf[c].to_numpy(np.int64) for c in ("node", "label", "size")} | {"counts": np.stack([folded(x.astype(np.int16), cells) for x in xs])}
+    def side(gid: int, chunk: int, node, label, size, sketches) -> dict:
+        return {"node": node, "label": label, "size": size, "counts": counts_of(list(sketches))}
 
-    def within(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.concat([pd.DataFrame({"a": [], "b": []}, dtype="int64"), *_pairs_between(side(pdf), None, similarity)])
-
-    out = rows.groupBy("gid", "chunk").applyInPandas(within, "a long, b long")
+    def chunks(batches: Iterator[pd.DataFrame]) -> Iterator[dict]:
+        """The chunks in a partition sorted by (gid, chunk), one at a time."""
+        rest = None
+        for pdf in batches:
+            pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
+            key = pdf[["gid", "chunk"]].to_numpy()
+            starts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(1)])
+            cols, sketches = [pdf[c].to_numpy(np.int64) for c in ("node", "label", "size")], pdf["sketch"].to_numpy()
+            for lo, hi in zip(starts[:-1], starts[1:], strict=True):
+                yield side(*key[lo], *(c[lo:hi] for c in cols), sketches[lo:hi]) | {"gid": key[lo, 0], "chunk": key[lo, 1]}
+            rest = pdf.iloc[starts[-1] :]
+        if rest is not None:
+            yield side(0, 0, *(rest[c].to_numpy(np.int64) for c in ("node", "label", "size")), rest["sketch"].to_numpy()) | {"gid": rest["gid"].iat[0], "chunk": rest["chunk"].iat[0]}
+
+    def within(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sent: set[tuple[int, int]] = set()
+        for x in chunks(batches):
+            for pairs in _pairs_between(x, None, similarity):
+                new = [p for p in zip(pairs["a"].tolist(), pairs["b"].tolist(), strict=True) if p not in sent]
+                if new:  # a task sends a pair once, as far as it remembers
+                    if len(sent) > 1_000_000:
+                        sent.clear()
+                    sent.update(new)
+                    yield pd.DataFrame(new, columns=["a", "b"])
+
+    dealt = rows.repartition(partitions(rest.sparkSession), "gid", "chunk").sortWithinPartitions("gid", "chunk")
+    out = dealt.mapInPandas(within, "a long, b long")
     several = rest.groupBy("gid").agg((F.max("chunk") > F.min("chunk")).alias("several")).filter("several").select("gid")
     if several.isEmpty():
         return out
 
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"gid": pdf["gid"][:1].to_numpy(), "chunk": pdf["chunk"][:1].to_numpy(), "rows": [pickle.dumps(side(pdf))]})
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for x in chunks(batches):
+            yield pd.DataFrame({"gid": [x["gid"]], "chunk": [x["chunk"]], "rows": [pickle.dumps(x)]})
 
-    packed = cut(rows.join(several, "gid").groupBy("gid", "chunk").applyInPandas(pack, "gid long, chunk long, rows binary"))
+    packed = cut(dealt.join(several, "gid", "left_semi").repartition(partitions(rest.sparkSession), "gid", "chunk").sortWithinPartitions("gid", "chunk").mapInPandas(pack, "gid long, chunk long, rows binary"))
     met = packed.join(packed.select("gid", F.col("chunk").alias("chunk_b"), F.col("rows").alias("rows_b")), "gid").filter("chunk < chunk_b").repartition("gid", "chunk", "chunk_b")
 
     def between(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -356,33 +420,32 @@ def similar(docs: DataFrame, n: int = 5, similarity: float = 0.8, id_col: str =
     """
     spark = docs.sparkSession
     given = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("id"), F.encode(F.col(text_col), "UTF-8").alias("text"))
-    members = cut(_members(given, n, similarity, False))
-    nodes = cut(members.filter("node is not null").groupBy("node").agg(F.min("id").alias("label")))
     groups = cut(_grouped(_signed(given, n, similarity), partitions(spark) * 2))
-    pairs = groups.filter("gid is null").select("a", "b").distinct()
-    large = groups.filter("gid is not null").select("gid", "chunk", F.col("a").alias("node"))
+    members = groups.filter("size >= 0").select(F.col("a").alias("id"), F.when(F.col("size") > 0, F.col("b")).alias("node"), F.col("size").cast("long"))
+    pairs = groups.filter("size < 0 and gid is null").select("a", "b").distinct()
+    # a set with few changes of its own agrees with many others on many parts: the first centres are those in most groups
+    large = groups.filter("gid is not null").select("gid", "chunk", F.col("a").alias("node"), F.count("*").over(W.partitionBy("a")).alias("weight"))
 
-    wanted = groups.select(F.explode(F.array("a", "b")).alias("node")).filter("node is not null").distinct()
+    wanted = cut(groups.filter("size < 0").select(F.explode(F.array("a", "b")).alias("node")).filter("node is not null").distinct())
     chosen = cut(members.join(wanted, "node").groupBy("node").agg(F.min("id").alias("id")))
-    facts = _members(_only(given, chosen.select("id"), "id"), n, similarity, True)
+    facts = _facts(_only(given, chosen.select("id"), "id"), n)
     facts = stored(_only(facts, chosen, "node", "id"), "jaccard")
     sketches = facts.select("node", "size", "sketch")
 
-    links, tested = None, None
+    found, tested = None, None
     for turn in range(_ROUNDS + 2):
-        if links is None:
+        if found is None:
             at = large.withColumn("label", F.col("node"))
         else:
-            found = components(nodes.select("node", F.col("node").alias("label")), links)
-            at = large.join(found, "node", "left").select("gid", "chunk", "node", F.coalesce("label", "node").alias("label"))
+            at = large.join(found, "node", "left").select("gid", "chunk", "node", "weight", F.coalesce("label", "node").alias("label"))
         if turn:
             ends = at.groupBy("gid").agg((F.min("label") < F.max("label")).alias("open")).filter("open").select("gid")
             at = cut(at.join(ends, "gid", "left_semi"))
             if at.isEmpty():
                 break
-            large = at.select("gid", "chunk", "node")
+            large = at.drop("label")
         if turn <= _ROUNDS:
-            centre = at.groupBy("gid").agg(F.min_by(F.struct("node", "label"), F.xxhash64("node", F.lit(turn))).alias("c"))
+            centre = at.groupBy("gid").agg(F.max_by(F.struct("node", "label"), F.struct(F.col("weight") if turn == 0 else F.lit(0), F.xxhash64("node", F.lit(turn)))).alias("c"))
             star = at.join(centre, "gid").filter("label <> c.label").select(F.least("node", F.col("c.node")).alias("a"), F.greatest("node", F.col("c.node")).alias("b"))
             todo = (star if turn else star.union(pairs)).distinct()
         else:
@@ -392,11 +455,12 @@ def similar(docs: DataFrame, n: int = 5, similarity: float = 0.8, id_col: str =
         if turn <= _ROUNDS:
             todo = _filtered(todo, sketches, similarity)
         todo = cut(todo)
-        new = cut(_verified(todo, facts, n, similarity))
-        links = new if links is None else links.union(new)
+        found = components(found, cut(_verified(todo, facts, n, similarity)))
         tested = todo if tested is None else tested.union(todo)
-    labels = components(nodes, links).withColumnRenamed("label", "component_id")
-    base = nodes.join(labels, "node", "left").select(F.col("node").alias("_node"), F.coalesce("component_id", "label").alias("component_id"))
+    # a component's id is the least document id of its nodes; a node without links is its own component
+    nodes = members.filter("node is not null").groupBy("node").agg(F.min("id").alias("least")).join(found, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    ids = nodes.groupBy("label").agg(F.min("least").alias("component_id"))
+    base = nodes.join(ids, "label").select(F.col("node").alias("_node"), "component_id")
     out = members.join(base, F.col("node") == F.col("_node"), "left")
     real = lambda c: F.when(c != _NO_ID, c)
     return out.select(real(F.col("id")).alias("id"), "node", "size", real(F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id"))).alias("component_id"))
