@@ -52,6 +52,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def slim(df: DataFrame) -> DataFrame:
+    """cut(df) in as few partitions as its rows need, so that what follows writes few files."""
+    out = cut(df)
+    return out.coalesce(out.count() // 100_000 + 1)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df, written as Parquet to the shared folder and read again."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"

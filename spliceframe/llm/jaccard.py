@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from spliceframe.llm.common import cut, partitions, stored, table
+from spliceframe.llm.common import cut, partitions, slim, stored, table
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)  # splitmix64
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
@@ -278,18 +278,17 @@ def components(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
     Rounds: a node takes the least label among its own and its neighbours', and all nodes of one label the least that any
     of them has taken, until nothing changes.
     """
-    both = cut(edges.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e")).select("e.*").distinct())
+    both = slim(edges.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e")).select("e.*").distinct())
     ends = both.select(F.col("a").alias("node"), F.col("a").alias("label"))
-    now = ends if labels is None else labels.union(ends)
-    now = cut(now.groupBy("node").agg(F.min("label").alias("label"))) if labels is None else cut(labels.union(ends.join(labels, "node", "left_anti").distinct()))
+    now = slim(ends.distinct() if labels is None else labels.union(ends.join(labels, "node", "left_anti").distinct()))
     while True:
         near = both.join(now.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
         stepped = now.join(near, "node", "left").select("node", "label", F.least("label", F.coalesce("near", "label")).alias("next"))
         moved = stepped.groupBy("label").agg(F.min("next").alias("to")).filter("to < label")
-        moved = cut(moved)
+        moved = slim(moved)
         if moved.isEmpty():
             return now
-        now = cut(now.join(moved, "label", "left").select("node", F.coalesce("to", "label").alias("label")))
+        now = slim(now.join(moved, "label", "left").select("node", F.coalesce("to", "label").alias("label")))
 
 
 def _filtered(pairs: DataFrame, facts: DataFrame, similarity: float) -> DataFrame:
@@ -426,8 +425,8 @@ def similar(docs: DataFrame, n: int = 5, similarity: float = 0.8, id_col: str =
     # a set with few changes of its own agrees with many others on many parts: the first centres are those in most groups
     large = groups.filter("gid is not null").select("gid", "chunk", F.col("a").alias("node"), F.count("*").over(W.partitionBy("a")).alias("weight"))
 
-    wanted = cut(groups.filter("size < 0").select(F.explode(F.array("a", "b")).alias("node")).filter("node is not null").distinct())
-    chosen = cut(members.join(wanted, "node").groupBy("node").agg(F.min("id").alias("id")))
+    wanted = slim(groups.filter("size < 0").select(F.explode(F.array("a", "b")).alias("node")).filter("node is not null").distinct())
+    chosen = slim(members.join(wanted, "node").groupBy("node").agg(F.min("id").alias("id")))
     facts = _facts(_only(given, chosen.select("id"), "id"), n)
     facts = stored(_only(facts, chosen, "node", "id"), "jaccard")
     sketches = facts.select("node", "size", "sketch")
@@ -440,7 +439,7 @@ def similar(docs: DataFrame, n: int = 5, similarity: float = 0.8, id_col: str =
             at = large.join(found, "node", "left").select("gid", "chunk", "node", "weight", F.coalesce("label", "node").alias("label"))
         if turn:
             ends = at.groupBy("gid").agg((F.min("label") < F.max("label")).alias("open")).filter("open").select("gid")
-            at = cut(at.join(ends, "gid", "left_semi"))
+            at = slim(at.join(ends, "gid", "left_semi"))
             if at.isEmpty():
                 break
             large = at.drop("label")
@@ -454,8 +453,8 @@ def similar(docs: DataFrame, n: int = 5, similarity: float = 0.8, id_col: str =
             todo = todo.join(tested, ["a", "b"], "left_anti")
         if turn <= _ROUNDS:
             todo = _filtered(todo, sketches, similarity)
-        todo = cut(todo)
-        found = components(found, cut(_verified(todo, facts, n, similarity)))
+        todo = slim(todo)
+        found = components(found, slim(_verified(todo, facts, n, similarity)))
         tested = todo if tested is None else tested.union(todo)
     # a component's id is the least document id of its nodes; a node without links is its own component
     nodes = members.filter("node is not null").groupBy("node").agg(F.min("id").alias("least")).join(found, "node", "left").withColumn("label", F.coalesce("label", "node"))

@@ -54,11 +54,11 @@ def usable(vector: Column) -> Column:
     return F.coalesce(F.exists(vector, lambda x: x != 0) & ~bad, F.lit(False))
 
 
-def nearest(vectors: DataFrame, is_query: Column, k: int = 5, lines: int = 128, share: float = 0.6, verify: float = 0.1, width: float = 0.4, growth: float = 1.1, block: int = 50_000, query_block: int = 5_000, seed: int = 5, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def nearest(vectors: DataFrame, is_query: Column, k: int = 5, lines: int = 128, share: float = 0.6, verify: float = 0.1, least: int = 1_000, width: float = 0.4, growth: float = 1.1, block: int = 50_000, query_block: int = 5_000, seed: int = 5, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, id_col, score): each query's k nearest others by cosine, nearest first, ties to the smaller id.
 
-    Queries are the rows where is_query holds. verify: the share of a block's vectors, k at least, that collide often
-    enough before windows stop. block and query_block bound a tile. Vectors that are null, empty, zero or hold a null or
+    Queries are the rows where is_query holds. verify: the share of a block's vectors, and least their number, that
+    collide often enough before windows stop. block and query_block bound a tile. Vectors that are null, empty, zero or hold a null or
     non-finite component take no part, nor do rows without an id; vectors of other lengths than the query's are no
     candidates. A query that has k others or fewer gets all of them. Scores are exact, in double precision.
     """
@@ -78,7 +78,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, lines: int = 128,
             index = SortedLines(raw / norm[:, None], lines, seed)
             for q, v in zip(right["id"].to_numpy(), right["v"], strict=True):
                 size = np.sqrt((v * v).sum())
-                met = index.candidates(v / size, max(k + 1, int(np.ceil(verify * len(ids)))), share, width, growth)
+                met = index.candidates(v / size, max(k + 1, least, int(np.ceil(verify * len(ids)))), share, width, growth)
                 met = met[ids[met] != q]
                 rough = index.unit[met] @ (v / size)
                 if len(met) > k:

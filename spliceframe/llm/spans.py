@@ -15,9 +15,10 @@ _OPEN, _SHUT = "\x01", "\x02"
 def marked(text: Column, pattern: str) -> Column:
     """The text split at the matches of a Java pattern: what is before the first, then each match with what follows it.
 
-    No pattern here may match U+0000 to U+0002; the two marks are replaced where the text holds them. Null: one null.
+    No pattern here may match U+0001 to U+0003; the two marks are replaced where the text holds them (not by U+0000, which
+    translate() drops). Null: null.
     """
-    plain = F.when(text.contains(_OPEN) | text.contains(_SHUT), F.translate(text, _OPEN + _SHUT, "\x00\x00")).otherwise(text)
+    plain = F.when(text.contains(_OPEN) | text.contains(_SHUT), F.translate(text, _OPEN + _SHUT, "\x03\x03")).otherwise(text)
     return F.split(F.regexp_replace(plain, pattern, f"{_OPEN}$0{_SHUT}"), _OPEN, -1)
 
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
@@ -36,7 +37,7 @@ class Settings:
     epochs: int = 14
     batch: int = 128
     rate: float = 0.1
-    least_texts: int = 10  # n-grams in fewer training texts keep the vector 0
+    least_share: float = 0.0025  # n-grams in a smaller share of the training texts, or in under 3, keep the vector 0
     shrink: float = 0.1  # every step takes so much of the rate from a vector's length, down to 0
     scale: float = 600.0  # logits are this times the softmax's input: a few words of a long text have to tell
     seed: int = 11
@@ -87,23 +88,27 @@ def _pieces(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 def train(texts: list[str | None], labels: np.ndarray, s: Settings = Settings()) -> Model:
     """Fits vectors and softmax to whole texts with labels 0 and 1; a seed makes reruns agree. One label only: a constant."""
     ids: dict[str, int] = {}
-    rows = [Counter(_WORD.findall((t or "").lower())) for t in texts]
-    kept = [i for i, r in enumerate(rows) if r]
+    words, shares, kept = [], [], []
+    for i, t in enumerate(texts):
+        if counts := Counter(_WORD.findall((t or "").lower())):
+            kept.append(i)
+            words.append(np.fromiter((ids.setdefault(w, len(ids)) for w in counts), np.int32, len(counts)))
+            shares.append(np.fromiter(counts.values(), np.float32, len(counts)) / counts.total())
     y = np.asarray(labels)[kept].astype(int)
     if len({*y}) < 2:
         return Model(np.zeros(s.buckets, np.float32), float(np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5))), s)
-    words = [np.array([ids.setdefault(w, len(ids)) for w in rows[i]]) for i in kept]
-    shares = [np.fromiter(rows[i].values(), np.float32) / rows[i].total() for i in kept]
-    bags = [grams(w, s) for w in ids]
-    g_len = np.array([len(b) for b in bags])
-    g_all = np.fromiter((x for b in bags for x in b), np.int32, int(g_len.sum()))
-    g_at = np.cumsum(g_len) - g_len
+    flat, g_len = array("i"), np.zeros(len(ids), np.int64)
+    for i, w in enumerate(ids):
+        bag = grams(w, s)
+        g_len[i] = len(bag)
+        flat.extend(bag)
+    g_all, g_at = np.frombuffer(flat, np.int32), np.cumsum(g_len) - g_len
     rng = np.random.default_rng(s.seed)
     vectors = np.zeros((s.buckets, s.dim), np.float32)  # unseen n-grams say nothing; the softmax's start breaks the tie
     held_by = np.zeros(s.buckets, np.int32)
     for w in words:
         held_by[np.unique(g_all[_pieces(g_at[w], g_len[w])])] += 1
-    rare = held_by < s.least_texts
+    rare = held_by < max(3, s.least_share * len(y))
     soft, bias = rng.normal(0, 1, s.dim), -2.0
     seen_v, seen_s, seen_b = np.full_like(vectors, 1e-4), np.full(s.dim, 1e-4), 1e-4
     per_label = len(y) / 2 / np.bincount(y, minlength=2)
@@ -138,19 +143,23 @@ def train(texts: list[str | None], labels: np.ndarray, s: Settings = Settings())
     return Model((vectors @ soft).astype(np.float32), float(bias), s)
 
 
-def calibrated(model: Model, texts: list[str | None], labels: np.ndarray, share: float) -> Model:
-    """The model with its bias moved so that the cut with the best F1 on these texts scores CUT. share: of label 1 among all."""
-    z = np.array([model.logit(t, {}) for t in texts])
+def calibrated(model: Model, logits: np.ndarray, labels: np.ndarray, share: float) -> Model:
+    """The model with its bias moved so that a text at the best cut scores CUT. share: of label 1 among all.
+
+    The best cut has the highest F1 among those that hold at most one clean text in a hundred; logits should come from
+    models that have not seen the texts.
+    """
     y = np.asarray(labels) == 1
     if y.all() or not y.any():
         return model
-    order = np.argsort(-z, kind="stable")
-    hit, false = np.cumsum(y[order]) / y.sum() * share, np.cumsum(~y[order]) / (~y).sum() * (1 - share)
-    f1 = np.where(np.diff(z[order], append=-np.inf) < 0, 2 * hit / (hit + false + share), -1)
-    best = np.flatnonzero(f1 >= f1.max() - 1e-9)
-    low = z[order][min(best[-1] + 1, len(z) - 1)]
-    cut = (z[order][best[0]] + low) / 2
-    return replace(model, bias=model.bias - cut + float(np.log(CUT / (1 - CUT))))
+    order = np.argsort(-logits, kind="stable")
+    z = logits[order]
+    hit, false = np.cumsum(y[order]) / y.sum(), np.cumsum(~y[order]) / (~y).sum()
+    f1 = 2 * share * hit / (share * hit + (1 - share) * false + share)
+    f1[(np.diff(z, append=-np.inf) >= 0) | (false > 0.01)] = -1
+    best = int(f1.argmax())
+    cut = (z[best] + z[best + 1]) / 2 if f1[best] > 0 and best + 1 < len(z) else z[0] + 1e-6
+    return replace(model, bias=model.bias - cut + math.log(CUT / (1 - CUT)))
 
 
 def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
@@ -167,11 +176,19 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col: st
     return fitted([r["text"] for r in rows], np.array([r["y"] for r in rows], int), n.get(1, 0) / max(1, sum(n.values())), s)
 
 
-def fitted(texts: list[str | None], labels: np.ndarray, share: float, s: Settings = Settings()) -> Model:
-    """Trained on four of five texts and calibrated on the others."""
-    apart = np.arange(len(texts)) % 5 == 4
-    pick = lambda m: ([t for t, x in zip(texts, m, strict=True) if x], labels[m])
-    return calibrated(train(*pick(~apart), s), *pick(apart), share)
+def fitted(texts: list[str | None], labels: np.ndarray, share: float, s: Settings = Settings(), folds: int = 3) -> Model:
+    """The mean of models that leave out a fold each (all is linear, so weights and biases are averaged), calibrated on the
+    logits that each gives its own left-out fold."""
+    fold = np.zeros(len(texts), int)
+    for v in set(labels):
+        fold[labels == v] = np.arange((labels == v).sum()) % folds  # each label in every fold
+    logits, models = np.zeros(len(texts)), []
+    for f in range(folds):
+        models.append(train([t for t, g in zip(texts, fold, strict=True) if g != f], labels[fold != f], s))
+        known: dict[str, float] = {}
+        logits[fold == f] = [models[-1].logit(t, known) for t, g in zip(texts, fold, strict=True) if g == f]
+    mean = Model(np.mean([m.weights for m in models], axis=0), float(np.mean([m.bias for m in models])), s)
+    return calibrated(mean, logits, labels, share)
 
 
 def held_out(doc_id: Column) -> Column:

@@ -195,7 +195,7 @@ def test_toxicity_held_out(spark):
 
 
 def test_toxicity_odd(spark, odd, none):
-    s = toxicity.Settings(epochs=3, rows=20, least_texts=1)
+    s = toxicity.Settings(epochs=3, rows=20)
     texts = ["fine words here"] * 10 + ["idiot moron here"] * 10
     model = toxicity.train(texts, np.array([0] * 10 + [1] * 10), s)
     assert model.score("idiott", {}) > model.score("finer", {})
