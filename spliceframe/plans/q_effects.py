@@ -212,7 +212,7 @@ def _(c):
     return rounded(e.nested_meta(e.effects(e.arm_sums(cells, "h", "arm", "donor", "tube"), 2), "donor"))
 
 
-@query("s32_tost", _GENE + "SELECT gene, round((effect + 0.1) / se, 4) AS t_low, round((effect - 0.1) / se, 4) AS t_high FROM eff WHERE se > 0", "bygene")
+@query("s32_tost", _EFF.format(k="gene", t="bygene", least=3) + "SELECT gene, round((effect + 0.1) / se, 4) AS t_low, round((effect - 0.1) / se, 4) AS t_high FROM eff WHERE se > 0", "bygene")
 def _(c):
     x = e.tost(e.arm_sums(entropies(c), "h", "arm", "gene"), 0.1).filter("se > 0").select("gene", "t_low", "t_high")
     return rounded(x, digits=4)
@@ -313,7 +313,7 @@ def _(c):
     return rounded(m.label_purity(c.table("embeddings")))
 
 
-@query("s53_correlations", ", g AS (SELECT gene, class, sum(total) AS n, avg(h) AS h FROM cellgene JOIN obs USING (cell_id) GROUP BY ALL), r AS (SELECT class, n, h, rank() OVER (PARTITION BY class ORDER BY n) AS rn, rank() OVER (PARTITION BY class ORDER BY h) AS rh FROM g) SELECT class, count(*) AS n, round(corr(n, h), 6) AS pearson, round(corr(rn, rh), 6) AS spearman FROM r GROUP BY 1", "cellgene", "obs")
+@query("s53_correlations", ", g AS (SELECT gene, class, sum(total) AS n, avg(h) AS h FROM cellgene JOIN obs USING (cell_id) GROUP BY ALL), r AS (SELECT class, n, h, rank() OVER (PARTITION BY class ORDER BY n) + (count(*) OVER (PARTITION BY class, n) - 1) / 2 AS rn, rank() OVER (PARTITION BY class ORDER BY h) + (count(*) OVER (PARTITION BY class, h) - 1) / 2 AS rh FROM g) SELECT class, count(*) AS n, round(corr(n, h), 6) AS pearson, round(corr(rn, rh), 6) AS spearman FROM r GROUP BY 1", "cellgene", "obs")
 def _(c):
     g = usage.cell_gene_entropy(c.coarse).join(c.obs, "cell_id").groupBy("gene", "class").agg(F.sum("total").alias("x"), F.avg("h").alias("y"))
     return rounded(e.correlations(g.withColumn("x", F.col("x").cast("double")), "x", "y", "class", least=5))
@@ -347,12 +347,12 @@ def _(c):
 @query("s59_independence", _DE_ALL := """, g AS (SELECT class, fine AS gene, sum(count) AS s, count(DISTINCT cell_id) AS k FROM counts JOIN obs USING (cell_id) JOIN var USING (feature_id) GROUP BY ALL),
 nn AS (SELECT class, count(*) AS n FROM obs GROUP BY 1), tot AS (SELECT gene, sum(s) AS ts FROM g GROUP BY 1),
 de AS (SELECT class, gene, log2((s / n) / ((ts - s) / (1.0 * (SELECT sum(n) FROM nn) - n))) AS lfc FROM g JOIN nn USING (class) JOIN tot USING (gene))
-SELECT class, count(*) AS n, count(*) FILTER (h > 3 AND abs(lfc) > 0.1) AS both_, count(*) FILTER (h > 3 AND abs(lfc) <= 0.1) AS usage_only, count(*) FILTER (h <= 3 AND abs(lfc) > 0.1) AS expression_only, round(100 * count(*) FILTER (h > 3 AND abs(lfc) <= 0.1) / count(*) FILTER (h > 3), 5) AS pct_independent FROM entropy JOIN de USING (class, gene) GROUP BY 1""", "entropy", "counts", "obs", "var")
+SELECT class, count(*) AS n, count(*) FILTER (h > 3 AND abs(lfc) > 0.1) AS both_, count(*) FILTER (h > 3 AND abs(lfc) <= 0.1) AS usage_only, count(*) FILTER (h <= 3 AND abs(lfc) > 0.1) AS expression_only, round(100 * count(*) FILTER (h > 3 AND abs(lfc) <= 0.1) / nullif(count(*) FILTER (h > 3), 0), 5) AS pct_independent FROM entropy JOIN de USING (class, gene) GROUP BY 1""", "entropy", "counts", "obs", "var")
 def _(c):
     h = usage.shannon(usage.mean_usage(c.fractions, c.obs, ["class"]), ["class"])
     x = h.join(de(c), ["class", "gene"])
     d, u = F.abs("lfc") > 0.1, F.col("h") > 3
-    return rounded(x.groupBy("class").agg(F.count("*").alias("n"), F.count_if(u & d).alias("both_"), F.count_if(u & ~d).alias("usage_only"), F.count_if(~u & d).alias("expression_only"), (100 * F.count_if(u & ~d) / F.count_if(u)).alias("pct_independent")), digits=5)
+    return rounded(x.groupBy("class").agg(F.count("*").alias("n"), F.count_if(u & d).alias("both_"), F.count_if(u & ~d).alias("usage_only"), F.count_if(~u & d).alias("expression_only"), F.try_divide(100 * F.count_if(u & ~d), F.count_if(u)).alias("pct_independent")), digits=5)
 
 
 @query("s61_half_reproducibility", """, d AS (SELECT tube, row_number() OVER (ORDER BY count(*) DESC, tube) % 2 AS half FROM obs GROUP BY tube), x AS (SELECT half, class, cg.gene, cg.h FROM cellgene cg JOIN obs USING (cell_id) JOIN d USING (tube) WHERE k >= 2),
@@ -373,12 +373,14 @@ def _(c):
 
 @query("s63_reproducible", _EFF.format(k="gene, donor", t="(SELECT gene, donor, arm, count(*) AS n, sum(h) AS s, sum(h * h) AS q FROM cellgene JOIN obs USING (cell_id) WHERE k >= 2 GROUP BY ALL)", least=10) + "SELECT gene, count(*) AS estimable, count(*) FILTER (effect > 0) AS up, count(*) FILTER (effect < 0) AS down, (count(*) FILTER (effect > 0) >= 3 OR count(*) FILTER (effect < 0) >= 3) AND count(*) >= 3 AS reproducible FROM eff GROUP BY 1", "cellgene", "obs")
 def _(c):
-    return e.reproducible(entropies(c), "h", "arm", "donor", "gene")
+    return e.reproducible(entropies(c), "h", "arm", "donor", "gene").filter("estimable > 0")
 
 
 @query("s64_leave_one_out_sums", """, x AS (SELECT gene, donor, arm, h FROM cellgene JOIN obs USING (cell_id) WHERE k >= 2), d AS (SELECT DISTINCT donor AS fold FROM obs),
-a AS (SELECT gene, fold, count(*) FILTER (arm) AS n1, count(*) FILTER (NOT arm) AS n0, avg(h) FILTER (arm) - avg(h) FILTER (NOT arm) AS effect, sqrt(var_samp(h) FILTER (arm) / count(*) FILTER (arm) + var_samp(h) FILTER (NOT arm) / count(*) FILTER (NOT arm)) AS se FROM x JOIN d ON donor <> fold GROUP BY ALL)
-SELECT gene, count(*) AS folds, count(*) FILTER (abs(effect / se) >= 0.5) AS significant, CASE WHEN count(*) FILTER (abs(effect / se) >= 0.5) = count(*) AND (count(*) FILTER (effect > 0) IN (0, count(*))) THEN 'robust' ELSE 'fragile' END AS verdict FROM a GROUP BY 1""", "cellgene", "obs")
+a AS (SELECT gene, fold, count(*) FILTER (arm) AS n1, count(*) FILTER (NOT arm) AS n0, avg(h) FILTER (arm) - avg(h) FILTER (NOT arm) AS effect, sqrt(var_samp(h) FILTER (arm) / count(*) FILTER (arm) + var_samp(h) FILTER (NOT arm) / count(*) FILTER (NOT arm)) AS se FROM x JOIN d ON donor <> fold GROUP BY ALL),
+z AS (SELECT gene, CASE WHEN least(n1, n0) >= 3 THEN effect END AS effect, CASE WHEN least(n1, n0) >= 3 AND se > 0 THEN abs(effect / se) END AS z FROM a),
+s AS (SELECT gene, count(*) AS folds, count(z) AS decided, count(*) FILTER (z >= 0.5) AS significant, count(*) FILTER (effect > 0) AS up FROM z GROUP BY 1)
+SELECT gene, folds, significant, CASE WHEN decided < 2 THEN 'unresolved' WHEN significant = decided AND up IN (0, decided) THEN 'robust' ELSE 'fragile' END AS verdict FROM s""", "cellgene", "obs")
 def _(c):
     return e.leave_one_out(entropies(c), "h", "arm", "donor", "gene", z=0.5).select("gene", "folds", "significant", "verdict")
 

@@ -598,7 +598,7 @@ def _(c):
 def _(c):
     """Barcodes to shards, heaviest first. The plan is sequential; barcodes of one sample (1e5 or so) go through the driver."""
     reads = [(str(r[0]), r[1]) for r in c.reads.groupBy("cb").agg(F.count("*").alias("n")).collect()]
-    return c.spark.createDataFrame(t.lpt_shards(reads, 20), "cb string, shard int")
+    return c.spark.createDataFrame(t.lpt_shards(reads, min(20, len(reads))), "cb string, shard int")
 
 
 @query("o04_sort_by_barcode", "SELECT cb, qname FROM reads ORDER BY cb, qname", "reads")
