@@ -444,8 +444,13 @@ def similar(docs: DataFrame, n: int = 5, similarity: float = 0.8, id_col: str =
                 break
             large = at.drop("label")
         if turn <= _ROUNDS:
-            centre = at.groupBy("gid").agg(F.max_by(F.struct("node", "label"), F.struct(F.col("weight") if turn == 0 else F.lit(0), F.xxhash64("node", F.lit(turn)))).alias("c"))
-            star = at.join(centre, "gid").filter("label <> c.label").select(F.least("node", F.col("c.node")).alias("a"), F.greatest("node", F.col("c.node")).alias("b"))
+            # the centre of a chunk against the chunk, and the centres of a group's chunks against that of its first
+            key = F.struct(F.col("weight") if turn == 0 else F.lit(0), F.xxhash64("node", F.lit(turn)), "node", "label")
+            at = at.withColumn("c", F.max(key).over(W.partitionBy("gid", "chunk")))
+            heads = at.filter("node = c.node").select("gid", "chunk", "node", "label")
+            across = heads.filter("chunk > 0").drop("chunk").join(heads.filter("chunk = 0").select("gid", F.col("node").alias("other"), F.col("label").alias("other_label")), "gid").filter("label <> other_label")
+            star = at.filter("label <> c.label").select("node", F.col("c.node").alias("other")).union(across.select("node", "other"))
+            star = star.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
             todo = (star if turn else star.union(pairs)).distinct()
         else:
             todo = _left_over(at, sketches, similarity).distinct()
