@@ -167,7 +167,7 @@ def _facts(docs: DataFrame, n: int) -> DataFrame:
     """(id, node, size, sketch, text) of documents (id, text) with words."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+        for pdf in (b.iloc[at : at + 500] for b in batches for at in range(0, len(b), 500)):
             sets = [shingles(t, n) for t in pdf["text"]]
             out = pd.DataFrame({"id": pdf["id"], "node": [node_of(s) for s in sets], "size": [len(s) for s in sets], "sketch": [sketch(s) for s in sets], "text": pdf["text"]})
             yield out[out["size"] > 0]
@@ -184,9 +184,9 @@ def _signed(docs: DataFrame, n: int, similarity: float) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()
         for pdf in batches:
-            for at in range(0, len(pdf), 500):
-                ids, sizes, own, sigs, nodes = pdf["id"].to_numpy()[at : at + 500], [], [], [], []
-                for t in pdf["text"].iloc[at : at + 500]:
+            for at in range(0, len(pdf), 100):
+                ids, sizes, own, sigs, nodes = pdf["id"].to_numpy()[at : at + 100], [], [], [], []
+                for t in pdf["text"].iloc[at : at + 100]:
                     s = shingles(t, n)
                     node = node_of(s) if len(s) else 0
                     sizes.append(len(s))
