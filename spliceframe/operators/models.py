@@ -18,13 +18,24 @@ from spliceframe.operators.tables import adjusted
 _LOW, _HIGH = np.log(1e-8), np.log(1e8)
 
 
+def _tallied(counts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """What the likelihood needs of counts, as zeros add nothing: (isoform, count, times), then (cell total, times), isoforms."""
+    cell, iso = np.nonzero(counts)
+    (slot, value), times = np.unique(np.stack([iso.astype(float), counts[cell, iso]]), axis=1, return_counts=True)
+    return slot.astype(int), value, times, *np.unique(counts.sum(1), return_counts=True), counts.shape[1]
+
+
+def _dm_loglik(theta: np.ndarray, slot: np.ndarray, value: np.ndarray, times: np.ndarray, n: np.ndarray, n_times: np.ndarray, k: int) -> tuple[float, np.ndarray]:
+    alpha = np.exp(theta)
+    total = alpha.sum()
+    loglik = (n_times * (tails.lgamma(total) - tails.lgamma(n + total))).sum() + (times * (tails.lgamma(value + alpha[slot]) - tails.lgamma(alpha)[slot])).sum()
+    rise = np.bincount(slot, times * (tails.digamma(value + alpha[slot]) - tails.digamma(alpha)[slot]), k)
+    return float(loglik), alpha * ((n_times * (tails.digamma(total) - tails.digamma(n + total))).sum() + rise)
+
+
 def dm_loglik(theta: np.ndarray, counts: np.ndarray) -> tuple[float, np.ndarray]:
     """The log-likelihood of counts (cells by isoforms) at alpha = exp(theta), but for a constant, and its slope in theta."""
-    alpha = np.exp(theta)
-    total, n = alpha.sum(), counts.sum(1)
-    value = (tails.lgamma(total) - tails.lgamma(n + total)).sum() + (tails.lgamma(counts + alpha) - tails.lgamma(alpha)).sum()
-    slope = alpha * ((tails.digamma(np.full(len(n), total)) - tails.digamma(n + total)).sum() + (tails.digamma(counts + alpha) - tails.digamma(alpha)).sum(0))
-    return float(value), slope
+    return _dm_loglik(theta, *_tallied(counts))
 
 
 def dm_fit(counts: np.ndarray, steps: int = 200) -> tuple[np.ndarray, float]:
@@ -37,7 +48,8 @@ def dm_fit(counts: np.ndarray, steps: int = 200) -> tuple[np.ndarray, float]:
     if not len(counts):
         return np.ones(k), 0.0
     theta = np.log(k * np.clip(counts.sum(0) / counts.sum(), 1e-6, 1.0))
-    value, slope = dm_loglik(theta, counts)
+    tallies = _tallied(counts)
+    value, slope = _dm_loglik(theta, *tallies)
     inverse = np.eye(k) / max(1.0, np.abs(slope).max())
     for _ in range(steps):
         held = ((theta <= _LOW) & (slope < 0)) | ((theta >= _HIGH) & (slope > 0))
@@ -51,7 +63,7 @@ def dm_fit(counts: np.ndarray, steps: int = 200) -> tuple[np.ndarray, float]:
         size = 1.0
         while size > 1e-10:
             new = np.clip(theta + size * step, _LOW, _HIGH)
-            new_value, new_slope = dm_loglik(new, counts)
+            new_value, new_slope = _dm_loglik(new, *tallies)
             if new_value >= value + 1e-4 * size * (step @ free):
                 break
             size /= 2

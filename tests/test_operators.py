@@ -157,3 +157,90 @@ def test_thinning_reaches_target(spark):
     x = spark.range(200).select(F.lit(1).alias("cell_id"), F.col("id").alias("feature_id"), F.lit(100).cast("long").alias("count"))
     total = models.thinned(x, 5000).agg(F.sum("count")).first()[0]
     assert abs(total - 5000) < 400
+
+
+def brute_dm(x):
+    """The maximum of the Dirichlet-multinomial likelihood cell by cell, by golden sections along each log alpha in turn."""
+    x = x[x.sum(1) > 0]
+    lg = math.lgamma
+
+    def f(theta):
+        a = [math.exp(t) for t in theta]
+        return sum(lg(sum(a)) - lg(r.sum() + sum(a)) + sum(lg(c + b) - lg(b) for c, b in zip(r, a, strict=True)) for r in x)
+
+    theta, best, step = [0.0] * x.shape[1], -math.inf, 2.0
+    best = f(theta)
+    moves = [*np.eye(len(theta)), np.ones(len(theta))]
+    while step > 1e-4:
+        tries = [np.clip(np.array(theta) + s * step * d, math.log(1e-8), math.log(1e8)) for d in moves for s in (1, -1)]
+        values = [f(t) for t in tries]
+        if max(values) > best:
+            best, theta = max(values), list(tries[int(np.argmax(values))])
+        else:
+            step /= 2
+    return best
+
+
+def test_dm_loglik_cell_by_cell():
+    rng = np.random.default_rng(3)
+    x = rng.poisson(0.8, (40, 5))
+    x[0] = 0
+    theta = rng.normal(0, 1, 5)
+    a = np.exp(theta)
+    want = sum(math.lgamma(a.sum()) - math.lgamma(r.sum() + a.sum()) + sum(math.lgamma(c + b) - math.lgamma(b) for c, b in zip(r, a, strict=True)) for r in x)
+    assert models.dm_loglik(theta, x)[0] == pytest.approx(want, rel=1e-12)
+    for few in (x[:12, :3], x[12:30, :2]):
+        assert models.dm_fit(few)[1] == pytest.approx(brute_dm(few), abs=1e-3)
+
+
+class Fixture:
+    """Carriers of 120 cells in two classes and three genes of two brands, of two isoforms each."""
+
+    def __init__(self, spark):
+        rng = np.random.default_rng(7)
+        self.rows = [(c, 10 * g + i, f"Brand#{(1, 4, 7)[g]}/X", int(n), None) for c in range(120) for g in range(3) for i, n in enumerate(rng.multinomial(6, rng.dirichlet([2, 2 + 3 * (g == 1 and c % 2)]))) if n]
+        total = {}
+        for c, _, g, n, _ in self.rows:
+            total[c, g] = total.get((c, g), 0) + n
+        self.rows = [(c, f, g, n, n / total[c, g]) for c, f, g, n, _ in self.rows]
+        self.cells = {c: ("u" if c < 60 else "v", c % 2 == 1) for c in range(120)}
+        self.fractions = spark.createDataFrame(self.rows, "cell_id long, feature_id long, gene string, count long, fraction double")
+        self.obs = spark.createDataFrame([(c, k, a) for c, (k, a) in self.cells.items()], "cell_id long, class string, arm boolean")
+        self.var = spark.createDataFrame(sorted({(f, g) for _, f, g, *_ in self.rows}), "feature_id long, fine string")
+
+    def statistics(self, keep, group):
+        """(gene: likelihood ratio) over the cells of keep, by brute force."""
+        out = {}
+        for g in sorted({r[2] for r in self.rows}):
+            mine = [r for r in self.rows if r[2] == g and keep(r[0])]
+            at, iso = sorted({r[0] for r in mine}), sorted({r[1] for r in mine})
+            x = np.zeros((len(at), len(iso)))
+            for r in mine:
+                x[at.index(r[0]), iso.index(r[1])] = r[3]
+            arm = np.array([group(c) for c in at])
+            out[g] = max(0.0, 2 * (brute_dm(x[arm]) + brute_dm(x[~arm]) - brute_dm(x)))
+        return out
+
+
+def test_every_gene_is_fitted(spark, monkeypatch):
+    """s10, s11 and s04 cover genes of all brands, and p is adjusted over all of them."""
+    from spliceframe.plans import QUERIES, registry
+
+    c = Fixture(spark)
+    monkeypatch.setattr(registry, "Carriers", lambda *_: c)
+    for name, of, split in (("s10_usage_dm_by_class", "class", lambda v: (lambda i: c.cells[i][0] == v, lambda i: c.cells[i][1])), ("s11_one_vs_rest", "of", lambda v: (lambda i: True, lambda i: c.cells[i][0] == v))):
+        got = {(r[of], r.gene): (r.dm_stat, r.dm_padj) for r in QUERIES[name](spark, "").collect()}
+        assert len(got) == 6
+        for v in ("u", "v"):
+            stat = c.statistics(*split(v))
+            p = sorted((math.exp(-s / 2), g) for g, s in stat.items())  # chi-squared, two isoforms
+            for i, (_, g) in enumerate(p):
+                assert got[v, g] == pytest.approx((stat[g], min(1.0, *(q * len(p) / (j + 1) for j, (q, _) in enumerate(p) if j >= i), 1.0)), abs=3e-3)
+    got = {r.feature_id: (r.z, r.p) for r in QUERIES["s04_beta_regression"](spark, "").collect()}
+    one = c.fractions.join(c.obs, "cell_id")
+    assert set(got) == {r[1] for r in c.rows}
+    for f in got:
+        y = np.array([r.fraction for r in one.filter(F.col("feature_id") == f).collect()])
+        assert len(y) and 0 <= got[f][1] <= 1 and np.isfinite(got[f][0])
+    again = {r.feature_id: round(r.z, 4) + 0.0 for r in models.beta_regression(one, "fraction", "arm", "feature_id").collect()}
+    assert {f: z for f, (z, _) in got.items()} == again
