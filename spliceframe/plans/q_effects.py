@@ -156,6 +156,14 @@ def _(c):
     return rounded(e.mann_whitney(x, "h", "arm", "gene").select("gene", "cliff"))
 
 
+@query("s23_cliffs_delta_all", """, x AS (SELECT gene, arm, round(h, 12) AS h FROM cellgene JOIN obs USING (cell_id) WHERE k >= 2),
+r AS (SELECT *, rank() OVER (PARTITION BY gene ORDER BY h) + (count(*) OVER (PARTITION BY gene, h) - 1) / 2 AS r FROM x),
+u AS (SELECT gene, count(*) FILTER (arm) AS n1, count(*) FILTER (NOT arm) AS n0, sum(r) FILTER (arm) AS rs FROM r GROUP BY 1) SELECT gene, round(2 * (rs - n1 * (n1 + 1) / 2) / (n1 * n0) - 1, 6) + 0 AS cliff FROM u WHERE n1 > 0 AND n0 > 0""", "cellgene", "obs")
+def _(c):
+    """Every gene; s23_cliffs_delta is held to the pairwise SQL, which has three."""
+    return rounded(e.mann_whitney(entropies(c).withColumn("h", F.round("h", 12)), "h", "arm", "gene").select("gene", "cliff"))
+
+
 @query("s24_direction")
 def _(c):
     x = e.effects(e.arm_sums(entropies(c), "h", "arm", "gene", "class"), 3).groupBy("gene").agg(F.count_if(F.col("effect") > 0).alias("up"), F.count("effect").alias("n"))

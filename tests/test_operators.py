@@ -244,3 +244,17 @@ def test_every_gene_is_fitted(spark, monkeypatch):
         assert len(y) and 0 <= got[f][1] <= 1 and np.isfinite(got[f][0])
     again = {r.feature_id: round(r.z, 4) + 0.0 for r in models.beta_regression(one, "fraction", "arm", "feature_id").collect()}
     assert {f: z for f, (z, _) in got.items()} == again
+
+
+def test_cliffs_delta_of_every_gene(spark):
+    """Pair by pair, for all genes whose cells are in both arms."""
+    from spliceframe.plans import QUERIES
+    from spliceframe.plans.carriers import Carriers
+    from spliceframe.plans.q_effects import entropies
+
+    d = "/root/testdata/sf0.001"
+    cells = {}
+    for r in entropies(Carriers(spark, d)).collect():
+        cells.setdefault(r.gene, {True: [], False: []})[r.arm].append(round(r.h, 12))
+    want = {g: np.sign(np.subtract.outer(a[True], a[False])).mean() for g, a in cells.items() if a[True] and a[False]}
+    assert len(want) > 3 and {r.gene: r.cliff for r in QUERIES["s23_cliffs_delta_all"](spark, d).collect()} == pytest.approx(want, abs=1e-6)
