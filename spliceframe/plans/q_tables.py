@@ -287,8 +287,8 @@ def _(c):
 _STRUCT = "SELECT gene AS seqid, '+' AS strand, list(DISTINCT start ORDER BY start) AS exons, tissue, isoform % 50 AS old_id FROM junctions WHERE isoform < 400 GROUP BY gene, tissue, isoform % 50"
 
 
-def structures(c):
-    x = c.junctions.filter("isoform < 400").groupBy(F.col("gene").alias("seqid"), F.lit("+").alias("strand"), "tissue", (F.col("isoform") % 50).alias("old_id"))
+def structures(c, whole=False):
+    x = (c.junctions if whole else c.junctions.filter("isoform < 400")).groupBy(F.col("gene").alias("seqid"), F.lit("+").alias("strand"), "tissue", (F.col("isoform") % 50).alias("old_id"))
     return x.agg(F.array_sort(F.collect_set("start")).alias("exons"))
 
 
@@ -303,6 +303,21 @@ def _(c):
     return t.global_ids(structures(c)).groupBy("tissue").agg(F.count("*").alias("n"), F.countDistinct("new_id").alias("ids"))
 
 
+_STRUCT_ALL = "SELECT gene AS seqid, '+' AS strand, list(DISTINCT start ORDER BY start) AS exons, tissue, isoform % 50 AS old_id FROM junctions GROUP BY gene, tissue, isoform % 50"
+
+
+@query("j13_structure_match_all", f", x AS ({_STRUCT_ALL}) SELECT seqid, array_to_string(exons, ',') AS exons, count(DISTINCT tissue) AS n FROM x GROUP BY ALL HAVING count(DISTINCT tissue) > 1", "junctions")
+def _(c):
+    """All isoforms; j13_structure_match and a20_global_ids are held to SQL over ids under 400."""
+    x = structures(c, True).groupBy("seqid", "strand", "exons").agg(F.countDistinct("tissue").alias("n")).filter("n > 1")
+    return x.select("seqid", F.array_join(F.transform("exons", lambda e: e.cast("string")), ",").alias("exons"), "n")
+
+
+@query("a20_global_ids_all", f", x AS ({_STRUCT_ALL}) SELECT tissue, count(*) AS n, count(DISTINCT (seqid, exons)) AS ids FROM x GROUP BY 1", "junctions")
+def _(c):
+    return t.global_ids(structures(c, True)).groupBy("tissue").agg(F.count("*").alias("n"), F.countDistinct("new_id").alias("ids"))
+
+
 @query("j14_route_reads", "SELECT user_id % 7 AS shard, count(*) AS n FROM events WHERE user_id % 3 <> 0 GROUP BY 1")
 def _(c):
     route = c.reads.filter("cb % 3 <> 0").select("cb", (F.col("cb") % 7).alias("shard")).distinct()

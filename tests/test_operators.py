@@ -258,3 +258,20 @@ def test_cliffs_delta_of_every_gene(spark):
         cells.setdefault(r.gene, {True: [], False: []})[r.arm].append(round(r.h, 12))
     want = {g: np.sign(np.subtract.outer(a[True], a[False])).mean() for g, a in cells.items() if a[True] and a[False]}
     assert len(want) > 3 and {r.gene: r.cliff for r in QUERIES["s23_cliffs_delta_all"](spark, d).collect()} == pytest.approx(want, abs=1e-6)
+
+
+def junctions_fixture(spark):
+    """Isoforms with ids far apart: 7 and 5007 have one structure each in two tissues."""
+    from types import SimpleNamespace
+
+    rows = [(g, t, 1, 9, i) for g, i in (("g", 7), ("h", 5007)) for t in "AR"] + [("h", "N", 2, 8, 5008)]
+    return SimpleNamespace(spark=spark, junctions=spark.createDataFrame(rows, "gene string, tissue string, start long, end long, isoform long"))
+
+
+def test_structures_of_every_isoform(spark, monkeypatch):
+    from spliceframe.plans import QUERIES, registry
+
+    c = junctions_fixture(spark)
+    monkeypatch.setattr(registry, "Carriers", lambda *_: c)
+    assert sorted(tuple(r) for r in QUERIES["j13_structure_match_all"](spark, "").collect()) == [("g", "1", 2), ("h", "1", 2)]
+    assert sorted(tuple(r) for r in QUERIES["a20_global_ids_all"](spark, "").collect()) == [("A", 2, 2), ("N", 1, 1), ("R", 2, 2)]
