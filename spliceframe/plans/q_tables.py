@@ -227,6 +227,25 @@ def _(c):
     return t.looked_up(c.obs.select("cell_id"), x, "cell_id", {"a": 0})
 
 
+_J4_ALL = "SELECT cell_id, sum(count) AS {0} FROM counts JOIN var USING (feature_id) WHERE {1} GROUP BY 1"
+#: Three tables that hold all counts, by the number of exons.
+_EXONS = {"a": "exons <= 10", "b": "exons > 10 AND exons <= 30", "k": "exons > 30"}
+
+
+@query("j04_full_outer_all", "SELECT cell_id, a, b, k FROM " + " FULL JOIN ".join(f"({_J4_ALL.format(n, w)}){' USING (cell_id)' * (n != 'a')}" for n, w in _EXONS.items()), "counts", "var")
+def _(c):
+    """All counts; j04_full_outer and j05_lookup are held to SQL over 3 and 1 of 40 features."""
+    x = c.counts.join(c.var, "feature_id")
+    a, b, k = (x.filter(w).groupBy("cell_id").agg(F.sum("count").alias(n)) for n, w in _EXONS.items())
+    return a.join(b, "cell_id", "full_outer").join(k, "cell_id", "full_outer")
+
+
+@query("j05_lookup_all", "SELECT obs.cell_id, coalesce(a, 0) AS a, x.cell_id IS NOT NULL AS matched FROM obs LEFT JOIN (SELECT cell_id, sum(count) AS a FROM counts GROUP BY 1) x ON obs.cell_id = x.cell_id", "obs", "counts")
+def _(c):
+    x = c.counts.groupBy("cell_id").agg(F.sum("count").alias("a"))
+    return t.looked_up(c.obs.select("cell_id"), x, "cell_id", {"a": 0})
+
+
 @query("j06_diu_de", _DE + ", diu AS (SELECT class, gene, h FROM entropy WHERE h > 3) SELECT class, gene, round(h, 6) AS h, round(lfc, 6) + 0 AS lfc FROM diu JOIN de USING (class, gene)", "entropy", "counts", "obs", "var")
 def _(c):
     from spliceframe.operators import usage
@@ -597,6 +616,12 @@ def _(c):
     return x.select("feature_id", F.row_number().over(W.partitionBy("gene").orderBy(F.col("exons").desc(), "length", "feature_id")).alias("place"))
 
 
+@query("w13_ordered_all", "SELECT feature_id, row_number() OVER (PARTITION BY gene ORDER BY exons DESC, length, feature_id) AS place FROM var", "var")
+def _(c):
+    """Every gene; w13_ordered is held to SQL over one."""
+    return c.var.select("feature_id", F.row_number().over(W.partitionBy("gene").orderBy(F.col("exons").desc(), "length", "feature_id")).alias("place"))
+
+
 @query("o01_sort", "SELECT cell_id, class, score FROM obs ORDER BY class, score DESC", "obs")
 def _(c):
     return c.obs.select("cell_id", "class", "score").orderBy("class", F.col("score").desc())
