@@ -165,13 +165,18 @@ def calibrated(model: Model, logits: np.ndarray, labels: np.ndarray, share: floa
 def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """Trains on labelled rows of docs outside the held-out third. The driver gets s.rows texts of each label at most.
 
-    Rows without id or label take no part. Of repeated ids all rows count, up to the bound.
+    Rows without id or label take no part. Of repeated ids every text counts once; of more texts of a label than s.rows,
+    those with the least hashes of id and text.
     """
     usable = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).filter("id is not null and y in (0, 1)").filter(~held_out(F.col("id")))
     order = [F.xxhash64("id"), F.col("id")]
     ids = [r for y in (0, 1) for r in usable.filter(F.col("y") == y).distinct().orderBy(*order).limit(s.rows).collect()]
     chosen = docs.sparkSession.createDataFrame(ids, "id long, y int")  # 2 * s.rows rows at most
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id").orderBy("y", *order, "text").limit(2 * s.rows).collect()
+    found = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id").distinct().withColumn("h", order[0])
+    rows = []
+    for y in (0, 1):  # bounded label by label, so that none takes the other's places
+        mine = found.filter(F.col("y") == y).orderBy(F.xxhash64("id", "text"), "id", "text").limit(s.rows).collect()
+        rows += sorted(mine, key=lambda r: (r["h"], r["id"], r["text"] is not None, r["text"] or ""))
     n = dict(usable.groupBy("y").count().collect())
     return fitted([r["text"] for r in rows], np.array([r["y"] for r in rows], int), n.get(1, 0) / max(1, sum(n.values())), s)
 

@@ -206,6 +206,22 @@ def test_toxicity_odd(spark, odd, none):
     assert toxicity.score(odd, toxicity.fit(odd, labels, s)).count() == len(ODD)
 
 
+def test_toxicity_repeated_ids(spark):
+    """Clean rows of repeated ids, in whatever number, leave toxic texts their places."""
+    s = toxicity.Settings(epochs=3, rows=20)
+    free = [r.id for r in spark.range(200).filter(~toxicity.held_out(F.col("id"))).collect()]
+    clean, toxic = free[:20], free[20:40]
+    labels = spark.createDataFrame([(i, int(i in toxic)) for i in free[:40]], "doc_id long, toxic int")
+    bad = [(i, f"idiot moron here {i}") for i in toxic]
+    for good in (
+        [(clean[0], f"fine words here {k}") for k in range(60)] + [(i, "fine words here") for i in clean[1:]],  # one hot id
+        [(i, "fine words here") for i in clean] * 2,
+        [(i, f"fine words here {k}") for i in clean for k in (1, 2)],
+    ):
+        model = toxicity.fit(spark.createDataFrame(good + bad, "doc_id long, text string"), labels, s)
+        assert model.weights.any() and model.score("idiot moron here", {}) > model.score("fine words here", {})
+
+
 # ---- 6
 
 
