@@ -415,3 +415,23 @@ def test_licenses(spark, odd, none):
     out = sorted((r.doc_id, ",".join(r.licenses), ",".join(r.whole)) for r in licenses.find_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect())
     assert out == [(1, "MIT", "MIT"), (2, "MIT", ""), (3, "", ""), (4, "", ""), (5, "MIT", "MIT"), (6, "", ""), (6, "MIT", "MIT")]
     assert licenses.find_licenses(odd.withColumn("whole", F.lit(1))).count() == len(ODD) and licenses.find_licenses(none).count() == 0
+
+
+def test_license_catalogue(spark):
+    """Full texts, titles or none, copyright without a year, wrapped at any width inside longer documents."""
+    import textwrap
+
+    rows, want = [], []
+    for i, t in licenses.catalogue():
+        for width in (37, 60, 79):
+            lines = [x for line in t.split("\n") for x in ([line] if re.match(r"\W*copyright\W+(c\)|yyyy)", line, re.I) else textwrap.wrap(line, width, break_long_words=False, break_on_hyphens=False) or [""])]
+            for text in ("\n".join(["Copyright (c) Jane Doe", "All rights reserved.", "", *lines]), "\n".join(["Some program", "the readme", "", "Copyright: 2020 X", "", *("# " + x for x in lines), "", "more text"])):
+                rows.append((len(rows), text))
+                want.append(i)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r for r in licenses.find_licenses(df).collect()}
+    bad = [(want[k], rows[k][1][:150], out[k].licenses, out[k].whole) for k in out if want[k] not in out[k].licenses or (k % 2 == 0) != (want[k] in out[k].whole)]
+    assert len(out) == len(rows) and not bad, (len(bad), bad[:3])
+    assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "BSD-2-Clause", "BSD-3-Clause", "MPL-2.0", "Unlicense", "MIT", "ISC", "0BSD"} <= set(want)
+    other = spark.createDataFrame([(1, "Permission is hereby granted,\nfree of charge"), (2, "the copyright\ncopyright notice of it"), (3, None)], "doc_id long, text string")
+    assert all(r.licenses == [] for r in licenses.find_licenses(other).collect())
