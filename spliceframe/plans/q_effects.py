@@ -149,18 +149,10 @@ def _(c):
     return m.thinned(c.counts, 500).groupBy("cell_id").agg(F.sum("count").alias("depth"))
 
 
-@query("s23_cliffs_delta", """, x AS (SELECT gene, arm, round(h, 12) AS h FROM cellgene JOIN obs USING (cell_id) WHERE k >= 2 AND gene IN ('Brand#1', 'Brand#2', 'Brand#3')),
-c AS (SELECT a.gene, sum(CASE WHEN a.h > b.h THEN 1 WHEN a.h < b.h THEN -1 ELSE 0 END) / count(*) AS cliff FROM x a JOIN x b ON a.gene = b.gene AND a.arm AND NOT b.arm GROUP BY 1) SELECT gene, round(cliff, 6) + 0 AS cliff FROM c""", "cellgene", "obs")
-def _(c):
-    x = entropies(c).filter("gene in ('Brand#1', 'Brand#2', 'Brand#3')").withColumn("h", F.round("h", 12))
-    return rounded(e.mann_whitney(x, "h", "arm", "gene").select("gene", "cliff"))
-
-
-@query("s23_cliffs_delta_all", """, x AS (SELECT gene, arm, round(h, 12) AS h FROM cellgene JOIN obs USING (cell_id) WHERE k >= 2),
+@query("s23_cliffs_delta", """, x AS (SELECT gene, arm, round(h, 12) AS h FROM cellgene JOIN obs USING (cell_id) WHERE k >= 2),
 r AS (SELECT *, rank() OVER (PARTITION BY gene ORDER BY h) + (count(*) OVER (PARTITION BY gene, h) - 1) / 2 AS r FROM x),
 u AS (SELECT gene, count(*) FILTER (arm) AS n1, count(*) FILTER (NOT arm) AS n0, sum(r) FILTER (arm) AS rs FROM r GROUP BY 1) SELECT gene, round(2 * (rs - n1 * (n1 + 1) / 2) / (n1 * n0) - 1, 6) + 0 AS cliff FROM u WHERE n1 > 0 AND n0 > 0""", "cellgene", "obs")
 def _(c):
-    """Every gene; s23_cliffs_delta is held to the pairwise SQL, which has three."""
     return rounded(e.mann_whitney(entropies(c).withColumn("h", F.round("h", 12)), "h", "arm", "gene").select("gene", "cliff"))
 
 

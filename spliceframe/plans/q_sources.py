@@ -8,9 +8,9 @@ from spliceframe.plans.registry import query
 from spliceframe.sources import files as s
 
 
-def gff(c, whole=False):
+def gff(c):
     """Exon lines in GTF and GFF3 style by turns, with a comment among them."""
-    j = (c.junctions if whole else c.junctions.filter("isoform < 300")).select("gene", "isoform", "start", "end").distinct()
+    j = c.junctions.select("gene", "isoform", "start", "end").distinct()
     attrs = F.when(F.col("isoform") % 2 == 0, F.concat(F.lit('gene_id "'), "gene", F.lit('"; transcript_id "T'), "isoform", F.lit('"; tag')))
     attrs = attrs.otherwise(F.concat(F.lit("ID=e"), "start", F.lit(";Parent=T"), "isoform", F.lit(",X")))
     line = F.concat_ws("\t", F.lit("chr1"), F.lit("x"), F.lit("exon"), "start", "end", F.lit("."), F.lit("+"), F.lit("."), attrs)
@@ -22,19 +22,12 @@ def _(c):
     return c.obs.select("cell_id", "class")
 
 
-@query("io08_gff_transcripts", ", j AS (SELECT DISTINCT 'T' || isoform AS transcript_id, start, \"end\" FROM junctions WHERE isoform < 300) SELECT transcript_id, min(start)::INT AS tx_start, max(\"end\")::INT AS tx_end, string_agg(start || '-' || \"end\", ',' ORDER BY start, \"end\") AS exons FROM j GROUP BY 1", "junctions")
+@query("io08_gff_transcripts", ", j AS (SELECT DISTINCT 'T' || isoform AS transcript_id, start, \"end\" FROM junctions) SELECT transcript_id, min(start)::INT AS tx_start, max(\"end\")::INT AS tx_end, string_agg(start || '-' || \"end\", ',' ORDER BY start, \"end\") AS exons FROM j GROUP BY 1", "junctions")
 def _(c):
     x = s.transcripts(s.gff_records(gff(c)))
     return x.select("transcript_id", "tx_start", "tx_end", F.array_join(F.transform("exons", lambda e: F.concat_ws("-", e["start"].cast("string"), e["end"].cast("string"))), ",").alias("exons"))
 
 
-@query("io08_gff_transcripts_all", ", j AS (SELECT DISTINCT 'T' || isoform AS transcript_id, start, \"end\" FROM junctions) SELECT transcript_id, min(start)::INT AS tx_start, max(\"end\")::INT AS tx_end, string_agg(start || '-' || \"end\", ',' ORDER BY start, \"end\") AS exons FROM j GROUP BY 1", "junctions")
-def _(c):
-    """All isoforms; io08_gff_transcripts and io12_rewrite_attributes are held to SQL over ids under 300."""
-    x = s.transcripts(s.gff_records(gff(c, True)))
-    return x.select("transcript_id", "tx_start", "tx_end", F.array_join(F.transform("exons", lambda e: F.concat_ws("-", e["start"].cast("string"), e["end"].cast("string"))), ",").alias("exons"))
-
-
 @query("io09_attributes", "SELECT feature_id, gene AS gene_id, 'T' || feature_id AS transcript_id, 'gene_id=' || gene || ';ID=T' || feature_id || ';tag=' AS text FROM var", "var")
 def _(c):
     raw = F.concat(F.lit('gene_id "'), "gene", F.lit('"; ID=T'), "feature_id", F.lit("; tag;"))
@@ -55,24 +48,16 @@ def _(c):
     return s.rewritten(c.var.select("feature_id", F.col("feature_id").cast("string").alias("pbid")), "pbid", m)
 
 
-@query("io12_rewrite_attributes", "SELECT isoform % 2 AS style, count(DISTINCT isoform) AS n FROM junctions WHERE isoform < 300 GROUP BY 1", "junctions")
-def _(c):
-    records = s.gff_records(gff(c))
-    m = c.junctions.filter("isoform < 300").select(F.concat(F.lit("T"), "isoform").alias("old"), F.concat(F.lit("NEW"), "isoform").alias("new")).distinct()
-    x = s.transcripts(s.rewritten_attributes(records, m)).filter("transcript_id like 'NEW%'")
-    return x.groupBy((F.substring("transcript_id", 4, 9).cast("bigint") % 2).alias("style")).agg(F.count("*").alias("n"))
-
-
-@query("io12_rewrite_attributes_all", "SELECT isoform % 2 AS style, count(DISTINCT isoform) AS n FROM junctions GROUP BY 1", "junctions")
+@query("io12_rewrite_attributes", "SELECT isoform % 2 AS style, count(DISTINCT isoform) AS n FROM junctions GROUP BY 1", "junctions")
 def _(c):
     m = c.junctions.select(F.concat(F.lit("T"), "isoform").alias("old"), F.concat(F.lit("NEW"), "isoform").alias("new")).distinct()
-    x = s.transcripts(s.rewritten_attributes(s.gff_records(gff(c, True)), m)).filter("transcript_id like 'NEW%'")
+    x = s.transcripts(s.rewritten_attributes(s.gff_records(gff(c)), m)).filter("transcript_id like 'NEW%'")
     return x.groupBy((F.substring("transcript_id", 4, 18).cast("bigint") % 2).alias("style")).agg(F.count("*").alias("n"))
 
 
-@query("io13_tagged_reads", "SELECT qname, cb FROM reads WHERE cb IS NOT NULL AND umi <> '-' AND cb % 2 = 0", "reads")
+@query("io13_tagged_reads", "SELECT qname, cb FROM reads WHERE cb IS NOT NULL AND umi <> '-'", "reads")
 def _(c):
-    return c.reads.filter("cb is not null and umi <> '-' and cb % 2 = 0").select("qname", "cb")
+    return c.reads.filter("cb is not null and umi <> '-'").select("qname", "cb")
 
 
 @query("io14_real_cells", "SELECT cb AS barcode, least(count(*), 70) AS reads FROM reads GROUP BY 1 HAVING count(*) > 60", "reads")

@@ -212,35 +212,19 @@ def _(c):
     return x.select("cell_id", F.coalesce("r_name", F.lit("unknown")).alias("broad"))
 
 
-_J4 = "SELECT cell_id, sum(count) AS {0} FROM counts WHERE feature_id % 40 = {1} GROUP BY 1"
-
-
-@query("j04_full_outer", f"SELECT cell_id, a, b, k FROM ({_J4.format('a', 1)}) FULL JOIN ({_J4.format('b', 2)}) USING (cell_id) FULL JOIN ({_J4.format('k', 3)}) USING (cell_id)", "counts")
-def _(c):
-    part = lambda n, i: c.counts.filter(F.col("feature_id") % 40 == i).groupBy("cell_id").agg(F.sum("count").alias(n))
-    return part("a", 1).join(part("b", 2), "cell_id", "full_outer").join(part("k", 3), "cell_id", "full_outer")
-
-
-@query("j05_lookup", "SELECT obs.cell_id, coalesce(a, 0) AS a, x.cell_id IS NOT NULL AS matched FROM obs LEFT JOIN (SELECT cell_id, sum(count) AS a FROM counts WHERE feature_id % 40 = 1 GROUP BY 1) x ON obs.cell_id = x.cell_id", "obs", "counts")
-def _(c):
-    x = c.counts.filter("feature_id % 40 = 1").groupBy("cell_id").agg(F.sum("count").alias("a"))
-    return t.looked_up(c.obs.select("cell_id"), x, "cell_id", {"a": 0})
-
-
-_J4_ALL = "SELECT cell_id, sum(count) AS {0} FROM counts JOIN var USING (feature_id) WHERE {1} GROUP BY 1"
+_J4 = "SELECT cell_id, sum(count) AS {0} FROM counts JOIN var USING (feature_id) WHERE {1} GROUP BY 1"
 #: Three tables that hold all counts, by the number of exons.
 _EXONS = {"a": "exons <= 10", "b": "exons > 10 AND exons <= 30", "k": "exons > 30"}
 
 
-@query("j04_full_outer_all", "SELECT cell_id, a, b, k FROM " + " FULL JOIN ".join(f"({_J4_ALL.format(n, w)}){' USING (cell_id)' * (n != 'a')}" for n, w in _EXONS.items()), "counts", "var")
+@query("j04_full_outer", "SELECT cell_id, a, b, k FROM " + " FULL JOIN ".join(f"({_J4.format(n, w)}){' USING (cell_id)' * (n != 'a')}" for n, w in _EXONS.items()), "counts", "var")
 def _(c):
-    """All counts; j04_full_outer and j05_lookup are held to SQL over 3 and 1 of 40 features."""
     x = c.counts.join(c.var, "feature_id")
     a, b, k = (x.filter(w).groupBy("cell_id").agg(F.sum("count").alias(n)) for n, w in _EXONS.items())
     return a.join(b, "cell_id", "full_outer").join(k, "cell_id", "full_outer")
 
 
-@query("j05_lookup_all", "SELECT obs.cell_id, coalesce(a, 0) AS a, x.cell_id IS NOT NULL AS matched FROM obs LEFT JOIN (SELECT cell_id, sum(count) AS a FROM counts GROUP BY 1) x ON obs.cell_id = x.cell_id", "obs", "counts")
+@query("j05_lookup", "SELECT obs.cell_id, coalesce(a, 0) AS a, x.cell_id IS NOT NULL AS matched FROM obs LEFT JOIN (SELECT cell_id, sum(count) AS a FROM counts GROUP BY 1) x ON obs.cell_id = x.cell_id", "obs", "counts")
 def _(c):
     x = c.counts.groupBy("cell_id").agg(F.sum("count").alias("a"))
     return t.looked_up(c.obs.select("cell_id"), x, "cell_id", {"a": 0})
@@ -303,11 +287,11 @@ def _(c):
     return exons.groupBy("tissue").agg(F.count("*").alias("n_exons"), F.countDistinct("gene").alias("n_genes"))
 
 
-_STRUCT = "SELECT gene AS seqid, '+' AS strand, list(DISTINCT start ORDER BY start) AS exons, tissue, isoform % 50 AS old_id FROM junctions WHERE isoform < 400 GROUP BY gene, tissue, isoform % 50"
+_STRUCT = "SELECT gene AS seqid, '+' AS strand, list(DISTINCT start ORDER BY start) AS exons, tissue, isoform % 50 AS old_id FROM junctions GROUP BY gene, tissue, isoform % 50"
 
 
-def structures(c, whole=False):
-    x = (c.junctions if whole else c.junctions.filter("isoform < 400")).groupBy(F.col("gene").alias("seqid"), F.lit("+").alias("strand"), "tissue", (F.col("isoform") % 50).alias("old_id"))
+def structures(c):
+    x = c.junctions.groupBy(F.col("gene").alias("seqid"), F.lit("+").alias("strand"), "tissue", (F.col("isoform") % 50).alias("old_id"))
     return x.agg(F.array_sort(F.collect_set("start")).alias("exons"))
 
 
@@ -317,29 +301,14 @@ def _(c):
     return x.select("seqid", F.array_join(F.transform("exons", lambda e: e.cast("string")), ",").alias("exons"), "n")
 
 
-@query("a20_global_ids", f", x AS ({_STRUCT}), f AS (SELECT seqid, exons, min((tissue, old_id)) AS k FROM x GROUP BY ALL), i AS (SELECT seqid, exons, 'PB.sync.' || row_number() OVER (ORDER BY k, seqid, exons) AS new_id FROM f) SELECT tissue, count(*) AS n, count(DISTINCT new_id) AS ids FROM x JOIN i USING (seqid, exons) GROUP BY 1", "junctions")
+@query("a20_global_ids", f", x AS ({_STRUCT}) SELECT tissue, count(*) AS n, count(DISTINCT (seqid, exons)) AS ids FROM x GROUP BY 1", "junctions")
 def _(c):
     return t.global_ids(structures(c)).groupBy("tissue").agg(F.count("*").alias("n"), F.countDistinct("new_id").alias("ids"))
 
 
-_STRUCT_ALL = "SELECT gene AS seqid, '+' AS strand, list(DISTINCT start ORDER BY start) AS exons, tissue, isoform % 50 AS old_id FROM junctions GROUP BY gene, tissue, isoform % 50"
-
-
-@query("j13_structure_match_all", f", x AS ({_STRUCT_ALL}) SELECT seqid, array_to_string(exons, ',') AS exons, count(DISTINCT tissue) AS n FROM x GROUP BY ALL HAVING count(DISTINCT tissue) > 1", "junctions")
+@query("j14_route_reads", "SELECT user_id % 7 AS shard, count(*) AS n FROM events WHERE user_id IS NOT NULL GROUP BY 1")
 def _(c):
-    """All isoforms; j13_structure_match and a20_global_ids are held to SQL over ids under 400."""
-    x = structures(c, True).groupBy("seqid", "strand", "exons").agg(F.countDistinct("tissue").alias("n")).filter("n > 1")
-    return x.select("seqid", F.array_join(F.transform("exons", lambda e: e.cast("string")), ",").alias("exons"), "n")
-
-
-@query("a20_global_ids_all", f", x AS ({_STRUCT_ALL}) SELECT tissue, count(*) AS n, count(DISTINCT (seqid, exons)) AS ids FROM x GROUP BY 1", "junctions")
-def _(c):
-    return t.global_ids(structures(c, True)).groupBy("tissue").agg(F.count("*").alias("n"), F.countDistinct("new_id").alias("ids"))
-
-
-@query("j14_route_reads", "SELECT user_id % 7 AS shard, count(*) AS n FROM events WHERE user_id % 3 <> 0 GROUP BY 1")
-def _(c):
-    route = c.reads.filter("cb % 3 <> 0").select("cb", (F.col("cb") % 7).alias("shard")).distinct()
+    route = c.reads.filter("cb is not null").select("cb", (F.col("cb") % 7).alias("shard")).distinct()
     return c.reads.join(route, "cb").groupBy("shard").agg(F.count("*").alias("n"))
 
 
@@ -604,21 +573,14 @@ def _(c):
     return t.quartiles(c.obs, "score").select("cell_id", "bin")
 
 
-@query("w12_position", "SELECT isoform, tube, start, number, round((number - 0.5) / n, 6) AS norm_pos FROM (SELECT DISTINCT isoform, tube, start, number, max(number) OVER (PARTITION BY isoform) AS n FROM junctions) WHERE tube < 3", "junctions")
+@query("w12_position", "SELECT isoform, tube, start, number, round((number - 0.5) / n, 6) AS norm_pos FROM (SELECT DISTINCT isoform, tube, start, number, max(number) OVER (PARTITION BY isoform) AS n FROM junctions)", "junctions")
 def _(c):
-    x = c.junctions.withColumn("n", F.max("number").over(W.partitionBy("isoform"))).filter("tube < 3")
+    x = c.junctions.withColumn("n", F.max("number").over(W.partitionBy("isoform")))
     return rounded(x.select("isoform", "tube", "start", "number", ((F.col("number") - 0.5) / F.col("n")).alias("norm_pos")).distinct())
 
 
-@query("w13_ordered", "SELECT feature_id, row_number() OVER (ORDER BY exons DESC, length, feature_id) AS place FROM var WHERE gene = 'Brand#1'", "var")
-def _(c):
-    x = c.var.filter("gene = 'Brand#1'")
-    return x.select("feature_id", F.row_number().over(W.partitionBy("gene").orderBy(F.col("exons").desc(), "length", "feature_id")).alias("place"))
-
-
-@query("w13_ordered_all", "SELECT feature_id, row_number() OVER (PARTITION BY gene ORDER BY exons DESC, length, feature_id) AS place FROM var", "var")
+@query("w13_ordered", "SELECT feature_id, row_number() OVER (PARTITION BY gene ORDER BY exons DESC, length, feature_id) AS place FROM var", "var")
 def _(c):
-    """Every gene; w13_ordered is held to SQL over one."""
     return c.var.select("feature_id", F.row_number().over(W.partitionBy("gene").orderBy(F.col("exons").desc(), "length", "feature_id")).alias("place"))
 
 
@@ -669,9 +631,9 @@ def _(c):
     return t.without_collisions(c.runs)
 
 
-@query("u05_votes", ", a AS (SELECT DISTINCT gene FROM var WHERE exons > 48), b AS (SELECT DISTINCT gene FROM var WHERE length > 1095), d AS (SELECT DISTINCT gene FROM var WHERE feature_id % 90 = 1) SELECT gene, (a.gene IS NOT NULL)::INT + (b.gene IS NOT NULL)::INT + (d.gene IS NOT NULL)::INT AS votes FROM a FULL JOIN b USING (gene) FULL JOIN d USING (gene)", "var")
+@query("u05_votes", ", a AS (SELECT DISTINCT gene FROM var WHERE exons > 48), b AS (SELECT DISTINCT gene FROM var WHERE length > 1095), d AS (SELECT DISTINCT gene FROM var WHERE exons < 2) SELECT gene, (a.gene IS NOT NULL)::INT + (b.gene IS NOT NULL)::INT + (d.gene IS NOT NULL)::INT AS votes FROM a FULL JOIN b USING (gene) FULL JOIN d USING (gene)", "var")
 def _(c):
-    sets = [c.var.filter(w).select("gene").distinct().withColumn(f"v{i}", F.lit(1)) for i, w in enumerate(("exons > 48", "length > 1095", "feature_id % 90 = 1"))]
+    sets = [c.var.filter(w).select("gene").distinct().withColumn(f"v{i}", F.lit(1)) for i, w in enumerate(("exons > 48", "length > 1095", "exons < 2"))]
     x = sets[0].join(sets[1], "gene", "full_outer").join(sets[2], "gene", "full_outer").fillna(0)
     return x.select("gene", (F.col("v0") + F.col("v1") + F.col("v2")).alias("votes"))
 

@@ -257,7 +257,7 @@ def test_cliffs_delta_of_every_gene(spark):
     for r in entropies(Carriers(spark, d)).collect():
         cells.setdefault(r.gene, {True: [], False: []})[r.arm].append(round(r.h, 12))
     want = {g: np.sign(np.subtract.outer(a[True], a[False])).mean() for g, a in cells.items() if a[True] and a[False]}
-    assert len(want) > 3 and {r.gene: r.cliff for r in QUERIES["s23_cliffs_delta_all"](spark, d).collect()} == pytest.approx(want, abs=1e-6)
+    assert len(want) > 3 and {r.gene: r.cliff for r in QUERIES["s23_cliffs_delta"](spark, d).collect()} == pytest.approx(want, abs=1e-6)
 
 
 def junctions_fixture(spark):
