@@ -273,8 +273,8 @@ def test_structures_of_every_isoform(spark, monkeypatch):
 
     c = junctions_fixture(spark)
     monkeypatch.setattr(registry, "Carriers", lambda *_: c)
-    assert sorted(tuple(r) for r in QUERIES["j13_structure_match_all"](spark, "").collect()) == [("g", "1", 2), ("h", "1", 2)]
-    assert sorted(tuple(r) for r in QUERIES["a20_global_ids_all"](spark, "").collect()) == [("A", 2, 2), ("N", 1, 1), ("R", 2, 2)]
+    assert sorted(tuple(r) for r in QUERIES["j13_structure_match"](spark, "").collect()) == [("g", "1", 2), ("h", "1", 2)]
+    assert sorted(tuple(r) for r in QUERIES["a20_global_ids"](spark, "").collect()) == [("A", 2, 2), ("N", 1, 1), ("R", 2, 2)]
 
 
 def test_sources_and_joins_of_every_isoform(spark, monkeypatch):
@@ -283,10 +283,10 @@ def test_sources_and_joins_of_every_isoform(spark, monkeypatch):
 
     d = "/root/testdata/sf0.001"
     all_counts = Carriers(spark, d).counts.agg(F.sum("count")).first()[0]
-    x = QUERIES["j04_full_outer_all"](spark, d).agg(*(F.sum(n) for n in "abk")).first()
-    assert min(x) > 0 and sum(x) == all_counts == QUERIES["j05_lookup_all"](spark, d).agg(F.sum("a")).first()[0]
-    assert QUERIES["w13_ordered_all"](spark, d).count() == Carriers(spark, d).var.count()
+    x = QUERIES["j04_full_outer"](spark, d).agg(*(F.sum(n) for n in "abk")).first()
+    assert min(x) > 0 and sum(x) == all_counts == QUERIES["j05_lookup"](spark, d).agg(F.sum("a")).first()[0]
+    assert QUERIES["w13_ordered"](spark, d).count() == Carriers(spark, d).var.count()
     c = junctions_fixture(spark)
     monkeypatch.setattr(registry, "Carriers", lambda *_: c)
-    assert {r.transcript_id: r.exons for r in QUERIES["io08_gff_transcripts_all"](spark, "").collect()} == {"T7": "1-9", "T5007": "1-9", "T5008": "2-8"}
-    assert sorted(tuple(r) for r in QUERIES["io12_rewrite_attributes_all"](spark, "").collect()) == [(0, 1), (1, 2)]
+    assert {r.transcript_id: r.exons for r in QUERIES["io08_gff_transcripts"](spark, "").collect()} == {"T7": "1-9", "T5007": "1-9", "T5008": "2-8"}
+    assert sorted(tuple(r) for r in QUERIES["io12_rewrite_attributes"](spark, "").collect()) == [(0, 1), (1, 2)]
