@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,31 @@ def n_words(text: Column) -> Column:
     return F.when(F.coalesce(inner, F.lit("")) == "", 0).otherwise(F.size(F.split(inner, r"[\x20\x09-\x0D]+", -1))).cast("long")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is worked out once."""
+    return F.transform(F.array(value), body)[0]
+
+
+class Sealed:
+    """A table whose columns have names of their own (in0, in1, ...), so that none clashes with an operator's."""
+
+    def __init__(self, df: DataFrame, *made: str):
+        """made: the operator's columns, which replace those of these names."""
+        df = df.drop(*made)
+        self.names = df.columns
+        self.df = df.toDF(*(f"in{i}" for i in range(len(self.names))))
+
+    def __getitem__(self, name: str) -> str:
+        """What a column is called inside."""
+        at = self.names.index(name) if name in self.names else [x.lower() for x in self.names].index(name.lower())
+        return f"in{at}"
+
+    def opened(self, df: DataFrame, *made: str | Column, without: tuple[str, ...] = ()) -> DataFrame:
+        """df with the old names, but for the columns without, then the columns made."""
+        gone = {self[x] for x in without}
+        return df.select(*(F.col(f"in{i}").alias(n) for i, n in enumerate(self.names) if f"in{i}" not in gone), *made)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -46,10 +72,26 @@ def shared_folder(spark: SparkSession) -> str:
     return named
 
 
+#: What cut() and stored() have written, for cleared().
+_written: list[str] = []
+
+
 def cut(df: DataFrame) -> DataFrame:
     """df, written to the cluster's checkpoint folder and read from there, so that a lost executor loses nothing."""
     shared_folder(df.sparkSession)
-    return df.checkpoint()
+    out = df.checkpoint()
+    file = out._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+    if file.isDefined():
+        _written.append(file.get())
+    return out
+
+
+def cleared(spark: SparkSession, *kept: str) -> None:
+    """Deletes what cut() and stored() of this process have written but for the paths kept. Call it when nothing reads that any more."""
+    for path in [x for x in _written if x not in kept]:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        _written.remove(path)
 
 
 def slim(df: DataFrame) -> DataFrame:
@@ -62,4 +104,5 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """df, written as Parquet to the shared folder and read again."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    _written.append(path)
     return df.sparkSession.read.parquet(path)

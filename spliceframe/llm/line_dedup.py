@@ -3,7 +3,7 @@
 Build: every distinct key hash of the corpus goes to a shard; a shard's keys get a minimal perfect hash (levels of bit
 arrays, about 4 bits a key) whose slots index three arrays: a 32-bit fingerprint, the number of documents (8 bits,
 saturating), and the largest document id. Probe: documents send only key hashes; a task streams them past the arrays of
-one shard at a time. Texts are never shuffled for this, and lines are never joined with lines.
+one shard at a time. Lines are never joined with lines.
 
 A shard that gets many probes (one line may be in a third of all documents) is dealt to several tasks, each with a copy
 of the arrays. Memory is bounded by one shard's arrays and one Arrow batch.
@@ -18,8 +18,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
-from spliceframe.llm.common import SPACES, ascii_lower, cut, partitions
+from spliceframe.llm.common import SPACES, Sealed, ascii_lower, cut, partitions
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)  # splitmix64
 _NO_ID = -(2**63)
@@ -167,6 +168,11 @@ def repeated_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, shar
     return dealt.mapInPandas(probe, "doc long, h long").groupBy("doc").agg(F.collect_set("h").alias("drops"))
 
 
+def _gone(places: pd.Series, hashes: pd.Series, drops: pd.Series) -> pd.Series:
+    """The places of a document's long lines whose hashes are among those to drop; null where there are none."""
+    return pd.Series([None if d is None else np.asarray(p, np.int32)[np.isin(h, d)] for p, h, d in zip(places, hashes, drops, strict=True)], dtype=object)
+
+
 def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, id_col: str = "doc_id", text_col: str = "text", **more: int) -> DataFrame:
     """docs with text_col rewritten, and n_lines (before dropping) and n_dropped.
 
@@ -174,20 +180,22 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, id_col:
     min_chars code points or more that min_docs documents or more hold loses all its lines, except those in the largest
     id_col that holds it. Null or empty: one empty line, text "". Rows with one id count as one document. min_docs is
     255 at most, the counts' limit. Columns n_lines and n_dropped of docs are replaced.
+
+    The join that brings a document its lines to drop moves texts by id, unless that side is small enough to broadcast.
     """
     if not 1 <= min_docs <= 255:
         raise ValueError("min_docs must be from 1 to 255")
-    drops = repeated_lines(docs, min_chars, min_docs, id_col=id_col, text_col=text_col, **more).select(F.col("doc").alias("_ld_doc"), F.col("drops").alias("_ld_drops"))
-    joined = docs.drop("n_lines", "n_dropped").join(drops, F.coalesce(F.col(id_col), F.lit(_NO_ID)).cast("long") == F.col("_ld_doc"), "left")
-
-    def stays(line: Column) -> Column:
-        key = F.btrim(ascii_lower(line), F.lit(SPACES))
-        return ~((F.length(key) >= min_chars) & F.array_contains(F.col("_ld_drops"), _h(key)))
-
-    lines = _lines(F.col(text_col))
-    joined = joined.withColumn("_ld_kept", F.when(F.col("_ld_drops").isNull(), lines).otherwise(F.filter(lines, stays)))
-    joined = joined.withColumn("n_lines", F.size(lines).cast("long")).withColumn("n_dropped", (F.size(lines) - F.size("_ld_kept")).cast("long"))
-    return joined.withColumn(text_col, F.array_join("_ld_kept", "\n")).drop("_ld_doc", "_ld_drops", "_ld_kept")
+    drops = repeated_lines(docs, min_chars, min_docs, id_col=id_col, text_col=text_col, **more)
+    s = Sealed(docs, "n_lines", "n_dropped")
+    text = F.col(s[text_col])
+    x = s.df.join(drops, F.coalesce(F.col(s[id_col]), F.lit(_NO_ID)).cast("long") == F.col("doc"), "left").withColumn("lines", _lines(text))
+    keyed = F.transform("lines", lambda line, i: F.struct(i.alias("i"), F.btrim(ascii_lower(line), F.lit(SPACES)).alias("key")))
+    long = F.transform(F.filter(keyed, lambda v: F.length(v["key"]) >= min_chars), lambda v: F.struct(v["i"].alias("i"), _h(v["key"]).alias("h")))
+    x = x.withColumn("long", F.when(F.col("drops").isNotNull(), long)).withColumn("gone", F.pandas_udf(_gone, ArrayType(IntegerType()))("long.i", "long.h", "drops"))
+    left = F.transform(F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone")), lambda i: F.col("lines")[i])
+    kept = F.when(F.col("gone").isNull(), F.coalesce(text, F.lit(""))).otherwise(F.array_join(left, "\n"))
+    x = x.withColumn(s[text_col], kept).withColumn("n_lines", F.size("lines").cast("long")).withColumn("n_dropped", F.coalesce(F.size("gone"), F.lit(0)).cast("long"))
+    return s.opened(x, "n_lines", "n_dropped")
 
 
 def op10(spark, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from spliceframe.llm.common import cut, n_words
+from spliceframe.llm.common import Sealed, cut, n_words, table
 
 _GOLDEN = 2654435769  # 2**32 over the golden ratio, to the nearest odd number
 _CELLS, _CHUNK = 4096, 65536
@@ -61,19 +61,16 @@ def _schedule(sources: DataFrame, n_slots: int) -> DataFrame:
     return ranked.unionByName(late.select((F.lit(n_slots) + F.col("rank")).alias("pos"), "src", "rank"))
 
 
-def mix(docs: DataFrame, weights: tuple = (5, 2, 1), share: float = 1.5, most: float = 2.0, block_words: int = 1024, seed: int = 0, id_col: str = "doc_id", source_col: str = "source", size_col: str = "size") -> tuple[DataFrame, DataFrame]:
-    """(placed, taken blocks).
+def mix(docs: DataFrame, weights: tuple = (5, 2, 1), share: float = 1.5, most: float = 2.0, block_words: int = 1024, seed: int = 0) -> tuple[DataFrame, DataFrame]:
+    """(placed, taken blocks) of docs (id, src, size, copies), where size is of all copies together.
 
     placed: docs with source_size, target and at (the document's first word on its source's line). Taken blocks:
-    (src, block, first_pos, whole, part): the slot that takes the block first, the times it is taken whole, and the
-    words of it that the source's last slot takes. size_col null or negative counts as 0; a null source is a source.
-    Rows with the same id and size may swap places; what the source takes stays the same.
+    (src, block, first_pos, whole, part, block_words): the slot that takes the block first, the times it is taken whole,
+    and the words of it that the source's last slot takes.
     """
     if share >= most:
         raise ValueError("share must be below most")
-    docs = docs.drop("source_size", "target", "at")
-    size = F.greatest(F.coalesce(F.col(size_col), F.lit(0)), F.lit(0)).cast("long")
-    sources = cut(source_targets(docs.select(F.col(source_col).alias("src"), size.alias("size")), weights, share, most))
+    sources = cut(source_targets(docs.select("src", "size"), weights, share, most))
     words, rows = sources.agg(F.sum("target"), F.sum("n_rows")).first()
     block = max(block_words, int(words or 0) // 2**30)  # the integer points repeat after 2**31 slots
     goal = F.floor("target")
@@ -85,19 +82,18 @@ def mix(docs: DataFrame, weights: tuple = (5, 2, 1), share: float = 1.5, most: f
     digits = 1
     while 16**digits * 20_000 < (rows or 0):
         digits += 1
-    key = F.md5(F.concat_ws(":", F.col(id_col).cast("string"), F.lit(str(seed))))
-    dealt = docs.withColumn("_mx_size", size).withColumn("_mx_key", key).withColumn("_mx_bucket", F.substring("_mx_key", 1, digits))
-    sums = dealt.groupBy(F.col(source_col).alias("_mx_src"), F.col("_mx_bucket").alias("_mx_b")).agg(F.sum("_mx_size").alias("n"))
-    sums = sums.withColumn("_mx_before", F.coalesce(F.sum("n").over(W.partitionBy("_mx_src").orderBy("_mx_b").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("n")
-    facts = sources.select(F.col("src").alias("_mx_s"), "source_size", "target")
-    sums = sums.join(facts, F.col("_mx_src").eqNullSafe(F.col("_mx_s")))
-    inside = W.partitionBy(source_col, "_mx_bucket").orderBy("_mx_key", F.col(id_col), "_mx_size").rowsBetween(W.unboundedPreceding, -1)
-    placed = dealt.join(sums, F.col(source_col).eqNullSafe(F.col("_mx_src")) & (F.col("_mx_bucket") == F.col("_mx_b")))
-    placed = placed.withColumn("at", F.col("_mx_before") + F.coalesce(F.sum("_mx_size").over(inside), F.lit(0)))
-    placed = placed.drop(size_col).withColumnRenamed("_mx_size", size_col).drop("_mx_key", "_mx_bucket", "_mx_src", "_mx_b", "_mx_s", "_mx_before")
+    key = F.md5(F.concat_ws(":", F.col("id").cast("string"), F.lit(str(seed))))
+    dealt = docs.withColumn("key", key).withColumn("bucket", F.substring("key", 1, digits))
+    sums = dealt.groupBy(F.col("src").alias("s"), F.col("bucket").alias("b")).agg(F.sum("size").alias("n"))
+    sums = sums.withColumn("before", F.coalesce(F.sum("n").over(W.partitionBy("s").orderBy("b").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("n")
+    facts = sources.select(F.col("src").alias("s2"), "source_size", "target")
+    sums = sums.join(facts, F.col("s").eqNullSafe(F.col("s2"))).drop("s2")
+    inside = W.partitionBy("src", "bucket").orderBy("key", "id", "size").rowsBetween(W.unboundedPreceding, -1)
+    placed = dealt.join(sums, F.col("src").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
+    placed = placed.withColumn("at", F.col("before") + F.coalesce(F.sum("size").over(inside), F.lit(0))).select("id", "src", "size", "copies", "source_size", "target", "at")
 
     slots = _schedule(sources, int(sources.agg(F.sum("quota")).first()[0] or 0))
-    slots = slots.join(sources.select(F.col("src").alias("_s"), "source_size", "blocks", "quota", "more"), F.col("src").eqNullSafe(F.col("_s")))
+    slots = slots.join(sources.select(F.col("src").alias("s"), "source_size", "blocks", "quota", "more"), F.col("src").eqNullSafe(F.col("s")))
     slots = slots.withColumn("block", F.pmod("rank", "blocks")).withColumn("long", F.least(F.lit(block), F.col("source_size") - F.col("block") * block))
     slots = slots.withColumn("take", F.when((F.col("more") > 0) & (F.col("rank") == F.col("quota") - 1), F.least("long", F.col("more") - F.col("block") * block)).otherwise(F.col("long")))
     whole = F.col("take") == F.col("long")
@@ -108,26 +104,37 @@ def mix(docs: DataFrame, weights: tuple = (5, 2, 1), share: float = 1.5, most: f
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", size_col: str = "size", **how) -> DataFrame:
     """docs with size_col, source_size, target, taken (words that the mix takes, repeats counted) and mix_at.
 
-    mix_at: the slot of the mix that brings the document first; null if nothing of it is taken. A document that lies
-    over several blocks is joined to each of them.
+    mix_at: the slot of the mix that brings the document first; null if nothing of it is taken. size_col null or negative
+    counts as 0; a null source is a source. A document that lies over several blocks is joined to each of them. Rows with
+    one id, source and size lie on the line as one and share its words alike, rounded down. Only these three columns go
+    through the mix; the others (texts) are joined once, to the result. Columns source_size, target, taken and mix_at of
+    docs are replaced.
     """
-    placed, blocks = mix(docs.drop("taken", "mix_at"), id_col=id_col, source_col=source_col, size_col=size_col, **how)
+    s = Sealed(docs, "source_size", "target", "taken", "mix_at")
+    size = F.greatest(F.coalesce(F.col(s[size_col]), F.lit(0)), F.lit(0)).cast("long")
+    rows = s.df.withColumn(s[size_col], size)
+    keys = [s[id_col], s[source_col], s[size_col]]
+    narrow = cut(rows.groupBy(*(F.col(k).alias(n) for k, n in zip(keys, ("id", "src", "one"), strict=True))).agg(F.count("*").alias("copies")).withColumn("size", F.col("one") * F.col("copies")).drop("one"))
+    placed, blocks = mix(narrow, **how)
     block = blocks.select("block_words").first()
     block = block[0] if block else 1
-    lies = placed.filter(F.col(size_col) > 0).select(F.col(source_col).alias("src"), "at", (F.col("at") + F.col(size_col)).alias("end"))
+    lies = placed.filter(F.col("size") > 0).select("src", "at", (F.col("at") + F.col("size")).alias("end"))
     lies = lies.withColumn("b", F.explode(F.sequence(F.floor(F.col("at") / block), F.floor((F.col("end") - 1) / block))))
-    b = blocks.select(F.col("src").alias("_src"), "block", "first_pos", "whole", "part")
+    b = blocks.select(F.col("src").alias("s"), "block", "first_pos", "whole", "part")
     lo, hi = F.greatest(F.col("at"), F.col("b") * block), F.least(F.col("end"), (F.col("b") + 1) * block)
     words = F.col("whole") * (hi - lo) + F.greatest(F.lit(0), F.least(hi, F.col("b") * block + F.col("part")) - lo)
-    got = lies.join(b, F.col("src").eqNullSafe(F.col("_src")) & (F.col("b") == F.col("block"))).withColumn("words", words).filter("words > 0")
-    got = got.groupBy(F.col("src").alias("_mx_src"), F.col("at").alias("_mx_at")).agg(F.sum("words").alias("_mx_words"), F.min("first_pos").alias("mix_at"))
-    mine = F.col(source_col).eqNullSafe(F.col("_mx_src")) & (F.col("at") == F.col("_mx_at")) & (F.col(size_col) > 0)
-    return placed.join(got, mine, "left").withColumn("taken", F.coalesce(F.col("_mx_words"), F.lit(0)).cast("long")).drop("_mx_src", "_mx_at", "_mx_words", "at")
+    got = lies.join(b, F.col("src").eqNullSafe(F.col("s")) & (F.col("b") == F.col("block"))).withColumn("words", words).filter("words > 0")
+    got = got.groupBy(F.col("src").alias("s"), F.col("at").alias("a")).agg(F.sum("words").alias("words"), F.min("first_pos").alias("mix_at"))
+    dealt = placed.join(got, F.col("src").eqNullSafe(F.col("s")) & (F.col("at") == F.col("a")) & (F.col("size") > 0), "left")
+    taken = F.floor(F.coalesce(F.col("words"), F.lit(0)) / F.col("copies")).cast("long")
+    dealt = dealt.select("id", "src", (F.col("size") / F.col("copies")).cast("long").alias("one"), "source_size", "target", taken.alias("taken"), "mix_at")
+    out = rows.join(dealt, F.col(keys[0]).eqNullSafe(F.col("id")) & F.col(keys[1]).eqNullSafe(F.col("src")) & (F.col(keys[2]) == F.col("one")))
+    return s.opened(out, "source_size", "target", "taken", F.when(F.col("taken") > 0, F.col("mix_at")).alias("mix_at"))
 
 
 def op6(spark, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", n_words(F.col("text")).alias("size"))
-    return mix_sources(cut(docs)).select("doc_id", "size", "source_size", "target", "taken")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", n_words(F.col("text")).alias("size"))
+    return mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken", "mix_at")
 
 
 OP6_SQL = r"""
@@ -139,11 +146,27 @@ o AS (SELECT *, (sum(source_size) OVER ())::DOUBLE * 1.5::DOUBLE
     sum(w) OVER (ORDER BY lim / w, source NULLS FIRST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS opn FROM w),
 f AS (SELECT *, lft / opn > lim / w AS is_full FROM o),
 t AS (SELECT source, source_size, CASE WHEN is_full THEN lim ELSE w * (SELECT arg_max(lft / opn, opn) FROM f WHERE NOT is_full) END AS target FROM f),
-p AS (SELECT d.doc_id, d.size, t.source_size, t.target, floor(t.target)::BIGINT AS goal,
+p AS (SELECT d.doc_id, d.source, d.size, t.source_size, t.target, floor(t.target)::BIGINT AS goal,
     coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY md5(concat_ws(':', doc_id::VARCHAR, '0')), doc_id, size
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS a
-  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target,
-  CASE WHEN size = 0 THEN 0 ELSE (goal // source_size) * size + greatest(0, least(a + size, goal % source_size) - a) END::BIGINT AS taken
-FROM p
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+bw AS (SELECT greatest(1024, floor(coalesce(sum(target), 0))::BIGINT // 1073741824) AS bw FROM t),
+q AS (SELECT source, source_size, target, bw, floor(target)::BIGINT % source_size AS more, ceil(source_size / bw)::BIGINT AS blocks,
+    (floor(target)::BIGINT // source_size) * ceil(source_size / bw)::BIGINT + ceil((floor(target)::BIGINT % source_size) / bw)::BIGINT AS quota FROM t, bw WHERE source_size > 0),
+r AS (SELECT *, coalesce(sum(target) OVER (ORDER BY source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) / sum(target) OVER (), 0) AS lo,
+    CASE WHEN row_number() OVER (ORDER BY source DESC NULLS FIRST) = 1 THEN 1 ELSE sum(target) OVER (ORDER BY source NULLS LAST ROWS UNBOUNDED PRECEDING) / sum(target) OVER () END AS hi FROM q),
+g AS (SELECT sum(quota)::BIGINT AS n FROM q),
+u AS (SELECT pos, (pos % 2147483648 * 2654435769) % 4294967296 / 4294967296 AS u FROM (SELECT unnest(range(0, n)) AS pos FROM g)),
+v AS (SELECT source, pos, row_number() OVER (PARTITION BY source ORDER BY pos) - 1 AS rk FROM u JOIN r ON u >= lo AND u < hi),
+had AS (SELECT source, count(*) AS had FROM v GROUP BY source),
+l AS (SELECT q.source, unnest(range(coalesce(had, 0), quota)) AS rk FROM q LEFT JOIN had ON q.source IS NOT DISTINCT FROM had.source WHERE coalesce(had, 0) < quota),
+z AS (SELECT source, pos, rk FROM v UNION ALL SELECT source, n + rk, rk FROM l, g),
+y AS (SELECT z.source, bw, rk % blocks AS block, min(pos) AS pos, count(*) FILTER (more = 0 OR rk < quota - 1 OR more - rk % blocks * bw >= least(bw, source_size - rk % blocks * bw)) AS n_whole,
+    coalesce(max(more - rk % blocks * bw) FILTER (more > 0 AND rk = quota - 1 AND more - rk % blocks * bw < least(bw, source_size - rk % blocks * bw)), 0) AS part
+  FROM z JOIN q ON z.source IS NOT DISTINCT FROM q.source WHERE rk < quota GROUP BY ALL),
+f1 AS (SELECT p.doc_id, min(pos) AS mix_at FROM p JOIN y ON p.source IS NOT DISTINCT FROM y.source AND block BETWEEN a // bw AND (a + size - 1) // bw
+  WHERE size > 0 AND (n_whole > 0 OR block * bw + part > a) GROUP BY p.doc_id)
+SELECT p.doc_id, size, source_size, target,
+  CASE WHEN size = 0 THEN 0 ELSE (goal // source_size) * size + greatest(0, least(a + size, goal % source_size) - a) END::BIGINT AS taken, mix_at
+FROM p LEFT JOIN f1 ON p.doc_id = f1.doc_id
 """

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spliceframe.llm.common import LOWER, UPPER, Sealed
 from spliceframe.llm.spans import count, marked, placed, told
 
 
@@ -59,9 +60,10 @@ class Kind:
     near: str  # words nearby that raise the score
     score: float
     base: bool = True
+    least: float = 0.0  # spans of a lower score are dropped
 
 
-#: The base kinds' patterns are fixed by the contract; iban is added.
+#: The base kinds' patterns are fixed by the contract; iban and ssn (which counts only with a word of its kind before it) are added.
 KINDS = (
     # [A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+
     Kind("email", r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", lambda m: F.lit(True), "mail|contact|write|kontakt|correo", 0.8),
@@ -72,54 +74,64 @@ KINDS = (
     # \+[0-9][\x20().0-9-]+[0-9]
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: F.length(digits(m)).between(8, 15), "phone|call|tel|mobile|fax", 0.6),
     Kind("iban", r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?", mod97, "iban|bank|account|konto|compte|cuenta", 0.8, base=False),
+    # [0-9]+(-[0-9]+)+
+    Kind("ssn", r"(?<![0-9])[0-9]++(?:-[0-9]++)++", lambda m: m.rlike("^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), "ssn|social security|tax id", 0.4, base=False, least=0.6),
 )
 _FOUND = "array<struct<kind:string,start:bigint,end:bigint,match:string,score:double>>"
 
 
-def _scored(text: Column, kind: Kind, parts: Column, context: int) -> Column:
-    def score(s: Column) -> Column:
-        first = F.greatest(F.lit(0), s["start"] - context)
-        before = F.lower(F.substr(text, (first + 1).cast("int"), (s["start"] - first).cast("int")))
-        score = F.lit(kind.score) + F.when(before.rlike(kind.near), 0.2).otherwise(0.0)
+def near(words: str) -> str:
+    """The pattern of one of these words, whole, in a text in lower case."""
+    return f"(^|[^a-z])({words})([^a-z]|$)"
+
+
+def _scored(kind: Kind, parts: Column, context: int) -> Column:
+    def scored(s: Column) -> Column:
+        close = F.translate(s["before"], UPPER, LOWER).rlike(near(kind.near))
+        score = F.when(close, round(kind.score + 0.2, 2)).otherwise(kind.score)
         return F.struct(F.lit(kind.name).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["match"].alias("match"), score.alias("score"))
 
-    spans = F.transform(F.filter(placed(parts), lambda s: kind.holds(s["match"])), score)
-    return F.when(F.size(parts) > 1, spans).otherwise(F.array().cast(_FOUND))
+    spans = F.transform(F.filter(placed(parts, context), lambda s: kind.holds(s["match"])), scored)
+    return F.when(F.size(parts) > 1, F.filter(spans, lambda s: s["score"] >= kind.least)).otherwise(F.array().cast(_FOUND))
 
 
 def find_pii(docs: DataFrame, text_col: str = "text", context: int = 40, kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
     """docs with pii: array of (kind, start, end, match, score), by kind in order, then start.
 
     Positions are code points, end exclusive. A kind's matches are leftmost and do not overlap; those that fail its
-    check are dropped and not tried again further in. score rises if a word of the kind lies within context code points
-    before the span. Null and empty texts have none. Columns named pii or starting with _pii_ are replaced.
+    check are dropped and not tried again further in. score, from 0 to 1, is 0.2 above the kind's own if a word of the kind
+    stands in the context code points before the span, back to the match before at most; spans below the kind's least
+    score are dropped (of the added kinds only, the base ones have none). Null and empty texts have none. A column pii
+    of docs is replaced.
     """
-    docs = docs.drop("pii", *(f"_pii_{k.name}" for k in kinds))
-    text = F.col(text_col)
-    for k in kinds:
-        docs = docs.withColumn(f"_pii_{k.name}", marked(text, k.pattern))
-    for k in kinds:
-        docs = docs.withColumn(f"_pii_{k.name}", _scored(text, k, F.col(f"_pii_{k.name}"), context))
-    return docs.withColumn("pii", F.concat(*(F.col(f"_pii_{k.name}") for k in kinds))).drop(*(f"_pii_{k.name}" for k in kinds))
+    s = Sealed(docs, "pii")
+    out = s.df
+    for i, k in enumerate(kinds):
+        out = out.withColumn(f"m{i}", marked(F.col(s[text_col]), k.pattern))
+    for i, k in enumerate(kinds):
+        out = out.withColumn(f"m{i}", _scored(k, F.col(f"m{i}"), context))
+    return s.opened(out, F.concat(*(F.col(f"m{i}") for i in range(len(kinds)))).alias("pii"))
 
 
 def op7(spark, sf_dir: str) -> DataFrame:
     docs = find_pii(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
     base = [k.name for k in KINDS if k.base]
     counts = [count(F.col("pii"), k) for k in base]
-    return docs.select("doc_id", *counts, F.sha2(told(F.filter("pii", lambda s: s["kind"].isin(base))), 256).alias("base_sha256"), told(F.col("pii")).alias("spans"))
+    scores = F.array_join(F.transform("pii", lambda s: F.round(s["score"] * 100).cast("int").cast("string")), ",")  # of the spans, in hundredths
+    return docs.select("doc_id", *counts, F.sha2(told(F.filter("pii", lambda s: s["kind"].isin(base))), 256).alias("base_sha256"), told(F.col("pii")).alias("spans"), scores.alias("scores"))
 
 
 def _sql_spans(kind: str, pattern: str, holds: str) -> str:
-    """(doc_id, kind, start, end) of the matches that pass."""
-    return f"""SELECT doc_id, kind, p AS s, p + length(m) AS e FROM (
-      SELECT doc_id, '{kind}' AS kind, ms[i] AS m,
+    """(doc_id, kind, start, end, what stands before) of the matches that pass."""
+    return f"""SELECT doc_id, kind, p AS s, p + length(m) AS e, before FROM (
+      SELECT doc_id, '{kind}' AS kind, ms[i] AS m, right(gaps[i], 40) AS before,
         list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS p
       FROM (SELECT doc_id, ms, gaps, unnest(range(1, len(ms) + 1)) AS i FROM (
         SELECT doc_id, regexp_extract_all(text, '{pattern}') AS ms, string_split_regex(text, '{pattern}') AS gaps FROM documents))) WHERE {holds}"""
 
 
 _DIGITS = "regexp_replace(m, '[^0-9]', '', 'g')"
+_LOWER = f"translate(before, '{UPPER}', '{LOWER}')"
 _BARE = "upper(regexp_replace(m, '[^A-Za-z0-9]', '', 'g'))"
 OP7_SQL = f"""
 WITH f AS (
@@ -128,9 +140,11 @@ WITH f AS (
   UNION ALL {_sql_spans("card", r"[0-9]([\x20-]?[0-9])+", f"length({_DIGITS}) BETWEEN 16 AND 19 AND list_sum(list_transform(range(1, length({_DIGITS}) + 1), lambda i: CASE WHEN i % 2 = 1 THEN substr(reverse({_DIGITS}), i, 1)::INT ELSE [0, 2, 4, 6, 8, 1, 3, 5, 7, 9][substr(reverse({_DIGITS}), i, 1)::INT + 1] END)) % 10 = 0")}
   UNION ALL {_sql_spans("phone", r"\+[0-9][\x20().0-9-]+[0-9]", f"length({_DIGITS}) BETWEEN 8 AND 15")}
   UNION ALL {_sql_spans("iban", r"[A-Z]{{2}}[0-9]{{2}}(\x20?[A-Z0-9]{{4}}){{2,7}}(\x20?[A-Z0-9]{{1,3}})?".replace("{{", "{").replace("}}", "}"), f"list_reduce(list_transform(string_split({_BARE}[5:] || {_BARE}[:4], ''), lambda c: CASE WHEN c <= '9' THEN c::BIGINT ELSE ascii(c) - 55 END), lambda a, d: (CASE WHEN d < 10 THEN a * 10 ELSE a * 100 END + d) % 97) = 1")}
-), k AS (SELECT *, list_position(['email', 'ip', 'card', 'phone', 'iban'], kind) AS o, kind || ':' || s || ':' || e AS told FROM f)
+  UNION ALL {_sql_spans("ssn", "[0-9]+(-[0-9]+)+", "regexp_full_match(m, '[0-9]{3}-[0-9]{2}-[0-9]{4}')")}
+), g AS (SELECT *, CASE kind {" ".join(f"WHEN '{k.name}' THEN {round(k.score * 100)} + 20 * regexp_matches({_LOWER}, '{near(k.near)}')::INT" for k in KINDS)} END AS score FROM f),
+k AS (SELECT *, list_position([{", ".join(f"'{k.name}'" for k in KINDS)}], kind) AS o, kind || ':' || s || ':' || e AS told FROM g WHERE kind <> 'ssn' OR score >= 60)
 SELECT d.doc_id, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip, count(*) FILTER (kind = 'card') AS n_card,
   count(*) FILTER (kind = 'phone') AS n_phone, sha256(coalesce(string_agg(told, ',' ORDER BY o, s) FILTER (o < 5), '')) AS base_sha256,
-  coalesce(string_agg(told, ',' ORDER BY o, s), '') AS spans
+  coalesce(string_agg(told, ',' ORDER BY o, s), '') AS spans, coalesce(string_agg(score::VARCHAR, ',' ORDER BY o, s), '') AS scores
 FROM documents d LEFT JOIN k ON d.doc_id = k.doc_id GROUP BY d.doc_id
 """

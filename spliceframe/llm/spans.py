@@ -1,4 +1,4 @@
-"""Positions of regular-expression matches in built-in functions, in linear time.
+"""Positions of regular-expression matches in built-in functions, in time n log n of a text and its matches.
 
 regexp_extract_all copies the text for every match; one regexp_replace that marks the matches, split at the marks, does not.
 """
@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_SPAN = "array<struct<start:bigint,end:bigint,match:string>>"
+from spliceframe.llm.common import let
+
 _OPEN, _SHUT = "\x01", "\x02"
 
 
@@ -22,22 +23,29 @@ def marked(text: Column, pattern: str) -> Column:
     return F.split(F.regexp_replace(plain, pattern, f"{_OPEN}$0{_SHUT}"), _OPEN, -1)
 
 
-def found(parts: Column) -> Column:
-    """The matches in marked()."""
-    return F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), lambda p: F.substring_index(p, _SHUT, 1))
+def running(values: Column) -> Column:
+    """Running sums of an array of bigint. Every pass adds what lies twice as far back as in the one before: n log n steps."""
+    steps = F.filter(F.array(*(F.lit(1 << k) for k in range(31))), lambda step: step < F.size(values))
+    return F.aggregate(steps, values, lambda sums, step: F.transform(sums, lambda x, i: x + F.when(i >= step, sums[i - step]).otherwise(0)))
+
+
+def placed(parts: Column, context: int = 0) -> Column:
+    """The matches in marked() as (start, end, match, before): code points, end exclusive; none for null.
+
+    before: what stands between the match before and this one, the last context code points of it.
+    """
 
+    def spans(parts: Column) -> Column:
+        lengths = F.transform(parts, lambda p, i: (F.length(p) - F.when(i > 0, 1).otherwise(0)).cast("bigint"))
 
-def placed(parts: Column) -> Column:
-    """The matches in marked() with their code points, end exclusive; none for null."""
-    start = F.struct(F.length(parts[0]).cast("bigint").alias("pos"), F.array().cast(_SPAN).alias("out"))
+        def span(ends: Column, p: Column, i: Column) -> Column:
+            match = F.substring_index(p, _SHUT, 1)
+            before = F.right(F.substring_index(parts[i], _SHUT, -1), F.lit(context)) if context else F.lit("")
+            return F.struct(ends[i].alias("start"), (ends[i] + F.length(match)).alias("end"), match.alias("match"), before.alias("before"))
 
-    def step(acc: Column, p: Column) -> Column:
-        match = F.substring_index(p, _SHUT, 1)
-        span = F.struct(acc["pos"].alias("start"), (acc["pos"] + F.length(match)).alias("end"), match.alias("match"))
-        return F.struct((acc["pos"] + F.length(p) - 1).alias("pos"), F.concat(acc["out"], F.array(span)).alias("out"))
+        return let(running(lengths), lambda ends: F.transform(F.slice(parts, 2, F.size(parts) - 1), lambda p, i: span(ends, p, i)))
 
-    none = F.array().cast(_SPAN)
-    return F.when(F.size(parts) > 1, F.aggregate(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), start, step, lambda acc: acc["out"])).otherwise(none)
+    return F.when(F.size(parts) > 1, let(parts, spans)).otherwise(F.array().cast("array<struct<start:bigint,end:bigint,match:string,before:string>>"))
 
 
 def told(spans: Column) -> Column:
