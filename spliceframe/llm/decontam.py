@@ -2,8 +2,8 @@
 
 A text's words give k-gram hashes; of every 8 consecutive 6-gram hashes the least is kept (the leftmost, if several are).
 Two texts that share 13 consecutive words share a window of 8 hashes and so keep the same one at the same place in it:
-no shared span of 13 words is missed. Kept hashes of documents and benchmark items are joined, and each hit fixes how
-the item lies on the document; along that diagonal words are compared and runs of 13 or more equal ones are marked.
+no shared span of 13 words is missed. Kept hashes of documents are joined with those of the benchmark; a hit extends to the
+windows of 13 words around it, which are looked up by digest among the items' windows.
 Items under 13 words are looked up whole: every document position gives a hash for each such length that occurs.
 """
 
@@ -11,9 +11,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
-from spliceframe.llm.common import ascii_lower, cut, table
-from spliceframe.llm.spans import marked, placed
+from spliceframe.llm.common import Sealed, ascii_lower, cut, let, table
 
 WINDOW, _K, _KEEP = 13, 6, 8  # _K + _KEEP - 1 words: the least shared span
 _GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -44,9 +44,9 @@ def fingerprints(df: DataFrame, words: str, short: list[int]) -> DataFrame:
     def new(x: Column, i: Column) -> Column:
         return (i == 0) | (x.bitwiseAND(F.lit(7)) + 1 != m[F.greatest(i - 1, F.lit(0))].bitwiseAND(F.lit(7)))
 
-    kept = F.transform(m, lambda x, i: F.when(new(x, i), F.struct((i + x.bitwiseAND(F.lit(7))).cast("int").alias("pos"), x.bitwiseAND(F.lit(-8)).alias("hash"))))
+    kept = F.transform(m, lambda x, i: F.when(new(x, i), F.struct((i + x.bitwiseAND(F.lit(7))).cast("int").alias("pos"), F.lit(WINDOW).alias("n"), x.bitwiseAND(F.lit(-8)).alias("hash"))))
     kept = F.filter(kept, lambda x: x.isNotNull())
-    more = [F.transform(_grams(F.col("_h"), n, F.lit(n)), lambda g, i: F.struct(i.cast("int").alias("pos"), g.alias("hash"))) for n in short]
+    more = [F.transform(_grams(F.col("_h"), n, F.lit(n)), lambda g, i: F.struct(i.cast("int").alias("pos"), F.lit(n).alias("n"), g.alias("hash"))) for n in short]
     return df.withColumn("fps", F.concat(kept, *more) if more else kept).drop("_h", "_m")
 
 
@@ -54,59 +54,78 @@ def _halves(least: Column, starts: Column, step: int) -> Column:
     return F.transform(starts, lambda x, i: F.least(x, least[i + step].bitwiseOR(F.lit(step))))
 
 
-_LONG = f"1{{{WINDOW},}}"
-
-
-def _compared(words: Column, m: Column) -> Column:
-    """The item laid on the document along one diagonal: 1 and 0 for equal and other words, from document word lo on."""
-    lo, hi = F.greatest(m["diag"], F.lit(0)), F.least(m["diag"] + F.size(m["words"]), F.size(words))
-    same = F.zip_with(F.slice(words, lo + 1, hi - lo), F.slice(m["words"], lo - m["diag"] + 1, hi - lo), lambda a, b: F.when(a == b, "1").otherwise("0"))
-    return F.struct(m["item"].alias("item"), lo.cast("int").alias("lo"), F.size(m["words"]).alias("n"), F.array_join(same, "").alias("told"))
-
-
-def _runs(m: Column) -> Column:
-    """Where the item's windows lie on the document: array of (start, end). m: _compared() with ones, its long runs of 1 marked."""
-    runs = F.transform(placed(m["ones"]), lambda s: F.struct((s["start"] + m["lo"]).cast("int").alias("start"), (s["end"] + m["lo"]).cast("int").alias("end")))
-    whole = F.when(m["told"] == F.repeat(F.lit("1"), m["n"]), F.array(F.struct(m["lo"].alias("start"), (m["lo"] + m["n"]).alias("end"))))
-    return F.when(m["n"] >= WINDOW, runs).otherwise(F.coalesce(whole, F.array().cast("array<struct<start:int,end:int>>")))
+def _digests(window: Column) -> list[Column]:
+    """128 bits of a window's text."""
+    return [F.xxhash64(window).alias("d1"), F.xxhash64(F.lit(7), window).alias("d2")]
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """docs with n_words, n_hit, n_items, items (ids as strings, sorted), hits (array of start and end word) and contaminated.
 
     A window is 13 consecutive words of an item, or a whole item of fewer; a document word inside any occurrence of a
-    window is hit; contaminated if at least one word and at least a twentieth of the words are. Null and empty texts
-    have no words. Repeated ids are judged row by row. Items without words, or with a null id, are never hit or are
-    counted as "". Columns of docs with these names are replaced.
+    window is hit; contaminated if at least one word and at least a twentieth of the words are. hits: the stretches of
+    words that are hit. Null and empty texts have no words. Repeated ids are judged row by row. Items without words are
+    never hit; a null item id counts as "". Columns of docs with these names are replaced.
+
+    A document's texts meet its own candidate places only: what joins the benchmark are hashes and digests. Windows are
+    told by 128 bits.
     """
-    docs = docs.drop("n_words", "n_hit", "n_items", "items", "hits", "contaminated")
-    items = cut(benchmark.select(F.monotonically_increasing_id().alias("uid"), F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"), words_of(F.col(item_text)).alias("words")).filter(F.size("words") > 0))
+    s = Sealed(docs, "n_words", "n_hit", "n_items", "items", "hits", "contaminated")
+    text = F.col(s[text_col])
+    items = cut(benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"), words_of(F.col(item_text)).alias("words")).filter(F.size("words") > 0))
     short = sorted(r[0] for r in items.filter(F.size("words") < WINDOW).select(F.size("words")).distinct().collect())
     # explode() would push a test of the array's size, and so a second, nested evaluation, below these steps
     theirs = fingerprints(items, "words", []).withColumn("all", F.col("fps"))
     for n in short:
-        whole = F.array(F.struct(F.lit(0).alias("pos"), F.xxhash64(F.lit(n), *(F.xxhash64(F.col("words")[j]) for j in range(n))).alias("hash")))
+        whole = F.array(F.struct(F.lit(0).alias("pos"), F.lit(n).alias("n"), F.xxhash64(F.lit(n), *(F.xxhash64(F.col("words")[j]) for j in range(n))).alias("hash")))
         theirs = theirs.withColumn("all", F.when(F.size("words") == n, whole).otherwise(F.col("all")))
-    theirs = cut(theirs.select("uid", F.explode_outer("all").alias("fp")).select("uid", F.col("fp.hash").alias("hash"), F.col("fp.pos").alias("ipos")))
-    if theirs.count() <= BROADCAST_ROWS:
-        theirs = F.broadcast(theirs)
-    ours = docs.select(F.col(id_col).alias("doc"), words_of(F.col(text_col)).alias("words"))
-    ours = fingerprints(ours, "words", short).select("doc", F.explode_outer("fps").alias("fp")).select("doc", F.col("fp.hash").alias("hash"), F.col("fp.pos").alias("pos"))
-    met = ours.join(theirs, "hash").select("doc", "uid", (F.col("pos") - F.col("ipos")).alias("diag")).distinct()
-    met = met.join(items, "uid").groupBy(F.col("doc").alias("_dc_doc")).agg(F.collect_list(F.struct("item", "diag", "words")).alias("_dc_met"))
-
-    out = docs.join(met, F.col(id_col).eqNullSafe(F.col("_dc_doc")), "left").withColumn("_dc_words", words_of(F.col(text_col)))
-    words = F.col("_dc_words")
-    out = out.withColumn("_dc_met", F.transform("_dc_met", lambda m: _compared(words, m)))
-    out = out.withColumn("_dc_met", F.transform("_dc_met", lambda m: F.struct(m["item"].alias("item"), m["lo"].alias("lo"), m["n"].alias("n"), m["told"].alias("told"), marked(m["told"], _LONG).alias("ones"))))
-    out = out.withColumn("_dc_runs", F.filter(F.transform("_dc_met", lambda m: F.struct(m["item"].alias("item"), _runs(m).alias("runs"))), lambda r: F.size(r["runs"]) > 0))
-    none = F.array().cast("array<string>")
-    out = out.withColumn("items", F.coalesce(F.array_sort(F.array_distinct(F.transform("_dc_runs", lambda r: r["item"]))), none))
-    out = out.withColumn("hits", F.coalesce(F.array_distinct(F.flatten(F.transform("_dc_runs", lambda r: r["runs"]))), F.array().cast("array<struct<start:int,end:int>>")))
-    hit = F.array_distinct(F.flatten(F.transform("hits", lambda r: F.sequence(r["start"], r["end"] - 1))))
-    out = out.withColumn("n_words", F.size("_dc_words").cast("long")).withColumn("n_hit", F.size(hit).cast("long")).withColumn("n_items", F.size("items").cast("long"))
-    out = out.withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * 20 >= F.col("n_words")))
-    return out.drop("_dc_doc", "_dc_met", "_dc_words", "_dc_runs")
+    theirs = _small(theirs.select(F.explode_outer("all.hash").alias("hash")).distinct())
+    length = F.least(F.size("words"), F.lit(WINDOW))
+    windows = items.select("item", F.explode_outer(F.transform(F.sequence(F.lit(0), F.size("words") - length), lambda i: F.array_join(F.slice("words", i + 1, length), " "))).alias("w"))
+    windows = _small(windows.select("item", *_digests(F.col("w"))).distinct())
+
+    # A row is its id and its text's hash: rows alike in both have the same hits.
+    texts = s.df.select(F.col(s[id_col]).alias("id"), F.xxhash64(text).alias("h"), text.alias("text"))
+    ours = fingerprints(texts.select("id", "h", words_of(F.col("text")).alias("words")), "words", short)
+    met = ours.select("id", "h", F.explode_outer("fps").alias("fp")).select("id", "h", "fp.*").join(theirs, "hash", "left_semi")
+    first = F.when(F.col("n") == WINDOW, F.greatest(F.col("pos") - (_KEEP - 1), F.lit(0))).otherwise(F.col("pos"))
+    met = met.select("id", "h", F.explode(F.transform(F.sequence(first, F.col("pos")), lambda i: F.struct(i.alias("start"), F.col("n").alias("n")))).alias("at"))
+    places = cut(met.groupBy("id", "h").agg(F.collect_set("at").alias("places")))
+    if places.count() <= BROADCAST_ROWS // 100:
+        places = F.broadcast(places)
+    places = places.withColumnsRenamed({"id": "i", "h": "g"})
+    near = texts.join(places, F.col("id").eqNullSafe(F.col("i")) & (F.col("h") == F.col("g"))).select("id", "h", "places", words_of(F.col("text")).alias("words"))
+    inside = F.filter("places", lambda p: p["start"] + p["n"] <= F.size("words"))
+    near = near.withColumn("seen", F.transform(inside, lambda p: F.struct(p["start"].alias("start"), (p["start"] + p["n"]).alias("end"), F.array_join(F.slice(F.col("words"), p["start"] + 1, p["n"]), " ").alias("w"))))
+    near = near.select("id", "h", F.explode_outer("seen").alias("at")).select("id", "h", "at.start", "at.end", *_digests(F.col("at.w")))
+    hits = cut(near.join(windows, ["d1", "d2"]).select("id", "h", "start", "end", "item").distinct())
+
+    by = W.partitionBy("id", "h").orderBy("start", "end")
+    reach = F.coalesce(F.max("end").over(by.rowsBetween(W.unboundedPreceding, -1)), F.lit(-1))
+    spans = hits.select("id", "h", "start", "end").distinct().withColumn("reach", reach)
+    spans = spans.withColumn("run", F.sum((F.col("start") > F.col("reach")).cast("long")).over(by.rowsBetween(W.unboundedPreceding, 0)))
+    spans = spans.groupBy("id", "h", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    spans = spans.groupBy("id", "h").agg(F.sum(F.col("end") - F.col("start")).alias("n_hit"), F.array_sort(F.collect_list(F.struct("start", "end"))).alias("hits"))
+    found = hits.groupBy(F.col("id").alias("i"), F.col("h").alias("g")).agg(F.array_sort(F.collect_set("item")).alias("items"))
+    found = found.join(spans, F.col("id").eqNullSafe(F.col("i")) & (F.col("h") == F.col("g"))).drop("id", "h")
+
+    out = s.df.withColumn("n_words", _count(text)).withColumn("h", F.xxhash64(text)).join(found, F.col(s[id_col]).eqNullSafe(F.col("i")) & (F.col("h") == F.col("g")), "left")
+    n_hit = F.coalesce(F.col("n_hit"), F.lit(0)).cast("long")
+    none = {"items": "array<string>", "hits": "array<struct<start:int,end:int>>"}
+    items, hits = (F.coalesce(F.col(c), F.array().cast(t)).alias(c) for c, t in none.items())
+    return s.opened(out, "n_words", n_hit.alias("n_hit"), F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"), items, hits, ((n_hit > 0) & (n_hit * 20 >= F.col("n_words"))).alias("contaminated"))
+
+
+def _small(df: DataFrame) -> DataFrame:
+    """df, cut, and broadcast if it has at most BROADCAST_ROWS rows."""
+    df = cut(df)
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def _count(text: Column) -> Column:
+    """Number of words."""
+    parts = F.split(F.coalesce(text, F.lit("")), _GAP.replace(r"\x60", r"\x40\x5B-\x60"), -1)  # the text has its capitals
+    return let(parts, lambda p: F.size(p) - (p[0] == "").cast("int") - ((F.size(p) > 1) & (F.element_at(p, -1) == "")).cast("int")).cast("long")
 
 
 def op3(spark, sf_dir: str) -> DataFrame:

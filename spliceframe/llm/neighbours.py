@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from spliceframe.llm.common import cut, partitions, table
+from spliceframe.llm.common import cut, table
 
 
 class SortedLines:
@@ -48,24 +48,30 @@ class SortedLines:
             before, half = now, half * growth
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times a power of 2 that brings the largest component to between 0.5 and 1: exact, and squares stay in range."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(1))[1][:, None])
+
+
 def usable(vector: Column) -> Column:
     """Whether a vector takes part: not null, not empty, not zero, all components finite."""
     bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     return F.coalesce(F.exists(vector, lambda x: x != 0) & ~bad, F.lit(False))
 
 
-def nearest(vectors: DataFrame, is_query: Column, k: int = 5, lines: int = 128, share: float = 0.6, verify: float = 0.1, least: int = 1_000, width: float = 0.4, growth: float = 1.1, block: int = 50_000, query_block: int = 5_000, seed: int = 5, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def nearest(vectors: DataFrame, is_query: Column, k: int = 5, lines: int = 128, share: float = 0.6, verify: float = 0.1, least: int = 250, width: float = 0.4, growth: float = 1.1, block: int = 10_000, query_block: int = 5_000, seed: int = 5, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, id_col, score): each query's k nearest others by cosine, nearest first, ties to the smaller id.
 
     Queries are the rows where is_query holds. verify: the share of a block's vectors, and least their number, that
-    collide often enough before windows stop. block and query_block bound a tile. Vectors that are null, empty, zero or hold a null or
+    collide often enough before windows stop (tables of up to least rows are verified whole). block and query_block bound a tile. Vectors that are null, empty, zero or hold a null or
     non-finite component take no part, nor do rows without an id; vectors of other lengths than the query's are no
-    candidates. A query that has k others or fewer gets all of them. Scores are exact, in double precision.
+    candidates. A query that has k others or fewer gets all of them. Scores are exact, in double precision, of vectors
+    scaled by powers of 2, so that no finite vector under- or overflows. What is found does not depend on the session.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"), F.coalesce(is_query, F.lit(False)).alias("q"))
     rows = cut(rows.filter(F.col("id").isNotNull() & usable(F.col("v"))).withColumn("dim", F.size("v")))
     n, n_q = rows.agg(F.count("*"), F.count_if("q")).first()
-    blocks, q_blocks = max(n // block + 1, min(partitions(vectors.sparkSession), n // 2000 + 1)), n_q // query_block + 1
+    blocks, q_blocks = n // block + 1, n_q // query_block + 1
     tiles = lambda c: F.explode(F.sequence(F.lit(0), F.lit(c - 1)))
     data = rows.select("id", "v", "dim", F.pmod(F.xxhash64("id", "v"), F.lit(blocks)).alias("b"), tiles(q_blocks).alias("qb"))
     queries = rows.filter("q").select("id", "v", "dim", F.pmod(F.xxhash64("id", "v", F.lit(1)), F.lit(q_blocks)).alias("qb"), tiles(blocks).alias("b"))
@@ -73,10 +79,10 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, lines: int = 128,
     def tile(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = {"query_id": [], "id": [], "score": []}
         if len(left) and len(right):
-            ids, raw = left["id"].to_numpy(), np.stack(left["v"].to_numpy())
+            ids, raw = left["id"].to_numpy(), scaled(np.stack(left["v"].to_numpy()))
             norm = np.sqrt((raw * raw).sum(1))
             index = SortedLines(raw / norm[:, None], lines, seed)
-            for q, v in zip(right["id"].to_numpy(), right["v"], strict=True):
+            for q, v in zip(right["id"].to_numpy(), scaled(np.stack(right["v"].to_numpy())), strict=True):
                 size = np.sqrt((v * v).sum())
                 met = index.candidates(v / size, max(k + 1, least, int(np.ceil(verify * len(ids)))), share, width, growth)
                 met = met[ids[met] != q]
