@@ -20,8 +20,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from spliceframe.llm.common import table
+from spliceframe.llm.common import Sealed, cut, table
 
 #: The score from which a text counts as toxic.
 CUT = 0.7
@@ -104,11 +105,14 @@ def train(texts: list[str | None], labels: np.ndarray, s: Settings = Settings())
         flat.extend(bag)
     g_all, g_at = np.frombuffer(flat, np.int32), np.cumsum(g_len) - g_len
     rng = np.random.default_rng(s.seed)
-    vectors = np.zeros((s.buckets, s.dim), np.float32)  # unseen n-grams say nothing; the softmax's start breaks the tie
     held_by = np.zeros(s.buckets, np.int32)
     for w in words:
         held_by[np.unique(g_all[_pieces(g_at[w], g_len[w])])] += 1
-    rare = held_by < max(3, s.least_share * len(y))
+    held = np.flatnonzero(held_by >= max(3, s.least_share * len(y)))
+    place = np.full(s.buckets, len(held))  # rare n-grams share the last place, whose vector stays 0
+    place[held] = np.arange(len(held))
+    g_all = place[g_all]
+    vectors = np.zeros((len(held) + 1, s.dim), np.float32)  # unseen n-grams say nothing; the softmax's start breaks the tie
     soft, bias = rng.normal(0, 1, s.dim), -2.0
     seen_v, seen_s, seen_b = np.full_like(vectors, 1e-4), np.full(s.dim, 1e-4), 1e-4
     per_label = len(y) / 2 / np.bincount(y, minlength=2)
@@ -130,17 +134,19 @@ def train(texts: list[str | None], labels: np.ndarray, s: Settings = Settings())
             back = s.scale * np.outer(slope, soft)
             back = np.repeat(back, lengths, axis=0) * share[:, None]
             back = np.stack([np.bincount(inverse, back[:, d], len(which)) for d in range(s.dim)], 1) / n[:, None]
-            step_v = np.stack([np.bincount(g, np.repeat(back[:, d], n), s.buckets) for d in range(s.dim)], 1).astype(np.float32)
+            step_v = np.stack([np.bincount(g, np.repeat(back[:, d], n), len(vectors)) for d in range(s.dim)], 1).astype(np.float32)
             seen_v += step_v**2
             seen_s += step_s**2
             seen_b += slope.sum() ** 2
-            step_v[rare] = 0
+            step_v[-1] = 0
             vectors -= rate * step_v / np.sqrt(seen_v)
             length = np.sqrt((vectors**2).sum(1, keepdims=True))
             vectors *= np.maximum(0, 1 - rate * s.shrink / np.maximum(length, 1e-12))
             soft -= rate * step_s / np.sqrt(seen_s)
             bias -= rate * slope.sum() / np.sqrt(seen_b)
-    return Model((vectors @ soft).astype(np.float32), float(bias), s)
+    weights = np.zeros(s.buckets, np.float32)
+    weights[held] = vectors[:-1] @ soft
+    return Model(weights, float(bias), s)
 
 
 def calibrated(model: Model, logits: np.ndarray, labels: np.ndarray, share: float) -> Model:
@@ -162,38 +168,39 @@ def calibrated(model: Model, logits: np.ndarray, labels: np.ndarray, share: floa
     return replace(model, bias=model.bias - cut + math.log(CUT / (1 - CUT)))
 
 
-def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
-    """Trains on labelled rows of docs outside the held-out third. The driver gets s.rows texts of each label at most.
+def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", folds: int = 3) -> Model:
+    """Trains on labelled rows of docs outside the held-out third: s.rows texts of each label at most.
 
     Rows without id or label take no part. Of repeated ids every text counts once; of more texts of a label than s.rows,
-    those with the least hashes of id and text.
+    those with the least hashes of id and text. The model is the mean of models that leave out a fold each (all is
+    linear, so weights and biases are averaged), calibrated on the logits that each gives its own left-out fold. Each is
+    trained in a task of its own; the driver gets weights and logits, not texts.
     """
     usable = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).filter("id is not null and y in (0, 1)").filter(~held_out(F.col("id")))
     order = [F.xxhash64("id"), F.col("id")]
     ids = [r for y in (0, 1) for r in usable.filter(F.col("y") == y).distinct().orderBy(*order).limit(s.rows).collect()]
     chosen = docs.sparkSession.createDataFrame(ids, "id long, y int")  # 2 * s.rows rows at most
-    found = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id").distinct().withColumn("h", order[0])
-    rows = []
-    for y in (0, 1):  # bounded label by label, so that none takes the other's places
-        mine = found.filter(F.col("y") == y).orderBy(F.xxhash64("id", "text"), "id", "text").limit(s.rows).collect()
-        rows += sorted(mine, key=lambda r: (r["h"], r["id"], r["text"] is not None, r["text"] or ""))
-    n = dict(usable.groupBy("y").count().collect())
-    return fitted([r["text"] for r in rows], np.array([r["y"] for r in rows], int), n.get(1, 0) / max(1, sum(n.values())), s)
-
-
-def fitted(texts: list[str | None], labels: np.ndarray, share: float, s: Settings = Settings(), folds: int = 3) -> Model:
-    """The mean of models that leave out a fold each (all is linear, so weights and biases are averaged), calibrated on the
-    logits that each gives its own left-out fold."""
-    fold = np.zeros(len(texts), int)
-    for v in set(labels):
-        fold[labels == v] = np.arange((labels == v).sum()) % folds  # each label in every fold
-    logits, models = np.zeros(len(texts)), []
-    for f in range(folds):
-        models.append(train([t for t, g in zip(texts, fold, strict=True) if g != f], labels[fold != f], s))
+    found = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id").distinct()
+    one, other = (found.filter(F.col("y") == y).orderBy(F.xxhash64("id", "text"), "id", "text").limit(s.rows) for y in (0, 1))  # so that no label takes the other's places
+    rows = cut(one.union(other).withColumn("h", order[0]))
+
+    def train_one(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.assign(none=pdf["text"].isna(), text=pdf["text"].fillna("")).sort_values(["y", "h", "id", "none", "text"], ignore_index=True)
+        y, left_out = pdf["y"].to_numpy(), pdf["model"].iat[0]
+        out = pdf.groupby("y").cumcount().to_numpy() % folds == left_out  # each label in every fold
+        model = train(pdf["text"][~out].tolist(), y[~out], s)
         known: dict[str, float] = {}
-        logits[fold == f] = [models[-1].logit(t, known) for t, g in zip(texts, fold, strict=True) if g == f]
-    mean = Model(np.mean([m.weights for m in models], axis=0), float(np.mean([m.bias for m in models])), s)
-    return calibrated(mean, logits, labels, share)
+        logits = np.array([model.logit(t, known) for t in pdf["text"][out]], np.float64)
+        return pd.DataFrame({"model": [left_out], "weights": [model.weights.tobytes()], "bias": [model.bias], "logits": [logits.tobytes()], "y": [y[out].astype(np.int64).tobytes()]})
+
+    each = rows.withColumn("model", F.explode(F.array(*map(F.lit, range(folds))))).repartition(folds, "model")
+    got = sorted(each.groupBy("model").applyInPandas(train_one, "model int, weights binary, bias double, logits binary, y binary").collect(), key=lambda r: r["model"])
+    if not got:
+        return train([], np.zeros(0, int), s)
+    n = dict(usable.groupBy("y").count().collect())
+    mean = Model(np.mean([np.frombuffer(r["weights"], np.float32) for r in got], axis=0), float(np.mean([r["bias"] for r in got])), s)
+    logits, y = (np.concatenate([np.frombuffer(r[c], t) for r in got]) for c, t in (("logits", np.float64), ("y", np.int64)))
+    return calibrated(mean, logits, y, n.get(1, 0) / max(1, sum(n.values())))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -203,22 +210,24 @@ def held_out(doc_id: Column) -> Column:
 _known: tuple[int, dict[str, float]] = (0, {})
 
 
-def score(docs: DataFrame, model: Model, text_col: str = "text", keep_text: bool = True) -> DataFrame:
-    """docs with score, from 0 to 1. Null and empty texts get the model's bias. A column score is replaced."""
-    docs = docs.drop("score")
-    out = docs if keep_text else docs.drop(text_col)
+def score(docs: DataFrame, model: Model, text_col: str = "text", keep_text: bool = True, score_col: str = "score") -> DataFrame:
+    """docs with score_col, from 0 to 1. Null and empty texts get the model's bias. A column of docs named score_col is replaced."""
+    s = Sealed(docs, score_col)
+    docs = s.df
+    out = docs if keep_text else docs.drop(s[text_col])
     held = docs.sparkSession.sparkContext.broadcast(model)
-    names, key = out.columns, zlib.crc32(model.weights.tobytes())
+    names, key, text = out.columns, zlib.crc32(model.weights.tobytes()), s[text_col]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         global _known
         if _known[0] != key:
             _known = (key, {})
         for pdf in batches:
-            scores = [held.value.score(t, _known[1]) for t in pdf[text_col]]
+            scores = [held.value.score(t, _known[1]) for t in pdf[text]]
             yield pdf[names].assign(score=scores)
 
-    return docs.mapInPandas(run, f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in out.schema)}, score double")
+    scored = docs.mapInPandas(run, StructType([*out.schema.fields, StructField("score", DoubleType())]))
+    return s.opened(scored, F.col("score").alias(score_col), without=() if keep_text else (text_col,))
 
 
 def op5(spark, sf_dir: str) -> DataFrame:
