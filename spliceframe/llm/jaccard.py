@@ -1,11 +1,14 @@
 """N-gram Jaccard join by PartEnum signatures.
 
 Texts become sets of hashed word shingles; equal sets are one node. Sets of like size form bands; two sets of one band's
-reach with a Jaccard index of 0.8 differ in at most k shingles. The shingle domain is cut into k + 1 parts, so such sets
-agree on at least one part whole: every part gives a signature (the one-level form of PartEnum: subsets of one part; in
-the two-level form with larger subsets a set has twice the signatures). A set enters its own band and, if it may reach it,
-the next one. Parts that hold nothing give no signature: a link is lost only if every shared shingle fell into a part
-with a difference. The parts are drawn anew, several times for small sets, until that is below 1e-12 for a link.
+reach with a Jaccard index of 0.8 differ in at most k shingles. The shingle domain is cut into parts and each part into
+second-level parts; a signature is what a set holds in all but one of a part's second-level parts, and every such subset
+is enumerated. With (k + 1) / 2 parts or more some part has at most one difference, so two such sets share a signature.
+A set enters its own band and, if it may reach it, the next one.
+
+An empty signature says nothing and would bring a percent of all sets together. There are more parts than that, so that
+sets agree on more signatures than they nearly ever have empty ones: these are left out, and the few sets that have as
+many give a second draw under each empty one's name. So no link is lost, and no step depends on luck.
 
 Nodes that share a signature are candidates. Small groups give all their pairs. In large ones a centre is compared with
 the rest, several rounds with other centres; a group is done once all its nodes are in one component, so a group of
@@ -18,6 +21,7 @@ from __future__ import annotations
 import math
 import pickle
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
@@ -80,28 +84,79 @@ def shingles(text: bytes | None, n: int = 5) -> np.ndarray:
     return pd.unique(_mix(total))
 
 
-def node_of(s: np.ndarray) -> int:
-    """One 64-bit number for a set."""
-    return int(np.array([_mix(s + _FACTORS[0]).sum(), _mix(s).sum()], np.uint64).view(np.int64) @ np.array([1, 31]))
+def node_of(s: np.ndarray, again: frozenset[int] = frozenset()) -> tuple[int, int]:
+    """128 bits of a set: its node, and what tells sets of one node apart. again: nodes that several sets had; they are named by both."""
+    a, b = np.array([_mix(s + _FACTORS[0]).sum(), _mix(s).sum()], np.uint64).view(np.int64)
+    node = int((np.array([a]) + np.array([b]) * 31)[0])
+    if node in again:
+        node = int(_mix(np.array([a, b]).view(np.uint64)).view(np.int64)[0])
+    return node, int(b)
+
+
+def _sums(x: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """Sums of 64-bit words by place. Halves of words add up exactly in doubles, for up to 2**20 of them."""
+    if len(x) > 1 << 20:
+        out = np.zeros(n, np.uint64)
+        np.add.at(out, at, x)
+        return out
+    low, high = (np.bincount(at, y.astype(np.float64), n).astype(np.uint64) for y in (x & np.uint64(2**32 - 1), x >> np.uint64(32)))
+    return (high << np.uint64(32)) + low
+
+
+@dataclass(frozen=True)
+class Plan:
+    """parts first-level parts of sub second-level parts each; a signature for every subset of sub - 1 of a part's sub."""
+
+    high: int  # the band's largest size
+    parts: int
+    sub: int
+
+    def agreeing(self, size: int, sim: float) -> int:
+        """On how many signatures a set of a size agrees, at least, with any that is similar to it and no larger than high.
+
+        They differ in at most k shingles. The first in a part costs all its signatures but one, the second that one.
+        """
+        k = math.floor((1 - sim) / (1 + sim) * (size + min(self.high, size / sim)) + 1e-9)
+        return self.sub * self.parts - (self.sub - 1) * min(k, self.parts) - min(max(k - self.parts, 0), self.parts)
+
+
+def plan(low: int, high: int, sim: float, tail: float = 1e-2) -> Plan:
+    """The fewest parts with which a set rarely (tail, or as rarely as a third more of them make it) has as many empty
+    signatures as it must agree on. Sets with few differences get 3 second-level parts, whose signatures hold more."""
+    k = math.floor((1 - sim) / (1 + sim) * 2 * high + 1e-9)
+    sub, best, least = 3 if k <= 16 else 2, None, -(-(k + 1) // 2)
+    for parts in range(least, least + least // 3 + 3):
+        p, rare = Plan(high, parts, sub), 0.0
+        for size in sorted({math.ceil(low * sim - 1e-9), low, (low + high) // 2, high}):
+            mean = sub * parts * (1 - (sub - 1) / (sub * parts)) ** size
+            term, under = math.exp(-mean), 0.0
+            for i in range(p.agreeing(size, sim)):
+                under += term
+                term *= mean / (i + 1)
+            rare = max(rare, 1 - under)
+        if best is None or rare < best[0]:
+            best = (rare, p)
+        if rare <= tail:
+            break
+    return best[1]
 
 
 class Bands:
-    """Sizes in bands [low, high] of ratio 1 / similarity, and what a band's signatures need."""
+    """Sizes in bands [low, high] of a ratio, and the plans of their signatures."""
+
+    RATIO = 1.4
 
     def __init__(self, similarity: float):
         self.sim = similarity
         self.lows = [max(1, math.floor(1 / (1 - similarity) - 1e-9) - 1)]  # smaller sets link with equal ones only
-        self.plans: list[tuple[int, int]] = []
+        self.plans: list[Plan] = []
         self._grow(1000)
 
     def _grow(self, most: int) -> None:
         while self.lows[-1] <= most:
             low = self.lows[-1]
-            high = max(low, math.floor(low / self.sim + 1e-9))
-            k = math.floor((1 - self.sim) / (1 + self.sim) * 2 * high + 1e-9)
-            dirty, shared = 1 - (1 - 1 / (k + 1)) ** k, max(1, math.ceil(self.sim**2 * low))
-            times = 1 if dirty == 0 else min(12, math.ceil(math.log(1e12) / (shared * -math.log(dirty))))
-            self.plans.append((k + 1, times))
+            high = max(low, math.floor(low * self.RATIO + 1e-9))
+            self.plans.append(plan(low, high, self.sim))
             self.lows.append(high + 1)
 
     def of(self, size: int) -> list[int]:
@@ -114,18 +169,30 @@ class Bands:
         last = int(np.searchsorted(self.lows, math.floor(size / self.sim + 1e-9), "right")) - 1
         return list(range(own, last + 1))
 
+    def _drawn(self, s: np.ndarray, band: int, draw: int) -> tuple[np.ndarray, np.ndarray]:
+        """Every signature of a band and which are empty."""
+        p = self.plans[band]
+        cells = p.parts * p.sub
+        seed = np.uint64((band * 2 + draw + 1) * int(_FACTORS[1]) % 2**64)
+        mixed = _mix(s ^ seed)
+        at = ((mixed >> np.uint64(20)) % np.uint64(cells)).astype(np.int64)
+        sums, held = _sums(mixed, at, cells).reshape(-1, p.sub), np.bincount(at, minlength=cells).reshape(-1, p.sub)
+        sums, held = (x.sum(1, keepdims=True) - x for x in (sums, held))  # a part without one of its second-level parts
+        return _mix(sums.ravel() + np.arange(1, cells + 1, dtype=np.uint64) * _FACTORS[2] + seed), held.ravel() == 0
+
     def signatures(self, s: np.ndarray) -> np.ndarray:
+        """Two sets that may be similar share one at least.
+
+        They agree on as many signatures as the plan says of either. A set gives those that hold a shingle; if it has as many empty
+        ones as that, it also gives, for each empty one, all of a second draw under the empty one's name.
+        """
         out = []
         for band in self.of(len(s)):
-            parts, times = self.plans[band]
-            for again in range(times):
-                seed = np.uint64((band * 16 + again + 1) * int(_FACTORS[1]) % 2**64)
-                mixed = _mix(s ^ seed)
-                at = ((mixed >> np.uint64(20)) % np.uint64(parts)).astype(np.int64)
-                sums = np.zeros(parts, np.uint64)
-                np.add.at(sums, at, mixed)
-                held = np.flatnonzero(np.bincount(at, minlength=parts))
-                out.append(_mix(sums[held] + (held.astype(np.uint64) + np.uint64(1)) * _FACTORS[2:3] + seed))
+            drawn, empty = self._drawn(s, band, 0)
+            out.append(drawn[~empty])
+            if empty.sum() >= self.plans[band].agreeing(len(s), self.sim):
+                again, _ = self._drawn(s, band, 1)
+                out.append(_mix(again[None, :] ^ _mix(drawn[empty] + _FACTORS[4])[:, None]).ravel())
         return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
@@ -163,50 +230,53 @@ def _near(sizes_a, sizes_b, distance, similarity: float):
     return distance * (1 + similarity) <= (1 - similarity) * (sizes_a + sizes_b) + 1e-6
 
 
-def _facts(docs: DataFrame, n: int) -> DataFrame:
+def _facts(docs: DataFrame, n: int, again: frozenset[int]) -> DataFrame:
     """(id, node, size, sketch, text) of documents (id, text) with words."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in (b.iloc[at : at + 500] for b in batches for at in range(0, len(b), 500)):
             sets = [shingles(t, n) for t in pdf["text"]]
-            out = pd.DataFrame({"id": pdf["id"], "node": [node_of(s) for s in sets], "size": [len(s) for s in sets], "sketch": [sketch(s) for s in sets], "text": pdf["text"]})
+            out = pd.DataFrame({"id": pdf["id"], "node": [node_of(s, again)[0] for s in sets], "size": [len(s) for s in sets], "sketch": [sketch(s) for s in sets], "text": pdf["text"]})
             yield out[out["size"] > 0]
 
     return docs.mapInPandas(run, "id long, node long, size long, sketch binary, text binary")
 
 
-def _signed(docs: DataFrame, n: int, similarity: float) -> DataFrame:
-    """(sig, node, size): a row for each signature of a set (size -1), and (id, node, size) for each document.
+def _signed(docs: DataFrame, n: int, similarity: float, again: frozenset[int]) -> DataFrame:
+    """(sig, node, size): a row for each signature of a set (size -1), (id, node, size) for each document, and with size -2 the
+    rest of a set's 128 bits.
 
     A task drops the signatures of a set equal to one it has just signed.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: set[int] = set()
+        seen: set[tuple[int, int]] = set()
         for pdf in batches:
             for at in range(0, len(pdf), 100):
-                ids, sizes, own, sigs, nodes = pdf["id"].to_numpy()[at : at + 100], [], [], [], []
+                ids, sizes, own, sigs, nodes, rests = pdf["id"].to_numpy()[at : at + 100], [], [], [], [], []
                 for t in pdf["text"].iloc[at : at + 100]:
                     s = shingles(t, n)
-                    node = node_of(s) if len(s) else 0
+                    node, rest = node_of(s, again) if len(s) else (0, 0)
                     sizes.append(len(s))
                     own.append(node)
-                    if len(s) and node not in seen:
+                    if len(s) and (node, rest) not in seen:
                         if len(seen) > 500_000:
                             seen.clear()
-                        seen.add(node)
+                        seen.add((node, rest))
+                        rests.append((rest, node))
                         x = bands(similarity).signatures(s)
                         sigs.append(x)
                         nodes.append(np.full(len(x), node, np.int64))
                 sig = np.concatenate([np.zeros(0, np.uint64), *sigs]).view(np.int64)
-                size = np.r_[np.full(len(sig), -1), np.array(sizes)].astype(np.int32)
-                yield pd.DataFrame({"sig": np.r_[sig, ids], "node": np.concatenate([np.zeros(0, np.int64), *nodes, np.array(own, np.int64)]), "size": size})
+                size = np.r_[np.full(len(sig), -1), np.array(sizes), np.full(len(rests), -2)].astype(np.int32)
+                rests = np.array(rests, np.int64).reshape(-1, 2)
+                yield pd.DataFrame({"sig": np.r_[sig, ids, rests[:, 0]], "node": np.concatenate([np.zeros(0, np.int64), *nodes, np.array(own, np.int64), rests[:, 1]]), "size": size})
 
     return docs.mapInPandas(run, "sig long, node long, size int")
 
 
 def _grouped(signed: DataFrame, parts: int) -> DataFrame:
-    """(size, gid, chunk, a, b): documents as (size, id in a, node in b), and with size -1 pairs of small groups (gid null)
+    """(size, gid, chunk, a, b): documents as (size, id in a, node in b), size -2 likewise, and with size -1 pairs of small groups (gid null)
     and the nodes of large ones (b null), in chunks."""
     kinds = {"size": "int32", "chunk": "int64", "a": "int64"}
 
@@ -244,7 +314,7 @@ def _grouped(signed: DataFrame, parts: int) -> DataFrame:
                 yield rows(-1, np.concatenate(ids), 0, np.concatenate(big), None)
 
         for pdf in batches:
-            doc = pdf["size"].to_numpy() >= 0
+            doc = pdf["size"].to_numpy() != -1
             if doc.any():
                 yield rows(pdf["size"].to_numpy()[doc], None, 0, pdf["sig"].to_numpy()[doc], pdf["node"].to_numpy()[doc])
             sig, node = np.r_[sig, pdf["sig"].to_numpy()[~doc]], np.r_[node, pdf["node"].to_numpy()[~doc]]
@@ -276,7 +346,7 @@ def components(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
     """(node, label): labels (the components so far, or None) with edges (a, b) added; a label is a node of its component.
 
     Rounds: a node takes the least label among its own and its neighbours', and all nodes of one label the least that any
-    of them has taken, until nothing changes.
+    of them has taken, followed to the end of the chain of labels that move, until nothing changes.
     """
     both = slim(edges.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e")).select("e.*").distinct())
     ends = both.select(F.col("a").alias("node"), F.col("a").alias("label"))
@@ -284,10 +354,14 @@ def components(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
     while True:
         near = both.join(now.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
         stepped = now.join(near, "node", "left").select("node", "label", F.least("label", F.coalesce("near", "label")).alias("next"))
-        moved = stepped.groupBy("label").agg(F.min("next").alias("to")).filter("to < label")
-        moved = slim(moved)
+        moved = slim(stepped.groupBy("label").agg(F.min("next").alias("to")).filter("to < label"))
         if moved.isEmpty():
             return now
+        while True:  # labels that move to labels that move: halves the way to a chain's end each time
+            onward = moved.select(F.col("label").alias("to"), F.col("to").alias("further"))
+            if moved.join(onward, "to", "left_semi").isEmpty():
+                break
+            moved = slim(moved.join(onward, "to", "left").select("label", F.coalesce("further", "to").alias("to")))
         now = slim(now.join(moved, "label", "left").select("node", F.coalesce("to", "label").alias("label")))
 
 
@@ -385,7 +459,7 @@ def _left_over(rest: DataFrame, sketches: DataFrame, similarity: float) -> DataF
 
     dealt = rows.repartition(partitions(rest.sparkSession), "gid", "chunk").sortWithinPartitions("gid", "chunk")
     out = dealt.mapInPandas(within, "a long, b long")
-    several = rest.groupBy("gid").agg((F.max("chunk") > F.min("chunk")).alias("several")).filter("several").select("gid")
+    several = rest.groupBy("gid").agg(F.max("chunk").alias("last")).filter("last > 0")
     if several.isEmpty():
         return out
 
@@ -394,7 +468,10 @@ def _left_over(rest: DataFrame, sketches: DataFrame, similarity: float) -> DataF
             yield pd.DataFrame({"gid": [x["gid"]], "chunk": [x["chunk"]], "rows": [pickle.dumps(x)]})
 
     packed = cut(dealt.join(several, "gid", "left_semi").repartition(partitions(rest.sparkSession), "gid", "chunk").sortWithinPartitions("gid", "chunk").mapInPandas(pack, "gid long, chunk long, rows binary"))
-    met = packed.join(packed.select("gid", F.col("chunk").alias("chunk_b"), F.col("rows").alias("rows_b")), "gid").filter("chunk < chunk_b").repartition("gid", "chunk", "chunk_b")
+    # every two chunks of a group have a key of their own
+    ends = packed.join(several, "gid")
+    met = ends.filter("chunk < last").select("gid", "chunk", F.explode(F.sequence(F.col("chunk") + 1, "last")).alias("chunk_b"), "rows")
+    met = met.join(ends.filter("chunk > 0").select("gid", F.col("chunk").alias("chunk_b"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunk") - 1)).alias("chunk"), F.col("rows").alias("rows_b")), ["gid", "chunk", "chunk_b"])
 
     def between(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -414,20 +491,27 @@ def similar(docs: DataFrame, n: int = 5, similarity: float = 0.8, id_col: str =
 
     size: the number of distinct word n-grams (of fewer words: the whole as one). Two rows link if the Jaccard index of
     their sets is similarity (whole per cent) or more; component_id is the least id that a row reaches. Null and empty
-    texts link with nothing. Rows with equal sets are one node, told by a 64-bit hash. Ids may repeat; a null id is
+    texts link with nothing. Rows with equal sets are one node, told by 128 bits. Ids may repeat; a null id is
     never a component's id unless all its ids are null.
     """
     spark = docs.sparkSession
     given = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("id"), F.encode(F.col(text_col), "UTF-8").alias("text"))
-    groups = cut(_grouped(_signed(given, n, similarity), partitions(spark) * 2))
+    again: frozenset[int] = frozenset()
+    while True:
+        groups = cut(_grouped(_signed(given, n, similarity, again), partitions(spark) * 2))
+        # unequal sets of one 64-bit node: a few at 10 billion sets; they get other names
+        twice = groups.filter("size = -2").groupBy("b").agg(F.min("a").alias("least"), F.max("a").alias("most")).filter("least < most").select("b").collect()
+        if not twice:
+            break
+        again |= {r[0] for r in twice}
     members = groups.filter("size >= 0").select(F.col("a").alias("id"), F.when(F.col("size") > 0, F.col("b")).alias("node"), F.col("size").cast("long"))
-    pairs = groups.filter("size < 0 and gid is null").select("a", "b").distinct()
+    pairs = groups.filter("size = -1 and gid is null").select("a", "b").distinct()
     # a set with few changes of its own agrees with many others on many parts: the first centres are those in most groups
     large = groups.filter("gid is not null").select("gid", "chunk", F.col("a").alias("node"), F.count("*").over(W.partitionBy("a")).alias("weight"))
 
-    wanted = slim(groups.filter("size < 0").select(F.explode(F.array("a", "b")).alias("node")).filter("node is not null").distinct())
+    wanted = slim(groups.filter("size = -1").select(F.explode(F.array("a", "b")).alias("node")).filter("node is not null").distinct())
     chosen = slim(members.join(wanted, "node").groupBy("node").agg(F.min("id").alias("id")))
-    facts = _facts(_only(given, chosen.select("id"), "id"), n)
+    facts = _facts(_only(given, chosen.select("id"), "id"), n, again)
     facts = stored(_only(facts, chosen, "node", "id"), "jaccard")
     sketches = facts.select("node", "size", "sketch")
 
