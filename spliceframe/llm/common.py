@@ -86,12 +86,18 @@ def cut(df: DataFrame) -> DataFrame:
     return out
 
 
-def cleared(spark: SparkSession, *kept: str) -> None:
-    """Deletes what cut() and stored() of this process have written but for the paths kept. Call it when nothing reads that any more."""
-    for path in [x for x in _written if x not in kept]:
+def written() -> int:
+    """How many folders cut() and stored() of this process have written and cleared() has left."""
+    return len(_written)
+
+
+def cleared(spark: SparkSession, since: int, last: int = 0) -> None:
+    """Deletes what cut() and stored() have written since written() was so much, but for the last. Call it when nothing reads that any more."""
+    end = len(_written) - last
+    for path in _written[since:end]:
         p = spark._jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-        _written.remove(path)
+    del _written[since:end]
 
 
 def slim(df: DataFrame) -> DataFrame:
