@@ -13,6 +13,7 @@ from __future__ import annotations
 import html
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -21,10 +22,13 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from spliceframe.llm.common import table
+from spliceframe.llm.common import Sealed, table
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*)>|<[!?/][^>]*>""", re.S)
+#: What follows a tag's name up to the > that ends it, with > inside quotes passed over.
+_REST = re.compile(r"""(?:[^>"']|"[^"]*"|'[^']*')*+""")
+_NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*+)")
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -34,36 +38,102 @@ _RAW = frozenset("script style textarea title iframe noscript template".split())
 _ENDS = {"li": "li", "dt": "dt", "dd": "dd", "tr": "tr", "td": "td", "th": "th", "option": "option"}
 
 
+class Element:
+    """An open element. What blocks need of all elements above them is summed up here, so that nothing copies paths."""
+
+    __slots__ = ("above", "buckets", "depth", "heading", "names", "tag")
+
+    def __init__(self, tag: str, names: tuple[str, ...], above: Element | None):
+        self.tag, self.names, self.above = tag, names, above
+        own = sum(1 << b for b in {_path_bucket(x) if len(x) < 24 else _bucket(x, N_PATH) for x in names})
+        self.buckets: int = own | (above.buckets if above else 0)
+        self.depth: int = len(names) + (above.depth if above else 0)
+        last = (names[-3:] if len(names) > 2 or not above else (*above.last(3 - len(names)), *names))
+        self.heading = any(x in ("h1", "h2", "h3") for x in last)
+
+    def last(self, n: int) -> tuple[str, ...]:
+        out: tuple[str, ...] = ()
+        at: Element | None = self
+        while at and len(out) < n:
+            out = (*at.names[-(n - len(out)) :], *out)
+            at = at.above
+        return out
+
+
 @dataclass
 class Block:
-    path: tuple[str, ...]  # tag names, and .class, #id and @role parts, outermost first
+    element: Element | None  # the innermost around it
     text: str
     linked: int  # characters inside links
 
+    @property
+    def path(self) -> tuple[str, ...]:
+        """Tag names, and .class, #id and @role parts, outermost first."""
+        return self.element.last(self.element.depth) if self.element else ()
+
 
 def _names(tag: str, attributes: str) -> tuple[str, ...]:
     out = [tag]
     if "=" in attributes:
         for kind, *values in _ATTRIBUTE.findall(attributes):
             mark = {"class": ".", "id": "#"}.get(kind.lower(), "@")
-            out += [mark + x for x in re.split(r"[\s_-]+|(?<=[a-z])(?=[A-Z])", "".join(values))[:8] if x]
+            out += [mark + x for x in re.split(r"[\s_-]+|(?<=[a-z])(?=[A-Z])", "".join(values)) if x]
     return tuple(x.lower() for x in out)
 
 
+def _markup(page: str, jump: list[int]) -> Iterator[tuple[int, int, str, str, str]]:
+    """(start, end, / or nothing, name, attributes) of tags; comments, declarations and the like without a name.
+
+    jump: holds a place before which the caller wants no more. Time grows with the page's length, whatever is left open: where no > follows, no tag does; once quotes have not
+    closed before the page's end, they no longer hide a >.
+    """
+    at, quotes = 0, True
+    close = -1  # the first > at or after where it was last looked for
+    while (start := page.find("<", max(at, jump[0]))) >= 0:
+        if page.startswith("<!--", start):
+            end = page.find("-->", start + 4)
+            end = end + 3 if end >= 0 else len(page)
+            yield start, end, "", "", ""
+            at = end
+            continue
+        if close < start and (close := page.find(">", start)) < 0:
+            return
+        name = _NAME.match(page, start + 1)
+        if name is None:
+            if page[start + 1 : start + 2] in ("!", "?", "/"):
+                yield start, close + 1, "", "", ""
+                at = close + 1
+            else:
+                at = start + 1
+            continue
+        end = close
+        if quotes:
+            end = _REST.match(page, name.end()).end()
+            if end >= len(page) or page[end] != ">":
+                quotes, end = False, close
+        if end < name.end():
+            at = start + 1
+            continue
+        yield start, end + 1, name[1], name[2].lower(), page[name.end() : end]
+        at = end + 1
+
+
 def blocks_of(page: str | None) -> list[Block]:
     """The leaf blocks of a page that are rendered, with white space folded and character references decoded."""
     page = page or ""
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    top: Element | None = None
+    open_tags: Counter[str] = Counter()
     out: list[Block] = []
     parts: list[str] = []
     links, linked, hidden, at = 0, 0, 0, 0
+    jump = [0]
 
     def flush() -> None:
         nonlocal linked
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                out.append(Block(tuple(x for _, names in stack for x in names), text, linked))
+                out.append(Block(top, text, linked))
             parts.clear()
         linked = 0
 
@@ -76,13 +146,18 @@ def blocks_of(page: str | None) -> list[Block]:
             if links:
                 linked += len(text)
 
-    while m := _TAG.search(page, at):
-        add(page[at : m.start()])
-        at = m.end()
-        tag = m[2] or m[5]
+    def pop() -> str:
+        nonlocal top, hidden
+        tag, top = top.tag, top.above
+        open_tags[tag] -= 1
+        hidden -= tag in _UNSEEN
+        return tag
+
+    for start, end, shut, tag, attributes in _markup(page, jump):
+        add(page[at:start])
+        at = end
         if not tag:
             continue
-        tag, shut, attributes = tag.lower(), m[1] or m[4], m[3] or m[6] or ""
         if tag in _INLINE:
             if tag == "a":
                 links = max(0, links - 1) if shut else 1
@@ -94,20 +169,18 @@ def blocks_of(page: str | None) -> list[Block]:
             if tag in _VOID:
                 continue
             if tag in _RAW and not attributes.endswith("/"):
-                end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
-                at = end.end() if end else len(page)
+                raw = re.compile(rf"</{tag}\b", re.I).search(page, at)
+                at = jump[0] = (page.find(">", raw.end()) + 1 if raw else 0) or len(page)
                 continue
-            if stack and (stack[-1][0] == "p" or stack[-1][0] == _ENDS.get(tag)):
-                stack.pop()
+            if top and (top.tag == "p" or top.tag == _ENDS.get(tag)):
+                pop()
             if not attributes.endswith("/"):
-                stack.append((tag, _names(tag, attributes)))
+                top = Element(tag, _names(tag, attributes), top)
+                open_tags[tag] += 1
                 hidden += tag in _UNSEEN
-        elif any(t == tag for t, _ in stack):
-            while True:
-                t, _ = stack.pop()
-                hidden -= t in _UNSEEN
-                if t == tag:
-                    break
+        elif open_tags[tag]:
+            while pop() != tag:
+                pass
             links = 0
     add(page[at:])
     flush()
@@ -129,19 +202,17 @@ def _path_bucket(token: str) -> int:
     return _bucket(token, N_PATH)
 
 
-_path_vectors: dict[tuple[str, ...], np.ndarray] = {}
+_path_vectors: dict[int, np.ndarray] = {}
 _word_buckets: dict[str, int] = {}
 
 
-def _path_vector(path: tuple[str, ...]) -> np.ndarray:
-    v = _path_vectors.get(path)
+def _path_vector(buckets: int) -> np.ndarray:
+    """1 for each of the buckets, given as the bits of a number."""
+    v = _path_vectors.get(buckets)
     if v is None:
         if len(_path_vectors) > 50_000:
             _path_vectors.clear()
-        v = np.zeros(N_PATH, np.float32)
-        for x in path:
-            v[_path_bucket(x) if len(x) < 24 else _bucket(x, N_PATH)] = 1
-        _path_vectors[path] = v
+        v = _path_vectors[buckets] = np.unpackbits(np.frombuffer(buckets.to_bytes(N_PATH // 8, "little"), np.uint8), bitorder="little").astype(np.float32)
     return v
 
 
@@ -149,7 +220,8 @@ def vectors(blocks: list[Block]) -> np.ndarray:
     n = len(blocks)
     out = np.zeros((n, N_PATH + N_WORDS + N_COUNTS), np.float32)
     for i, b in enumerate(blocks):
-        out[i, :N_PATH] = _path_vector(b.path)
+        depth, heading = (b.element.depth, b.element.heading) if b.element else (0, False)
+        out[i, :N_PATH] = _path_vector(b.element.buckets if b.element else 0)
         words = _WORD.findall(b.text.lower())
         ids = []
         for w in words:
@@ -163,8 +235,8 @@ def vectors(blocks: list[Block]) -> np.ndarray:
             out[i, N_PATH : N_PATH + N_WORDS] = np.bincount(ids, minlength=N_WORDS) / len(ids) * 4
         chars = len(b.text)
         out[i, N_PATH + N_WORDS :] = (
-            np.log1p(len(words)) / 5, b.linked / chars, sum(map(b.text.count, ".!?")) / (len(words) + 1), (b.text[-1] in ".!?\"»”"), i / n, (n - i) / n, len(b.path) / 12,
-            "©" in b.text or "(c)" in b.text, any(x in ("h1", "h2", "h3") for x in b.path[-3:]),
+            np.log1p(len(words)) / 5, b.linked / chars, sum(map(b.text.count, ".!?")) / (len(words) + 1), (b.text[-1] in ".!?\"»”"), i / n, (n - i) / n, depth / 12,
+            "©" in b.text or "(c)" in b.text, heading,
         )
     return out
 
@@ -182,7 +254,8 @@ class Lstm:
     def __init__(self, w: dict[str, np.ndarray], name: str):
         self.w, self.name = w, name
 
-    def forward(self, x: np.ndarray, mask: np.ndarray) -> np.ndarray:
+    def forward(self, x: np.ndarray, mask: np.ndarray, keep: bool = True) -> np.ndarray:
+        """keep: what backward() needs."""
         wx, wh, b = (self.w[self.name + k] for k in ("x", "h", "b"))
         size = wh.shape[0]
         before = x @ wx + b
@@ -195,10 +268,11 @@ class Lstm:
             c1 = f * c + i * new
             tc = np.tanh(c1)
             h1 = o * tc
-            self.steps.append((h, c, i, f, o, new, tc))
+            if keep:
+                self.steps.append((h, c, i, f, o, new, tc))
             h, c = mask[t] * h1 + (1 - mask[t]) * h, mask[t] * c1 + (1 - mask[t]) * c
             hs.append(h)
-        self.x, self.mask = x, mask
+        self.x, self.mask = (x, mask) if keep else (None, None)
         return np.stack(hs)
 
     def backward(self, slope: np.ndarray) -> dict[str, np.ndarray]:
@@ -233,7 +307,7 @@ class Labeller:
         w |= {"out": rng.normal(0, 0.3, 2 * size), "bias": np.zeros(1)}
         return cls({k: v.astype(np.float32) for k, v in w.items()})
 
-    def _both(self, pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _both(self, pages: list[np.ndarray], keep: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Hidden states of both directions, in page order, with the mask and each page's reversed order."""
         lengths = np.array([len(p) for p in pages])
         longest = int(lengths.max())
@@ -244,8 +318,8 @@ class Labeller:
         mask = (t < lengths)[:, :, None].astype(np.float32)
         flip = np.where(t < lengths, lengths - 1 - t, t)
         cols = np.arange(len(pages))[None, :]
-        ahead = self.ahead.forward(x, mask)
-        back = self.back.forward(x[flip, cols], mask)[flip, cols]
+        ahead = self.ahead.forward(x, mask, keep)
+        back = self.back.forward(x[flip, cols], mask, keep)[flip, cols]
         return np.concatenate([ahead, back], 2), mask, flip
 
     def label(self, pages: list[np.ndarray]) -> list[np.ndarray]:
@@ -257,7 +331,7 @@ class Labeller:
             n = max(1, min(256, 20_000 // len(pages[order[min(at + 255, len(order) - 1)]])))
             mine = order[at : at + n]
             at += n
-            h, _, _ = self._both([pages[i] for i in mine])
+            h, _, _ = self._both([pages[i] for i in mine], False)
             p = _sigmoid(h @ self.w["out"] + self.w["bias"])
             for j, i in enumerate(mine):
                 out[i] = p[: len(pages[i]), j]
@@ -464,8 +538,9 @@ def extract(pages: DataFrame, html_col: str = "html", model: Labeller | None = N
     text: the main blocks in page order, joined by \\n; each with white space folded to one space, trimmed, character
     references decoded. Null, empty and text-less pages give "". Columns text and n_chars of pages are replaced.
     """
-    keep = [c for c in pages.columns if c not in (html_col, "text", "n_chars")]
-    rest = pages.select(*keep, html_col)
+    s = Sealed(pages, "text", "n_chars")
+    rest, given = s.df, s[html_col]
+    keep = [c for c in rest.columns if c != given]
     held = pages.sparkSession.sparkContext.broadcast((model or labeller()).w)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -473,13 +548,13 @@ def extract(pages: DataFrame, html_col: str = "html", model: Labeller | None = N
         for pdf in batches:
             for at in range(0, len(pdf), 512):
                 some = pdf.iloc[at : at + 512]
-                blocks = [blocks_of(h) for h in some[html_col]]
+                blocks = [blocks_of(h) for h in some[given]]
                 main = net.label([vectors(b) for b in blocks])
                 text = ["\n".join(b.text for b, x in zip(bs, p, strict=True) if x >= cut) for bs, p in zip(blocks, main, strict=True)]
                 yield some[keep].assign(text=text, n_chars=[len(t) for t in text])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema if f.name != html_col)
-    return rest.mapInPandas(run, f"{schema}, text string, n_chars long")
+    schema = StructType([*(f for f in rest.schema if f.name != given), StructField("text", StringType()), StructField("n_chars", LongType())])
+    return s.opened(rest.mapInPandas(run, schema), "text", "n_chars", without=(html_col,))
 
 
 def op2(spark, sf_dir: str) -> DataFrame:

@@ -193,7 +193,7 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col: st
         logits = np.array([model.logit(t, known) for t in pdf["text"][out]], np.float64)
         return pd.DataFrame({"model": [left_out], "weights": [model.weights.tobytes()], "bias": [model.bias], "logits": [logits.tobytes()], "y": [y[out].astype(np.int64).tobytes()]})
 
-    each = rows.withColumn("model", F.explode(F.array(*map(F.lit, range(folds))))).repartition(folds, "model")
+    each = rows.withColumn("model", F.explode(F.array(*map(F.lit, range(folds))))).repartitionByRange(folds, "model")
     got = sorted(each.groupBy("model").applyInPandas(train_one, "model int, weights binary, bias double, logits binary, y binary").collect(), key=lambda r: r["model"])
     if not got:
         return train([], np.zeros(0, int), s)
