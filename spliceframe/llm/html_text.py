@@ -11,6 +11,7 @@ menus, headers, footers, sidebars, notices, adverts, forms and reader comments a
 from __future__ import annotations
 
 import html
+import random
 import re
 import zlib
 from collections import Counter
@@ -378,34 +379,37 @@ class Pages:
     """Writes pages of random words with each leaf block labelled 1 (main text) or 0, through a mark that parsing keeps."""
 
     def __init__(self, seed: int):
-        self.rng = np.random.default_rng(seed)
+        self.rng = random.Random(seed)  # single draws: numpy's take many times as long
 
     def one(self, xs):
-        return xs[int(self.rng.integers(len(xs)))]
+        return xs[int(self.rng.random() * len(xs))]
 
     def chance(self, p: float) -> bool:
-        return bool(self.rng.random() < p)
+        return self.rng.random() < p
+
+    def number(self, lo: int, hi: int) -> int:
+        return lo + int(self.rng.random() * (hi - lo))
 
     def word(self) -> str:
-        return "".join(self.one(self.tongue) for _ in range(int(self.rng.integers(1, 5))))
+        return "".join(self.one(self.tongue) for _ in range(self.number(1, 5)))
 
     def words(self, lo: int, hi: int, boiler: float = 0) -> str:
-        return " ".join(self.one(_BOILER) if self.chance(boiler) else self.word() for _ in range(int(self.rng.integers(lo, hi))))
+        return " ".join(self.one(_BOILER) if self.chance(boiler) else self.word() for _ in range(self.number(lo, hi)))
 
     def sentences(self, lo: int, hi: int, boiler: float = 0) -> str:
-        out = " ".join(self.words(2, 18, boiler).capitalize() + self.one(".....!?") for _ in range(int(self.rng.integers(lo, hi))))
+        out = " ".join(self.words(2, 18, boiler).capitalize() + self.one(".....!?") for _ in range(self.number(lo, hi)))
         k = self.rng.random()
         if k < 0.04:  # shouting, one word over and over, lists in a line, numbers
             return " ".join(w.upper() + "!!" for w in out.split())
         if k < 0.07:
-            return " ".join([self.word()] * int(self.rng.integers(1, 30)))
+            return " ".join([self.word()] * self.number(1, 30))
         if k < 0.1:
             return self.one([" | ", ", ", "; "]).join(out.split())
-        return out if k < 0.97 else out + f" {self.rng.integers(10**9)} +{self.rng.integers(99)} ({self.rng.integers(999)}) {self.word()}@{self.word()}.com"
+        return out if k < 0.97 else out + f" {self.number(0, 10**9)} +{self.number(0, 99)} ({self.number(0, 999)}) {self.word()}@{self.word()}.com"
 
     def attributes(self, *names: str) -> str:
         n = self.one(names)
-        n = self.one([n, n, n.replace("-", "_"), f"{n} {self.word()}", f"{self.word()} {n}", f"{n}-{self.rng.integers(99)}", f"site-{n}", f"{n}-wrap"])
+        n = self.one([n, n, n.replace("-", "_"), f"{n} {self.word()}", f"{self.word()} {n}", f"{n}-{self.number(0, 99)}", f"site-{n}", f"{n}-wrap"])
         return self.one([f' class="{n}"', f' class="{n}"', f' id="{n}"', f" class='{n}' id=\"{n}\""])
 
     def plain(self) -> str:
@@ -419,7 +423,7 @@ class Pages:
 
     def links(self, boiler: float = 0.3) -> str:
         kind = self.one(["ul", "ol", "div", "p"])
-        n = int(self.rng.integers(2, 9))
+        n = self.number(2, 9)
         if kind in ("ul", "ol"):
             return f"<{kind}>" + "".join(f"<li>{self.link(boiler)}{'</li>' if self.chance(0.9) else ''}" for _ in range(n)) + f"</{kind}>"
         return f"<{kind}>" + self.one([" ", " | ", "</div><div>" if kind == "div" else " "]).join(self.link(boiler) for _ in range(n)) + f"</{kind}>"
@@ -455,7 +459,7 @@ class Pages:
 
     def form(self) -> str:
         t = lambda: self.text(0, self.words(1, 6, 0.3))
-        return f"<form{self.one(['', self.attributes('search', 'login', 'contact', 'subscribe', 'form')])}>" + "".join(self.one([f"<label>{t()}</label><input name=x>", f"<p>{t()}</p>", f"<div><label>{t()}</label> <input></div>", f"<fieldset><legend>{t()}</legend></fieldset>", f"<p>{self.text(0, self.sentences(1, 3))}</p>"]) for _ in range(int(self.rng.integers(1, 5)))) + "<button>Go</button></form>"
+        return f"<form{self.one(['', self.attributes('search', 'login', 'contact', 'subscribe', 'form')])}>" + "".join(self.one([f"<label>{t()}</label><input name=x>", f"<p>{t()}</p>", f"<div><label>{t()}</label> <input></div>", f"<fieldset><legend>{t()}</legend></fieldset>", f"<p>{self.text(0, self.sentences(1, 3))}</p>"]) for _ in range(self.number(1, 5))) + "<button>Go</button></form>"
 
     def comments(self) -> str:
         def comment() -> str:
@@ -465,10 +469,10 @@ class Pages:
 
         tag = self.one(["section", "div", "div", "ol", "ul"])
         head = f"<h2>{self.text(0, self.words(1, 4, 0.5))}</h2>" if tag in ("section", "div") and self.chance(0.6) else ""
-        return f"<{tag}{self.attributes('comments', 'comments', 'comment-list', 'commentlist', 'replies', 'responses', 'discussion', 'disqus', 'reader-comments', 'feedback')}>{head}{''.join(comment() for _ in range(int(self.rng.integers(1, 6))))}</{tag}>"
+        return f"<{tag}{self.attributes('comments', 'comments', 'comment-list', 'commentlist', 'replies', 'responses', 'discussion', 'disqus', 'reader-comments', 'feedback')}>{head}{''.join(comment() for _ in range(self.number(1, 6)))}</{tag}>"
 
     def paragraph(self) -> str:
-        t = self.text(1, self.sentences(1, 7))
+        t = self.text(1, self.sentences(1, 7) if self.chance(0.85) else self.words(1, 4).capitalize() + self.one(["", ".", ".", "!", ":"]))
         k = self.rng.random()
         if k < 0.68:
             return self.one([f"<p>{t}</p>", f"<p>{t}</p>", f"<p><b>{t}<br>", f"<p>{t}", f"<P>{t}</P>", f"<p{self.attributes('text', 'lead', 'intro', 'first')}>{t}</p>"])
@@ -477,7 +481,7 @@ class Pages:
             return f"<h{n}>{self.text(1, self.words(1, 8))}</h{n}><p>{t}</p>"
         if k < 0.85:
             kind = self.one(["ul", "ol"])
-            return f"<{kind}>" + "".join(f"<li>{self.text(1, self.words(1, 12))}</li>" for _ in range(int(self.rng.integers(2, 6)))) + f"</{kind}>"
+            return f"<{kind}>" + "".join(f"<li>{self.text(1, self.words(1, 12))}</li>" for _ in range(self.number(2, 6))) + f"</{kind}>"
         if k < 0.9:
             return f"<blockquote>{self.one([t, f'<p>{t}</p>'])}</blockquote>"
         if k < 0.93:
@@ -492,7 +496,7 @@ class Pages:
         out = [f"<h1{self.one(['', self.attributes('title', 'headline', 'entry-title')])}>{self.text(1, self.words(2, 12))}</h1>" if self.chance(0.85) else ""]
         if self.chance(0.2):
             out[0] = f"<header>{out[0]}</header>"
-        for _ in range(int(self.rng.integers(1, 14))):
+        for _ in range(self.number(1, 14)):
             out.append(self.paragraph())
             if self.chance(0.06):
                 out.append(self.one([self.advert, self.side, self.notice, self.form])())
@@ -509,7 +513,7 @@ class Pages:
         self.rng.shuffle(parts)
         self.rng.shuffle(after)
         inner = "".join(parts) + self.article() + "".join(after) + (self.footer() if self.chance(0.8) else "")
-        for _ in range(int(self.rng.integers(0, 3))):
+        for _ in range(self.number(0, 3)):
             inner = f"<div{self.plain()}>{inner}</div>"
         return f"<html><head><title>{self.word()}</title></head><body>{inner}</body></html>"
 
