@@ -73,8 +73,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, lines: int = 128,
     n, n_q = rows.agg(F.count("*"), F.count_if("q")).first()
     blocks, q_blocks = n // block + 1, n_q // query_block + 1
     tiles = lambda c: F.explode(F.sequence(F.lit(0), F.lit(c - 1)))
-    data = rows.select("id", "v", "dim", F.pmod(F.xxhash64("id", "v"), F.lit(blocks)).alias("b"), tiles(q_blocks).alias("qb"))
-    queries = rows.filter("q").select("id", "v", "dim", F.pmod(F.xxhash64("id", "v", F.lit(1)), F.lit(q_blocks)).alias("qb"), tiles(blocks).alias("b"))
+    data = rows.select("id", "v", "dim", F.pmod(F.xxhash64("id", "v"), F.lit(blocks)).cast("int").alias("b"), tiles(q_blocks).alias("qb"))  # keys of one type on both sides, or tiles don't meet
+    queries = rows.filter("q").select("id", "v", "dim", F.pmod(F.xxhash64("id", "v", F.lit(1)), F.lit(q_blocks)).cast("int").alias("qb"), tiles(blocks).alias("b"))
 
     def tile(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = {"query_id": [], "id": [], "score": []}
