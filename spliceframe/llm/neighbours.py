@@ -3,7 +3,8 @@
 Vectors are scaled to length 1 and projected on random lines; each line keeps its vectors sorted by their projection. A
 query opens a window around its own projection on every line; virtual rehashing widens all windows by a factor at a time
 without building anything anew. A vector that lies in the windows of enough lines has collided often enough: it is
-verified with its exact cosine. Windows stop widening once a query has verified the wanted share of the vectors.
+verified with its exact cosine. Windows start at what a few of the block's own
+vectors need and stop widening once a query has verified the wanted share of the vectors.
 
 Rows are dealt to tiles of bounded size: a block of vectors, with sorted arrays of its own, meets each block of queries.
 The best of each tile are merged with a window over the query. No tile depends on the number of rows.
@@ -21,31 +22,43 @@ from spliceframe.llm.common import cut, table
 
 
 class SortedLines:
-    """Sorted projections of unit vectors on random lines."""
+    """Sorted projections of unit vectors on random lines, one line's after another's in one array."""
 
     def __init__(self, unit: np.ndarray, lines: int, seed: int):
         self.unit = unit
         self.axes = np.random.default_rng(seed).normal(size=(unit.shape[1], lines)).astype(np.float32)
         at = unit.astype(np.float32) @ self.axes
-        self.order = np.argsort(at, axis=0, kind="stable").T.astype(np.int32).copy()
-        self.sorted = np.take_along_axis(at, self.order.T, 0).T.copy()
-
-    def candidates(self, query: np.ndarray, enough: int, share: float, width: float, growth: float) -> np.ndarray:
-        """Vectors in at least the share of the query's windows, at the first width at which there are enough (or all)."""
+        self.order = np.argsort(at, axis=0, kind="stable").T.copy()
+        self.reach = float(np.abs(at).max()) + 1
+        self.shift = np.arange(lines) * (2 * self.reach + 1)  # lines don't overlap
+        self.flat = (np.take_along_axis(at, self.order.T, 0).T + self.shift[:, None]).ravel()
+
+    def windows(self, centre: np.ndarray, half: float) -> tuple[np.ndarray, np.ndarray]:
+        """Where each line's window begins and ends."""
+        first = np.arange(len(self.shift)) * len(self.unit)
+        lo = self.flat.searchsorted(np.clip(centre - half, -self.reach, self.reach) + self.shift)
+        return lo - first, self.flat.searchsorted(np.clip(centre + half, -self.reach, self.reach) + self.shift, "right") - first
+
+    def candidates(self, query: np.ndarray, enough: int, share: float, width: float, growth: float) -> tuple[np.ndarray, float]:
+        """Vectors in at least the share of the query's windows, at the first width at which there are enough (or all); the width."""
         n, lines = len(self.unit), len(self.order)
-        centre = query.astype(np.float32) @ self.axes
+        centre = (query.astype(np.float32) @ self.axes).astype(np.float64)
         need, half = max(1, round(share * lines)), width
         counts = np.zeros(n, np.int64)
-        before = [self.sorted[i].searchsorted(centre[i]) for i in range(lines)]
-        before = list(zip(before, before, strict=True))
+        a = b = self.windows(centre, 0.0)[0]
         while True:
-            now = [(self.sorted[i].searchsorted(centre[i] - half), self.sorted[i].searchsorted(centre[i] + half, "right")) for i in range(lines)]
-            rings = [x for i, ((a, b), (lo, hi)) in enumerate(zip(before, now, strict=True)) for x in (self.order[i, lo:a], self.order[i, b:hi])]
+            lo, hi = self.windows(centre, half)
+            rings = [x for line, i, j, k, m in zip(self.order, lo, a, b, hi, strict=True) for x in (line[i:j], line[k:m])]
             counts += np.bincount(np.concatenate(rings), minlength=n)
             met = np.flatnonzero(counts >= need)
-            if len(met) >= enough or all(hi - lo == n for lo, hi in now):
-                return met
-            before, half = now, half * growth
+            if len(met) >= enough or (hi - lo == n).all():
+                return met, half
+            a, b, half = lo, hi, half * growth
+
+    def start(self, enough: int, share: float, width: float, growth: float, pilots: int = 8) -> float:
+        """The width to start from: what the easiest of a few of the vectors needs, one step less."""
+        found = [self.candidates(self.unit[i], enough, share, width, growth)[1] for i in range(0, len(self.unit), -(-len(self.unit) // pilots))]
+        return max(width, min(found) / growth)
 
 
 def scaled(x: np.ndarray) -> np.ndarray:
@@ -79,12 +92,15 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, lines: int = 128,
     def tile(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = {"query_id": [], "id": [], "score": []}
         if len(left) and len(right):
+            left = left.sort_values("id", kind="stable")
             ids, raw = left["id"].to_numpy(), scaled(np.stack(left["v"].to_numpy()))
             norm = np.sqrt((raw * raw).sum(1))
             index = SortedLines(raw / norm[:, None], lines, seed)
+            enough = max(k + 1, least, int(np.ceil(verify * len(ids))))
+            first = index.start(enough, share, width, growth)
             for q, v in zip(right["id"].to_numpy(), scaled(np.stack(right["v"].to_numpy())), strict=True):
                 size = np.sqrt((v * v).sum())
-                met = index.candidates(v / size, max(k + 1, least, int(np.ceil(verify * len(ids)))), share, width, growth)
+                met, _ = index.candidates(v / size, enough, share, first, growth)
                 met = met[ids[met] != q]
                 rough = index.unit[met] @ (v / size)
                 if len(met) > k:
