@@ -87,7 +87,7 @@ def test_neighbours_recall_not_exhaustive(spark):
     x = np.concatenate([rng.normal(size=(15_000, 32)), rng.normal(size=(5_000, 32)) * 0.3 + rng.normal(size=(50, 32)).repeat(100, 0)])
     unit = x / np.sqrt((x * x).sum(1, keepdims=True))
     index = neighbours.SortedLines(unit[:10_000], 128, 5)
-    met = [len(index.candidates(unit[i], 1000, 0.6, 0.4, 1.1)) for i in range(0, 10_000, 500)]
+    met = [len(index.candidates(unit[i], 1000, 0.6, index.start(1000, 0.6, 0.4, 1.1), 1.1)[0]) for i in range(0, 10_000, 500)]
     assert max(met) < 4_000
     df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
     got = collections.defaultdict(set)
