@@ -91,7 +91,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     first = F.when(F.col("n") == WINDOW, F.greatest(F.col("pos") - (_KEEP - 1), F.lit(0))).otherwise(F.col("pos"))
     met = met.select("id", "h", F.explode(F.transform(F.sequence(first, F.col("pos")), lambda i: F.struct(i.alias("start"), F.col("n").alias("n")))).alias("at"))
     places = cut(met.groupBy("id", "h").agg(F.collect_set("at").alias("places")))
-    if places.count() <= BROADCAST_ROWS // 100:
+    if (places.agg(F.sum(F.size("places"))).first()[0] or 0) <= BROADCAST_ROWS:  # of 8 bytes each
         places = F.broadcast(places)
     places = places.withColumnsRenamed({"id": "i", "h": "g"})
     near = texts.join(places, F.col("id").eqNullSafe(F.col("i")) & (F.col("h") == F.col("g"))).select("id", "h", "places", words_of(F.col("text")).alias("words"))
