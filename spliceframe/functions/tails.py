@@ -114,6 +114,35 @@ def binom_two_sided(k: int, n: int, p: float = 0.5) -> float:
     return float(min(1.0, np.exp(logs[logs <= logs[k] + 1e-7]).sum()))
 
 
+def binom_sf(k: int, n: int, p: float = 0.5) -> float:
+    """P(X >= k) of n draws."""
+    if k <= 0:
+        return 1.0
+    i = np.arange(k, n + 1)
+    logs = math.lgamma(n + 1) - lgamma(i + 1.0) - lgamma(n - i + 1.0) + i * math.log(p) + (n - i) * math.log1p(-p)
+    return float(min(1.0, np.exp(logs).sum()))
+
+
+def fisher_two_sided(a: int, b: int, c: int, d: int) -> float:
+    """Fisher's exact test of a table of two rows: the sum of all tables with its margins that are no likelier."""
+    n, row, col = a + b + c + d, a + b, a + c
+    x = np.arange(max(0, row + col - n), min(row, col) + 1, dtype=float)
+    choose = lambda m, k: math.lgamma(m + 1) - lgamma(k + 1.0) - lgamma(m - k + 1.0)
+    logs = choose(col, x) + choose(n - col, row - x)
+    logs -= logs.max() + math.log(np.exp(logs - logs.max()).sum())
+    return float(min(1.0, np.exp(logs[logs <= logs[a - int(x[0])] + 1e-7]).sum()))
+
+
+@F.pandas_udf(DoubleType())
+def binom_sf_udf(k: pd.Series, n: pd.Series) -> pd.Series:
+    return pd.Series([binom_sf(int(a), int(b)) for a, b in zip(k, n, strict=True)], dtype=float)
+
+
+@F.pandas_udf(DoubleType())
+def fisher_udf(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Series:
+    return pd.Series([fisher_two_sided(*map(int, x)) for x in zip(a, b, c, d, strict=True)], dtype=float)
+
+
 @F.pandas_udf(DoubleType())
 def norm_sf_udf(z: pd.Series) -> pd.Series:
     return pd.Series(norm_sf(z.astype(float)))

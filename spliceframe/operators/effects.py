@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -150,8 +153,11 @@ def dersimonian_laird(df: DataFrame, *by: str, knapp_hartung: bool = True) -> Da
     return out.select(*by, "k", F.col("pooled").alias("effect"), F.sqrt(factor / F.col("_sv")).alias("se"), "q", "tau2", "i2")
 
 
-def sign_flip(df: DataFrame, value: str, *by: str, most: int = 16) -> DataFrame:
-    """Exact sign-flip p of the mean of value: every one of 2^k sign patterns; groups of over most values give null."""
+def sign_flip(df: DataFrame, value: str, *by: str, most: int = 16, exact: int = 24, samples: int = 200_000, seed: int = 0) -> DataFrame:
+    """Sign-flip p of the mean of value: every one of 2^k sign patterns, for groups of over exact values a sample of them.
+
+    Up to most values in expressions; larger groups (of units, not of cells) in a task each. A sampled p is 2^(1 - k) at least.
+    """
     x = df.groupBy(*by).agg(F.sort_array(F.collect_list(F.col(value).cast("double"))).alias("_v")).withColumn("k", F.size("_v"))
     seen = F.abs(F.aggregate("_v", F.lit(0.0), lambda a, v: a + v))
 
@@ -161,7 +167,29 @@ def sign_flip(df: DataFrame, value: str, *by: str, most: int = 16) -> DataFrame:
 
     masks = F.sequence(F.lit(0).cast("bigint"), F.call_function("shiftleft", F.lit(1).cast("bigint"), F.least("k", F.lit(most))) - 1)
     hits = F.size(F.filter(masks, lambda m: total(m) >= seen - 1e-12))
-    return x.select(*by, "k", F.when(F.col("k") <= most, hits / F.pow(F.lit(2.0), F.col("k"))).alias("p"))
+
+    def large(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for v in pdf["_v"]:
+                v = np.asarray(v)
+                if len(v) <= exact:
+                    sums = np.zeros(1)
+                    for one in v:
+                        sums = np.concatenate([sums + one, sums - one])
+                    out.append(float((np.abs(sums) >= abs(v.sum()) - 1e-12).mean()))
+                else:
+                    rng, hit = np.random.default_rng(seed), 0
+                    for at in range(0, samples, 1000):
+                        flips = rng.integers(0, 2, (min(1000, samples - at), len(v))) * 2 - 1
+                        hit += int((np.abs(flips @ v) >= abs(v.sum()) - 1e-12).sum())
+                    out.append(max(hit / samples, 2.0 ** (1 - len(v))))
+            yield pdf.drop(columns="_v").assign(p=out)
+
+    small = x.filter(F.col("k") <= most).select(*by, "k", (hits / F.pow(F.lit(2.0), F.col("k"))).alias("p"))
+    types = dict(x.dtypes)
+    rest = x.filter(F.col("k") > most).select(*by, "k", "_v").mapInPandas(large, ", ".join(f"`{c}` {types[c]}" for c in (*by, "k")) + ", p double")
+    return small.unionByName(rest)
 
 
 def cluster_t(df: DataFrame, value: str, *by: str) -> DataFrame:
@@ -209,6 +237,22 @@ def codetection(df: DataFrame, x: str, y: str, stratum: str, *by: str) -> DataFr
     return t.groupBy(*by).agg(F.sum("o").alias("observed"), F.sum(F.col("nx") * F.col("ny") / F.col("n")).alias("expected"))
 
 
+def codetection_null(df: DataFrame, x: str, y: str, stratum: str, *by: str, perms: int = 1000, seed: int = 0) -> DataFrame:
+    """(by, observed, mean, sd, p): joint detections against y shuffled within strata. A stratum's share of a shuffle is
+    hypergeometric, so the strata's counts are all that a task needs. p is one-sided and counts the true order as one."""
+    t = df.groupBy(*by, stratum).agg(F.count("*").alias("n"), F.sum(F.col(x).cast("int")).alias("nx"), F.sum(F.col(y).cast("int")).alias("ny"), F.sum((F.col(x).cast("int") * F.col(y).cast("int"))).alias("o"))
+    types = dict(t.dtypes)
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(stratum)
+        rng = np.random.default_rng(seed)
+        null = sum((rng.hypergeometric(a, n - a, b, perms) for n, a, b in zip(pdf["n"], pdf["nx"], pdf["ny"], strict=True)), np.zeros(perms, np.int64))
+        o = int(pdf["o"].sum())
+        return pdf[list(by)].head(1).assign(observed=o, mean=null.mean(), sd=null.std(), p=((null >= o).sum() + 1) / (perms + 1))
+
+    return t.groupBy(*by).applyInPandas(one, "".join(f"`{c}` {types[c]}, " for c in by) + "observed long, mean double, sd double, p double")
+
+
 def codetection_by_unit(df: DataFrame, x: str, y: str, stratum: str, unit: str, least: int = 3) -> DataFrame:
     """Per unit log(O / E) and its se; strata where a marginal is 0 don't count, nor units under least observed."""
     t = df.groupBy(unit, stratum).agg(F.count("*").alias("n"), F.sum(F.col(x).cast("int")).alias("nx"), F.sum(F.col(y).cast("int")).alias("ny"), F.sum((F.col(x).cast("int") * F.col(y).cast("int"))).alias("o")).filter("nx > 0 and ny > 0")
@@ -243,6 +287,77 @@ def kruskal(df: DataFrame, value: str, group: str, *by: str) -> DataFrame:
     return s.select(*by, "groups", h.alias("h"))
 
 
+def fisher(df: DataFrame, x: str, y: str, *by: str) -> DataFrame:
+    """(by, a, b, c, d, odds, p): the two-by-two table of flags x and y, its odds ratio and Fisher's exact p."""
+    cell = lambda i, j: F.count_if((F.col(x).cast("int") == i) & (F.col(y).cast("int") == j))
+    t = df.groupBy(*by).agg(cell(1, 1).alias("a"), cell(1, 0).alias("b"), cell(0, 1).alias("c"), cell(0, 0).alias("d"))
+    cross = F.col("b") * F.col("c")
+    return t.withColumn("odds", F.when(cross > 0, F.col("a") * F.col("d") / cross)).withColumn("p", tails.fisher_udf("a", "b", "c", "d"))
+
+
+def more_than_half(df: DataFrame, flag: str, *by: str) -> DataFrame:
+    """(by, k, n, p): how many rows have the flag, and the exact one-sided binomial p of so many or more at one half."""
+    t = df.groupBy(*by).agg(F.count_if(F.col(flag)).alias("k"), F.count(flag).alias("n"))
+    return t.withColumn("p", tails.binom_sf_udf("k", "n"))
+
+
+def wilcoxon(df: DataFrame, first: str, second: str, *by: str) -> DataFrame:
+    """(by, n, w, z, p): the signed-rank test of pairs. Zero differences go; ties share ranks; normal with tie correction."""
+    x = df.withColumn("_d", F.col(first) - F.col(second)).filter("_d <> 0").withColumn("_a", F.abs("_d"))
+    x = average_rank(x, "_a", *by, out="_r").withColumn("_t", F.count("*").over(W.partitionBy(*by, "_a")))
+    t = x.groupBy(*by).agg(F.count("*").alias("n"), F.sum(F.when(F.col("_d") > 0, F.col("_r")).otherwise(0.0)).alias("w"), F.sum((F.col("_t") * F.col("_t") - 1).cast("double")).alias("_ties"))
+    n = F.col("n").cast("double")
+    sd = F.sqrt(n * (n + 1) * (2 * n + 1) / 24 - F.col("_ties") / 48)
+    z = F.when(sd > 0, (F.col("w") - n * (n + 1) / 4) / sd).otherwise(0.0)
+    return t.withColumn("z", z).withColumn("p", two_sided(F.col("z"))).drop("_ties")
+
+
+#: At most so many ranked genes (16 bytes each) are held by each task of enrichment().
+MOST_GENES = 1_000_000
+
+
+def enrichment(ranked: DataFrame, sets: DataFrame, low: int = 10, high: int = 500, perms: int = 1000, seed: int = 0, overlap: float = 0.3) -> DataFrame:
+    """(term, size, es, p): the largest deviation of the running sum of |score| over genes by falling score, for each set.
+
+    ranked: (gene, score), sets: (term, gene). Sets of low to high ranked genes count. p: of random sets of the size, the
+    share as extreme on the same side. Fewer than the share overlap of the sets' genes among the ranked is an error (other
+    symbols), and so are more than MOST_GENES.
+    """
+    genes = ranked.select("gene", "score").filter("score is not null")
+    known = sets.select("gene").distinct()
+    n, met = known.count(), known.join(genes, "gene", "left_semi").count()
+    if n and met < overlap * n:
+        raise ValueError(f"{met} of the sets' {n} genes are ranked")
+    count = genes.count()
+    if count > MOST_GENES:
+        raise ValueError(f"{count} genes are too many to rank in a task")
+    rows = genes.orderBy(F.col("score").desc(), "gene").collect()
+    place = {r["gene"]: i for i, r in enumerate(rows)}
+    held = ranked.sparkSession.sparkContext.broadcast((place, np.abs(np.array([r["score"] for r in rows], float))))
+
+    def deviation(at: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """Of sets as rows of sorted places: just before a hit the sum is lowest, just after it highest."""
+        w = weight[at]
+        own = w.sum(1, keepdims=True)
+        hit = np.divide(w.cumsum(1), own, out=np.zeros_like(w), where=own > 0)
+        miss = (at - np.arange(at.shape[1])) / max(1, len(weight) - at.shape[1])
+        gaps = np.concatenate([hit - miss, np.concatenate([np.zeros((len(at), 1)), hit[:, :-1]], 1) - miss], 1)
+        return gaps[np.arange(len(at)), np.abs(gaps).argmax(1)]
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        place, weight = held.value
+        at = np.array(sorted({place[g] for g in pdf["gene"] if g in place}), int)
+        if not low <= len(at) <= high or len(at) >= len(weight):
+            return pd.DataFrame({"term": [], "size": [], "es": [], "p": []}).astype({"term": "object", "size": "int64"})
+        es = float(deviation(at[None, :], weight)[0])
+        rng = np.random.default_rng(seed)
+        null = np.concatenate([deviation(np.sort(rng.random((min(50, perms - i), len(weight))).argpartition(len(at), 1)[:, : len(at)], 1), weight) for i in range(0, perms, 50)])
+        side = null[null > 0] if es > 0 else -null[null < 0]
+        return pd.DataFrame({"term": [str(pdf["term"].iat[0])], "size": [len(at)], "es": [es], "p": [float(((side >= abs(es)).sum() + 1) / (len(side) + 1))]})
+
+    return sets.select("term", "gene").groupBy("term").applyInPandas(one, "term string, size long, es double, p double")
+
+
 # ---- verdicts
 
 

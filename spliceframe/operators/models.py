@@ -299,7 +299,10 @@ def permanova(profiles: DataFrame, factors: list[str], *by: str, values: str = "
 
 
 def anova(df: DataFrame, value: str, factors: list[str], *by: str, least: int = 4) -> DataFrame:
-    """Type-II ANOVA by factor: (by, factor, n, eta2, omega2), partial omega by degrees of freedom."""
+    """Type-II ANOVA by factor: (by, factor, n, eta2, omega2), partial omega by degrees of freedom.
+
+    Where combinations of the factors repeat, their interaction is split from the error: factor 'interaction'.
+    """
     types = dict(df.dtypes)
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -317,25 +320,85 @@ def anova(df: DataFrame, value: str, factors: list[str], *by: str, least: int =
                     ss, d = full - other, rank - r
                     if d > 0:
                         out.append({**key, "factor": f, "n": n, "eta2": ss / whole, "omega2": (ss - d * ms) / (ss + (n - d) * ms) if ss + (n - d) * ms > 0 else 0.0})
+            met, r = _explained(inner, _dummies(np.array(["\x01".join(map(str, x)) for x in pdf[factors].to_numpy()])))
+            if whole > 1e-12 and len(factors) > 1 and r > rank and n > r:
+                ms, ss, d = (whole - met) / (n - r), met - full, r - rank
+                out.append({**key, "factor": "interaction", "n": n, "eta2": ss / whole, "omega2": (ss - d * ms) / (ss + (n - d) * ms) if ss + (n - d) * ms > 0 else 0.0})
         return pd.DataFrame(out, columns=[*by, "factor", "n", "eta2", "omega2"])
 
     return df.select(*by, value, *factors).groupBy(*by).applyInPandas(one, ", ".join(f"`{c}` {types[c]}" for c in by) + ", factor string, n long, eta2 double, omega2 double")
 
 
+def _uniform(key: np.ndarray, i: np.ndarray) -> np.ndarray:
+    """A number from 0 to 1 for each pair of 64-bit key and count."""
+    x = key + i * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return (x ^ (x >> np.uint64(31))) / 2.0**64
+
+
 def thinned(counts: DataFrame, target: int, seed: int = 0) -> DataFrame:
-    """counts thinned to target per cell by binomial draws of p = min(1, target / total), seeded by cell and feature."""
+    """counts thinned to target per cell: a molecule stays with p = min(1, target / total), by a hash of cell, feature and number."""
     total = F.sum("count").over(W.partitionBy("cell_id"))
-    x = counts.withColumn("_p", F.least(F.lit(1.0), target / total)).withColumn("_s", F.pmod(F.xxhash64("cell_id", "feature_id", F.lit(seed)), F.lit(2**32)))
+    x = counts.withColumn("_p", F.least(F.lit(1.0), target / total)).withColumn("_s", F.xxhash64("cell_id", "feature_id", F.lit(seed)))
 
     def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            n, p, s = pdf["count"].to_numpy(), pdf["_p"].to_numpy(), pdf["_s"].to_numpy()
-            new = [int(a) if q >= 1 else int(np.random.Generator(np.random.PCG64(int(k))).binomial(int(a), q)) for a, q, k in zip(n, p, s, strict=True)]
+            n, p, s = pdf["count"].to_numpy().astype(np.int64), pdf["_p"].to_numpy(), pdf["_s"].to_numpy().view(np.uint64)
+            new = n.copy()
+            for at in _chunks(n, 1_000_000):
+                row = np.repeat(np.arange(at.start, at.stop), n[at])
+                number = np.arange(len(row)) - np.repeat(np.cumsum(n[at]) - n[at], n[at])
+                new[at] = np.bincount(row[_uniform(s[row], number.astype(np.uint64)) < p[row]] - at.start, minlength=at.stop - at.start)
             yield pdf.drop(columns=["_p", "_s"]).assign(count=new)
 
     return x.mapInPandas(draw, counts.schema).filter("count > 0")
 
 
+def _chunks(n: np.ndarray, most: int) -> Iterator[slice]:
+    """Stretches of rows of at most so many molecules, or of one row."""
+    start, held = 0, 0
+    for i, m in enumerate(n):
+        if held and held + m > most:
+            yield slice(start, i)
+            start, held = i, 0
+        held += int(m)
+    if len(n):
+        yield slice(start, len(n))
+
+
+#: Why a split is not tested.
+FEW_CASES, FEW_OTHERS = "few cases", "few others"
+
+
+def associated_genes(counts: DataFrame, obs: DataFrame, arm: str, covariates: list[str], *split: str, ratio: int | None = None, least: int = 5, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """(genes, splits): the arm's linear model in every split that has least cells in both arms, after thinning the others.
+
+    ratio: at most so many other cells for each case, those with the least hashes. splits: (split, n1, n0, skipped), n0
+    after thinning, skipped: the reason or null. Without split columns there is one split.
+    """
+    label = F.col(arm)
+    x = obs.withColumn("_n1", F.count_if(label).over(W.partitionBy(*split)))
+    if ratio is not None:
+        place = F.row_number().over(W.partitionBy(*split, label).orderBy(F.xxhash64("cell_id", F.lit(seed)), "cell_id"))
+        x = x.withColumn("_place", place).filter(label | (F.col("_place") <= F.lit(ratio) * F.col("_n1"))).drop("_place")
+    x = x.filter(label.isNotNull()).withColumn("_n0", F.count_if(~label).over(W.partitionBy(*split)))
+    reason = F.when(F.col("n1") < least, FEW_CASES).when(F.col("n0") < least, FEW_OTHERS)
+    splits = x.groupBy(*split).agg(F.count_if(label).alias("n1"), F.count_if(~label).alias("n0")).withColumn("skipped", reason)
+    tested = x.filter((F.col("_n1") >= least) & (F.col("_n0") >= least)).drop("_n1", "_n0")
+    return linear_de(counts.join(tested.select("cell_id"), "cell_id", "left_semi"), tested, arm, covariates, *split), splits
+
+
+def listed(genes: DataFrame, form: str, *split: str, alpha: float = 0.05) -> DataFrame:
+    """The significant genes of associated_genes() as names (a list for each split), z (gene, t) or lfc (gene, lfc); df: all rows."""
+    if form == "df":
+        return genes
+    found = genes.filter(F.col("padj") < alpha)
+    if form == "names":
+        return found.groupBy(*split).agg(F.transform(F.array_sort(F.collect_list(F.struct("padj", "gene"))), lambda r: r["gene"]).alias("genes"))
+    return found.select(*split, "gene", {"z": "t", "lfc": "lfc"}[form])
+
+
 def permuted_share(sums: DataFrame, arm: str, unit: str, times: int = 200, seed: int = 0) -> DataFrame:
     """(perm, n, up): how many genes rise when arms are shuffled within units; perm 0 has the true arms.
 

@@ -233,6 +233,11 @@ def _(c):
     return rounded(e.codetection(c.xy, "x", "y", "stratum"))
 
 
+@query("s35_codetection_null")
+def _(c):
+    return rounded(e.codetection_null(c.xy, "x", "y", "stratum", "unit"))
+
+
 @query("s36_codetection_by_unit", ", t AS (SELECT unit, stratum, count(*) AS n, sum(x) AS nx, sum(y) AS ny, sum(x * y) AS o FROM xy GROUP BY ALL), u AS (SELECT unit, sum(o)::BIGINT AS observed, sum(nx * ny / n) AS expected FROM t WHERE nx > 0 AND ny > 0 GROUP BY 1 HAVING sum(o) >= 3) SELECT unit, observed, round(expected, 6) AS expected, round(ln(observed / expected), 6) + 0 AS effect, round(sqrt(1 / observed + 1 / expected), 6) AS se FROM u", "xy")
 def _(c):
     return rounded(e.codetection_by_unit(c.xy, "x", "y", "stratum", "unit"))
@@ -277,6 +282,17 @@ def _(c):
     return rounded(m.linear_de(gene_counts(c), c.obs, "arm", ["donor"], "class"))
 
 
+@query("s42_associated_splits", ", n AS (SELECT subclass, count(*) FILTER (arm) AS n1, count(*) FILTER (NOT arm) AS n0 FROM obs GROUP BY 1) SELECT subclass, n1, least(n0, 3 * n1) AS n0, CASE WHEN n1 < 5 THEN 'few cases' WHEN least(n0, 3 * n1) < 5 THEN 'few others' END AS skipped FROM n WHERE n1 + least(n0, 3 * n1) > 0", "obs")
+def _(c):
+    return m.associated_genes(gene_counts(c), c.obs, "arm", ["donor"], "subclass", ratio=3)[1]
+
+
+@query("s42_associated_genes")
+def _(c):
+    """A search by class with others thinned to three for each case."""
+    return rounded(m.listed(m.associated_genes(gene_counts(c), c.obs, "arm", ["donor"], "class", ratio=3)[0], "df"))
+
+
 @query("s43_robust_votes")
 def _(c):
     """Votes of the four methods (S42, S43)."""
@@ -300,6 +316,13 @@ def _(c):
     return rounded(m.anova(x, "h", ["class", "donor"], "gene"))
 
 
+@query("s47_interaction")
+def _(c):
+    """Class by donor over the tubes within them: the interaction split from the error."""
+    x = usage.shannon(usage.mean_usage(c.coarse, c.obs, ["class", "donor", "tube"], 2, 2), ["class", "donor", "tube"])
+    return rounded(m.anova(x, "h", ["class", "donor"], "gene"))
+
+
 @query("s48_two_level")
 def _(c):
     """Class within tube, per tube (S48)."""
@@ -328,9 +351,32 @@ def _(c):
     return rounded(e.kruskal(c.depth.join(c.obs, "cell_id"), "depth", "class", "donor"), digits=5)
 
 
+@query("s55_fisher", """, t AS (SELECT unit, count(*) FILTER (x = 1 AND y = 1) AS a, count(*) FILTER (x = 1 AND y = 0) AS b, count(*) FILTER (x = 0 AND y = 1) AS c, count(*) FILTER (x = 0 AND y = 0) AS d FROM xy GROUP BY 1),
+k AS (SELECT *, unnest(range(greatest(0, a - d), least(a + b, a + c) + 1)) AS k FROM t), l AS (SELECT *, -(lgamma(k + 1) + lgamma(a + c - k + 1) + lgamma(a + b - k + 1) + lgamma(d - a + k + 1)) AS l FROM k),
+w AS (SELECT *, max(l) OVER (PARTITION BY unit) AS top, max(l) FILTER (k = a) OVER (PARTITION BY unit) AS mine FROM l)
+SELECT unit, a, b, c, d, round(any_value(CASE WHEN b * c > 0 THEN a * d / (b * c) END), 6) AS odds, round(least(1, sum(exp(l - top)) FILTER (l <= mine + 1e-7) / sum(exp(l - top))), 6) AS p FROM w GROUP BY ALL""".replace("unit, a, b, c, d, round", "unit, a, b, c, d, round"), "xy")
+def _(c):
+    return rounded(e.fisher(c.xy.filter("x in (0, 1)"), "x", "y", "unit"))
+
+
+@query("s55_more_than_half", _CLASS + ", t AS (SELECT gene, count(*) FILTER (effect > 0) AS k, count(*) AS n FROM eff GROUP BY 1), i AS (SELECT *, unnest(range(k, n + 1)) AS i FROM t) SELECT gene, k, n, round(least(1, sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) - n * ln(2.0)))), 6) AS p FROM i GROUP BY ALL", "arms")
+def _(c):
+    x = e.effects(e.arm_sums(entropies(c), "h", "arm", "gene", "class"), 3).filter("effect is not null")
+    return rounded(e.more_than_half(x.withColumn("up", F.col("effect") > 0), "up", "gene"))
+
+
+@query("s55_wilcoxon", """, g AS (SELECT donor, class, gene, avg(h) FILTER (arm) AS u, avg(h) FILTER (NOT arm) AS v FROM cellgene JOIN obs USING (cell_id) WHERE k >= 2 GROUP BY ALL), x AS (SELECT class, round(u - v, 9) AS d FROM g WHERE u IS NOT NULL AND v IS NOT NULL),
+r AS (SELECT class, d, rank() OVER (PARTITION BY class ORDER BY abs(d)) + (count(*) OVER (PARTITION BY class, abs(d)) - 1) / 2 AS r, count(*) OVER (PARTITION BY class, abs(d)) AS t FROM x WHERE d <> 0),
+s AS (SELECT class, count(*) AS n, coalesce(sum(r) FILTER (d > 0), 0) AS w, sum(t * t - 1) AS ties FROM r GROUP BY 1) SELECT class, n, round(w, 6) AS w, round((w - n * (n + 1) / 4) / sqrt(n * (n + 1) * (2 * n + 1) / 24 - ties / 48), 4) AS z FROM s""", "cellgene", "obs")
+def _(c):
+    x = entropies(c).groupBy("donor", "class", "gene").agg(F.avg(F.when(F.col("arm"), F.col("h"))).alias("u"), F.avg(F.when(~F.col("arm"), F.col("h"))).alias("v")).filter("u is not null and v is not null")
+    x = e.wilcoxon(x.select("class", F.round(F.col("u") - F.col("v"), 9).alias("u"), F.lit(0.0).alias("v")), "u", "v", "class").select("class", "n", "w", "z")
+    return rounded(rounded(x, "w"), "z", digits=4)
+
+
 @query("s56_permuted_share")
 def _(c):
-    return m.permuted_share(entropies(c).select("cell_id", "gene", "h", "arm", "donor"), "arm", "donor", 50)
+    return m.permuted_share(entropies(c).select("cell_id", "gene", "h", "arm", "donor"), "arm", "donor", 1000)
 
 
 @query("s57_restriction", _CLASS + ", ref AS (SELECT median(abs(effect)) AS ref FROM eff WHERE abs(z) >= 1.96) SELECT gene, class, CASE WHEN abs(z) >= 1.96 THEN 'affected' WHEN 2.802 * se <= ref THEN 'genuinely_null' ELSE 'underpowered' END AS verdict FROM eff, ref WHERE se > 0", "arms")
@@ -340,7 +386,7 @@ def _(c):
 
 @query("s58_rarefied_features")
 def _(c):
-    return m.rarefied_features(c.counts, [10, 50, 200], 5)
+    return m.rarefied_features(c.counts, [10, 50, 200])
 
 
 @query("s59_independence", _DE_ALL := """, g AS (SELECT class, fine AS gene, sum(count) AS s, count(DISTINCT cell_id) AS k FROM counts JOIN obs USING (cell_id) JOIN var USING (feature_id) GROUP BY ALL),
@@ -400,6 +446,13 @@ def _(c):
     return rounded(x.withColumn("gap", gap).groupBy("term").agg(F.max_by("gap", F.struct(F.abs("gap"), -F.col("rn"))).alias("es")))
 
 
+@query("s66_enrichment_permuted")
+def _(c):
+    x = e.effects(e.arm_sums(entropies(c), "h", "arm", "gene"))
+    sets = x.select((F.regexp_extract("gene", "([0-9]+)", 1).cast("int") % 3).cast("string").alias("term"), "gene")
+    return rounded(e.enrichment(x.select("gene", F.col("z").alias("score")), sets, low=2))
+
+
 @query("s67_driver_class", ", x AS (SELECT gene, class, h - avg(h) OVER (PARTITION BY gene) AS off FROM entropy) SELECT gene, max_by(class, (abs(round(off, 9)), class)) AS class, count(*) AS n FROM x GROUP BY 1", "entropy")
 def _(c):
     h = usage.shannon(usage.mean_usage(c.fractions, c.obs, ["class"]), ["class"])

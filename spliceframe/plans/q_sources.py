@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from spliceframe.plans.registry import query
@@ -17,6 +19,51 @@ def gff(c):
     return j.select(line.alias("value")).union(c.spark.sql("SELECT '# comment' AS value"))
 
 
+def folder(c) -> str:
+    """A new folder in the warehouse, which driver and executors share."""
+    return f"{c.spark.conf.get('spark.sql.warehouse.dir')}/spliceframe/{uuid.uuid4().hex}"
+
+
+@query("io02_bundle", "SELECT class, gene, sum(count)::BIGINT AS count FROM counts JOIN obs USING (cell_id) JOIN var USING (feature_id) GROUP BY ALL", "counts", "obs", "var")
+def _(c):
+    s.Bundle(c.counts, c.obs, c.var).write(path := folder(c))
+    b = s.Bundle.read(c.spark, path)
+    return b.counts.join(b.obs, "cell_id").join(b.var, "feature_id").groupBy("class", "gene").agg(F.sum("count").alias("count"))
+
+
+@query("io05_strings", "SELECT cell_id::VARCHAR AS cell_id, class FROM obs", "obs")
+def _(c):
+    s.write_table(c.obs.select("class", "cell_id", "donor"), path := folder(c))
+    return s.read_strings(c.spark, path, ["cell_id", "class"])
+
+
+@query("io06_headerless", "SELECT cell_id::VARCHAR AS a, class AS b FROM obs", "obs")
+def _(c):
+    c.obs.select("cell_id", "class").write.option("sep", "\t").csv(path := folder(c))
+    return s.read_strings(c.spark, path, ["a", "b"], header=False)
+
+
+@query("io17_write_new", "SELECT cell_id FROM obs", "obs")
+def _(c):
+    path = folder(c)
+    s.write_new(c.obs.select("cell_id"), path)
+    s.write_new(c.obs.select("cell_id").limit(1), path)  # something is there: it stays
+    return c.spark.read.parquet(path)
+
+
+@query("io18_alias", "SELECT class, count(*) AS n FROM obs GROUP BY 1", "obs")
+def _(c):
+    s.alias(c.obs, name := f"cells_{uuid.uuid4().hex}")
+    return c.spark.sql(f"SELECT class, count(*) AS n FROM {name} GROUP BY 1")
+
+
+@query("io19_kept", "SELECT cell_id, donor, class FROM obs", "obs")
+def _(c):
+    path = folder(c)
+    s.kept(c.obs.select("cell_id", "class"), path)
+    return s.kept(c.obs.select("cell_id", "donor", "class"), path)  # lacks a column: written anew
+
+
 @query("io03_annotations_only", "SELECT cell_id, class FROM obs", "obs")
 def _(c):
     return c.obs.select("cell_id", "class")

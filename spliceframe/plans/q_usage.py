@@ -44,7 +44,12 @@ d AS (SELECT a.class, a.gene, a.feature_id AS i, b.feature_id AS j, sum(a.fracti
 t AS (SELECT class, gene, sum(fraction * fraction) AS tr, count(DISTINCT cell_id) AS n_expr FROM x GROUP BY ALL)
 SELECT class, gene, any_value(n_expr) AS n_expr, round(-log2(sum(dot * dot) / (any_value(tr) * any_value(tr))), 6) AS h FROM d JOIN t USING (class, gene) WHERE n_expr >= 5 GROUP BY ALL""", "fr", "obs")
 def _(c):
-    return rounded(usage.matrix_renyi2(c.fractions, c.obs, ["class"]))
+    return rounded(usage.matrix_renyi(c.fractions, c.obs, ["class"]))
+
+
+@query("s14_matrix_shannon")
+def _(c):
+    return rounded(usage.matrix_renyi(c.fractions, c.obs, ["class"], 1.0))
 
 
 @query("s15_tau", "SELECT gene, feature_id, count(*) AS n_groups, round(sum(1 - usage / m) / (count(*) - 1), 6) AS tau FROM (SELECT *, max(usage) OVER (PARTITION BY gene, feature_id) AS m FROM profile) GROUP BY ALL HAVING count(*) > 1", "profile")

@@ -290,3 +290,88 @@ def test_sources_and_joins_of_every_isoform(spark, monkeypatch):
     monkeypatch.setattr(registry, "Carriers", lambda *_: c)
     assert {r.transcript_id: r.exons for r in QUERIES["io08_gff_transcripts"](spark, "").collect()} == {"T7": "1-9", "T5007": "1-9", "T5008": "2-8"}
     assert sorted(tuple(r) for r in QUERIES["io12_rewrite_attributes"](spark, "").collect()) == [(0, 1), (1, 2)]
+
+
+def test_codetection_null_matches_shuffles(spark):
+    rng = np.random.default_rng(0)
+    x, y, s = rng.integers(0, 2, 400), rng.integers(0, 2, 400), rng.integers(0, 4, 400)
+    df = spark.createDataFrame([(1, int(a), int(b), int(c)) for a, b, c in zip(x, y, s, strict=True)], "k int, x int, y int, s int")
+    r = effects.codetection_null(df, "x", "y", "s", "k", perms=4000).first()
+    null = []
+    for _ in range(2000):
+        z = y.copy()
+        for c in range(4):
+            z[s == c] = rng.permutation(z[s == c])
+        null.append((x & z).sum())
+    assert r.observed == (x & y).sum() and r["mean"] == pytest.approx(np.mean(null), abs=0.7) and r.sd == pytest.approx(np.std(null), rel=0.15)
+
+
+def test_enrichment(spark):
+    rng = np.random.default_rng(1)
+    score = np.sort(rng.normal(size=200))[::-1]
+    sets = {"top": list(range(0, 40, 2)), "any": sorted(rng.choice(200, 30, replace=False).tolist()), "small": [1, 2]}
+    ranked = spark.createDataFrame([(f"g{i}", float(v)) for i, v in enumerate(score)], "gene string, score double")
+    df = spark.createDataFrame([(t, f"g{i}") for t, v in sets.items() for i in v], "term string, gene string")
+    got = {r.term: r for r in effects.enrichment(ranked, df).collect()}
+    for t in ("top", "any"):
+        hit = np.isin(np.arange(200), sets[t])
+        w = np.abs(score) * hit
+        gap = w.cumsum() / w.sum() - (~hit).cumsum() / (~hit).sum()
+        assert got[t].es == pytest.approx(gap[np.abs(gap).argmax()])
+    assert got["top"].p < 0.01 and got["any"].p > 0.02 and "small" not in got
+    with pytest.raises(ValueError, match="ranked"):
+        effects.enrichment(ranked, df.select("term", F.concat(F.lit("other"), "gene").alias("gene")))
+
+
+def test_sign_flips_of_many(spark):
+    rng = np.random.default_rng(2)
+    rows = [("exact", float(v)) for v in rng.normal(0.5, 1, 18)] + [("sampled", float(v)) for v in rng.normal(0.3, 1, 40)]
+    got = {r.k: r.p for r in effects.sign_flip(spark.createDataFrame(rows, "g string, v double"), "v", "g").collect()}
+    v = np.array([x for g, x in rows if g == "exact"])
+    flips = (np.arange(2**18)[:, None] >> np.arange(18) & 1) * 2 - 1
+    assert got[18] == pytest.approx((np.abs(flips @ v) >= abs(v.sum()) - 1e-12).mean()) and 0 < got[40] < 0.5
+
+
+def test_matrix_entropy_of_any_order(spark):
+    rng = np.random.default_rng(3)
+    rows = [(c, "g", f, int(rng.integers(1, 9))) for c in range(20) for f in range(4) if rng.random() < 0.7]
+    f = usage.isoform_fractions(spark.createDataFrame([(c, f, n) for c, _, f, n in rows], "cell_id long, feature_id long, count long"), spark.createDataFrame([(f, "g") for f in range(4)], "feature_id long, gene string"))
+    obs = spark.createDataFrame([(c, "x") for c in range(20)], "cell_id long, class string")
+    m = np.zeros((20, 4))
+    for r in f.collect():
+        m[r.cell_id, r.feature_id] = r.fraction
+    p = np.linalg.eigvalsh(m @ m.T / np.trace(m @ m.T))
+    p = p[p > 1e-12]
+    for alpha, want in ((1.0, -(p * np.log2(p)).sum()), (2.0, -np.log2((p**2).sum())), (3.0, -np.log2((p**3).sum()) / 2), (math.inf, -np.log2(p.max()))):
+        assert usage.matrix_renyi(f, obs, ["class"], alpha).first().h == pytest.approx(want, abs=1e-9)
+
+
+def test_thinning_keeps_molecules(spark):
+    df = spark.createDataFrame([(c, f, 400 * (f + 1)) for c in range(30) for f in range(3)] + [(99, 1, 7)], "cell_id long, feature_id long, count long")
+    out = {(r.cell_id, r.feature_id): r["count"] for r in models.thinned(df, 600).collect()}
+    assert out[99, 1] == 7 and all(0 <= n <= 400 * (f + 1) for (c, f), n in out.items() if c < 30)
+    totals = [sum(out[c, f] for f in range(3)) for c in range(30)]
+    assert np.mean(totals) == pytest.approx(600, abs=15) and 10 < np.std(totals) < 40
+    assert out == {(r.cell_id, r.feature_id): r["count"] for r in models.thinned(df.repartition(7), 600).collect()}
+
+
+def test_interaction_is_split(spark):
+    rng = np.random.default_rng(4)
+    rows = [("g", a, b, float(2 * (a == b) + 0.1 * rng.normal())) for a in "xy" for b in "xy" for _ in range(8)]
+    got = {r.factor: r.eta2 for r in models.anova(spark.createDataFrame(rows, "gene string, a string, b string, h double"), "h", ["a", "b"], "gene").collect()}
+    y = np.array([r[3] for r in rows])
+    means = {k: np.mean([r[3] for r in rows if (r[1], r[2]) == k]) for k in {(r[1], r[2]) for r in rows}}
+    cells = sum((means[r[1], r[2]] - y.mean()) ** 2 for r in rows)
+    one = lambda i: sum((np.mean([q[3] for q in rows if q[i] == r[i]]) - y.mean()) ** 2 for r in rows)
+    assert got["interaction"] == pytest.approx((cells - one(1) - one(2)) / ((y - y.mean()) ** 2).sum()) and got["interaction"] > 0.9
+
+
+def test_associated_genes(spark):
+    rng = np.random.default_rng(5)
+    obs = [(c, "big" if c < 120 else "small", c % 4 == 0 if c < 120 else c == 120) for c in range(130)]
+    counts = [(c, g, int(n)) for c, _, arm in obs for g in range(6) if (n := rng.poisson(20 + 60 * (arm and g == 0)))]
+    genes, splits = models.associated_genes(spark.createDataFrame(counts, "cell_id long, gene long, count long"), spark.createDataFrame(obs, "cell_id long, class string, arm boolean"), "arm", [], "class", ratio=2)
+    assert {(r["class"], r.n1, r.n0, r.skipped) for r in splits.collect()} == {("big", 30, 60, None), ("small", 1, 2, models.FEW_CASES)}
+    names = models.listed(genes, "names", "class").collect()
+    assert len(names) == 1 and names[0].genes[0] == 0 and models.listed(genes, "df").count() == 6
+    assert models.listed(genes, "lfc", "class").columns == ["class", "gene", "lfc"]
