@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from spliceframe.llm import decontam, html_text, jaccard, licenses, line_dedup, mixing, neighbours, pii, secrets, toxicity
+from spliceframe.llm import decontam, html_text, jaccard, licenses, line_dedup, mixing, neighbours, periodic_runs, pii, secrets, toxicity
 
 QUERIES = {
     "op1_neighbours": neighbours.op1,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_jaccard_join": jaccard.op8,
     "op9_secrets": secrets.op9,
     "op10_line_dedup": line_dedup.op10,
+    "op11_periodic_runs": periodic_runs.op11,
 }
 ORACLE_SQL = {
     "op3_decontaminate": decontam.OP3_SQL,
