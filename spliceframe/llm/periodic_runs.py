@@ -13,12 +13,14 @@ Documents are refined together in blocks of bounded size, each within itself. No
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import count
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from spliceframe.llm.common import SPACES, Sealed, let, table
 
@@ -26,7 +28,7 @@ from spliceframe.llm.common import SPACES, Sealed, let, table
 DENSE = 4
 #: Words that are refined together; a longer document makes a block of its own.
 BLOCK = 250_000
-RUNS = "array<struct<start:bigint,length:bigint,period:bigint>>"
+RUNS = ArrayType(StructType([StructField(c, LongType()) for c in ("start", "length", "period")]))
 
 
 def _by_class(key: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -220,43 +222,33 @@ def _block(texts: list[bytes], least: int) -> tuple[list[np.ndarray], list[bytes
     return runs, kept
 
 
-def collapsed(text: Column, least: int = 12) -> Column:
-    """A struct of runs (start, length, period, by start, then period) and collapsed, the text without repeats.
+def collapse_runs(docs: DataFrame, least: int = 12, text_col: str = "text") -> DataFrame:
+    """docs with runs (start, length, period, by start, then period) and collapsed, the text without repeats.
 
     Words are what is not space or U+0009 to U+000D, numbered from 0. A run is a stretch of words of which those a
     period apart are identical, with the smallest such period, at least twice the period and least words long, that
     can't be extended on either side. A word goes if a run contains it after that run's first period; the others are
-    joined by one space. Null and empty texts: no runs, "".
+    joined by one space. Null and empty texts: no runs, "". Rows are judged one by one, so repeated ids and rows are no
+    matter. Columns of docs named runs or collapsed are replaced. A task holds BLOCK words, or one document.
     """
-
-    @F.arrow_udf(f"struct<runs:{RUNS},collapsed:string>")
-    def found(texts: pa.Array) -> pa.Array:
-        runs, kept, block, size = [], [], [], 0
-        for t in texts.cast(pa.binary()).to_pylist():
-            block.append(t or b"")
-            size += len(block[-1])
-            if size > 6 * BLOCK:
-                r, k = _block(block, least)
-                runs += r
-                kept += k
-                block, size = [], 0
-        if block:
-            r, k = _block(block, least)
-            runs += r
-            kept += k
-        flat = np.concatenate([*runs, np.zeros((0, 3), np.int64)])
-        lists = pa.ListArray.from_arrays(np.cumsum([0, *map(len, runs)]).astype(np.int32), pa.StructArray.from_arrays([pa.array(flat[:, j]) for j in range(3)], ["start", "length", "period"]))
-        return pa.StructArray.from_arrays([lists, pa.array(kept, pa.binary()).cast(pa.string())], ["runs", "collapsed"])
-
-    return found(text)
-
-
-def collapse_runs(docs: DataFrame, least: int = 12, text_col: str = "text") -> DataFrame:
-    """docs with runs and collapsed, as collapsed() says; columns of docs of these names are replaced. Rows are judged one by one,
-    so repeated ids and rows are no matter."""
     s = Sealed(docs, "runs", "collapsed")
-    out = s.df.withColumn("found", collapsed(F.col(s[text_col]), least))
-    return s.opened(out, F.col("found.runs").alias("runs"), F.col("found.collapsed").alias("collapsed"))
+    text, names = s[text_col], s.df.columns
+    schema = StructType([*s.df.schema.fields, StructField("runs", RUNS), StructField("collapsed", StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t or b"" for t in batch.column(names.index(text)).cast(pa.binary()).to_pylist()]
+            size = np.cumsum([len(t) for t in texts])
+            starts = [0, *np.flatnonzero(np.diff(size // (6 * BLOCK)) > 0) + 1, len(texts)]
+            for lo, hi in zip(starts, starts[1:]):
+                runs, kept = _block(texts[lo:hi], least)
+                flat = np.concatenate([np.zeros((0, 3), np.int64), *runs])
+                each = pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(flat[:, j])) for j in range(3)], ["start", "length", "period"])
+                lists = pa.ListArray.from_arrays(np.cumsum([0, *map(len, runs)]).astype(np.int32), each)
+                columns = [batch.column(i).slice(lo, hi - lo) for i in range(len(names))]
+                yield pa.RecordBatch.from_arrays([*columns, lists, pa.array(kept, pa.binary()).cast(pa.string())], names=[*names, "runs", "collapsed"])
+
+    return s.opened(s.df.mapInArrow(run, schema), "runs", "collapsed")
 
 
 def periodic_tail(doc_id: Column, text: Column) -> Column:
