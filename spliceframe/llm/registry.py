@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from spliceframe.llm import decontam, html_text, jaccard, licenses, line_dedup, mixing, neighbours, periodic_runs, pii, secrets, token_align, toxicity
+from spliceframe.llm import decontam, html_text, inner_top, jaccard, licenses, line_dedup, mixing, neighbours, periodic_runs, pii, secrets, token_align, toxicity
 
 QUERIES = {
     "op1_neighbours": neighbours.op1,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_secrets": secrets.op9,
     "op10_line_dedup": line_dedup.op10,
     "op11_periodic_runs": periodic_runs.op11,
+    "op12_inner_top": inner_top.op12,
     "op13_token_alignment": token_align.op13,
 }
 ORACLE_SQL = {
