@@ -26,7 +26,7 @@ from spliceframe.llm.common import Sealed, cut, stored, table
 
 FOLDER = "/opt/tokenizers"
 #: Segments that a process remembers; characters that are tokenized at once, and that documents of one step hold.
-KNOWN, CHUNK, STEP = 400_000, 200_000, 2_000_000
+KNOWN, CHUNK, STEP = 200_000, 200_000, 2_000_000
 #: Pairs that are broadcast.
 LOOKUP = 500_000
 
