@@ -1,4 +1,4 @@
-"""Normalised expression, its principal components, neighbour sets, and nulls of random gene pairs."""
+"""Normalised expression, its variable features and principal components, and nulls of random gene pairs."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
@@ -58,28 +58,49 @@ def principal_components(y: DataFrame, features: DataFrame, n_cells: int, k: int
     return values[::-1][:k], axes[:, ::-1][:, :k]
 
 
-def neighbour_overlap(emb: DataFrame, a: Column, b: Column, k: int = 30, id_col: str = "vec_id", points: int = 20_000) -> DataFrame:
-    """(id, overlap): the share of a point's k nearest points by vector a that are among its k nearest by b.
+def component_scores(y: DataFrame, features: DataFrame, axes: np.ndarray, clip: float = 10.0) -> DataFrame:
+    """(cell_id, scores): the places of cells on axes of principal_components(), from its features. Cells without any of the features have no row:
+    all of them lie where zeros do."""
+    rows = features.orderBy("feature_id").collect()
+    place = {r["feature_id"]: i for i, r in enumerate(rows)}
+    mean, sd = np.array([r["mean"] for r in rows]), np.sqrt(np.maximum([r["variance"] for r in rows], 1e-12))
+    held = y.sparkSession.sparkContext.broadcast((place, mean, sd, np.clip(-mean / sd, -clip, clip), axes))
+    cells = y.join(F.broadcast(features.select("feature_id")), "feature_id", "left_semi").groupBy("cell_id").agg(F.collect_list(F.struct("feature_id", "y")).alias("v"))
 
-    Brute force over at most points rows, those with the least hashes: the operator's documented sample. Ties: the smaller id.
-    """
-    some = emb.select(F.col(id_col).alias("id"), a.alias("a"), b.alias("b")).orderBy(F.xxhash64("id"), "id").limit(points)
-    rows = some.collect()
-    held = emb.sparkSession.sparkContext.broadcast((np.array([r["id"] for r in rows]), *(np.array([r[c] for r in rows], float) for c in "ab")))
+    def project(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        place, mean, sd, base, axes = held.value
+        for pdf in batches:
+            m = np.tile(base, (len(pdf), 1))
+            for i, v in enumerate(pdf["v"]):
+                at = [place[r["feature_id"]] for r in v]
+                m[i, at] = np.minimum((np.array([r["y"] for r in v]) - mean[at]) / sd[at], clip)
+            yield pd.DataFrame({"cell_id": pdf["cell_id"], "scores": list(m @ axes)})
 
-    def near(x: np.ndarray, v: np.ndarray, ids: np.ndarray, own: np.ndarray) -> np.ndarray:
-        d = (x * x).sum(1)[None, :] - 2 * v @ x.T
-        d[own[:, None] == ids[None, :]] = np.inf
-        return np.lexsort((np.broadcast_to(ids, d.shape), np.round(d, 9)), axis=1)[:, :k]
+    return cells.mapInPandas(project, f"cell_id {dict(y.dtypes)['cell_id']}, scores array<double>")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, x, y = held.value
-        for pdf in batches:
-            own = pdf["id"].to_numpy()
-            p, q = (near(m, np.stack(pdf[c].to_numpy()).astype(float), ids, own) for m, c in ((x, "a"), (y, "b")))
-            yield pd.DataFrame({"id": own, "overlap": [len(np.intersect1d(u, v)) / k for u, v in zip(p, q, strict=True)]})
 
-    return some.mapInPandas(run, "id long, overlap double")
+def variable_features_by_batch(counts: DataFrame, cells: DataFrame, batch: str, top: int, bins: int = 20, target: float = 1e4) -> DataFrame:
+    """(feature_id, n_batches, dispersion) of the top features that vary in most batches, then by mean standardised dispersion, then the smaller id.
+
+    Within a batch: the log of variance over mean of counts per target, standardised within bins of equal width of log1p of the
+    mean; the top features (ties included) vary there. A feature alone in its bin gets 1, one that a batch never shows 0.
+    """
+    size = cells.groupBy(batch).agg(F.count("*").alias("_n"))
+    total = F.sum("count").over(W.partitionBy("cell_id"))
+    x = counts.filter("count > 0").withColumn("_x", F.col("count") / total * target).join(cells.select("cell_id", batch), "cell_id")
+    x = x.groupBy(batch, "feature_id").agg(F.sum("_x").alias("_s"), F.sum(F.col("_x") * F.col("_x")).alias("_q")).join(F.broadcast(size), batch)  # a row for each batch
+    mean = F.col("_s") / F.col("_n")
+    x = x.select(batch, "feature_id", F.log1p(mean).alias("_m"), F.log(F.nullif(F.greatest(F.try_divide(F.col("_q") - F.col("_n") * mean * mean, F.col("_n") - 1), F.lit(0.0)) / mean, F.lit(0.0))).alias("_d"))
+    low, high = (f("_m").over(W.partitionBy(batch)) for f in (F.min, F.max))
+    x = x.withColumn("_bin", F.coalesce(F.greatest(F.lit(1), F.ceil(F.try_divide(F.col("_m") - low, (high - low) / bins))), F.lit(1)))
+    own = W.partitionBy(batch, "_bin")
+    sd = F.stddev_samp("_d").over(own)
+    x = x.withColumn("_z", F.when(F.col("_d").isNotNull(), F.when(sd.isNull(), 1.0).otherwise(F.try_divide(F.col("_d") - F.avg("_d").over(own), sd))))
+    place = F.rank().over(W.partitionBy(batch).orderBy(F.col("_z").desc_nulls_last()))
+    x = x.withColumn("_top", (F.col("_z").isNotNull() & (place <= top)).cast("long"))
+    batches = size.count()
+    x = x.groupBy("feature_id").agg(F.sum("_top").alias("n_batches"), F.try_divide(F.coalesce(F.sum("_z"), F.lit(0.0)), batches - F.count_if(F.col("_z").isNull())).alias("dispersion"))
+    return x.orderBy(F.col("n_batches").desc(), F.col("dispersion").desc_nulls_last(), "feature_id").limit(top)
 
 
 def matched_pair_null(detected: DataFrame, n_cells: int, first: float, second: float, pairs: int = 200, band: float = 0.1, seed: int = 0) -> DataFrame:

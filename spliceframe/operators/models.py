@@ -425,28 +425,6 @@ def rarefied_features(counts: DataFrame, sizes: list[int], repeats: int = 20, se
     return x.select("repeat", F.explode(F.array(*(F.struct(F.lit(k).alias("k"), F.col(f"k{k}").alias("n_features")) for k in sizes))).alias("x")).select("repeat", "x.*")
 
 
-def label_purity(emb: DataFrame, k: int = 30, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", cells: int = 20_000) -> DataFrame:
-    """(id, purity): the share of a point's k nearest points (Euclid, ties to the smaller id) with its label.
-
-    Brute force over at most cells points, those with the least hashes: the documented sample of the operator.
-    """
-    some = emb.orderBy(F.xxhash64(id_col), id_col).limit(cells).collect()
-    ids, x, labels = np.array([r[id_col] for r in some]), np.array([r[vector_col] for r in some], float), np.array([r[label_col] for r in some])
-    held = emb.sparkSession.sparkContext.broadcast((ids, x, labels, (x * x).sum(1)))
-
-    def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, x, labels, norms = held.value
-        for pdf in batches:
-            v = np.stack(pdf[vector_col].to_numpy()).astype(float)
-            d = norms[None, :] - 2 * v @ x.T
-            d[pdf[id_col].to_numpy()[:, None] == ids[None, :]] = np.inf
-            at = np.lexsort((np.broadcast_to(ids, d.shape), np.round(d, 9)), axis=1)[:, :k]
-            yield pd.DataFrame({"id": pdf[id_col], "purity": (labels[at] == pdf[label_col].to_numpy()[:, None]).mean(1)})
-
-    keep = emb.join(F.broadcast(emb.sparkSession.createDataFrame([(int(i),) for i in ids], f"{id_col} long")), id_col, "left_semi")
-    return keep.select(id_col, vector_col, label_col).mapInPandas(near, "id long, purity double")
-
-
 def cell_profile_arrays(usage: DataFrame, *by: str) -> DataFrame:
     """(by, gene, profile): usage over all isoforms of the gene that any profile has, absent ones 0, in order of feature_id."""
     names = usage.groupBy("gene").agg(F.array_sort(F.collect_set("feature_id")).alias("_names"))

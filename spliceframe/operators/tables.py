@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from spliceframe.operators.keep import numbered
+
 # ---- predicates and labels
 
 
@@ -286,12 +288,12 @@ def rarefaction(reads: DataFrame, steps: int = 10) -> DataFrame:
 def global_ids(structures: DataFrame, prefix: str = "PB.sync.") -> DataFrame:
     """(tissue, old_id, new_id): one id for each structure (seqid, strand, exons), numbered by first appearance.
 
-    First means the least tissue and then old id. Numbering sorts distinct structures only.
+    First means the least tissue and then old id (ties: the lesser structure). Distinct structures only are sorted, and numbered in ranges.
     """
     key = ["seqid", "strand", "exons"]
     first = structures.groupBy(*key).agg(F.min(F.struct("tissue", "old_id")).alias("first"))
-    ids = first.withColumn("new_id", F.concat(F.lit(prefix), F.row_number().over(W.orderBy("first")).cast("string")))
-    return structures.join(ids.drop("first"), key).select("tissue", "old_id", "new_id")
+    ids = numbered(first, "first", *key).withColumn("new_id", F.concat(F.lit(prefix), F.col("n").cast("string")))
+    return structures.join(ids.drop("first", "n"), key).select("tissue", "old_id", "new_id")
 
 
 def weighted_mean(w: Column, x: Column) -> Column:

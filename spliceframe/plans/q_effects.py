@@ -330,11 +330,6 @@ def _(c):
     return rounded(m.anova(usage.shannon(x, ["class", "tube"]), "h", ["class"], "tube"))
 
 
-@query("s51_label_purity")
-def _(c):
-    return rounded(m.label_purity(c.table("embeddings")))
-
-
 @query("s53_correlations", ", g AS (SELECT gene, class, sum(total) AS n, avg(h) AS h FROM cellgene JOIN obs USING (cell_id) GROUP BY ALL), r AS (SELECT class, n, h, rank() OVER (PARTITION BY class ORDER BY n) + (count(*) OVER (PARTITION BY class, n) - 1) / 2 AS rn, rank() OVER (PARTITION BY class ORDER BY h) + (count(*) OVER (PARTITION BY class, h) - 1) / 2 AS rh FROM g) SELECT class, count(*) AS n, round(corr(n, h), 6) AS pearson, round(corr(rn, rh), 6) AS spearman FROM r GROUP BY 1", "cellgene", "obs")
 def _(c):
     g = usage.cell_gene_entropy(c.coarse).join(c.obs, "cell_id").groupBy("gene", "class").agg(F.sum("total").alias("x"), F.avg("h").alias("y"))

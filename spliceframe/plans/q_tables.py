@@ -301,9 +301,9 @@ def _(c):
     return x.select("seqid", F.array_join(F.transform("exons", lambda e: e.cast("string")), ",").alias("exons"), "n")
 
 
-@query("a20_global_ids", f", x AS ({_STRUCT}) SELECT tissue, count(*) AS n, count(DISTINCT (seqid, exons)) AS ids FROM x GROUP BY 1", "junctions")
+@query("a20_global_ids", f", x AS ({_STRUCT}), f AS (SELECT seqid, strand, exons, min(struct_pack(tissue := tissue, old_id := old_id)) AS first FROM x GROUP BY ALL), i AS (SELECT seqid, strand, exons, 'PB.sync.' || row_number() OVER (ORDER BY first, seqid, exons) AS new_id FROM f) SELECT tissue, old_id, new_id FROM x JOIN i USING (seqid, strand, exons)", "junctions")
 def _(c):
-    return t.global_ids(structures(c)).groupBy("tissue").agg(F.count("*").alias("n"), F.countDistinct("new_id").alias("ids"))
+    return t.global_ids(structures(c))
 
 
 @query("j14_route_reads", "SELECT user_id % 7 AS shard, count(*) AS n FROM events WHERE user_id IS NOT NULL GROUP BY 1")

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spliceframe.operators.keep import numbered_lines
+
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
     """(n, line) of one small file, numbered from 1 in file order."""
@@ -19,7 +21,7 @@ def read_mtx(spark: SparkSession, folder: str, matrix: str = "matrix.mtx", featu
 
     Comment lines and the line of sizes are skipped; the matrix is read in parallel, the lists are looked up by number.
     """
-    first = lambda p: lines(spark, f"{folder}/{p}").select("n", F.split("line", "\t")[0].alias("id"))
+    first = lambda p: numbered_lines(spark.read.text(f"{folder}/{p}")).select("n", F.split("value", "\t")[0].alias("id"))
     x = spark.read.text(f"{folder}/{matrix}").filter(~F.col("value").startswith("%") & (F.trim("value") != ""))
     x = x.select(F.split(F.trim("value"), r"\s+").alias("p"), F.monotonically_increasing_id().alias("_at"))
     size = x.agg(F.min("_at").alias("_first"))  # the line of sizes is the first that is no comment
