@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 _erfc = np.vectorize(math.erfc, otypes=[float])
-lgamma = np.vectorize(math.lgamma, otypes=[float])
 _TINY = 1e-300
 
 
@@ -22,15 +21,24 @@ def norm_sf(z):
     return 0.5 * _erfc(np.asarray(z, float) / math.sqrt(2))
 
 
+def lgamma(x):
+    """log of the gamma function for x > 0: from x + 10 by Stirling's series, less the factors between."""
+    x = np.asarray(x, float)
+    y = x + 10
+    r = 1 / (y * y)
+    series = (1 / 12 - r * (1 / 360 - r * (1 / 1260 - r * (1 / 1680 - r * (1 / 1188 - r * 691 / 360360))))) / y
+    factors = x * (x + 1) * (x + 2) * (x + 3) * (x + 4)
+    more = (x + 5) * (x + 6) * (x + 7) * (x + 8) * (x + 9)
+    return (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + series - np.log(factors) - np.log(more)
+
+
 def digamma(x):
-    """The derivative of lgamma for x > 0: recurrence up to 10, then the asymptotic series."""
-    x = np.array(x, float)
-    out = np.zeros_like(x)
-    while np.any(small := x < 10):
-        out[small] -= 1 / x[small]
-        x[small] += 1
-    r = 1 / (x * x)
-    return out + np.log(x) - 0.5 / x - r * (1 / 12 - r * (1 / 120 - r * (1 / 252 - r * (1 / 240 - r / 132))))
+    """The derivative of lgamma for x > 0: from x + 10 by the asymptotic series, less the terms between."""
+    x = np.asarray(x, float)
+    y = x + 10
+    r = 1 / (y * y)
+    between = sum(1 / (x + i) for i in range(10))
+    return np.log(y) - 0.5 / y - r * (1 / 12 - r * (1 / 120 - r * (1 / 252 - r * (1 / 240 - r / 132)))) - between
 
 
 def _gamma_q(a: float, x: float) -> float:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from spliceframe.functions import tails
+from spliceframe.operators.keep import kept
 from spliceframe.operators.tables import adjusted
 
 # ---- Dirichlet-multinomial usage
@@ -38,17 +40,29 @@ def dm_loglik(theta: np.ndarray, counts: np.ndarray) -> tuple[float, np.ndarray]
     return _dm_loglik(theta, *_tallied(counts))
 
 
-def dm_fit(counts: np.ndarray, steps: int = 200) -> tuple[np.ndarray, float]:
-    """(alpha, log-likelihood) at the maximum within [1e-8, 1e8]. Cells without counts don't count.
+class Tally:
+    """What the likelihood needs of cells by isoforms: how often an isoform (slot) has a count, and cells a total (slot -1)."""
 
-    Projected BFGS on log alpha from the number of isoforms times the composition, with backtracking.
-    """
+    def __init__(self, slot: np.ndarray, value: np.ndarray, times: np.ndarray, k: int):
+        own = slot >= 0
+        self.k, self.cells = k, int(times[~own].sum())
+        self.sums = np.bincount(slot[own], value[own] * times[own], k)
+        self.args = slot[own], value[own], times[own], value[~own], times[~own], k
+
+
+def dm_fit(counts: np.ndarray, steps: int = 200) -> tuple[np.ndarray, float]:
+    """(alpha, log-likelihood) at the maximum within [1e-8, 1e8]. counts: cells by isoforms; cells without counts don't count."""
     counts = counts[counts.sum(1) > 0].astype(float)
-    k = counts.shape[1]
-    if not len(counts):
+    slot, value, times, n, n_times, k = _tallied(counts) if len(counts) else (*(np.zeros(0, int),) * 5, counts.shape[1])
+    return fit_tally(Tally(np.concatenate([slot, np.full(len(n), -1)]), np.concatenate([value, n]).astype(float), np.concatenate([times, n_times]), k), steps)
+
+
+def fit_tally(tally: Tally, steps: int = 200) -> tuple[np.ndarray, float]:
+    """dm_fit() of tallied counts: projected BFGS on log alpha from the number of isoforms times the composition, with backtracking."""
+    k, tallies = tally.k, tally.args
+    if not tally.cells:
         return np.ones(k), 0.0
-    theta = np.log(k * np.clip(counts.sum(0) / counts.sum(), 1e-6, 1.0))
-    tallies = _tallied(counts)
+    theta = np.log(k * np.clip(tally.sums / tally.sums.sum(), 1e-6, 1.0))
     value, slope = _dm_loglik(theta, *tallies)
     inverse = np.eye(k) / max(1.0, np.abs(slope).max())
     for _ in range(steps):
@@ -113,23 +127,108 @@ def usage_tests(fractions: DataFrame, obs: DataFrame, arm: str, *split: str, min
     cellwise = x.join(out.filter("tested").select(*by, "feature_id", slot.alias("slot")), [*by, "feature_id"]).select(*by, "cell_id", "arm", "slot", "count")
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        at, cell = np.unique(pdf["cell_id"].to_numpy(), return_inverse=True)
-        table = np.zeros((len(at), int(pdf["slot"].max()) + 1))
-        np.add.at(table, (cell, pdf["slot"].to_numpy()), pdf["count"].to_numpy())
-        arms = np.zeros(len(at), bool)
-        arms[cell] = pdf["arm"].to_numpy(bool)
-        stat, p = dm_test(table[arms], table[~arms])
-        return pdf[by].head(1).assign(dm_stat=stat, dm_pval=p)
+        slot, value, times, own = (pdf[c].to_numpy() for c in ("slot", "value", "times", "arm"))
+        k = int(slot.max()) + 1
+        whole, group, rest = (Tally(slot[m], value[m], times[m], k) for m in (np.ones(len(slot), bool), own, ~own))
+        stat = max(2 * (fit_tally(group)[1] + fit_tally(rest)[1] - fit_tally(whole)[1]), 0.0)
+        return pdf[by].head(1).assign(dm_stat=stat, dm_pval=float(tails.chi2_sf(stat, k)))
 
     types = dict(cellwise.dtypes)
-    fits = cellwise.groupBy(*by).applyInPandas(one, ", ".join(f"`{c}` {types[c]}" for c in by) + ", dm_stat double, dm_pval double")
+    fits = spread(tallied(cellwise, "arm", *by), *by).groupBy(*by).applyInPandas(one, ", ".join(f"`{c}` {types[c]}" for c in by) + ", dm_stat double, dm_pval double")
     fits = adjusted(fits, "dm_pval", *split, out="dm_padj")
     return out.drop("_g", "_r", "_total", "_place").join(fits, by, "left")
 
 
+def tallied(cellwise: DataFrame, group: str, *by: str) -> DataFrame:
+    """(by, group, slot, value, times) from cells' counts by slot: how many cells have a count in a slot, and a total (slot -1).
+
+    Counts are whole and mostly small, so a gene's tally stays small however many cells express it.
+    """
+    cells = cellwise.groupBy(*by, group, "cell_id", "slot").agg(F.sum("count").cast("double").alias("value")).groupBy(*by, group, "cell_id").agg(F.collect_list(F.struct("slot", "value")).alias("s"), F.sum("value").alias("total"))
+    each = F.concat(F.array(F.struct(F.lit(-1).alias("slot"), F.col("total").alias("value"))), "s")
+    return cells.select(*by, group, F.inline(each)).groupBy(*by, group, "slot", "value").agg(F.count("*").alias("times"))
+
+
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """df by these keys in as many tasks as shuffles have: tallies are few bytes and long fits, so partitions must not be merged by size."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
+
+
+def one_vs_rest(fractions: DataFrame, obs: DataFrame, group: str, min_group: int = 50, min_cells: int = 10, min_isoforms: int = 2, max_isoforms: int = 30, fit: bool = True) -> DataFrame:
+    """usage_tests() of every group of min_group cells against all other cells: the columns of that with of, the group.
+
+    The rest is total minus group throughout: sums of fractions, expressing cells and tallies of counts are taken once for each
+    group, and no cell is read for more than its own. A group without cells that express a gene has no rows of it.
+    """
+    cells = obs.select("cell_id", F.col(group).alias("of"))
+    large = cells.groupBy("of").count().filter(F.col("count") >= min_group).select("of")
+    x = kept(fractions.filter("count > 0").join(cells, "cell_id").select("cell_id", "feature_id", "gene", "of", "count", "fraction"))  # read four times
+    by_gene = lambda c: F.sum(c).over(W.partitionBy("gene"))
+    expressed = x.groupBy("gene", "of").agg(F.countDistinct("cell_id").alias("n_cells_group")).withColumn("n_cells_ref", by_gene("n_cells_group") - F.col("n_cells_group"))
+    own = x.groupBy("gene", "feature_id", "of").agg(F.sum("fraction").alias("_g"), F.sum("count").alias("_c"))
+    whole = own.groupBy("gene", "feature_id").agg(F.sum("_g").alias("_s"), F.sum("_c").alias("_total"))
+    whole = whole.withColumn("n_isoforms", F.count("*").over(W.partitionBy("gene"))).withColumn("_place", F.row_number().over(W.partitionBy("gene").orderBy(F.col("_total").desc(), "feature_id")))
+    tested = (F.least("n_cells_group", "n_cells_ref") >= min_cells) & (F.col("n_isoforms") >= min_isoforms)
+    out = whole.join(expressed.join(F.broadcast(large), "of"), "gene").join(own.drop("_c"), ["gene", "feature_id", "of"], "left").fillna(0.0, ["_g"])  # a row for each large group
+    out = out.withColumn("mean_fraction", F.col("_g") / F.col("n_cells_group")).withColumn("mean_fraction_ref", F.try_divide(F.col("_s") - F.col("_g"), F.col("n_cells_ref"))).withColumn("delta", F.col("mean_fraction") - F.col("mean_fraction_ref"))
+    out = out.withColumn("tv_distance", F.sum(F.abs("delta")).over(W.partitionBy("of", "gene")) / 2).withColumn("tested", tested)
+
+    if not fit:
+        return out.drop("_g", "_s", "_total", "_place")
+    out = kept(out)
+    slot = F.when(F.col("n_isoforms") > max_isoforms, F.least("_place", F.lit(max_isoforms))).otherwise(F.col("_place")) - 1
+    cellwise = x.join(whole.filter(F.col("n_isoforms") >= min_isoforms).select("gene", "feature_id", slot.alias("slot")), ["gene", "feature_id"]).select("gene", "cell_id", "of", "slot", "count")
+    asked = out.filter("tested").select("gene", "of").distinct().groupBy("gene").agg(F.collect_list("of").alias("asked"))
+    types = dict(tallied(cellwise, "of", "gene").dtypes)
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        k = int(pdf["slot"].max()) + 1
+        whole = pdf.groupby(["slot", "value"])["times"].sum()
+        tally = lambda t: Tally(t.index.get_level_values(0).to_numpy(), t.index.get_level_values(1).to_numpy(), t.to_numpy(), k)
+        both, rows = fit_tally(tally(whole))[1], []
+        for name in pdf["asked"].iloc[0]:
+            own = pdf[pdf["of"] == name].set_index(["slot", "value"])["times"]
+            rest = whole.sub(own, fill_value=0)
+            rows.append((name, max(2 * (fit_tally(tally(own))[1] + fit_tally(tally(rest[rest > 0]))[1] - both), 0.0)))
+        of, stat = zip(*rows, strict=True)
+        return pd.DataFrame({"gene": pdf["gene"].iloc[0], "of": of, "dm_stat": stat, "dm_pval": tails.chi2_sf(np.array(stat), k)})
+
+    fits = spread(tallied(cellwise, "of", "gene").join(asked, "gene"), "gene").groupBy("gene").applyInPandas(one, f"gene {types['gene']}, of {types['of']}, dm_stat double, dm_pval double")
+    fits = adjusted(fits, "dm_pval", "of", out="dm_padj")
+    return out.drop("_g", "_s", "_total", "_place").join(fits, ["of", "gene"], "left")
+
+
 # ---- linear models
 
 
+class Design:
+    """The normal equations of mean, arm and dummies of covariates, from how many cells share a combination."""
+
+    def __init__(self, cells: tuple[tuple[int, str, int], ...]):
+        """cells: (arm, levels of the covariates, cells)."""
+        parts = sorted({tuple(level.split("\x01")) for _, level, _ in cells})
+        names = [(i, v) for i in range(len(parts[0])) for v in sorted({p[i] for p in parts})[1:]]
+        self.row = {(a, level): np.array([1.0, a, *(float(level.split("\x01")[i] == v) for i, v in names)]) for a, level, _ in cells}
+        xtx = sum(n * np.outer(self.row[a, level], self.row[a, level]) for a, level, n in cells)
+        self.inverse, self.left = np.linalg.pinv(xtx), sum(n for *_, n in cells) - int(np.linalg.matrix_rank(xtx))
+
+    def solve(self, sums: list[tuple[int, str, float, float]]) -> tuple[float, float, float, int]:
+        """beta, lfc, t and degrees of freedom from (arm, level, sum of y, sum of y squared)."""
+        xty = sum(sy * self.row[a, level] for a, level, sy, _ in sums)
+        beta = self.inverse @ xty
+        rss = max(0.0, sum(syy for *_, syy in sums) - beta @ xty)
+        se = np.sqrt(rss / max(1, self.left) * self.inverse[1, 1])
+        return beta[1], beta[1] / np.log(2), beta[1] / se if se > 0 else 0.0, self.left
+
+
+_FIT = "beta double, lfc double, t double, df long, p double"
+
+
+def _fitted(rows: list[tuple[float, float, float, int]]) -> dict[str, np.ndarray]:
+    beta, lfc, t, df = map(np.array, zip(*rows, strict=True)) if rows else (np.zeros(0),) * 4
+    return {"beta": beta, "lfc": lfc, "t": t, "df": df.astype("int64"), "p": np.minimum(1.0, 2 * tails.t_sf(np.abs(t), df)) if len(t) else t}
+
+
 def linear_de(counts: DataFrame, obs: DataFrame, arm: str, covariates: list[str], *split: str) -> DataFrame:
     """Per gene the arm's coefficient of log1p(CP10K) with dummy covariates: beta, lfc = beta / ln 2, t, p, padj.
 
@@ -148,45 +247,63 @@ def linear_de(counts: DataFrame, obs: DataFrame, arm: str, covariates: list[str]
     joined = rows.join(F.broadcast(design), split) if split else rows.crossJoin(F.broadcast(design.drop("_one")))  # a row for each split
 
     def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache: dict = {}
+        cache: dict[tuple, Design] = {}
         for pdf in batches:
             out = []
             for cells_, design_ in zip(pdf["cells"], pdf["design"], strict=True):
                 key = tuple(sorted((r["_arm"], r["_level"], r["n"]) for r in design_))
                 if key not in cache:
-                    parts = sorted({tuple(level.split("\x01")) for _, level, _ in key})
-                    names = [(i, v) for i in range(len(parts[0])) for v in sorted({p[i] for p in parts})[1:]]
-                    row = {(a, level): np.array([1.0, a, *(float(level.split("\x01")[i] == v) for i, v in names)]) for a, level, _ in key}
-                    xtx = sum(n * np.outer(row[a, level], row[a, level]) for a, level, n in key)
-                    inverse = np.linalg.pinv(xtx)
-                    cache[key] = row, inverse, sum(n for *_, n in key), int(np.linalg.matrix_rank(xtx))
-                row, inverse, n, rank = cache[key]
-                xty = sum(r["sy"] * row[r["_arm"], r["_level"]] for r in cells_)
-                beta = inverse @ xty
-                rss = max(0.0, sum(r["syy"] for r in cells_) - beta @ xty)
-                se = np.sqrt(rss / max(1, n - rank) * inverse[1, 1])
-                out.append((beta[1], beta[1] / np.log(2), beta[1] / se if se > 0 else 0.0, n - rank))
-            beta, lfc, t, df = map(np.array, zip(*out, strict=True)) if out else (np.zeros(0),) * 4
-            yield pdf[[*split, "gene"]].assign(beta=beta, lfc=lfc, t=t, df=df.astype("int64"), p=np.minimum(1.0, 2 * tails.t_sf(np.abs(t), df)) if len(t) else t)
+                    cache[key] = Design(key)
+                out.append(cache[key].solve([(r["_arm"], r["_level"], r["sy"], r["syy"]) for r in cells_]))
+            yield pdf[[*split, "gene"]].assign(**_fitted(out))
 
     types = dict(joined.dtypes)
-    fits = joined.mapInPandas(fit, ", ".join(f"`{c}` {types[c]}" for c in [*split, "gene"]) + ", beta double, lfc double, t double, df long, p double")
+    fits = joined.mapInPandas(fit, ", ".join(f"`{c}` {types[c]}" for c in [*split, "gene"]) + ", " + _FIT)
     return adjusted(fits, "p", *split)
 
 
-def leave_one_out_de(counts: DataFrame, obs: DataFrame, arm: str, unit: str, covariates: list[str], alpha: float = 0.05) -> DataFrame:
-    """The linear model without each unit, all folds in one job. Per gene: n_folds, frac_sig, up and down (all folds agree)."""
-    folds = obs.select(F.col(unit).alias("fold")).distinct()
-    cells = obs.join(folds, F.col(unit) != F.col("fold"))
-    sides = cells.groupBy("fold").agg((F.count_if(F.col(arm)) >= 5).alias("a"), (F.count_if(~F.col(arm)) >= 5).alias("b")).filter("a and b").select("fold")
-    cells = cells.join(F.broadcast(sides), "fold")
-    fits = linear_de_by(counts, cells, arm, covariates, "fold")
-    return fits.groupBy("gene").agg(F.count("*").alias("n_folds"), F.avg((F.col("padj") < alpha).cast("int")).alias("frac_sig"), (F.min("beta") > 0).alias("up"), (F.max("beta") < 0).alias("down")).filter("n_folds > 1")
+def leave_one_out_fits(counts: DataFrame, obs: DataFrame, arm: str, unit: str, covariates: list[str], least: int = 5) -> DataFrame:
+    """(fold, gene, beta, lfc, t, df, p, padj): linear_de() without each unit that leaves both arms least cells; padj within the fold.
+
+    Products are summed by unit once, and a fold takes what the other units have; no cell is copied. The driver gets the sizes of combinations
+    of arm, covariates and unit.
+    """
+    depth = counts.groupBy("cell_id").agg(F.sum("count").alias("_depth"))
+    level = F.concat_ws("\x01", *(F.col(c).cast("string") for c in covariates)) if covariates else F.lit("")
+    cells = obs.join(depth, "cell_id").select("cell_id", "_depth", F.col(arm).cast("int").alias("_arm"), level.alias("_level"), F.col(unit).alias("_unit")).filter("_unit is not null")
+    y = F.log1p(F.col("count") / F.col("_depth") * 1e4)
+    sums = counts.filter("count > 0").join(cells, "cell_id").withColumn("_y", y).groupBy("gene", "_arm", "_level", "_unit").agg(F.sum("_y").alias("sy"), F.sum(F.col("_y") * F.col("_y")).alias("syy"))
+    rows = sums.groupBy("gene").agg(F.collect_list(F.struct("_arm", "_level", "_unit", "sy", "syy")).alias("cells"))
+    size = [(r["_unit"], r["_arm"], r["_level"], r["n"]) for r in cells.groupBy("_unit", "_arm", "_level").agg(F.count("*").alias("n")).collect()]
+    designs = {}
+    for u in sorted({x[0] for x in size}):
+        left: dict[tuple[int, str], int] = {}
+        for v, a, lv, n in size:
+            if v != u:
+                left[a, lv] = left.get((a, lv), 0) + n
+        if all(sum(n for (a, _), n in left.items() if a == side) >= least for side in (0, 1)):
+            designs[u] = tuple(sorted((a, lv, n) for (a, lv), n in left.items()))
+
+    def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        made = {u: Design(key) for u, key in designs.items()}
+        for pdf in batches:
+            at, out = [], []
+            for gene, cells_ in zip(pdf["gene"], pdf["cells"], strict=True):
+                for u, design in made.items():
+                    others = [(r["_arm"], r["_level"], r["sy"], r["syy"]) for r in cells_ if r["_unit"] != u]
+                    if others:
+                        at.append((u, gene))
+                        out.append(design.solve(others))
+            yield pd.DataFrame({"fold": [x[0] for x in at], "gene": [x[1] for x in at], **_fitted(out)})
+
+    types = dict(sums.dtypes)
+    return adjusted(rows.mapInPandas(fit, f"fold {types['_unit']}, gene {types['gene']}, {_FIT}"), "p", "fold")
 
 
-def linear_de_by(counts: DataFrame, cells: DataFrame, arm: str, covariates: list[str], fold: str) -> DataFrame:
-    """linear_de() where a cell may be in several folds."""
-    return linear_de(counts, cells, arm, covariates, fold)
+def leave_one_out_de(counts: DataFrame, obs: DataFrame, arm: str, unit: str, covariates: list[str], alpha: float = 0.05) -> DataFrame:
+    """The linear model without each unit. Per gene: n_folds, frac_sig, up and down (all folds agree); genes of one fold go."""
+    fits = leave_one_out_fits(counts, obs, arm, unit, covariates)
+    return fits.groupBy("gene").agg(F.count("*").alias("n_folds"), F.avg((F.col("padj") < alpha).cast("int")).alias("frac_sig"), (F.min("beta") > 0).alias("up"), (F.max("beta") < 0).alias("down")).filter("n_folds > 1")
 
 
 def robust_genes(lm: DataFrame, folds: DataFrame, ranks: DataFrame, donors: DataFrame, alpha: float = 0.05) -> DataFrame:
@@ -399,20 +516,77 @@ def listed(genes: DataFrame, form: str, *split: str, alpha: float = 0.05) -> Dat
     return found.select(*split, "gene", {"z": "t", "lfc": "lfc"}[form])
 
 
-def permuted_share(sums: DataFrame, arm: str, unit: str, times: int = 200, seed: int = 0) -> DataFrame:
-    """(perm, n, up): how many genes rise when arms are shuffled within units; perm 0 has the true arms.
+def shuffled_arms(cells: DataFrame, arm: str, unit: str, times: int, seed: int = 0, block: int = 16_384) -> DataFrame:
+    """(cell_id, bits): a cell's arm in times shuffles within its unit, packed; bit 0 is the true arm.
 
-    sums: (cell_id, gene, h, arm, unit). Each permutation ranks a unit's cells by a hash and takes as many as the arm had.
+    A unit is dealt to blocks of bounded size. How many cells of each block a shuffle takes is drawn first (hypergeometric, so that
+    the unit's number stays), and then which, in a task for each block: every choice is as likely as if one task had shuffled the unit.
     """
-    spark = sums.sparkSession
-    cells = sums.select("cell_id", F.col(arm).alias("_arm"), F.col(unit).alias("_unit")).distinct()
-    n1 = F.count_if("_arm").over(W.partitionBy("_unit"))
-    perms = spark.range(times + 1).select(F.col("id").alias("perm"))
-    x = cells.withColumn("_n1", n1).crossJoin(F.broadcast(perms))  # a row for each permutation asked for
-    rank = F.row_number().over(W.partitionBy("perm", "_unit").orderBy(F.xxhash64("cell_id", "perm", F.lit(seed)), "cell_id"))
-    labels = x.withColumn("_new", F.when(F.col("perm") == 0, F.col("_arm")).otherwise(rank <= F.col("_n1"))).select("cell_id", "perm", "_new")
-    y = sums.select("cell_id", "gene", "h").join(labels, "cell_id").groupBy("perm", "gene").agg(F.avg(F.when(F.col("_new"), F.col("h"))).alias("a"), F.avg(F.when(~F.col("_new"), F.col("h"))).alias("b"))
-    return y.filter("a is not null and b is not null").groupBy("perm").agg(F.count("*").alias("n"), F.count_if(F.col("a") > F.col("b")).alias("up"))
+    x = cells.select("cell_id", F.col(arm).alias("_arm"), F.col(unit).alias("_unit")).filter("_arm is not null").distinct()
+    parts = x.groupBy("_unit").agg((F.floor(F.count("*") / block) + 1).cast("int").alias("_parts"))
+    x = kept(x.join(parts, "_unit").withColumn("_block", F.pmod(F.xxhash64("cell_id", F.lit(seed)), F.col("_parts")).cast("int")))
+    sizes = x.groupBy("_unit", "_block").agg(F.count("*").alias("n"), F.count_if("_arm").alias("n1"))
+    kind = dict(x.dtypes)
+
+    def generator(unit: object, *more: int) -> np.random.Generator:
+        return np.random.default_rng([zlib.crc32(str(unit).encode()), seed, *more])
+
+    def draw(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_block")
+        take = generator(pdf["_unit"].iloc[0]).multivariate_hypergeometric(pdf["n"].to_numpy(), int(pdf["n1"].sum()), times, method="marginals")
+        return pd.DataFrame({"_unit": pdf["_unit"], "_block": pdf["_block"], "take": [t.astype(np.int32).tobytes() for t in take.T]})
+
+    drawn = sizes.groupBy("_unit").applyInPandas(draw, f"_unit {kind['_unit']}, _block int, take binary")
+
+    def choose(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("cell_id", ignore_index=True)
+        rng = generator(pdf["_unit"].iloc[0], int(pdf["_block"].iloc[0]) + 1)
+        new = np.zeros((len(pdf), times + 1), bool)
+        new[:, 0] = pdf["_arm"]
+        for i, m in enumerate(np.frombuffer(pdf["take"].iloc[0], np.int32)):
+            new[rng.permutation(len(pdf))[:m], i + 1] = True
+        return pd.DataFrame({"cell_id": pdf["cell_id"], "bits": [r.tobytes() for r in np.packbits(new, axis=1)]})
+
+    return x.join(drawn, ["_unit", "_block"]).groupBy("_unit", "_block").applyInPandas(choose, f"cell_id {kind['cell_id']}, bits binary")
+
+
+def permuted_share(sums: DataFrame, arm: str, unit: str, times: int = 200, seed: int = 0, rows: int = 50_000) -> DataFrame:
+    """(perm, n, up): how many genes have a mean in both arms, and how many a larger one in the arm, when arms are shuffled within units; perm 0 has the true arms.
+
+    sums: (cell_id, gene, h, arm, unit). A cell's arms in all shuffles are one row of bits; a gene's cells, rows at a time,
+    are a vector whose product with these rows gives the gene's sums in every shuffle at once.
+    """
+    bits = shuffled_arms(sums, arm, unit, times, seed)
+    y = sums.filter("h is not null").select("cell_id", "gene", F.col("h").cast("double").alias("h"))
+    parts = y.groupBy("gene").agg((F.floor(F.count("*") / rows) + 1).cast("int").alias("_parts"))  # a row for each gene
+    y = y.join(parts, "gene").withColumn("_part", F.pmod(F.xxhash64("cell_id"), F.col("_parts")).cast("int")).join(bits, "cell_id").select("gene", "_part", "cell_id", "h", "bits")
+    kind = dict(y.dtypes)["gene"]
+
+    def product(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("cell_id")
+        h, packed = pdf["h"].to_numpy(), np.frombuffer(b"".join(pdf["bits"]), np.uint8).reshape(len(pdf), -1)
+        both = np.zeros((2, times + 1))
+        for lo in range(0, len(h), 2048):
+            arms = np.unpackbits(packed[lo : lo + 2048], axis=1, count=times + 1).astype(np.float64)
+            both += np.stack([h[lo : lo + 2048], np.ones(len(arms))]) @ arms
+        return pd.DataFrame({"gene": pdf["gene"].iloc[:1], "s": [h.sum()], "n": [float(len(h))], "both": [both.tobytes()]})
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        s1, n1 = np.sum([np.frombuffer(b).reshape(2, -1) for b in pdf["both"]], axis=0)
+        s, n = pdf["s"].sum(), pdf["n"].sum()
+        seen = (n1 > 0) & (n1 < n)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            up = seen & (s1 / n1 > (s - s1) / (n - n1))
+        return pd.DataFrame({"seen": [np.packbits(seen).tobytes()], "up": [np.packbits(up).tobytes()]})
+
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((2, times + 1), np.int64)
+        for pdf in batches:
+            total += np.stack([np.unpackbits(np.frombuffer(b"".join(pdf[c]), np.uint8).reshape(len(pdf), -1), axis=1, count=times + 1).sum(0, dtype=np.int64) for c in ("seen", "up")])
+        yield pd.DataFrame({"perm": np.arange(times + 1), "n": total[0], "up": total[1]})
+
+    genes = y.groupBy("gene", "_part").applyInPandas(product, f"gene {kind}, s double, n double, both binary").groupBy("gene").applyInPandas(compare, "seen binary, up binary")
+    return genes.mapInPandas(add, "perm long, n long, up long").groupBy("perm").agg(F.sum("n").alias("n"), F.sum("up").alias("up")).filter("n > 0")
 
 
 def rarefied_features(counts: DataFrame, sizes: list[int], repeats: int = 20, seed: int = 0) -> DataFrame:

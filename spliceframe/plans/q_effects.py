@@ -137,13 +137,19 @@ def _(c):
 
 @query("s11_one_vs_rest")
 def _(c):
-    """Every class against the rest for every gene: the class table is crossed with the cells' arms, gate 50 cells."""
-    classes = c.obs.groupBy("class").count().filter("count >= 50").select(F.col("class").alias("of"))
-    cells = c.obs.select("cell_id", "class").crossJoin(F.broadcast(classes)).withColumn("own", F.col("class") == F.col("of"))  # a handful of classes
-    x = m.usage_tests(c.fractions, cells, "own", "of").filter("tested").select("of", "gene", "dm_stat", "dm_padj").distinct()
+    """Every class of 50 cells against the rest, for every gene."""
+    x = m.one_vs_rest(c.fractions, c.obs, "class").filter("tested").select("of", "gene", "dm_stat", "dm_padj").distinct()
     return rounded(x, digits=4)
 
 
+@query("s11_one_vs_rest_columns", """, k AS (SELECT class FROM obs GROUP BY 1 HAVING count(*) >= 50), i AS (SELECT gene, feature_id, class, sum(fraction) AS g FROM fr JOIN obs USING (cell_id) GROUP BY ALL),
+w AS (SELECT gene, feature_id, sum(g) AS s, count(*) OVER (PARTITION BY gene) AS ni FROM i GROUP BY gene, feature_id), n AS (SELECT gene, class, count(DISTINCT cell_id) AS ng FROM fr JOIN obs USING (cell_id) GROUP BY ALL), r AS (SELECT *, sum(ng) OVER (PARTITION BY gene) - ng AS nr FROM n),
+u AS (SELECT r.class AS of, gene, w.feature_id, ni, ng, nr, coalesce(g, 0) / ng AS mg, (s - coalesce(g, 0)) / nullif(nr, 0) AS mr FROM w JOIN r USING (gene) JOIN k USING (class) LEFT JOIN i USING (gene, feature_id, class))
+SELECT of, gene, feature_id, ni AS n_isoforms, ng AS n_cells_group, nr::BIGINT AS n_cells_ref, round(mg, 6) AS mean_fraction, round(mr, 6) + 0 AS mean_fraction_ref, round(mg - mr, 6) + 0 AS delta, round(sum(abs(mg - mr)) OVER (PARTITION BY of, gene) / 2, 6) AS tv_distance, least(ng, nr) >= 10 AND ni >= 2 AS tested FROM u""", "fr", "obs")
+def _(c):
+    return rounded(m.one_vs_rest(c.fractions, c.obs, "class", fit=False))
+
+
 @query("s21_thinning")
 def _(c):
     return m.thinned(c.counts, 500).groupBy("cell_id").agg(F.sum("count").alias("depth"))
