@@ -59,7 +59,7 @@ def sparse_arm_sums(nonzero: DataFrame, sizes: DataFrame, value: str, arm: str,
 def mann_whitney(df: DataFrame, value: str, arm: str, *by: str, sizes: DataFrame | None = None) -> DataFrame:
     """(by, n1, n0, u, cliff, z): the arm's U with tie and continuity corrections, and Cliff's delta 2U / (n1 n0) - 1.
 
-    sizes (n1, n0): rows absent from df are zeros, and df's values must be positive; the zeros are one tie below all.
+    sizes (n1, n0, for each value of those of by that it has): rows absent from df are zeros, and df's values must be positive; the zeros are one tie below all.
     """
     x = average_rank(df.filter(F.col(value).isNotNull()), value, *by, out="_r").withColumn("_t", F.count("*").over(W.partitionBy(*by, value)))
     a = F.col(arm)
@@ -67,7 +67,8 @@ def mann_whitney(df: DataFrame, value: str, arm: str, *by: str, sizes: DataFrame
     if sizes is None:
         x = x.withColumn("n1", F.col("k1")).withColumn("n0", F.col("k0")).withColumn("_zeros", F.lit(0))
     else:
-        x = x.crossJoin(F.broadcast(sizes.select("n1", "n0"))).withColumn("_zeros", F.col("n1") + F.col("n0") - F.col("k1") - F.col("k0"))  # one row
+        own = [c for c in by if c in sizes.columns]
+        x = (x.join(sizes.select(*own, "n1", "n0"), own) if own else x.crossJoin(F.broadcast(sizes.select("n1", "n0")))).withColumn("_zeros", F.col("n1") + F.col("n0") - F.col("k1") - F.col("k0"))  # one row
     zeros = F.col("_zeros").cast("double")
     ranks = F.col("_rs") + F.col("k1") * zeros + (F.col("n1") - F.col("k1")) * (zeros + 1) / 2
     x = x.withColumn("u", ranks - F.col("n1") * (F.col("n1") + 1) / 2).withColumn("_tie", F.col("_ties") + zeros * zeros * zeros - zeros)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from spliceframe.functions import tails
+from spliceframe.operators.effects import mann_whitney, reproducible, two_sided
 from spliceframe.operators.keep import kept
 from spliceframe.operators.tables import adjusted
 
@@ -262,56 +263,68 @@ def linear_de(counts: DataFrame, obs: DataFrame, arm: str, covariates: list[str]
     return adjusted(fits, "p", *split)
 
 
-def leave_one_out_fits(counts: DataFrame, obs: DataFrame, arm: str, unit: str, covariates: list[str], least: int = 5) -> DataFrame:
-    """(fold, gene, beta, lfc, t, df, p, padj): linear_de() without each unit that leaves both arms least cells; padj within the fold.
+def leave_one_out_fits(counts: DataFrame, obs: DataFrame, arm: str, unit: str, covariates: list[str], *split: str, least: int = 5) -> DataFrame:
+    """(split, fold, gene, beta, lfc, t, df, p, padj): linear_de() without each unit of a split that leaves both arms least cells; padj within the fold.
 
     Products are summed by unit once, and a fold takes what the other units have; no cell is copied. The driver gets the sizes of combinations
     of arm, covariates and unit.
     """
+    split = list(split)
     depth = counts.groupBy("cell_id").agg(F.sum("count").alias("_depth"))
     level = F.concat_ws("\x01", *(F.col(c).cast("string") for c in covariates)) if covariates else F.lit("")
-    cells = obs.join(depth, "cell_id").select("cell_id", "_depth", F.col(arm).cast("int").alias("_arm"), level.alias("_level"), F.col(unit).alias("_unit")).filter("_unit is not null")
+    cells = obs.join(depth, "cell_id").select("cell_id", "_depth", F.col(arm).cast("int").alias("_arm"), level.alias("_level"), F.col(unit).alias("_unit"), *split).filter("_unit is not null")
     y = F.log1p(F.col("count") / F.col("_depth") * 1e4)
-    sums = counts.filter("count > 0").join(cells, "cell_id").withColumn("_y", y).groupBy("gene", "_arm", "_level", "_unit").agg(F.sum("_y").alias("sy"), F.sum(F.col("_y") * F.col("_y")).alias("syy"))
-    rows = sums.groupBy("gene").agg(F.collect_list(F.struct("_arm", "_level", "_unit", "sy", "syy")).alias("cells"))
-    size = [(r["_unit"], r["_arm"], r["_level"], r["n"]) for r in cells.groupBy("_unit", "_arm", "_level").agg(F.count("*").alias("n")).collect()]
-    designs = {}
-    for u in sorted({x[0] for x in size}):
-        left: dict[tuple[int, str], int] = {}
-        for v, a, lv, n in size:
-            if v != u:
-                left[a, lv] = left.get((a, lv), 0) + n
-        if all(sum(n for (a, _), n in left.items() if a == side) >= least for side in (0, 1)):
-            designs[u] = tuple(sorted((a, lv, n) for (a, lv), n in left.items()))
+    sums = counts.filter("count > 0").join(cells, "cell_id").withColumn("_y", y).groupBy(*split, "gene", "_arm", "_level", "_unit").agg(F.sum("_y").alias("sy"), F.sum(F.col("_y") * F.col("_y")).alias("syy"))
+    rows = sums.groupBy(*split, "gene").agg(F.collect_list(F.struct("_arm", "_level", "_unit", "sy", "syy")).alias("cells"))
+    sizes: dict[tuple, list[tuple]] = {}
+    for r in cells.groupBy(*split, "_unit", "_arm", "_level").agg(F.count("*").alias("n")).collect():
+        sizes.setdefault(tuple(r[c] for c in split), []).append((r["_unit"], r["_arm"], r["_level"], r["n"]))
+    designs: dict[tuple, dict] = {}
+    for at, size in sizes.items():
+        for u in sorted({x[0] for x in size}):
+            left: dict[tuple[int, str], int] = {}
+            for v, a, lv, n in size:
+                if v != u:
+                    left[a, lv] = left.get((a, lv), 0) + n
+            if all(sum(n for (a, _), n in left.items() if a == side) >= least for side in (0, 1)):
+                designs.setdefault(at, {})[u] = tuple(sorted((a, lv, n) for (a, lv), n in left.items()))
 
     def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        made = {u: Design(key) for u, key in designs.items()}
+        made = {at: {u: Design(key) for u, key in of.items()} for at, of in designs.items()}
         for pdf in batches:
             at, out = [], []
-            for gene, cells_ in zip(pdf["gene"], pdf["cells"], strict=True):
-                for u, design in made.items():
+            for *own, gene, cells_ in pdf[[*split, "gene", "cells"]].itertuples(index=False):
+                for u, design in made.get(tuple(own), {}).items():
                     others = [(r["_arm"], r["_level"], r["sy"], r["syy"]) for r in cells_ if r["_unit"] != u]
                     if others:
-                        at.append((u, gene))
+                        at.append((*own, u, gene))
                         out.append(design.solve(others))
-            yield pd.DataFrame({"fold": [x[0] for x in at], "gene": [x[1] for x in at], **_fitted(out)})
+            yield pd.DataFrame(at, columns=[*split, "fold", "gene"]).assign(**_fitted(out))
 
     types = dict(sums.dtypes)
-    return adjusted(rows.mapInPandas(fit, f"fold {types['_unit']}, gene {types['gene']}, {_FIT}"), "p", "fold")
+    schema = ", ".join(f"`{c}` {types[c]}" for c in split) + ", " * bool(split) + f"fold {types['_unit']}, gene {types['gene']}, {_FIT}"
+    return adjusted(rows.mapInPandas(fit, schema), "p", *split, "fold")
 
 
-def leave_one_out_de(counts: DataFrame, obs: DataFrame, arm: str, unit: str, covariates: list[str], alpha: float = 0.05) -> DataFrame:
-    """The linear model without each unit. Per gene: n_folds, frac_sig, up and down (all folds agree); genes of one fold go."""
-    fits = leave_one_out_fits(counts, obs, arm, unit, covariates)
-    return fits.groupBy("gene").agg(F.count("*").alias("n_folds"), F.avg((F.col("padj") < alpha).cast("int")).alias("frac_sig"), (F.min("beta") > 0).alias("up"), (F.max("beta") < 0).alias("down")).filter("n_folds > 1")
+def leave_one_out_de(counts: DataFrame, obs: DataFrame, arm: str, unit: str, covariates: list[str], *split: str, alpha: float = 0.05) -> DataFrame:
+    """The linear model without each unit. Per gene (of a split): n_folds, frac_sig, up and down (all folds agree); genes of one fold go."""
+    fits = leave_one_out_fits(counts, obs, arm, unit, covariates, *split)
+    return fits.groupBy(*split, "gene").agg(F.count("*").alias("n_folds"), F.avg((F.col("padj") < alpha).cast("int")).alias("frac_sig"), (F.min("beta") > 0).alias("up"), (F.max("beta") < 0).alias("down")).filter("n_folds > 1")
 
 
-def robust_genes(lm: DataFrame, folds: DataFrame, ranks: DataFrame, donors: DataFrame, alpha: float = 0.05) -> DataFrame:
-    """Votes for a gene going up: linear model, folds (half significant, all up), ranks, donors; two are needed."""
-    votes = lm.select("gene", ((F.col("padj") < alpha) & (F.col("lfc") > 0)).alias("lm")).join(folds.select("gene", ((F.col("frac_sig") >= 0.5) & F.col("up")).alias("lodo")), "gene", "full_outer").join(ranks.select("gene", ((F.col("padj") < alpha) & (F.col("z") > 0)).alias("wilcoxon")), "gene", "full_outer").join(donors.select("gene", (F.col("reproducible") & (F.col("up") > F.col("down"))).alias("donor")), "gene", "full_outer")
+def robust_genes(lm: DataFrame, folds: DataFrame, ranks: DataFrame, donors: DataFrame, *split: str, alpha: float = 0.05, least: int = 2) -> DataFrame:
+    """Votes for a gene going up: linear model, folds (half significant, all up), ranks, donors; least are needed."""
+    by = [*split, "gene"]
+    votes = lm.select(*by, ((F.col("padj") < alpha) & (F.col("lfc") > 0)).alias("lm"))
+    for x in (
+        folds.select(*by, ((F.col("frac_sig") >= 0.5) & F.col("up")).alias("lodo")),
+        ranks.select(*by, ((F.col("padj") < alpha) & (F.col("z") > 0)).alias("wilcoxon")),
+        donors.select(*by, (F.col("reproducible") & (F.col("up") > F.col("down"))).alias("donor")),
+    ):
+        votes = votes.join(x, by, "full_outer")
     names = ["lm", "lodo", "wilcoxon", "donor"]
-    x = votes.fillna(False).withColumn("n_methods", sum((F.col(c).cast("int") for c in names), F.lit(0)))
-    return x.filter("n_methods >= 2").withColumn("methods", F.array_join(F.filter(F.array(*(F.when(F.col(c), c) for c in names)), lambda m: m.isNotNull()), ", "))
+    x = votes.fillna(False, names).withColumn("n_methods", sum((F.col(c).cast("int") for c in names), F.lit(0)))
+    return x.filter(F.col("n_methods") >= least).withColumn("methods", F.array_join(F.filter(F.array(*(F.when(F.col(c), c) for c in names)), lambda m: m.isNotNull()), ", "))
 
 
 def beta_regression(df: DataFrame, value: str, arm: str, *by: str) -> DataFrame:
@@ -446,6 +459,48 @@ def anova(df: DataFrame, value: str, factors: list[str], *by: str, least: int =
     return df.select(*by, value, *factors).groupBy(*by).applyInPandas(one, ", ".join(f"`{c}` {types[c]}" for c in by) + ", factor string, n long, eta2 double, omega2 double")
 
 
+def ladder_usage(fractions: DataFrame, obs: DataFrame, levels: dict[str, list[str]], by: list[str], min_cells: int = 10, min_expressing: int = 5) -> DataFrame:
+    """mean_usage() at several resolutions of a label at once: (level, label, by, gene, feature_id, usage, n_expr).
+
+    levels: for each, the columns whose values, joined by '/', are its label. Cells are read once, at the finest combination;
+    sums and numbers of cells add up to the coarser ones.
+    """
+    finest = list(dict.fromkeys(c for columns in levels.values() for c in columns))
+    label = F.inline(F.array(*(F.struct(F.lit(n).alias("level"), F.concat_ws("/", *(F.col(c).cast("string") for c in columns)).alias("label")) for n, columns in levels.items())))
+    x = fractions.filter("count > 0").join(obs.select("cell_id", *finest, *by), "cell_id")
+    up = lambda df, *keys: df.select("*", label).groupBy("level", "label", *by, *keys)
+    sums = up(x.groupBy(*finest, *by, "gene", "feature_id").agg(F.sum("fraction").alias("_s")), "gene", "feature_id").agg(F.sum("_s").alias("_s"))
+    expressing = up(x.groupBy(*finest, *by, "gene").agg(F.countDistinct("cell_id").alias("_n")), "gene").agg(F.sum("_n").alias("n_expr")).filter(F.col("n_expr") >= min_expressing)
+    cells = up(obs.groupBy(*finest, *by).agg(F.count("*").alias("_n"))).agg(F.sum("_n").alias("_cells")).filter(F.col("_cells") >= min_cells).drop("_cells")
+    keys = ["level", "label", *by]
+    return sums.join(expressing, [*keys, "gene"]).join(cells, keys).select(*keys, "gene", "feature_id", (F.col("_s") / F.col("n_expr")).alias("usage"), "n_expr")
+
+
+def spanning(profiles: DataFrame, label: str, site: str, least: int, *by: str) -> DataFrame:
+    """The rows of labels that have profiles at least sites, counted within by."""
+    wide = profiles.groupBy(*by, label).agg(F.countDistinct(site).alias("_n")).filter(F.col("_n") >= least).drop("_n")
+    return profiles.join(wide, [*by, label], "left_semi")
+
+
+def two_level_partition(profiles: DataFrame, label: str, tube: str, between: list[str], *by: str, values: str = "profile") -> DataFrame:
+    """(by, stage, measure, factor, n, share, omega2): what a label explains within tubes, and what tubes' own factors explain between them.
+
+    profiles: one row for each label and tube, with the factors between, which a tube has one value of. Stage 'within': label
+    and tube as factors, so that the tube takes up everything that tubes share; stage 'between': the mean profile of each tube's labels against the factors.
+    measure: 'composition' (distances of profiles) or 'diversity' (their entropy of order 2).
+    """
+    entropy = lambda df: df.withColumn("_h", -F.log2(F.aggregate(values, F.lit(0.0), lambda a, u: a + u * u) / F.pow(F.aggregate(values, F.lit(0.0), lambda a, u: a + u), F.lit(2))))
+    keys = [*by, tube, *between]
+    cells = profiles.select(*keys, F.posexplode(values).alias("_i", "_u")).groupBy(*keys, "_i").agg(F.avg("_u").alias("_u"))
+    tubes = cells.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("_i", "_u"))), lambda r: r["_u"]).alias(values))
+    out = None
+    for stage, df, factors in (("within", profiles, [label, tube]), ("between", tubes, between)):
+        for measure, part, share in (("composition", permanova(df, factors, *by, values=values), "r2"), ("diversity", anova(entropy(df), "_h", factors, *by), "eta2")):
+            x = part.select(*by, F.lit(stage).alias("stage"), F.lit(measure).alias("measure"), "factor", "n", F.col(share).alias("share"), "omega2")
+            out = x if out is None else out.unionByName(x)
+    return out
+
+
 def _uniform(key: np.ndarray, i: np.ndarray) -> np.ndarray:
     """A number from 0 to 1 for each pair of 64-bit key and count."""
     x = key + i * np.uint64(0x9E3779B97F4A7C15)
@@ -488,8 +543,8 @@ def _chunks(n: np.ndarray, most: int) -> Iterator[slice]:
 FEW_CASES, FEW_OTHERS = "few cases", "few others"
 
 
-def associated_genes(counts: DataFrame, obs: DataFrame, arm: str, covariates: list[str], *split: str, ratio: int | None = None, least: int = 5, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """(genes, splits): the arm's linear model in every split that has least cells in both arms, after thinning the others.
+def searched_cells(obs: DataFrame, arm: str, *split: str, ratio: int | None = None, least: int = 5, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """(cells, splits): the cells of every split that has least cells in both arms, after thinning the others.
 
     ratio: at most so many other cells for each case, those with the least hashes. splits: (split, n1, n0, skipped), n0
     after thinning, skipped: the reason or null. Without split columns there is one split.
@@ -502,10 +557,39 @@ def associated_genes(counts: DataFrame, obs: DataFrame, arm: str, covariates: li
     x = x.filter(label.isNotNull()).withColumn("_n0", F.count_if(~label).over(W.partitionBy(*split)))
     reason = F.when(F.col("n1") < least, FEW_CASES).when(F.col("n0") < least, FEW_OTHERS)
     splits = x.groupBy(*split).agg(F.count_if(label).alias("n1"), F.count_if(~label).alias("n0")).withColumn("skipped", reason)
-    tested = x.filter((F.col("_n1") >= least) & (F.col("_n0") >= least)).drop("_n1", "_n0")
+    return x.filter((F.col("_n1") >= least) & (F.col("_n0") >= least)).drop("_n1", "_n0"), splits
+
+
+def associated_genes(counts: DataFrame, obs: DataFrame, arm: str, covariates: list[str], *split: str, ratio: int | None = None, least: int = 5, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """(genes, splits): the arm's linear model in the splits of searched_cells()."""
+    tested, splits = searched_cells(obs, arm, *split, ratio=ratio, least=least, seed=seed)
     return linear_de(counts.join(tested.select("cell_id"), "cell_id", "left_semi"), tested, arm, covariates, *split), splits
 
 
+def rank_genes(counts: DataFrame, obs: DataFrame, arm: str, *split: str) -> DataFrame:
+    """(split, gene, n1, n0, u, cliff, z, p, padj): ranks of log1p(CP10K), zeros of all cells included; padj within the split."""
+    depth = counts.groupBy("cell_id").agg(F.sum("count").alias("_depth"))
+    y = F.round(F.log1p(F.col("count") / F.col("_depth") * 1e4), 12)
+    x = counts.filter("count > 0").join(depth, "cell_id").withColumn("_y", y).join(obs.select("cell_id", arm, *split), "cell_id")
+    sizes = obs.groupBy(*split).agg(F.count_if(arm).alias("n1"), F.count_if(~F.col(arm)).alias("n0"))
+    return adjusted(mann_whitney(x, "_y", arm, *split, "gene", sizes=sizes).withColumn("p", two_sided(F.col("z"))), "p", *split)
+
+
+def composed_search(counts: DataFrame, obs: DataFrame, arm: str, unit: str, covariates: list[str], *split: str, ratio: int | None = None, least: int = 5, alpha: float = 0.05, seed: int = 42) -> dict[str, DataFrame]:
+    """The search by four methods over the same cells: 'lm' (linear model), 'lodo' (without each unit), 'wilcoxon' (ranks), 'donor' (within
+    units), 'votes' (the genes that two of them find) and 'splits' (what was tested and why not)."""
+    cells, splits = searched_cells(obs, arm, *split, ratio=ratio, least=least, seed=seed)
+    cells = kept(cells)
+    own = kept(counts.join(cells.select("cell_id"), "cell_id", "left_semi"))
+    lm = linear_de(own, cells, arm, covariates, *split)
+    lodo = leave_one_out_de(own, cells, arm, unit, [c for c in covariates if c != unit], *split, alpha=alpha)
+    ranks = rank_genes(own, cells, arm, *split)
+    depth = own.groupBy("cell_id").agg(F.sum("count").alias("_depth"))
+    y = own.join(depth, "cell_id").withColumn("_y", F.round(F.log1p(F.col("count") / F.col("_depth") * 1e4), 12)).join(cells, "cell_id")
+    donors = reproducible(y, "_y", arm, unit, *split, "gene")
+    return {"lm": lm, "lodo": lodo, "wilcoxon": ranks, "donor": donors, "votes": robust_genes(lm, lodo, ranks, donors, *split, alpha=alpha), "splits": splits}
+
+
 def listed(genes: DataFrame, form: str, *split: str, alpha: float = 0.05) -> DataFrame:
     """The significant genes of associated_genes() as names (a list for each split), z (gene, t) or lfc (gene, lfc); df: all rows."""
     if form == "df":

@@ -236,6 +236,19 @@ def pseudobulk(counts: DataFrame, obs: DataFrame, var: DataFrame, by: str) -> Da
     return x.withColumn("log_cp10k", F.log1p(F.try_divide(F.col("total"), F.sum("total").over(W.partitionBy(by))) * 1e4))
 
 
+def count_matrix(groups: DataFrame, reads: DataFrame, kept_isoforms: DataFrame) -> DataFrame:
+    """counts(cell_id, feature_id, count) of molecules: reads (qname, cb, umi) without duplicates, by the isoform whose group has them as members.
+
+    groups: (isoform, members), members an array of qnames. A molecule is the least qname of its cb and umi; those without cb or umi, or with
+    '-', are left out, and so are isoforms that kept_isoforms (isoform) lacks. All sums begin where the rows are, so a barcode with a large
+    share of the reads sends no more rows than any other; the join is on single reads.
+    """
+    ok = reads.filter("cb is not null and umi is not null").filter((F.col("cb").cast("string") != "-") & (F.col("umi").cast("string") != "-"))
+    molecules = ok.groupBy("cb", "umi").agg(F.min("qname").alias("qname"))
+    members = groups.join(kept_isoforms.select("isoform").distinct(), "isoform", "left_semi").select("isoform", F.explode("members").alias("qname"))
+    return molecules.join(members, "qname").groupBy(F.col("cb").alias("cell_id"), F.col("isoform").alias("feature_id")).agg(F.count("*").alias("count"))
+
+
 def crosstab(df: DataFrame, a: str, b: str) -> DataFrame:
     """Counts with row, column and grand totals ('All') and the share of each row's total."""
     x = df.cube(a, b).agg(F.count("*").alias("n"), F.grouping(a).alias("_ga"), F.grouping(b).alias("_gb"))

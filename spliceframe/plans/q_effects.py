@@ -299,14 +299,18 @@ def _(c):
     return rounded(m.listed(m.associated_genes(gene_counts(c), c.obs, "arm", ["donor"], "class", ratio=3)[0], "df"))
 
 
+@query("s42_composed_search")
+def _(c):
+    """What the four methods find in every class, one row for each gene and method (S42)."""
+    found = m.composed_search(gene_counts(c), c.obs, "arm", "donor", ["donor"], "class", ratio=3)
+    each = lambda name, score, p: found[name].select(F.lit(name).alias("method"), "class", "gene", F.col(score).cast("double").alias("score"), F.col(p).cast("double").alias("p"))
+    return rounded(each("lm", "t", "padj").unionByName(each("lodo", "n_folds", "frac_sig")).unionByName(each("wilcoxon", "z", "padj")).unionByName(each("donor", "up", "estimable")))
+
+
 @query("s43_robust_votes")
 def _(c):
-    """Votes of the four methods (S42, S43)."""
-    g = gene_counts(c)
-    y = g.join(c.depth, "cell_id").withColumn("y", F.round(F.log1p(F.col("count") / F.col("depth") * 1e4), 12)).join(c.obs, "cell_id")
-    sizes = c.obs.agg(F.count_if("arm").alias("n1"), F.count_if(~F.col("arm")).alias("n0"))
-    ranks = t.adjusted(e.mann_whitney(y, "y", "arm", "gene", sizes=sizes).withColumn("p", e.two_sided(F.col("z"))), "p")
-    return m.robust_genes(m.linear_de(g, c.obs, "arm", ["donor"]), m.leave_one_out_de(g, c.obs, "arm", "donor", []), ranks, e.reproducible(y, "y", "arm", "donor", "gene"), alpha=0.5).select("gene", "n_methods", "methods")
+    """Votes of the four methods over all cells (S42, S43)."""
+    return m.composed_search(gene_counts(c), c.obs, "arm", "donor", ["donor"], alpha=0.5)["votes"].select("gene", "n_methods", "methods")
 
 
 @query("s45_permanova")
@@ -331,9 +335,19 @@ def _(c):
 
 @query("s48_two_level")
 def _(c):
-    """Class within tube, per tube (S48)."""
-    x = usage.mean_usage(c.coarse, c.obs, ["class", "tube"], 2, 2)
-    return rounded(m.anova(usage.shannon(x, ["class", "tube"]), "h", ["class"], "tube"))
+    """Class within tube and site and donor between tubes, at two resolutions of the class, over all classes and over those at four sites (S48)."""
+    obs = c.obs.withColumn("site", F.col("tube") % 5)
+    x = m.ladder_usage(c.coarse, obs, {"class": ["class"], "class and arm": ["class", "arm"]}, ["tube", "site", "donor"], 2, 2)
+    x = m.cell_profile_arrays(x, "level", "label", "tube", "site", "donor")
+    part = lambda df, name: m.two_level_partition(df, "label", "tube", ["site", "donor"], "level", "gene").withColumn("classes", F.lit(name))
+    return rounded(part(x, "all").unionByName(part(m.spanning(x, "label", "site", 4, "level", "gene"), "at four sites")))
+
+
+@query("s48_ladder_usage", """, l AS (SELECT cell_id, tube, 'class' AS level, class AS label FROM obs UNION ALL SELECT cell_id, tube, 'class and arm', class || '/' || arm FROM obs), n AS (SELECT level, label, tube FROM l GROUP BY ALL HAVING count(*) >= 2),
+e AS (SELECT level, label, tube, gene, count(DISTINCT cell_id) AS n_expr FROM co JOIN l USING (cell_id) GROUP BY ALL HAVING count(DISTINCT cell_id) >= 2)
+SELECT level, label, tube, gene, feature_id, round(sum(fraction) / any_value(n_expr), 8) AS usage, any_value(n_expr) AS n_expr FROM co JOIN l USING (cell_id) JOIN n USING (level, label, tube) JOIN e USING (level, label, tube, gene) GROUP BY ALL""", "co", "obs")
+def _(c):
+    return rounded(m.ladder_usage(c.coarse, c.obs, {"class": ["class"], "class and arm": ["class", "arm"]}, ["tube"], 2, 2), digits=8)
 
 
 @query("s53_correlations", ", g AS (SELECT gene, class, sum(total) AS n, avg(h) AS h FROM cellgene JOIN obs USING (cell_id) GROUP BY ALL), r AS (SELECT class, n, h, rank() OVER (PARTITION BY class ORDER BY n) + (count(*) OVER (PARTITION BY class, n) - 1) / 2 AS rn, rank() OVER (PARTITION BY class ORDER BY h) + (count(*) OVER (PARTITION BY class, h) - 1) / 2 AS rh FROM g) SELECT class, count(*) AS n, round(corr(n, h), 6) AS pearson, round(corr(rn, rh), 6) AS spearman FROM r GROUP BY 1", "cellgene", "obs")

@@ -306,6 +306,14 @@ def _(c):
     return t.global_ids(structures(c))
 
 
+@query("a21_count_matrix", ", d AS (SELECT cb, umi, min(qname) AS qname FROM reads WHERE cb IS NOT NULL AND umi IS NOT NULL GROUP BY ALL) SELECT cb AS cell_id, (qname * 7) % 97 AS feature_id, count(*) AS count FROM d WHERE (qname * 7) % 97 % 10 <> 3 GROUP BY ALL", "reads")
+def _(c):
+    """Counts of molecules from groups of reads."""
+    isoform = (F.col("qname") * 7) % 97
+    groups = c.reads.groupBy(isoform.alias("isoform")).agg(F.collect_list("qname").alias("members"))
+    return t.count_matrix(groups, c.reads, groups.filter(F.col("isoform") % 10 != 3))
+
+
 @query("j14_route_reads", "SELECT user_id % 7 AS shard, count(*) AS n FROM events WHERE user_id IS NOT NULL GROUP BY 1")
 def _(c):
     route = c.reads.filter("cb is not null").select("cb", (F.col("cb") % 7).alias("shard")).distinct()
