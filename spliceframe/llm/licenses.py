@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from spliceframe.llm.common import ascii_lower, cut, table
+from spliceframe.llm.common import Sealed, ascii_lower, cut, table
 
 #: Spellings that count as one.
 SPELLINGS = (("licence", "license"), ("sub-license", "sublicense"), ("non-commercial", "noncommercial"), ("copyright owner", "copyright holder"), ("per cent", "percent"), ("&", " and "))
@@ -25,7 +25,7 @@ COPYRIGHT = (
     r"(?:holders?|owners?|ownership|and|or|notices?|laws?|line|interests?|disclaimers?|the|permissions?|on|in|to|of|is|licen[sc]es?|also|like|treaty|statements?|if|doctrines|are|protection|terms|rights?|act|as|for|with|infringement)\b)[a-z])[^\n]*"
     r"(?:\n[^0-9a-z\n]*all rights reserved[^0-9a-z\n]*)?$"
 )
-#: The SQL's, which knows lines with a year only and the texts of KNOWN; the tables hold no others.
+#: The SQL's, which knows lines with a year only; the tables hold no others.
 _COPYRIGHT = r"(?m)^[^0-9a-z\n]*(copyright[ \t]*)?(\(c\)|©|copyright)[ \t]*[0-9][^\n]*$"
 #: At most so many known texts are broadcast; more are joined by shuffling.
 BROADCAST_ROWS = 100_000
@@ -138,19 +138,20 @@ def find_licenses(docs: DataFrame, known: DataFrame | None = None, id_col: str =
     small = known.count() <= BROADCAST_ROWS
     by_digest = known.select("license", "d")
     lengths = [r[0] for r in known.select("n").distinct().limit(1000).collect()]
-    docs = docs.drop("digest", "licenses", "whole").withColumn("_li_text", canonical(F.col(text_col))).withColumn("_li_whole", whole(F.col("_li_text"))).withColumn("digest", F.sha2("_li_whole", 256))
+    s = Sealed(docs, "digest", "licenses", "whole")
+    own = s.df.withColumn("_li_text", canonical(F.col(s[text_col]))).withColumn("_li_whole", whole(F.col("_li_text"))).withColumn("digest", F.sha2("_li_whole", 256))
     units = F.transform(F.split("_li_text", "\n", -1), lambda x: F.trim(x))
     if len(lengths) < 1000:  # a unit of no known text's length is none of them
         units = F.filter(units, lambda x: F.length(x).isin(lengths))
     digests = F.array_distinct(F.transform(F.filter(units, lambda x: x != ""), lambda x: F.sha2(x, 256)))
-    looked = docs.select("digest", F.explode_outer(F.array_union(digests, F.array("digest"))).alias("d"), F.md5(F.col("_li_text")).alias("key"))
-    looked = looked.unionByName(_runs(docs, known, small), allowMissingColumns=True)
+    looked = own.select("digest", F.explode_outer(F.array_union(digests, F.array("digest"))).alias("d"), F.md5(F.col("_li_text")).alias("key"))
+    looked = looked.unionByName(_runs(own, known, small), allowMissingColumns=True)
     pairs = looked.join(F.broadcast(by_digest) if small else by_digest, "d").distinct()
     per = pairs.groupBy("key").agg(F.array_sort(F.collect_set("license")).alias("licenses"), F.array_sort(F.collect_set(F.when(F.col("d") == F.col("digest"), F.col("license")))).alias("whole"))
-    out = docs.withColumn("_li_key", F.md5("_li_text")).drop(text_col, "_li_text", "_li_whole")
-    out = out.join(per.withColumnRenamed("key", "_li_k"), F.col("_li_key") == F.col("_li_k"), "left")
+    out = own.withColumn("own_key", F.md5("_li_text")).drop(s[text_col], "_li_text", "_li_whole")
+    out = out.join(per, F.col("own_key") == F.col("key"), "left")
     none = F.array().cast("array<string>")
-    return out.withColumn("licenses", F.coalesce("licenses", none)).withColumn("whole", F.coalesce("whole", none)).drop("_li_key", "_li_k")
+    return s.opened(out, "digest", F.coalesce("licenses", none).alias("licenses"), F.coalesce("whole", none).alias("whole"), without=(text_col,))
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,14 +170,18 @@ def _sql_whole(c: str) -> str:
     return rf"trim(regexp_replace({c}, '[ \n]+', ' ', 'g'))"
 
 
-_VALUES = ", ".join("('{}', '{}')".format(i, t.replace("'", "''")) for i, t in KNOWN)
+#: All known texts, as whole documents, single lines and runs of lines.
+_VALUES = ", ".join("('{}', '{}')".format(i, t.replace("'", "''")) for i, t in catalogue())
 OP4_SQL = f"""
-WITH k AS (SELECT DISTINCT license, {_sql_whole(_sql_canonical("t"))} AS c FROM (VALUES {_VALUES}) v(license, t)),
-d AS (SELECT doc_id, {_sql_canonical("text")} AS c FROM documents),
-u AS (SELECT doc_id, false AS w, trim(unnest(string_split(c, chr(10)))) AS x FROM d UNION ALL SELECT doc_id, true, {_sql_whole("c")} FROM d),
-m AS (SELECT DISTINCT doc_id, w, license FROM u JOIN k ON u.x = k.c AND k.c <> '')
-SELECT d.doc_id, sha256({_sql_whole("c")}) AS digest,
-  coalesce((SELECT string_agg(DISTINCT license, ',' ORDER BY license) FROM m WHERE m.doc_id = d.doc_id), '') AS licenses,
-  coalesce((SELECT string_agg(DISTINCT license, ',' ORDER BY license) FROM m WHERE m.doc_id = d.doc_id AND w), '') AS whole
-FROM d
+WITH k AS MATERIALIZED (SELECT DISTINCT license, {_sql_whole(_sql_canonical("t"))} AS c FROM (VALUES {_VALUES}) v(license, t)),
+d AS MATERIALIZED (SELECT doc_id, list_filter(list_transform(string_split({_sql_canonical("text")}, chr(10)), lambda x: trim(x)), lambda x: x <> '') AS ls FROM documents),
+w AS MATERIALIZED (SELECT *, array_to_string(ls, ' ') AS c FROM d),
+h AS (SELECT w.doc_id, k.license, w.ls, k.c, k.c = w.c AS w FROM w JOIN k ON k.c <> '' AND contains(w.c, k.c)),
+i AS (SELECT *, unnest(range(1, len(ls) + 1)) AS i FROM h WHERE NOT w),
+j AS (SELECT *, unnest(range(i, len(ls) + 1)) AS j FROM i WHERE starts_with(c, ls[i])),
+m AS MATERIALIZED (SELECT DISTINCT doc_id, license, w FROM h WHERE w UNION SELECT DISTINCT doc_id, license, w FROM j WHERE array_to_string(ls[i:j], ' ') = c)
+SELECT doc_id, sha256(c) AS digest,
+  coalesce((SELECT string_agg(DISTINCT license, ',' ORDER BY license) FROM m WHERE m.doc_id = w.doc_id), '') AS licenses,
+  coalesce((SELECT string_agg(DISTINCT license, ',' ORDER BY license) FROM m WHERE m.doc_id = w.doc_id AND m.w), '') AS whole
+FROM w
 """
