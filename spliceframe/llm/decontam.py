@@ -82,7 +82,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     theirs = _small(theirs.select(F.explode_outer("all.hash").alias("hash")).distinct())
     length = F.least(F.size("words"), F.lit(WINDOW))
     windows = items.select("item", F.explode_outer(F.transform(F.sequence(F.lit(0), F.size("words") - length), lambda i: F.array_join(F.slice("words", i + 1, length), " "))).alias("w"))
-    windows = _small(windows.select("item", *_digests(F.col("w"))).distinct())
+    # A window stands for the set of its items: what meets the documents is one row for each window, however many items share it.
+    windows = windows.select("item", *_digests(F.col("w"))).groupBy("d1", "d2").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    windows = cut(windows.withColumn("set", F.md5(F.to_json("items"))))
+    members = windows.select("set", "items").dropDuplicates(["set"])
+    windows = _small(windows.select("d1", "d2", "set"))
 
     # A row is its id and its text's hash: rows alike in both have the same hits.
     texts = s.df.select(F.col(s[id_col]).alias("id"), F.xxhash64(text).alias("h"), text.alias("text"))
@@ -98,7 +102,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     inside = F.filter("places", lambda p: p["start"] + p["n"] <= F.size("words"))
     near = near.withColumn("seen", F.transform(inside, lambda p: F.struct(p["start"].alias("start"), (p["start"] + p["n"]).alias("end"), F.array_join(F.slice(F.col("words"), p["start"] + 1, p["n"]), " ").alias("w"))))
     near = near.select("id", "h", F.explode_outer("seen").alias("at")).select("id", "h", "at.start", "at.end", *_digests(F.col("at.w")))
-    hits = cut(near.join(windows, ["d1", "d2"]).select("id", "h", "start", "end", "item").distinct())
+    hits = cut(near.join(windows, ["d1", "d2"]).select("id", "h", "start", "end", "set").distinct())
 
     by = W.partitionBy("id", "h").orderBy("start", "end")
     reach = F.coalesce(F.max("end").over(by.rowsBetween(W.unboundedPreceding, -1)), F.lit(-1))
@@ -106,7 +110,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     spans = spans.withColumn("run", F.sum((F.col("start") > F.col("reach")).cast("long")).over(by.rowsBetween(W.unboundedPreceding, 0)))
     spans = spans.groupBy("id", "h", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
     spans = spans.groupBy("id", "h").agg(F.sum(F.col("end") - F.col("start")).alias("n_hit"), F.array_sort(F.collect_list(F.struct("start", "end"))).alias("hits"))
-    found = hits.groupBy(F.col("id").alias("i"), F.col("h").alias("g")).agg(F.array_sort(F.collect_set("item")).alias("items"))
+    # Documents that hit the same sets have the same items, which are gathered once.
+    met = cut(hits.groupBy(F.col("id").alias("i"), F.col("h").alias("g")).agg(F.array_sort(F.collect_set("set")).alias("sets")).withColumn("sets_key", F.md5(F.array_join("sets", ","))))
+    gathered = met.select("sets_key", "sets").dropDuplicates(["sets_key"]).select("sets_key", F.explode("sets").alias("set")).join(members, "set")
+    gathered = gathered.groupBy("sets_key").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    found = met.drop("sets").join(gathered, "sets_key").drop("sets_key")
     found = found.join(spans, F.col("id").eqNullSafe(F.col("i")) & (F.col("h") == F.col("g"))).drop("id", "h")
 
     out = s.df.withColumn("n_words", _count(text)).withColumn("h", F.xxhash64(text)).join(found, F.col(s[id_col]).eqNullSafe(F.col("i")) & (F.col("h") == F.col("g")), "left")
