@@ -72,7 +72,7 @@ def shared_folder(spark: SparkSession) -> str:
     return named
 
 
-#: What cut() and stored() have written, for cleared().
+#: What cut(), stored() and temporary() have made, for cleared().
 _written: list[str] = []
 
 
@@ -86,6 +86,12 @@ def cut(df: DataFrame) -> DataFrame:
     return out
 
 
+def temporary(spark: SparkSession, name: str) -> str:
+    """A folder of its own in the shared folder, which cleared() deletes too."""
+    _written.append(f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}")
+    return _written[-1]
+
+
 def written() -> int:
     """How many folders cut() and stored() of this process have written and cleared() has left."""
     return len(_written)
@@ -108,7 +114,6 @@ def slim(df: DataFrame) -> DataFrame:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df, written as Parquet to the shared folder and read again."""
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = temporary(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    _written.append(path)
     return df.sparkSession.read.parquet(path)

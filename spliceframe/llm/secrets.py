@@ -7,14 +7,13 @@ blob, however many paths hold it, and joins all findings back to all paths.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spliceframe.llm.common import Sealed, shared_folder, table
+from spliceframe.llm.common import Sealed, table, temporary
 from spliceframe.llm.pii import _sql_spans
 from spliceframe.llm.spans import count, marked, placed, told
 
@@ -59,13 +58,13 @@ def scan(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ..
     """
     blobs = docs.select(F.col(text_col).alias("text"), blob_of(F.col(text_col)).alias("blob"))
     names = F.array(*(F.lit(r.key) for r in rules))
+    todo = blobs.dropDuplicates(["blob"])  # copies of a text end where they are read; one for each task goes on
     if ledger is None:
-        todo = blobs.dropDuplicates(["blob"]).withColumn("todo", names)
+        todo = todo.withColumn("todo", names)
     else:
         seen = ledger.groupBy(F.col("blob").alias("_blob")).agg(F.collect_set("rule").alias("seen"))
-        lacks = blobs.select("blob").distinct().join(seen, F.col("blob") == F.col("_blob"), "left")
-        lacks = lacks.select("blob", F.array_except(names, F.coalesce("seen", F.array().cast("array<string>"))).alias("todo")).filter(F.size("todo") > 0)
-        todo = blobs.join(lacks, "blob").dropDuplicates(["blob"])
+        todo = todo.join(seen, F.col("blob") == F.col("_blob"), "left").drop("_blob")
+        todo = todo.withColumn("todo", F.array_except(names, F.coalesce("seen", F.array().cast("array<string>")))).drop("seen").filter(F.size("todo") > 0)
     for i, r in enumerate(rules):
         todo = todo.withColumn(f"m{i}", F.when(F.array_contains("todo", r.key), marked(F.col("text"), r.pattern)))
 
@@ -118,8 +117,8 @@ def find_secrets(docs: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULE
 
 
 def op9(spark, sf_dir: str) -> DataFrame:
-    """A ledger of its own for each call; a deployment names one folder, and scans what is new there."""
-    ledger = Ledger(spark, f"{shared_folder(spark)}/secrets-{uuid.uuid4().hex}")
+    """A ledger of its own for each call, which cleared() deletes; a deployment names one folder, and scans what is new there."""
+    ledger = Ledger(spark, temporary(spark, "secrets"))
     out = find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"), ledger)
     base = [r.name for r in RULES if r.base]
     counts = [count(F.col("secrets"), k) for k in base]
