@@ -431,6 +431,16 @@ def ledger_of(spark):
     return secrets.Ledger(spark, f"{common.shared_folder(spark)}/ledger-{uuid.uuid4().hex}")
 
 
+def test_copies_of_a_blob_end_where_they_are_read(spark):
+    """In the plan with a ledger every text passes a partial aggregate before any exchange."""
+    df = spark.range(2000).select("id", F.when(F.col("id") < 1500, "token=abcdefgh1").otherwise(F.concat(F.lit("token=zzzzzzzz"), F.col("id"))).alias("text"))
+    ledger = ledger_of(spark)
+    plan = secrets.scan(df, ledger.read())._jdf.queryExecution().sparkPlan().toString()
+    assert secrets.scan(df, ledger.read()).count() == 501 * len(secrets.RULES)
+    joins = [line for line in plan.split("\n") if "Join" in line]
+    assert len(joins) == 1 and plan.index("Join") < plan.index("first(text")
+
+
 def test_ledger_scans_unseen_pairs_only(spark):
     one = spark.createDataFrame([(1, "token=abcdefgh1"), (2, "token=abcdefgh1"), (3, "clean")], "i int, text string")
     rules, ledger = secrets.RULES[:1], ledger_of(spark)
@@ -625,6 +635,17 @@ def test_licenses(spark, odd, none):
     assert licenses.find_licenses(odd.withColumn("whole", F.lit(1))).count() == len(ODD) and licenses.find_licenses(none).count() == 0
 
 
+def test_licenses_clash_and_long_text(spark):
+    names = ["_li_text", "_li_key", "_li_whole", "_li_k", "in0", "key", "d", "own_key", "license", "n", "lines", "c"]
+    mit = dict((t[:11], t) for _, t in licenses.KNOWN)["MIT License"]
+    df = clashing(spark.createDataFrame([(1, mit), (2, "word " * 250_000 + "\n" + mit + "\n" + "other\n" * 20_000)], "i int, text string"), *names)
+    out = licenses.find_licenses(df)
+    assert out.columns == ["i", *names, "digest", "licenses", "whole"]
+    got = {r.i: r for r in out.collect()}
+    assert (got[1].licenses, got[1].whole) == (["MIT"], ["MIT"]) and (got[2].licenses, got[2].whole) == (["MIT"], [])
+    assert all(got[1][c] == v for c, v in df.filter("i = 1").first().asDict().items() if c in names)
+
+
 def test_license_catalogue(spark):
     """Full texts, titles or none, copyright without a year, wrapped at any width inside longer documents."""
     import textwrap
@@ -643,3 +664,14 @@ def test_license_catalogue(spark):
     assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "BSD-2-Clause", "BSD-3-Clause", "MPL-2.0", "Unlicense", "MIT", "ISC", "0BSD"} <= set(want)
     other = spark.createDataFrame([(1, "Permission is hereby granted,\nfree of charge"), (2, "the copyright\ncopyright notice of it"), (3, None)], "doc_id long, text string")
     assert all(r.licenses == [] for r in licenses.find_licenses(other).collect())
+
+
+def test_passage_of_many_items_and_documents(spark):
+    """A passage that 400 items and 400 documents share makes hits by window, not by document and item."""
+    shared = " ".join(f"w{i}" for i in range(15))
+    items = spark.range(400).select(F.concat(F.lit("b"), F.col("id").cast("string")).alias("item_id"), F.concat(F.lit(shared + " tail"), F.col("id").cast("string")).alias("text"))
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.concat(F.lit("head "), F.lit(shared), F.lit(" end"), F.col("id").cast("string")).alias("text"))
+    start = time.time()
+    got = decontam.contamination(docs, items).select("n_words", "n_hit", "n_items", F.size("items").alias("k"), "items", "contaminated").distinct().collect()
+    assert len(got) == 1 and got[0][:4] == (17, 15, 400, 400) and got[0].contaminated and got[0]["items"] == sorted(f"b{i}" for i in range(400))
+    assert time.time() - start < 120
