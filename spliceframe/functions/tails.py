@@ -72,37 +72,48 @@ def chi2_sf(x, k):
     return np.vectorize(lambda v, n: _gamma_q(n / 2, v / 2) if v == v and n > 0 else math.nan, otypes=[float])(x, k)
 
 
-def _beta_part(a: float, b: float, x: float) -> float:
-    c, d = 1.0, 1 / (1 - (a + b) * x / (a + 1) or _TINY)
-    h = d
+def _beta_part(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """The continued fraction, for all places at once; those that have settled stay as they are."""
+    some = lambda v: np.where(v == 0, _TINY, v)
+    c, d = np.ones_like(x), 1 / some(1 - (a + b) * x / (a + 1))
+    h, out, at = d, np.empty_like(x), np.arange(len(x))
     for m in range(1, 10_000):
         for an in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
-            d = 1 / (1 + an * d or _TINY)
-            c = 1 + an / c or _TINY
-            h *= d * c
-        if abs(d * c - 1) < 1e-15:
-            break
-    return h
-
-
-def beta_cdf(x: float, a: float, b: float) -> float:
+            d = 1 / some(1 + an * d)
+            c = some(1 + an / c)
+            h = h * d * c
+        done = np.abs(d * c - 1) < 1e-15
+        if done.any():
+            out[at[done]] = h[done]
+            a, b, x, c, d, h, at = (v[~done] for v in (a, b, x, c, d, h, at))
+            if not len(at):
+                break
+    out[at] = h
+    return out
+
+
+def beta_cdf(x, a, b):
     """The regularised incomplete beta function."""
-    if x <= 0 or x >= 1:
-        return float(x >= 1)
-    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x))
-    return front * _beta_part(a, b, x) / a if x < (a + 1) / (a + b + 2) else 1 - front * _beta_part(b, a, 1 - x) / b
+    x, a, b = (np.asarray(v, float).ravel() for v in np.broadcast_arrays(x, a, b))
+    out = (x >= 1).astype(float)
+    at = np.flatnonzero((x > 0) & (x < 1))
+    x, a, b = x[at], a[at], b[at]
+    swap = x >= (a + 1) / (a + b + 2)
+    front = np.exp(lgamma(a + b) - lgamma(a) - lgamma(b) + a * np.log(x) + b * np.log1p(-x))
+    first, second = np.where(swap, b, a), np.where(swap, a, b)
+    part = front * _beta_part(first, second, np.where(swap, 1 - x, x)) / first
+    out[at] = np.where(swap, 1 - part, part)
+    return out
 
 
 def t_sf(t, df):
     """P(T > t)."""
-
-    def one(v: float, n: float) -> float:
-        if not (v == v and n > 0):
-            return math.nan
-        half = 0.5 * beta_cdf(n / (n + v * v), n / 2, 0.5)
-        return half if v >= 0 else 1 - half
-
-    return np.vectorize(one, otypes=[float])(t, df)
+    t, df = np.broadcast_arrays(np.asarray(t, float), np.asarray(df, float))
+    v, n = t.ravel(), df.ravel()
+    ok = (v == v) & (n > 0)
+    half = np.full(len(v), math.nan)
+    half[ok] = 0.5 * beta_cdf(n[ok] / (n[ok] + v[ok] * v[ok]), n[ok] / 2, 0.5)
+    return np.where(v >= 0, half, 1 - half).reshape(t.shape)
 
 
 def t_ppf(p: float, df: float) -> float:

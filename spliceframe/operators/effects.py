@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from spliceframe.functions import tails
+from spliceframe.operators.keep import kept
 from spliceframe.operators.tables import adjusted, average_rank
 
 # ---- sums of an arm: n, s (sum), q (sum of squares)
@@ -83,38 +84,51 @@ def two_sided(z: Column) -> Column:
     return F.least(F.lit(1.0), 2 * tails.norm_sf_udf(F.abs(z)))
 
 
-def rank_isoform_fractions(fractions: DataFrame, obs: DataFrame, group: str, method: str = "mannwhitney", min_cells: int = 10, min_share: float = 0.05) -> DataFrame:
-    """Differential isoform fractions of every group against the rest, zeros of all cells included.
+def fraction_sums(fractions: DataFrame, obs: DataFrame, group: str, min_cells: int = 10, min_share: float = 0.05) -> DataFrame:
+    """For every group and isoform of a gene tested there, the cells (n1, n0), and of the nonzero fractions: the group's number k1,
+    rank sum rs, sum s1 and sum of squares q1, and all cells' k, ties (sum of t * t - 1), s and q.
 
-    A gene is tested where the cells that express it are min_cells and min_share of the cells, on both sides. The rest is
-    total minus group, so no cell is copied. (group, feature_id, gene, score, delta, p, padj); padj within the group.
+    A gene is tested where the cells that express it are min_cells and min_share of the cells, on both sides. Ranks are taken once, over all
+    cells; everything else is sums of groups, which add up to those of all cells.
     """
     cells = obs.select("cell_id", F.col(group).alias("group"))
     n = cells.groupBy("group").agg(F.count("*").alias("n1")).withColumn("n0", F.sum("n1").over(W.partitionBy()) - F.col("n1"))
     x = fractions.filter("count > 0").join(cells, "cell_id")
-    gene = x.groupBy("group", "gene").agg(F.countDistinct("cell_id").alias("e1")).withColumn("e0", F.sum("e1").over(W.partitionBy("gene")) - F.col("e1")).join(F.broadcast(n), "group")
+    gene = x.groupBy("group", "gene").agg(F.countDistinct("cell_id").alias("e1")).withColumn("e0", F.sum("e1").over(W.partitionBy("gene")) - F.col("e1")).join(F.broadcast(n), "group")  # a row for each group
     ok = lambda e, n: (F.col(e) >= min_cells) & (F.col(e) >= min_share * F.col(n))
     gene = gene.filter(ok("e1", "n1") & ok("e0", "n0"))
+    ranked = average_rank(x, "fraction", "gene", "feature_id", out="_r").withColumn("_t", F.count("*").over(W.partitionBy("gene", "feature_id", "fraction")))
+    f = F.col("fraction")
+    own = kept(ranked.groupBy("group", "gene", "feature_id").agg(F.count("*").alias("k1"), F.sum("_r").alias("rs"), F.sum(F.col("_t") * F.col("_t") - 1).cast("double").alias("t1"), F.sum(f).alias("s1"), F.sum(f * f).alias("q1")))
+    whole = own.groupBy("gene", "feature_id").agg(*(F.sum(a).alias(b) for a, b in (("k1", "k"), ("t1", "ties"), ("s1", "s"), ("q1", "q"))))
+    return gene.join(whole, "gene").join(own.drop("t1"), ["group", "gene", "feature_id"], "left").fillna(0, ["k1", "rs", "s1", "q1"]).select("group", "gene", "feature_id", "n1", "n0", "k", "k1", "rs", "ties", "s", "s1", "q", "q1")
+
+
+def rank_isoform_fractions(fractions: DataFrame, obs: DataFrame, group: str, method: str = "mannwhitney", min_cells: int = 10, min_share: float = 0.05) -> DataFrame:
+    """Differential isoform fractions of every group against the rest, zeros of all cells included, over fraction_sums().
+
+    (group, gene, feature_id, score, delta, p, padj) by method mannwhitney or welch; padj within the group. Method both: delta, then
+    u, p_u, padj_u and t, p_t, padj_t, from the same sums.
+    """
+    if method not in ("mannwhitney", "welch", "both"):
+        raise ValueError("method must be mannwhitney, welch or both")
     keys = ["group", "gene", "feature_id"]
-    if method == "welch":
-        own = x.groupBy("group", "gene", "feature_id").agg(F.sum("fraction").alias("s1"), F.sum(F.col("fraction") * F.col("fraction")).alias("q1"))
-        whole = x.groupBy("gene", "feature_id").agg(F.sum("fraction").alias("s"), F.sum(F.col("fraction") * F.col("fraction")).alias("q"))
-        sums = gene.join(whole, "gene").join(own, keys, "left").fillna(0.0, ["s1", "q1"]).withColumn("s0", F.col("s") - F.col("s1")).withColumn("q0", F.col("q") - F.col("q1"))
-        out = welch(sums).select(*keys, F.col("t").alias("score"), F.col("effect").alias("delta"), "p")
-    elif method == "mannwhitney":
-        ranked = average_rank(x, "fraction", "gene", "feature_id", out="_r").withColumn("_t", F.count("*").over(W.partitionBy("gene", "feature_id", "fraction")))
-        whole = ranked.groupBy("gene", "feature_id").agg(F.count("*").alias("k"), F.sum(F.col("_t") * F.col("_t") - 1).cast("double").alias("ties"), F.sum("fraction").alias("s"))
-        own = ranked.groupBy(*keys).agg(F.count("*").alias("k1"), F.sum("_r").alias("rs"), F.sum("fraction").alias("s1"))
-        y = gene.join(whole, "gene").join(own, keys, "left").fillna(0, ["k1", "rs", "s1"])
+    x = fraction_sums(fractions, obs, group, min_cells, min_share)
+    x = x.withColumn("delta", F.col("s1") / F.col("n1") - (F.col("s") - F.col("s1")) / F.col("n0"))
+    if method != "welch":
         m, total = F.col("n1").cast("double") * F.col("n0"), F.col("n1") + F.col("n0")
         zeros = (total - F.col("k")).cast("double")
         u = F.col("rs") + F.col("k1") * zeros + (F.col("n1") - F.col("k1")) * (zeros + 1) / 2 - F.col("n1") * (F.col("n1") + 1) / 2
         sd = F.sqrt(m / 12 * ((total + 1) - (F.col("ties") + zeros * zeros * zeros - zeros) / (total * (total - 1))))
         z = F.when(sd > 0, F.greatest(F.lit(0.0), F.abs(u - m / 2) - 0.5) / sd).otherwise(0.0)
-        out = y.select(*keys, u.alias("score"), (F.col("s1") / F.col("n1") - (F.col("s") - F.col("s1")) / F.col("n0")).alias("delta"), two_sided(z).alias("p"))
-    else:
-        raise ValueError("method must be mannwhitney or welch")
-    return adjusted(out, "p", "group")
+        x = x.withColumn("u", u).withColumn("p_u", two_sided(z))
+        if method == "mannwhitney":
+            return adjusted(x.select(*keys, F.col("u").alias("score"), "delta", F.col("p_u").alias("p")), "p", "group")
+    sums = x.withColumn("s0", F.col("s") - F.col("s1")).withColumn("q0", F.col("q") - F.col("q1"))
+    if method == "welch":
+        return adjusted(welch(sums).select(*keys, F.col("t").alias("score"), F.col("effect").alias("delta"), "p"), "p", "group")
+    both = welch(sums).select(*keys, "delta", "u", "p_u", "t", F.col("p").alias("p_t"))
+    return adjusted(adjusted(both, "p_u", "group", out="padj_u"), "p_t", "group", out="padj_t").select(*keys, "delta", "u", "p_u", "padj_u", "t", "p_t", "padj_t")
 
 
 # ---- pooling

@@ -196,7 +196,7 @@ def cassettes(skips: DataFrame, junctions: DataFrame) -> DataFrame:
 
 def suffix_min(junctions: DataFrame) -> DataFrame:
     """Per gene, junctions by start, with the least end among those that start no earlier."""
-    w = W.partitionBy("gene").orderBy("start").rangeBetween(0, W.unboundedFollowing)
+    w = W.partitionBy("gene").orderBy(F.col("start").desc()).rangeBetween(W.unboundedPreceding, 0)
     return junctions.select("gene", "start", "end").distinct().withColumn("least_end", F.min("end").over(w))
 
 
@@ -334,9 +334,10 @@ def adjusted(df: DataFrame, p: str, *by: str, nulls: str = "one", out: str = "pa
     """Benjamini-Hochberg within by. nulls: 'one' counts a missing p as 1, 'keep' leaves it out and null."""
     missing = F.col(p).isNull() | F.isnan(p)
     x = df.withColumn("_p", F.when(missing, 1.0).otherwise(F.col(p))).withColumn("_in", F.lit(True) if nulls == "one" else ~missing)
-    w = W.partitionBy(*by, "_in").orderBy("_p")
-    x = x.withColumn("_q", F.col("_p") * F.count("*").over(W.partitionBy(*by, "_in")) / F.row_number().over(w))
-    least = F.min("_q").over(w.rangeBetween(0, W.unboundedFollowing))
+    w = W.partitionBy(*by, "_in").orderBy(F.col("_p").desc())  # from the largest p on, as a frame to the end of its partition takes quadratic time
+    n = F.count("*").over(W.partitionBy(*by, "_in"))
+    x = x.withColumn("_q", F.col("_p") * n / (n - F.row_number().over(w) + 1))
+    least = F.min("_q").over(w.rangeBetween(W.unboundedPreceding, 0))
     return x.withColumn(out, F.when(F.col("_in"), F.least(F.lit(1.0), least))).drop("_p", "_in", "_q")
 
 

@@ -98,9 +98,8 @@ def _(c):
 
 @query("s05_rank_isoform_fractions_p")
 def _(c):
-    a = e.rank_isoform_fractions(c.fractions, c.obs, "class").select("group", "feature_id", F.col("score").alias("u"), F.col("p").alias("p_u"), F.col("padj").alias("padj_u"))
-    b = e.rank_isoform_fractions(c.fractions, c.obs, "class", "welch").select("group", "feature_id", F.col("score").alias("t"), F.col("p").alias("p_t"))
-    return rounded(a.join(b, ["group", "feature_id"]))
+    """U and t of every isoform and class with their p, from one pass."""
+    return rounded(e.rank_isoform_fractions(c.fractions, c.obs, "class", "both").select("group", "feature_id", "u", "p_u", "padj_u", "t", "p_t"))
 
 
 _USE = """, x AS (SELECT gene, feature_id, cell_id, fraction, arm FROM fr JOIN obs USING (cell_id)), n AS (SELECT gene, count(DISTINCT cell_id) FILTER (arm) AS ng, count(DISTINCT cell_id) FILTER (NOT arm) AS nr FROM x GROUP BY 1),
