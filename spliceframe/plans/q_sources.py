@@ -6,7 +6,8 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from spliceframe.plans.registry import query
+from spliceframe.operators import tables as t
+from spliceframe.plans.registry import query, rounded
 from spliceframe.sources import files as s
 
 
@@ -31,6 +32,14 @@ def _(c):
     return b.counts.join(b.obs, "cell_id").join(b.var, "feature_id").groupBy("class", "gene").agg(F.sum("count").alias("count"))
 
 
+@query("io04_pseudobulk_scan", ", g AS (SELECT class, gene, sum(count)::BIGINT AS total FROM counts JOIN obs USING (cell_id) JOIN var USING (feature_id) GROUP BY ALL) SELECT class, gene, total, round(ln(1 + total / sum(total) OVER (PARTITION BY class) * 1e4), 6) AS log_cp10k FROM g", "counts", "obs", "var")
+def _(c):
+    """Sums by class over a bundle on disk: only the columns that they need are read, and every task adds up its own."""
+    s.Bundle(c.counts, c.obs, c.var).write(path := folder(c))
+    b = s.Bundle.read(c.spark, path)
+    return rounded(t.pseudobulk(b.counts, b.obs, b.var, "class"))
+
+
 @query("io05_strings", "SELECT cell_id::VARCHAR AS cell_id, class FROM obs", "obs")
 def _(c):
     s.write_table(c.obs.select("class", "cell_id", "donor"), path := folder(c))
@@ -43,6 +52,27 @@ def _(c):
     return s.read_strings(c.spark, path, ["a", "b"], header=False)
 
 
+@query("io07_tagged", "SELECT cell_id::VARCHAR AS cell_id, class AS sample FROM obs", "obs")
+def _(c):
+    """Files of several samples as one table, tagged from their paths."""
+    c.obs.select("cell_id", "class").write.partitionBy("class").option("sep", "\t").option("header", True).csv(path := folder(c))
+    return s.read_tagged(c.spark, f"{path}/*/*.csv", ["cell_id"], "class=([^/]+)/")
+
+
+@query("io10_rewrite_fasta", "SELECT CASE WHEN feature_id % 2 = 0 THEN '>t|' || gene || '|t|' || exons || ':' || name ELSE 'ACGT' END AS line FROM var", "var")
+def _(c):
+    line = F.when(F.col("feature_id") % 2 == 0, F.concat(F.lit(">"), "gene", F.lit("|"), "exons", F.lit(":"), "name")).otherwise("ACGT")
+    c.var.select(line).write.text(path := folder(c))
+    s.rewrite_fasta(c.spark, path, new := folder(c), "t")
+    return c.spark.read.text(new).withColumnRenamed("value", "line")
+
+
+@query("io16_table", "SELECT cell_id::VARCHAR AS cell_id, class, donor::VARCHAR AS donor FROM obs", "obs")
+def _(c):
+    s.write_table(c.obs.select("cell_id", "class", "donor"), path := folder(c), ",")
+    return c.spark.read.option("header", True).csv(path)
+
+
 @query("io17_write_new", "SELECT cell_id FROM obs", "obs")
 def _(c):
     path = folder(c)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spliceframe.operators.keep import numbered_lines
+from spliceframe.operators.tables import fasta_prefix
 
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
@@ -148,6 +149,11 @@ def sample_sheet(sheet: DataFrame, key: str, exclude: list[str] | None = None, e
     return sheet.filter(~F.col(excluded_column).isin(*exclude)) if exclude else sheet
 
 
+def rewrite_fasta(spark: SparkSession, source: str, target: str, tag: str) -> None:
+    """Writes the lines of source with headers >a|a:rest as >tag|a|tag|a:rest. Every block of lines becomes a part file, in order."""
+    spark.read.text(source).select(fasta_prefix(F.col("value"), F.lit(tag)).alias("value")).write.text(target)
+
+
 # ---- sinks
 
 
