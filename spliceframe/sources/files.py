@@ -95,11 +95,11 @@ def transcript_id(pairs: Column) -> Column:
     return F.coalesce(attribute(pairs, "ID"), attribute(pairs, "transcript_id"), F.split(attribute(pairs, "Parent"), ",")[0])
 
 
-def gff_records(text_lines: DataFrame, column: str = "value") -> DataFrame:
-    """The nine-field lines of a GFF or GTF file; comments, blank lines and lines of other widths are skipped."""
+def gff_records(text_lines: DataFrame, column: str = "value", *keys: str) -> DataFrame:
+    """The nine-field lines of a GFF or GTF file, with the columns keys; comments, blank lines and lines of other widths are skipped."""
     names = ("seqid", "source", "type", "start", "end", "score", "strand", "phase", "attributes")
     p = F.split(column, "\t", -1)
-    x = text_lines.filter(~F.col(column).startswith("#") & (F.size(p) == 9)).select(*(F.get(p, F.lit(i)).alias(n) for i, n in enumerate(names)))
+    x = text_lines.filter(~F.col(column).startswith("#") & (F.size(p) == 9)).select(*keys, *(F.get(p, F.lit(i)).alias(n) for i, n in enumerate(names)))
     return x.withColumn("start", F.col("start").cast("int")).withColumn("end", F.col("end").cast("int")).withColumn("attributes", attributes(F.col("attributes")))
 
 
