@@ -114,6 +114,8 @@ def usage_tests(fractions: DataFrame, obs: DataFrame, arm: str, *split: str, min
     """
     by = [*split, "gene"]
     x = fractions.filter("count > 0").join(obs.select("cell_id", F.col(arm).alias("arm"), *split), "cell_id")
+    if fit:
+        x = kept(x.select(*split, "cell_id", "gene", "feature_id", "count", "fraction", "arm"))  # read four times
     a = F.col("arm")
     cells = x.groupBy(*by).agg(F.countDistinct(F.when(a, F.col("cell_id"))).alias("n_cells_group"), F.countDistinct(F.when(~a, F.col("cell_id"))).alias("n_cells_ref"))
     iso = x.groupBy(*by, "feature_id").agg(*(F.coalesce(F.sum(F.when(c, F.col("fraction"))), F.lit(0.0)).alias(n) for n, c in (("_g", a), ("_r", ~a))), F.sum("count").alias("_total"))
@@ -124,6 +126,7 @@ def usage_tests(fractions: DataFrame, obs: DataFrame, arm: str, *split: str, min
     out = out.withColumn("_place", F.row_number().over(W.partitionBy(*by).orderBy(F.col("_total").desc(), "feature_id")))
     if not fit:
         return out.drop("_g", "_r", "_total", "_place")
+    out = kept(out)
     slot = F.when(F.col("n_isoforms") > max_isoforms, F.least("_place", F.lit(max_isoforms))).otherwise(F.col("_place")) - 1
     cellwise = x.join(out.filter("tested").select(*by, "feature_id", slot.alias("slot")), [*by, "feature_id"]).select(*by, "cell_id", "arm", "slot", "count")
 
