@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from spliceframe.functions import tails
-from spliceframe.operators import models, usage
+from spliceframe.operators import effects, models, usage
+from spliceframe.plans import QUERIES
+from spliceframe.plans.carriers import Carriers
 
 
 def test_beta_regression_from_sums(spark):
@@ -104,3 +106,43 @@ def test_one_vs_rest_of_pooled_isoforms(spark):
     whole = models.one_vs_rest(df, obs, "class", max_isoforms=4)
     assert {(r.gene, r.of): (r.dm_stat, r.dm_pval) for r in whole.filter("tested").collect()} == got
     assert {(r.of, r.n_cells_group, r.n_cells_ref) for r in whole.filter(F.col("gene") == "g").collect()} == {(f"c{i}", 50, 100) for i in range(3)}
+
+
+def test_ranks_against_the_rest(spark):
+    """From a tally of counts, against mann_whitney() of every group's cells and all others, zeros filled in; a gene that all cells share evenly is one tie."""
+    rng = np.random.default_rng(5)
+    of = {c: f"c{rng.integers(0, 3)}" for c in range(90)}
+    counts = {(c, g): int(rng.poisson(1 + (g == "a") * (of[c] == "c1"))) for c in of for g in "ab"} | {(c, "even"): 2 for c in of}
+    rows = spark.createDataFrame([(of[c], g, v) for (c, g), v in counts.items() if v], "class string, gene string, s long")
+    tally = rows.groupBy("class", "gene", "s").agg(F.count("*").alias("c"))
+    n = {k: sum(v == k for v in of.values()) for k in set(of.values())}
+    sizes = spark.createDataFrame([(k, v, 90 - v) for k, v in n.items()], "class string, n1 long, n0 long")
+    got = {(r["class"], r.gene): r for r in effects.rest_ranks(tally, sizes, "s", "c", "class", "gene").collect()}
+    assert set(got) == {(k, g) for k in n for g in ("a", "b", "even")}
+    for k in n:
+        filled = spark.createDataFrame([(g, float(v), of[c] == k) for (c, g), v in counts.items()], "gene string, v double, own boolean")
+        for want in effects.mann_whitney(filled, "v", "own", "gene").collect():
+            r = got[k, want.gene]
+            assert (r.n1, r.n0, r.u, r.z) == pytest.approx((want.n1, want.n0, want.u, want.z))
+    assert got["c1", "a"].z > 2 and got["c1", "even"].z == 0
+
+
+def test_one_vs_rest_is_tested(spark):
+    """The adjusted p of j17_one_vs_rest is that of ranks against the rest, not a number made of the sums."""
+    c = Carriers(spark, "/root/testdata/sf0.001")
+    rows = {(r["class"], r.gene): r.padj for r in QUERIES["j17_one_vs_rest"](spark, c.dir).collect()}
+    x = c.counts.join(c.var.select("feature_id", F.col("fine").alias("gene")), "feature_id").groupBy("cell_id", "gene").agg(F.sum("count").alias("v")).toPandas()
+    of = c.obs.select("cell_id", "class").toPandas().set_index("cell_id")["class"]
+    wide = x.pivot(index="cell_id", columns="gene", values="v").reindex(of.index).fillna(0)
+    k = of.iloc[0]
+    n1, n0 = (of == k).sum(), (of != k).sum()
+    ps = {}
+    for gene in wide.columns:
+        if (wide.loc[of == k, gene] > 0).any():
+            ranks, ties = wide[gene].rank(), wide[gene].value_counts()
+            gap = abs(ranks[of == k].sum() - n1 * (n1 + 1) / 2 - n1 * n0 / 2) - 0.5
+            ps[gene] = 2 * float(tails.norm_sf(max(0, gap) / np.sqrt(n1 * n0 / 12 * (n1 + n0 + 1 - (ties**3 - ties).sum() / (n1 + n0) / (n1 + n0 - 1)))))
+    order, least = sorted(ps, key=ps.get), 1.0
+    for i in range(len(order), 0, -1):
+        least = min(least, ps[order[i - 1]] * len(order) / i)
+        assert rows[k, order[i - 1]] == pytest.approx(least, abs=2e-6)
