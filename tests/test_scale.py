@@ -163,3 +163,23 @@ def test_permanova_splits_the_interaction(spark, tmp_path):
     assert set(got) == set(want)
     for k in got:
         assert got[k] == pytest.approx(want[k], abs=2e-6)
+
+
+def test_shannon_of_large_blocks():
+    """A chain of 20,000 isoforms, whose eigenvalues are known and whose matrix would take 3.2 GB, and random blocks with rings against the dense eigenvalues."""
+    n = 20_000
+    i, j = np.arange(n - 1), np.arange(1, n)
+    got = usage.block_shannon(n, np.r_[np.arange(n), i, j], np.r_[np.arange(n), j, i], np.r_[np.full(n, 2.0), np.ones(2 * n - 2)] / (2 * n))
+    p = (2 + 2 * np.cos(np.arange(1, n + 1) * np.pi / (n + 1))) / (2 * n)
+    assert got == pytest.approx(-(p * np.log2(p)).sum(), abs=1e-8)
+    rng = np.random.default_rng(6)
+    for links in (0.7, 1.0, 1.8):
+        cells = [rng.choice(500, 2, replace=False) for _ in range(int(500 * links))] + [[f] for f in rng.integers(0, 500, 300)]
+        x = np.zeros((len(cells), 500))
+        for c, fs in enumerate(cells):
+            x[c, fs] = rng.dirichlet(np.ones(len(fs)))
+        gram = x.T @ x / (x * x).sum()
+        i, j = np.nonzero(gram)
+        p = np.linalg.eigvalsh(gram)
+        p = p[p > 1e-12]
+        assert usage.block_shannon(500, i, j, gram[i, j], dense=8) == pytest.approx(-(p * np.log2(p)).sum(), abs=1e-8)
